@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from nivalis.llm.mixing import OP8_SQL, op8_source_mixing
 from nivalis.llm.suffix_dedup import op1_suffix_dedup
+from nivalis.llm.topk import OP2_SQL, op2_exact_topk
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_exact_topk": op2_exact_topk,
+    "op8_source_mixing": op8_source_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_exact_topk": OP2_SQL,
+    "op8_source_mixing": OP8_SQL,
+}
