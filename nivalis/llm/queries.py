@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from nivalis.llm.bpe import op6_bpe_encoding
 from nivalis.llm.mixing import OP8_SQL, op8_source_mixing
 from nivalis.llm.suffix_dedup import op1_suffix_dedup
 from nivalis.llm.topk import OP2_SQL, op2_exact_topk
@@ -9,6 +10,7 @@ from nivalis.llm.topk import OP2_SQL, op2_exact_topk
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_exact_topk": op2_exact_topk,
+    "op6_bpe_encoding": op6_bpe_encoding,
     "op8_source_mixing": op8_source_mixing,
 }
 
