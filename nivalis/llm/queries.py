@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from nivalis.llm.bpe import op6_bpe_encoding
 from nivalis.llm.mixing import OP8_SQL, op8_source_mixing
+from nivalis.llm.ngram_join import OP9_SQL, op9_ngram_jaccard_join
 from nivalis.llm.suffix_dedup import op1_suffix_dedup
 from nivalis.llm.topk import OP2_SQL, op2_exact_topk
 
@@ -12,9 +13,11 @@ QUERIES = {
     "op2_exact_topk": op2_exact_topk,
     "op6_bpe_encoding": op6_bpe_encoding,
     "op8_source_mixing": op8_source_mixing,
+    "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_topk": OP2_SQL,
     "op8_source_mixing": OP8_SQL,
+    "op9_ngram_jaccard_join": OP9_SQL,
 }
