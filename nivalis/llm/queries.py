@@ -8,6 +8,7 @@ from nivalis.llm.mixing import OP8_SQL, op8_source_mixing
 from nivalis.llm.ngram_join import OP9_SQL, op9_ngram_jaccard_join
 from nivalis.llm.quality_classifier import op5_quality_classifier
 from nivalis.llm.quality_rules import op4_quality_rules
+from nivalis.llm.sharding import op10_sharding
 from nivalis.llm.suffix_dedup import op1_suffix_dedup
 from nivalis.llm.topk import OP2_SQL, op2_exact_topk
 
@@ -20,6 +21,7 @@ QUERIES = {
     "op7_language_id": op7_language_id,
     "op8_source_mixing": op8_source_mixing,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
+    "op10_sharding": op10_sharding,
 }
 
 ORACLE_SQL: dict[str, str] = {
