@@ -6,6 +6,7 @@ from nivalis.llm.bpe import op6_bpe_encoding
 from nivalis.llm.language_id import op7_language_id
 from nivalis.llm.mixing import OP8_SQL, op8_source_mixing
 from nivalis.llm.ngram_join import OP9_SQL, op9_ngram_jaccard_join
+from nivalis.llm.pitman_yor import op3_lm_scoring
 from nivalis.llm.quality_classifier import op5_quality_classifier
 from nivalis.llm.quality_rules import op4_quality_rules
 from nivalis.llm.sharding import op10_sharding
@@ -15,6 +16,7 @@ from nivalis.llm.topk import OP2_SQL, op2_exact_topk
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_exact_topk": op2_exact_topk,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_quality_rules": op4_quality_rules,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_bpe_encoding": op6_bpe_encoding,
