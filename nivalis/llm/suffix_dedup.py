@@ -16,9 +16,12 @@ Spark groups the (name, position) pairs at each length and names that are unique
 3. 100 bytes, at each position left: the name is the pair of the names of its halves, at
    offsets 0 and 50. All but the first position of each pair are repeats.
 
-Names of rounds 2 and 3 have 96 and 128 bits. Counts are pre-aggregated before each shuffle and
-positions come back by joins whose hot keys Spark can split, so a passage that a third of all
-documents share does not land in one task, and no pairs of positions are ever made.
+Names of round 2 have 96 bits, those of round 3, with their anchor, 128. Each round is one shuffle by the anchor's
+name. An anchor that a sample shows to be common is salted by its share of the sample, ranked
+within each salt first and then over the few left of it, so a passage that a third of all
+documents share does not land in one task; the sample only decides how rows are dealt. Round 3
+moves one row for each run and not for each string, and no pairs of positions are ever made. Texts
+are shuffled once, compressed, for round 3 and for the cut.
 
 Defined cases: a null text is empty; texts under 100 bytes stay whole; a null doc_id comes
 before all others; rows that repeat a doc_id with another text are ordered by a hash of their
@@ -33,8 +36,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from nivalis.llm.common import NO_ID, documents, materialise
 
@@ -44,6 +49,13 @@ PLACES = LENGTH - GRAM + 1
 SLICE = 1 << 19
 #: In a position, the offset has the low bits; above are 16 bits that tell rows with one doc_id apart.
 OFFSET_BITS = 40
+#: One document in SAMPLE shows which anchors are common; these get a salt for each SALT_ROWS rows expected.
+SAMPLE, SALT_ROWS = 64, 20_000
+#: An anchor with more kinds of run than this has its strings salted in round 3.
+SALT_KINDS = 4096
+
+RUNS = "name long, run int, k long, pos long, more short"
+PACKED = "k long, t int, size int, data binary"
 
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -137,22 +149,28 @@ def _spans(value: list | None) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _emit_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The names of both halves of each string that starts in a listed run."""
+    """For each listed run, the names of its strings in a row; for a salted run, a row for each string."""
+    expand = zstandard.ZstdDecompressor()
     for batch in batches:
-        for k, t, text, value in zip(batch["k"].to_pylist(), batch["t"].to_pylist(), batch["text"], batch["runs"].to_pylist(), strict=True):
-            data = np.frombuffer(text.as_buffer(), np.uint8)
-            lo, hi = _spans(value)
-            start = np.concatenate([np.arange(a, b + 1) for a, b in zip(lo, hi, strict=True)])
-            start.sort()
-            for at in range(0, len(data), SLICE):
-                own = start[np.searchsorted(start, at) : np.searchsorted(start, at + SLICE)] - at
-                if not len(own):
-                    continue
-                names = _Names(data[at : at + SLICE + LENGTH - 1])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names.at(own, own + HALF).view(np.int64)), pa.array(names.at(own + HALF, own + LENGTH).view(np.int64)), pa.array(np.full(len(own), k)), pa.array(own + at + (t << OFFSET_BITS))],
-                    names=["left", "right", "k", "pos"],
-                )
+        out: list[tuple] = []
+        for k, t, size, packed, value in zip(*(batch[c].to_pylist() for c in ("k", "t", "size", "data", "runs")), strict=True):
+            data = np.frombuffer(expand.decompress(packed, max_output_size=size), np.uint8)
+            for run in value:
+                at = run["lo"] & ((1 << OFFSET_BITS) - 1)
+                names = _Names(data[at : at + run["more"] + LENGTH])
+                start = np.arange(run["more"] + 1)
+                whole = names.at(start, start + HALF) * _MIX + names.at(start + HALF, start + LENGTH)
+                if run["salts"] == 1:
+                    out.append((run["name"], 0, k, run["lo"], whole.view(np.int64)))
+                else:
+                    salt = (whole % np.uint64(run["salts"])).tolist()
+                    out += ((run["name"], salt[i], k, run["lo"] + i, whole.view(np.int64)[i : i + 1]) for i in range(len(whole)))
+        if out:
+            name, salt, k, pos, strings = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(name, pa.int64()), pa.array(salt, pa.int32()), pa.array(k, pa.int64()), pa.array(pos, pa.int64()), pa.array(strings, pa.list_(pa.int64()))],
+                names=["name", "salt", "k", "pos", "strings"],
+            )
 
 
 def covered(n: int, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -163,15 +181,27 @@ def covered(n: int, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return np.cumsum(change[:n]) > 0
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    squeeze = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        raw = [x.as_buffer() for x in batch["text"]]
+        yield pa.RecordBatch.from_arrays(
+            [batch["k"], batch["t"], pa.array([x.size for x in raw], pa.int32()), pa.array([squeeze.compress(x) for x in raw], pa.binary()), *batch.columns[3:]],
+            names=["k", "t", "size", "data", *batch.schema.names[3:]],
+        )
+
+
 def _removed(batches: Iterator[pa.RecordBatch], cut) -> Iterator[pa.RecordBatch]:
+    expand = zstandard.ZstdDecompressor()
     for batch in batches:
-        yield cut(batch, [(text.as_buffer(), *_spans(value)) for text, value in zip(batch["text"], batch["runs"].to_pylist(), strict=True)])
+        rows = zip(*(batch[c].to_pylist() for c in ("size", "data", "runs")), strict=True)
+        yield cut(batch, [(expand.decompress(data, max_output_size=size), *_spans(value)) for size, data, value in rows])
 
 
-def _kept(text: pa.Buffer, lo: np.ndarray, hi: np.ndarray) -> tuple[bytes, int, int]:
+def _kept(text: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[bytes, int, int]:
     """The bytes that stay, how many go, and in how many maximal runs."""
     if not len(lo):
-        return text.to_pybytes(), 0, 0
+        return text, 0, 0
     data = np.frombuffer(text, np.uint8)
     gone = covered(len(data), lo, hi)
     return data[~gone].tobytes(), int(gone.sum()), int(gone[0]) + int((np.diff(gone.astype(np.int8)) == 1).sum())
@@ -186,28 +216,58 @@ def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
     return docs.select(key, tie.cast("int").alias("t"), text.alias("text"), *more)
 
 
-def repeats(keyed: DataFrame) -> DataFrame:
+def _common_anchors(keyed: DataFrame) -> DataFrame:
+    """Names of anchors that are a hundred-thousandth of a sample of documents or more, and salts for each.
+
+    A hundred thousand names at most, so the table may be broadcast.
+    """
+    sample = keyed.where(F.pmod(F.xxhash64("k", F.lit(7)), F.lit(SAMPLE)) == 0)
+    counts = sample.mapInArrow(_emit_runs, RUNS).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialise(counts.where("n > 1"))
+    whole = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    common = counts.where(F.col("n") >= max(64, whole // 100_000))
+    return common.select("name", F.ceil(F.col("n") * SAMPLE / SALT_ROWS).cast("int").alias("salts"))
+
+
+def _ranked(keyed: DataFrame) -> DataFrame:
+    """Runs that are not alone with their anchor: name, run, k, pos, more, salts, place (within the run's kind) and kinds."""
+    anchors = keyed.mapInArrow(_emit_runs, RUNS).join(F.broadcast(_common_anchors(keyed)), "name", "left")
+    salts = F.coalesce("salts", F.lit(1))
+    anchors = anchors.withColumn("salts", salts).withColumn("salt", F.pmod(F.xxhash64("k"), salts).cast("int"))
+    anchors = anchors.repartition("name", "salt")
+    of_kind = Window.partitionBy("name", "salt", "run").orderBy("k", "pos")
+    of_name = Window.partitionBy("name", "salt")
+    ranked = anchors.withColumn("place", F.rank().over(of_kind))
+    ranked = ranked.withColumn("kinds", F.count_if(F.col("place") == 1).over(of_name))
+    ranked = ranked.where("place > 1 or salts > 1 or kinds > 1")
+    return materialise(ranked.select("name", "run", "k", "pos", "more", "salts", "place", "kinds"))
+
+
+def repeats(keyed: DataFrame, packed: DataFrame) -> DataFrame:
     """For each document with repeats: k, t, and runs, the starts of its repeated strings as (lo, more)."""
-    anchors = keyed.mapInArrow(_emit_runs, "name long, run int, k long, pos long, more short")
-    several = anchors.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
-    left = materialise(anchors.join(several, "name"))
-    kinds = left.groupBy("name", "run").agg(F.min(F.struct("k", "pos", "more")).alias("first"))
-    whole = left.join(kinds, ["name", "run"]).where("k != first.k or pos != first.pos").select("k", "pos", "more")
-    mixed = kinds.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
-    open_runs = kinds.join(mixed, "name").select("first.*")
-    strings = (
-        keyed.join(_by_document(open_runs), ["k", "t"])
-        .select("k", "t", "text", "runs")
-        .mapInArrow(_emit_strings, "left long, right long, k long, pos long")
-    )
-    strings = materialise(strings)
-    firsts = strings.groupBy("left", "right").agg(F.min(F.struct("k", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    later = strings.join(firsts, ["left", "right"]).where("k != first.k or pos != first.pos").select("k", "pos", F.lit(0).cast("short").alias("more"))
+    ranked = _ranked(keyed)
+    whole = ranked.where("place > 1").select("k", "pos", "more")
+    first = ranked.where("place = 1 and salts = 1").select("name", "kinds", "k", "pos", "more")
+    # what is first in its salt goes on to be ranked over all salts
+    salted = ranked.where("place = 1 and salts > 1")
+    kinds = salted.groupBy("name", "run").agg(F.min(F.struct("k", "pos", "more")).alias("first"))
+    whole = whole.unionByName(salted.join(kinds, ["name", "run"]).where("k != first.k or pos != first.pos").select("k", "pos", "more"))
+    counts = kinds.groupBy("name").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    first = first.unionByName(kinds.join(F.broadcast(counts), "name").select("name", "kinds", "first.*"))
+
+    first = first.withColumn("salts", F.ceil(F.col("kinds") / SALT_KINDS).cast("int"))
+    strings = packed.join(_by_document(first, "name", "salts"), ["k", "t"]).select("k", "t", "size", "data", "runs")
+    strings = strings.mapInArrow(_emit_strings, "name long, salt int, k long, pos long, strings array<long>").repartition("name", "salt")
+    strings = strings.select("name", "salt", "k", "pos", F.posexplode("strings").alias("i", "string"))
+    strings = strings.select("name", "salt", "string", "k", (F.col("pos") + F.col("i")).alias("pos"))
+    place = F.rank().over(Window.partitionBy("name", "salt", "string").orderBy("k", "pos"))
+    later = strings.withColumn("place", place).where("place > 1").select("k", "pos", F.lit(0).cast("short").alias("more"))
     return _by_document(whole.unionByName(later))
 
 
-def _by_document(runs: DataFrame) -> DataFrame:
-    return runs.groupBy("k", F.shiftright("pos", OFFSET_BITS).cast("int").alias("t")).agg(F.collect_list(F.struct(F.col("pos").alias("lo"), "more")).alias("runs"))
+def _by_document(runs: DataFrame, *more: str) -> DataFrame:
+    tie = F.shiftright("pos", OFFSET_BITS).cast("int").alias("t")
+    return runs.groupBy("k", tie).agg(F.collect_list(F.struct(F.col("pos").alias("lo"), "more", *more)).alias("runs"))
 
 
 def _digest(batch: pa.RecordBatch, rows: list) -> pa.RecordBatch:
@@ -221,9 +281,10 @@ def _digest(batch: pa.RecordBatch, rows: list) -> pa.RecordBatch:
 def removal_report(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each document."""
     keyed = _keyed(docs)
+    packed = keyed.mapInArrow(_packed, PACKED)
     return (
-        keyed.join(repeats(keyed), ["k", "t"], "left")
-        .select("k", "t", "text", "runs")
+        packed.join(repeats(keyed, packed), ["k", "t"], "left")
+        .select("k", "size", "data", "runs")
         .mapInArrow(lambda it: _removed(it, _digest), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
         .withColumn("doc_id", F.nullif(F.col("doc_id"), F.lit(NO_ID)))
     )
@@ -235,15 +296,18 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     A character of which only some bytes go is dropped whole.
     """
     names = [c for c in docs.columns if c != "text"]
-    rows = _keyed(docs, F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)]).alias("rest"))
-    found = repeats(rows.select("k", "t", "text"))
+    rest = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)]).alias("rest")
+    rows = _keyed(docs, rest)
+    kind = rows.schema["rest"].dataType.simpleString()
+    keyed = rows.select("k", "t", "text")
+    found = repeats(keyed, keyed.mapInArrow(_packed, PACKED))
 
     def cut(batch: pa.RecordBatch, own: list) -> pa.RecordBatch:
         texts = [_kept(text, lo, hi)[0].decode("utf-8", "ignore") for text, lo, hi in own]
         return pa.RecordBatch.from_arrays([batch["rest"], pa.array(texts, pa.string())], names=["rest", "text"])
 
-    out = rows.join(found, ["k", "t"], "left").select("rest", "text", "runs")
-    out = out.mapInArrow(lambda it: _removed(it, cut), f"rest {rows.schema['rest'].dataType.simpleString()}, text string")
+    out = rows.mapInArrow(_packed, f"{PACKED}, rest {kind}").join(found, ["k", "t"], "left").select("rest", "size", "data", "runs")
+    out = out.mapInArrow(lambda it: _removed(it, cut), f"rest {kind}, text string")
     shown = {c: F.col(f"rest.c{i}") for i, c in enumerate(names)} | {"text": F.col("text")}
     if "n_chars" in shown:
         shown["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
