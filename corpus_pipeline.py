@@ -6,17 +6,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nivalis.llm import suffix_dedup
-from nivalis.llm.common import documents, materialise
+from nivalis.llm import bpe, mixing, ngram_join, quality_rules, suffix_dedup
+from nivalis.llm.common import documents, labels, materialise
 
 
-def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut passages of 100 bytes or more that also occur earlier."""
+def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality_rules.keep_good(docs, quality_rules.fit_on_labels(docs, labels(spark, sf_dir)))
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents connected by a 5-gram similarity of 0.8 or more, the one with the smallest id stays."""
+    return ngram_join.keep_first(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 100 bytes that also start earlier are cut from the texts."""
     return suffix_dedup.remove_repeats(docs)
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are taken as often as the sources' target weights ask; some twice, some not at all."""
+    return mixing.mix(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens and the digests of the ids and of the text decoded from them."""
+    return bpe.encoding_report(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("suffix-array dedup", remove_repeats),
+    ("quality rules", reject_low_quality),
+    ("n-gram Jaccard join", keep_one_of_near_copies),
+    ("suffix-array dedup", cut_repeats),
+    ("mixing sources to target weights", mix_sources),
+    ("BPE encoding and decoding", encode),
 ]
 
 #: The stages hash bytes and encode text, which SQL cannot express.
