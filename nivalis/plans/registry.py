@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import re
+import tempfile
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,3 +43,25 @@ def scalar(name: str, source: str, keys: Sequence[str], columns: dict[str, tuple
     @query(name, f"select {chosen} from {source}", source)
     def run(df: DataFrame) -> DataFrame:
         return df.select(*keys, *[f().alias(c) for c, (f, _) in columns.items()])
+
+
+def folder(spark: SparkSession) -> str:
+    """A new folder for what a query writes, in the one that the cluster shares."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-')}"
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def with_folder(name: str, sql: str | None = None, *views: str):
+    """Registers f(spark, sf_dir, a new folder); ``views`` are those that ``sql`` names."""
+
+    def register(f):
+        @functools.wraps(f)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return f(spark, sf_dir, folder(spark))
+
+        QUERIES[name] = run
+        if sql is not None:
+            SQL[name] = oracle(sql, *views)
+        return f
+
+    return register

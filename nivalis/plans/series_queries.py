@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nivalis.functions import columns as C
 from nivalis.operators import clean as P
 from nivalis.operators import quality as Q
 from nivalis.operators import timeseries as W
-from nivalis.plans.fixtures import oracle, table, view
-from nivalis.plans.registry import QUERIES, SQL, query
+from nivalis.plans.fixtures import table, view
+from nivalis.plans.registry import query, with_folder
 from nivalis.streaming import incremental as T
 
 
@@ -136,27 +132,7 @@ def t01(daily):
     return T.days_after(daily.where("variable = 'view'"), done, "obs_date").select("point_id", "obs_date", "v")
 
 
-def _folder(spark: SparkSession) -> str:
-    """A new folder for what a stream leaves, in the one the cluster shares."""
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-')}"
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-
-
-def _streamed(name: str, sql: str, *views: str):
-    def register(f):
-        @functools.wraps(f)
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return f(spark, sf_dir, _folder(spark))
-
-        QUERIES[name], SQL[name] = run, oracle(sql, *views)
-        return f
-
-    return register
-
-
-@_streamed("t02_daily_stream", "select cast(ts as date) as obs_date, event_type, count(*) as n, round(sum(value), 2) as total from events group by 1, 2")
+@with_folder("t02_daily_stream", "select cast(ts as date) as obs_date, event_type, count(*) as n, round(sum(value), 2) as total from events group by 1, 2")
 def t02(spark, sf_dir, folder):
     """Event files as a stream with daily windows; a last empty day lets the watermark pass the end."""
     events = table(spark, sf_dir, "events")
@@ -166,7 +142,7 @@ def t02(spark, sf_dir, folder):
     return out.select(F.col("window.start").cast("date").alias("obs_date"), "event_type", "n", F.round("total", 2).alias("total"))
 
 
-@_streamed("t03_season_stream", "select o_custkey as point_id, cast(year(o_orderdate) + case when month(o_orderdate) >= 10 then 1 else 0 end as int) as water_year, count(*) as n, round(sum(o_totalprice), 2) as total from orders group by 1, 2")
+@with_folder("t03_season_stream", "select o_custkey as point_id, cast(year(o_orderdate) + case when month(o_orderdate) >= 10 then 1 else 0 end as int) as water_year, count(*) as n, round(sum(o_totalprice), 2) as total from orders group by 1, 2")
 def t03(spark, sf_dir, folder):
     orders = table(spark, sf_dir, "orders")
     stream = T.read_stream(spark, f"{sf_dir}/orders.parquet*", orders.schema)
@@ -174,7 +150,7 @@ def t03(spark, sf_dir, folder):
     return spark.read.parquet(f"{folder}/out").select(F.col("o_custkey").alias("point_id"), "water_year", "n", F.round("total", 2).alias("total"))
 
 
-@_streamed("t04_late_correction", "select point_id, obs_date, variable, case when variable = 'click' then v * 2 else v end as v from daily", "daily")
+@with_folder("t04_late_correction", "select point_id, obs_date, variable, case when variable = 'click' then v * 2 else v end as v from daily", "daily")
 def t04(spark, sf_dir, folder):
     """All days are stored, then corrected clicks arrive and replace theirs."""
     daily = view(spark, sf_dir, "daily").select("point_id", "obs_date", "variable", "v")
