@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,8 @@ _WIDE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf
 _SPACES = "\t-\r \x85\xa0  -     　"
 _WIDE_WORD = re.compile(f"[{_SPACES}]*[^{_SPACES}]+|[{_SPACES}]+")
 
+WORDS = pa.struct([("n", pa.int32()), ("sizes", pa.binary()), ("data", pa.binary())])
+
 
 def default_path() -> str:
     import public_tokenizers
@@ -84,11 +87,30 @@ def _distinct(table: pa.Table) -> set[bytes]:
     return found
 
 
+def _numbers(x: list[int]) -> bytes:
+    """One byte for each number, or four for all if one is large; the reader knows how many there are."""
+    return np.array(x, "<u4" if max(x, default=0) > 255 else "<u1").tobytes()
+
+
+def _from_numbers(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, "<u4" if len(data) > n else "<u1")
+
+
+def _squeezed(words: list[bytes]) -> dict:
+    return {"n": len(words), "sizes": _numbers([len(w) for w in words]), "data": zstandard.compress(b"".join(words), 3)}
+
+
+def _words(row: dict) -> list[bytes]:
+    ends = np.cumsum(_from_numbers(row["sizes"], row["n"]), dtype=np.int64).tolist()
+    data = zstandard.decompress(row["data"])
+    return [data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+
 def _sent(n: int):
     def send(table: pa.Table) -> pa.Table:
         dealt = _by_owner(_distinct(table), n)
         return pa.table(
-            [pa.array(list(dealt), pa.int32()), pa.array([table["block"][0].as_py()] * len(dealt), pa.int32()), pa.array(list(dealt.values()), pa.list_(pa.binary()))],
+            [pa.array(list(dealt), pa.int32()), pa.array([table["block"][0].as_py()] * len(dealt), pa.int32()), pa.array([_squeezed(x) for x in dealt.values()], WORDS)],
             names=["owner", "block", "words"],
         )
 
@@ -97,14 +119,14 @@ def _sent(n: int):
 
 def _encoded(path: str):
     def encode(table: pa.Table) -> pa.Table:
-        lists = table["words"].to_pylist()
+        lists = [_words(x) for x in table["words"].to_pylist()]
         words = sorted(set().union(*lists))
         ids = [x.ids for x in tokenizer(path).encode_batch([w.decode() for w in words], add_special_tokens=False)]
         small = "<u2" if len(pieces(path)) <= 65536 else "<u4"
         of = {w: (len(x), np.array(x, small).tobytes()) for w, x in zip(words, ids, strict=True)}
         answers = [[of[w] for w in own] for own in lists]
         return pa.table(
-            [table["block"], table["owner"], pa.array([np.array([x[0] for x in a], "<u4").tobytes() for a in answers], pa.binary()), pa.array([b"".join(x[1] for x in a) for a in answers], pa.binary())],
+            [table["block"], table["owner"], pa.array([_numbers([x[0] for x in a]) for a in answers], pa.binary()), pa.array([b"".join(x[1] for x in a) for a in answers], pa.binary())],
             names=["block", "owner", "counts", "ids"],
         )
 
@@ -117,7 +139,7 @@ def _word_ids(table: pa.Table, answers: pa.Table, n: int, path: str) -> dict[byt
     small = "<u2" if len(pieces(path)) <= 65536 else "<u4"
     of: dict[bytes, np.ndarray] = {}
     for own, counts, ids in zip(answers["owner"].to_pylist(), answers["counts"].to_pylist(), answers["ids"].to_pylist(), strict=True):
-        ends = np.cumsum(np.frombuffer(counts, "<u4"))
+        ends = np.cumsum(_from_numbers(counts, len(dealt[own])), dtype=np.int64)
         flat = np.frombuffer(ids, small).astype("<u4")
         of |= zip(dealt[own], (flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)), strict=True)
     return of
@@ -127,7 +149,7 @@ def _joined(texts: DataFrame, path: str, finish, schema: str) -> DataFrame:
     """finish(ids of a page's documents, their ids as bytes, their decoded bytes) for each page."""
     packed = blocks.pages(texts.withColumn("fold", F.lit(0)))
     n = blocks.owners(texts)
-    sent = packed.groupBy("block").applyInArrow(_sent(n), "owner int, block int, words array<binary>")
+    sent = packed.groupBy("block").applyInArrow(_sent(n), "owner int, block int, words struct<n:int,sizes:binary,data:binary>")
     answers = sent.groupBy("owner").applyInArrow(_encoded(path), "block int, owner int, counts binary, ids binary")
 
     def join(table: pa.Table, own: pa.Table) -> pa.Table:
