@@ -2,7 +2,7 @@
 
 Points meet only the cells of the 3 x 3 buckets around them, found by an equi-join. A point is
 settled once its nearest cell is closer than anything outside these buckets can be; the others go
-on with buckets of twice the side. No table is broadcast and no full product is made.
+on with buckets of four times the side. No table is broadcast and no full product is made.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nivalis.functions.columns import EARTH_RADIUS_KM, haversine_km
+from nivalis.operators.lineage import checkpointed
 
 Metric = Callable[[Column, Column, Column, Column], Column]
 
@@ -58,15 +59,15 @@ def nearest(points: DataFrame, cells: DataFrame, metric: str = "l1", side: float
     while True:
         distance = METRICS[metric](F.col("lat"), F.col("lon"), F.col("clat"), F.col("clon"))
         best = _meet(rest, cells, side).groupBy("point_id", "lat", "lon").agg(F.min(F.struct(distance.alias("distance"), "cell_id")).alias("best"))
-        best = best.select("point_id", "lat", "lon", "best.*").persist()
+        best = checkpointed(best.select("point_id", "lat", "lon", "best.*"))
         done = best if side > extent else best.where(F.col("distance") < _reach(metric, F.lit(float(side)), F.col("lat")))
         found.append(done.select("point_id", "cell_id", "distance"))
         if side > extent:
             break
-        rest = rest.join(done.select("point_id", "lat", "lon"), ["point_id", "lat", "lon"], "left_anti").persist()
+        rest = checkpointed(rest.join(done.select("point_id", "lat", "lon"), ["point_id", "lat", "lon"], "left_anti"))
         if rest.isEmpty():
             break
-        side *= 2
+        side *= 4
     out = found[0]
     for part in found[1:]:
         out = out.unionByName(part)
