@@ -9,7 +9,8 @@ once, so a text costs one lookup for each subword.
 Scores are calibrated with a temperature, and the score under which a prediction should be
 rejected is set so that at most FALSE_REJECTS of the right held-back predictions fall under it.
 
-Training reads at most SAMPLE rows for each language (those with the smallest hash of the id);
+Training reads at most SAMPLE rows for each language (those with the smallest hash of the id; up to
+1,000, Spark cuts each language's rows down before it shuffles them);
 predictions cover every document and its whole text.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, and rejected; without
@@ -30,7 +31,7 @@ from pyspark.sql.window import Window
 
 from nivalis.llm.common import documents, remainder
 
-SAMPLE, EPOCHS, RATE = 1500, 4, 0.5
+SAMPLE, EPOCHS, RATE = 1000, 5, 0.5
 BUCKETS, WIDTH, LONGEST = 1 << 15, 16, 4
 FALSE_REJECTS = 0.005
 #: Subwords are looked up in slices of so many bytes.

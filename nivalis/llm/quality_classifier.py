@@ -105,6 +105,7 @@ def fit_on_labels(docs: DataFrame, marks: DataFrame, allowed=None, sample: int =
         marks = marks.where(allowed)
     order = [F.xxhash64("id"), F.col("id")]
     marks = marks.where("quality = 1").orderBy(*order).limit(sample).unionByName(marks.where("quality = 0").orderBy(*order).limit(sample))
+    docs = docs.select("doc_id", "text")
     rows = docs.join(F.broadcast(marks), docs["doc_id"] == marks["id"]).select("id", "quality", F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"), (F.xxhash64("id", F.lit(3)) % 2 == 0).alias("held"))
     found = rows.toPandas().sort_values(["id", "quality", "text"])
     return fit([t.encode() for t in found["text"]], found["quality"].to_numpy() == 1, found["held"].to_numpy(bool))

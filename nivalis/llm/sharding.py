@@ -137,9 +137,9 @@ class ShardSet:
         return self.spark.read.parquet(*[s.path for s in self.shards(version)])
 
     def placed(self) -> DataFrame:
-        """The rows with the columns shard (its number in the manifest), tier and version."""
+        """doc_id, text, shard (its number in the manifest), tier and version of each row."""
         version, shards = self.version(), self.shards()
-        rows = self._tagged([(s.path, i) for i, s in enumerate(shards)]).withColumnRenamed("__shard", "shard")
+        rows = self._tagged([(s.path, i) for i, s in enumerate(shards)]).select("doc_id", "text", F.col("__shard").alias("shard"))
         tiers = self.spark.createDataFrame([(i, s.tier) for i, s in enumerate(shards)], "shard int, tier int")
         return rows.join(F.broadcast(tiers), "shard").withColumn("version", F.lit(version))
 
