@@ -22,12 +22,9 @@ def sampled(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
 
 def balanced_negatives(df: DataFrame, positive: Column, negative: Column, label: str, order: list[Column]) -> DataFrame:
     """The positive rows, and as many of the negative ones in a declared order, with label 0."""
-    from pyspark.sql.window import Window
-
-    n = df.where(positive).agg(F.count(F.lit(1)).alias("wanted"))
-    rows = df.where(negative & ~F.coalesce(positive, F.lit(False))).withColumn("place", F.row_number().over(Window.orderBy(*order)))
-    chosen = rows.join(F.broadcast(n), F.col("place") <= F.col("wanted"), "left_semi").drop("place").withColumn(label, F.lit(0.0))
-    return df.where(positive).unionByName(chosen)
+    chosen = df.where(positive)
+    rest = df.where(negative & ~F.coalesce(positive, F.lit(False)))
+    return chosen.unionByName(rest.orderBy(*order).limit(chosen.count()).withColumn(label, F.lit(0.0)))
 
 
 def random_land_points(grid: DataFrame, n: int, south: float, west: float, step: float, height: int, width: int, seed: int = 1, refused: tuple[int, ...] = (239, 255)) -> DataFrame:
