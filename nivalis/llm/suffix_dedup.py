@@ -16,8 +16,10 @@ Spark groups the (name, position) pairs at each length and names that are unique
 3. 100 bytes, at each position left: the name is the pair of the names of its halves, at
    offsets 0 and 50. All but the first position of each pair are repeats.
 
-Names of round 2 have 96 bits, those of round 3, with their anchor, 128. Each round is one shuffle by the anchor's
-name. An anchor that a sample shows to be common is salted by its share of the sample, ranked
+Names have 64 bits at each length and the bytes behind equal names are not compared again, so the
+result is exact but for collisions: K different runs (or strings) with one anchor have about
+K * K / 2^64 colliding pairs, 5e-8 at a million (the lowest bit only tells whether the length is
+odd). Each round is one shuffle by the anchor's name. An anchor that a sample shows to be common is salted by its share of the sample, ranked
 within each salt first and then over the few left of it, so a passage that a third of all
 documents share does not land in one task; the sample only decides how rows are dealt. Round 3
 moves one row for each run and not for each string, and no pairs of positions are ever made. Texts
@@ -54,7 +56,7 @@ SAMPLE, SALT_ROWS = 64, 20_000
 #: An anchor with more kinds of run than this has its strings salted in round 3.
 SALT_KINDS = 4096
 
-RUNS = "name long, run int, k long, pos long, more short"
+RUNS = "name long, run long, k long, pos long, more short"
 PACKED = "k long, t int, size int, data binary"
 
 _rng = np.random.default_rng(20240229)
@@ -136,7 +138,7 @@ def _emit_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _rows(out: list[tuple]) -> pa.RecordBatch:
     name, run, k, pos, more = (np.concatenate(x) for x in zip(*out, strict=True))
     return pa.RecordBatch.from_arrays(
-        [pa.array(name.view(np.int64)), pa.array((run >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(k), pa.array(pos), pa.array(more.astype(np.int16))],
+        [pa.array(name.view(np.int64)), pa.array(run.view(np.int64)), pa.array(k), pa.array(pos), pa.array(more.astype(np.int16))],
         names=["name", "run", "k", "pos", "more"],
     )
 

@@ -74,3 +74,17 @@ def test_remove_repeats_keeps_columns_and_repeated_rows(spark):
 
 def test_empty(spark):
     assert suffix_dedup.removal_report(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_runs_are_told_apart_by_their_whole_name(spark, monkeypatch):
+    # two texts with one anchor, whose runs have names of equal upper halves
+    anchor = "xvqefrcoscijjkgmwmiuepnqdmaqvatvpeuxppkf"
+    ends = [("yvxuoynbtvyeqvjeinukxctthseeqm", "aqpgytnobjhmvzandwtqvgkvwxnzsg"), ("oqrvmbsnbmeqafhacvyzxekrrhwmki", "nqamufmjzsfqhwexnbshjtbhzixknu")]
+    texts = [a + anchor + b for a, b in ends]
+    runs = [suffix_dedup.anchor_runs(x.encode()) for x in texts]
+    assert len({int(r[0][0]) for r in runs}) == 1 and len({int(r[1][0]) >> 32 for r in runs}) == 1
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for salts in (1, 3):
+        name = df.sparkSession.createDataFrame([(int(runs[0][0].view("int64")[0]), salts)], "name long, salts int")
+        monkeypatch.setattr(suffix_dedup, "_common_anchors", lambda keyed, name=name: name)
+        assert [r.n_removed for r in suffix_dedup.removal_report(df).collect()] == [0, 0]
