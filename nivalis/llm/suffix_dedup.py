@@ -26,8 +26,8 @@ moves one row for each run and not for each string, and no pairs of positions ar
 are shuffled once, compressed, for round 3 and for the cut.
 
 Defined cases: a null text is empty; texts under 100 bytes stay whole; a null doc_id comes
-before all others; rows that repeat a doc_id with another text are ordered by a hash of their
-text; rows equal in both are one document and get the same result each; other columns are
+before all others; rows that repeat a doc_id with another text are told apart and ordered by a
+64-bit hash of their text; rows equal in both are one document and get the same result each; other columns are
 ignored; an empty table gives an empty result.
 """
 
@@ -49,15 +49,13 @@ LENGTH, GRAM, HALF = 100, 40, 50
 PLACES = LENGTH - GRAM + 1
 #: Strings start in slices of so many positions; a slice reads LENGTH - 1 bytes more.
 SLICE = 1 << 19
-#: In a position, the offset has the low bits; above are 16 bits that tell rows with one doc_id apart.
-OFFSET_BITS = 40
 #: One document in SAMPLE shows which anchors are common; these get a salt for each SALT_ROWS rows expected.
 SAMPLE, SALT_ROWS = 64, 20_000
 #: An anchor with more kinds of run than this has its strings salted in round 3.
 SALT_KINDS = 4096
 
-RUNS = "name long, run long, k long, pos long, more short"
-PACKED = "k long, t int, size int, data binary"
+RUNS = "name long, run long, k long, t long, pos long, more short"
+PACKED = "k long, t long, size int, data binary"
 
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -126,7 +124,7 @@ def _emit_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, size = [], 0
         for k, t, text in zip(batch["k"].to_pylist(), batch["t"].to_pylist(), batch["text"], strict=True):
             name, run, start, more = anchor_runs(text.as_buffer())
-            out.append((name, run, np.full(len(name), k), start + (t << OFFSET_BITS), more))
+            out.append((name, run, np.full(len(name), k), np.full(len(name), t), start, more))
             size += len(name)
             if size > 100_000:
                 yield _rows(out)
@@ -136,17 +134,17 @@ def _emit_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rows(out: list[tuple]) -> pa.RecordBatch:
-    name, run, k, pos, more = (np.concatenate(x) for x in zip(*out, strict=True))
+    name, run, k, t, pos, more = (np.concatenate(x) for x in zip(*out, strict=True))
     return pa.RecordBatch.from_arrays(
-        [pa.array(name.view(np.int64)), pa.array(run.view(np.int64)), pa.array(k), pa.array(pos), pa.array(more.astype(np.int16))],
-        names=["name", "run", "k", "pos", "more"],
+        [pa.array(name.view(np.int64)), pa.array(run.view(np.int64)), pa.array(k), pa.array(t), pa.array(pos), pa.array(more.astype(np.int16))],
+        names=["name", "run", "k", "t", "pos", "more"],
     )
 
 
 def _spans(value: list | None) -> tuple[np.ndarray, np.ndarray]:
     if not value:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    lo = np.array([x["lo"] for x in value], np.int64) & ((1 << OFFSET_BITS) - 1)
+    lo = np.array([x["lo"] for x in value], np.int64)
     return lo, lo + np.array([x["more"] for x in value], np.int64)
 
 
@@ -158,20 +156,19 @@ def _emit_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for k, t, size, packed, value in zip(*(batch[c].to_pylist() for c in ("k", "t", "size", "data", "runs")), strict=True):
             data = np.frombuffer(expand.decompress(packed, max_output_size=size), np.uint8)
             for run in value:
-                at = run["lo"] & ((1 << OFFSET_BITS) - 1)
-                names = _Names(data[at : at + run["more"] + LENGTH])
+                names = _Names(data[run["lo"] : run["lo"] + run["more"] + LENGTH])
                 start = np.arange(run["more"] + 1)
                 whole = names.at(start, start + HALF) * _MIX + names.at(start + HALF, start + LENGTH)
                 if run["salts"] == 1:
-                    out.append((run["name"], 0, k, run["lo"], whole.view(np.int64)))
+                    out.append((run["name"], 0, k, t, run["lo"], whole.view(np.int64)))
                 else:
                     salt = (whole % np.uint64(run["salts"])).tolist()
-                    out += ((run["name"], salt[i], k, run["lo"] + i, whole.view(np.int64)[i : i + 1]) for i in range(len(whole)))
+                    out += ((run["name"], salt[i], k, t, run["lo"] + i, whole.view(np.int64)[i : i + 1]) for i in range(len(whole)))
         if out:
-            name, salt, k, pos, strings = zip(*out, strict=True)
+            name, salt, k, t, pos, strings = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(name, pa.int64()), pa.array(salt, pa.int32()), pa.array(k, pa.int64()), pa.array(pos, pa.int64()), pa.array(strings, pa.list_(pa.int64()))],
-                names=["name", "salt", "k", "pos", "strings"],
+                [pa.array(name, pa.int64()), pa.array(salt, pa.int32()), pa.array(k, pa.int64()), pa.array(t, pa.int64()), pa.array(pos, pa.int64()), pa.array(strings, pa.list_(pa.int64()))],
+                names=["name", "salt", "k", "t", "pos", "strings"],
             )
 
 
@@ -214,8 +211,8 @@ def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("k")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     repeated = not docs.select(key).groupBy("k").count().where("count > 1").limit(1).isEmpty()
-    tie = F.xxhash64(text).bitwiseAND(0xFFFF) if repeated else F.lit(0)
-    return docs.select(key, tie.cast("int").alias("t"), text.alias("text"), *more)
+    tie = F.xxhash64(text) if repeated else F.lit(0)
+    return docs.select(key, tie.cast("long").alias("t"), text.alias("text"), *more)
 
 
 def _common_anchors(keyed: DataFrame) -> DataFrame:
@@ -223,7 +220,7 @@ def _common_anchors(keyed: DataFrame) -> DataFrame:
 
     A hundred thousand names at most, so the table may be broadcast.
     """
-    sample = keyed.where(F.pmod(F.xxhash64("k", F.lit(7)), F.lit(SAMPLE)) == 0)
+    sample = keyed.where(F.pmod(F.xxhash64("k", "t", F.lit(7)), F.lit(SAMPLE)) == 0)
     counts = sample.mapInArrow(_emit_runs, RUNS).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
     counts = materialise(counts.where("n > 1"))
     whole = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -232,44 +229,43 @@ def _common_anchors(keyed: DataFrame) -> DataFrame:
 
 
 def _ranked(keyed: DataFrame) -> DataFrame:
-    """Runs that are not alone with their anchor: name, run, k, pos, more, salts, place (within the run's kind) and kinds."""
+    """Runs that are not alone with their anchor: name, run, k, t, pos, more, salts, place (within the run's kind) and kinds."""
     anchors = keyed.mapInArrow(_emit_runs, RUNS).join(F.broadcast(_common_anchors(keyed)), "name", "left")
     salts = F.coalesce("salts", F.lit(1))
-    anchors = anchors.withColumn("salts", salts).withColumn("salt", F.pmod(F.xxhash64("k"), salts).cast("int"))
+    anchors = anchors.withColumn("salts", salts).withColumn("salt", F.pmod(F.xxhash64("k", "t"), salts).cast("int"))
     anchors = anchors.repartition("name", "salt")
-    of_kind = Window.partitionBy("name", "salt", "run").orderBy("k", "pos")
+    of_kind = Window.partitionBy("name", "salt", "run").orderBy("k", "t", "pos")
     of_name = Window.partitionBy("name", "salt")
     ranked = anchors.withColumn("place", F.rank().over(of_kind))
     ranked = ranked.withColumn("kinds", F.count_if(F.col("place") == 1).over(of_name))
     ranked = ranked.where("place > 1 or salts > 1 or kinds > 1")
-    return materialise(ranked.select("name", "run", "k", "pos", "more", "salts", "place", "kinds"))
+    return materialise(ranked.select("name", "run", "k", "t", "pos", "more", "salts", "place", "kinds"))
 
 
 def repeats(keyed: DataFrame, packed: DataFrame) -> DataFrame:
     """For each document with repeats: k, t, and runs, the starts of its repeated strings as (lo, more)."""
     ranked = _ranked(keyed)
-    whole = ranked.where("place > 1").select("k", "pos", "more")
-    first = ranked.where("place = 1 and salts = 1").select("name", "kinds", "k", "pos", "more")
+    whole = ranked.where("place > 1").select("k", "t", "pos", "more")
+    first = ranked.where("place = 1 and salts = 1").select("name", "kinds", "k", "t", "pos", "more")
     # what is first in its salt goes on to be ranked over all salts
     salted = ranked.where("place = 1 and salts > 1")
-    kinds = salted.groupBy("name", "run").agg(F.min(F.struct("k", "pos", "more")).alias("first"))
-    whole = whole.unionByName(salted.join(kinds, ["name", "run"]).where("k != first.k or pos != first.pos").select("k", "pos", "more"))
+    kinds = salted.groupBy("name", "run").agg(F.min(F.struct("k", "t", "pos", "more")).alias("first"))
+    whole = whole.unionByName(salted.join(kinds, ["name", "run"]).where("k != first.k or t != first.t or pos != first.pos").select("k", "t", "pos", "more"))
     counts = kinds.groupBy("name").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
     first = first.unionByName(kinds.join(F.broadcast(counts), "name").select("name", "kinds", "first.*"))
 
     first = first.withColumn("salts", F.ceil(F.col("kinds") / SALT_KINDS).cast("int"))
     strings = packed.join(_by_document(first, "name", "salts"), ["k", "t"]).select("k", "t", "size", "data", "runs")
-    strings = strings.mapInArrow(_emit_strings, "name long, salt int, k long, pos long, strings array<long>").repartition("name", "salt")
-    strings = strings.select("name", "salt", "k", "pos", F.posexplode("strings").alias("i", "string"))
-    strings = strings.select("name", "salt", "string", "k", (F.col("pos") + F.col("i")).alias("pos"))
-    place = F.rank().over(Window.partitionBy("name", "salt", "string").orderBy("k", "pos"))
-    later = strings.withColumn("place", place).where("place > 1").select("k", "pos", F.lit(0).cast("short").alias("more"))
+    strings = strings.mapInArrow(_emit_strings, "name long, salt int, k long, t long, pos long, strings array<long>").repartition("name", "salt")
+    strings = strings.select("name", "salt", "k", "t", "pos", F.posexplode("strings").alias("i", "string"))
+    strings = strings.select("name", "salt", "string", "k", "t", (F.col("pos") + F.col("i")).alias("pos"))
+    place = F.rank().over(Window.partitionBy("name", "salt", "string").orderBy("k", "t", "pos"))
+    later = strings.withColumn("place", place).where("place > 1").select("k", "t", "pos", F.lit(0).cast("short").alias("more"))
     return _by_document(whole.unionByName(later))
 
 
 def _by_document(runs: DataFrame, *more: str) -> DataFrame:
-    tie = F.shiftright("pos", OFFSET_BITS).cast("int").alias("t")
-    return runs.groupBy("k", tie).agg(F.collect_list(F.struct(F.col("pos").alias("lo"), "more", *more)).alias("runs"))
+    return runs.groupBy("k", "t").agg(F.collect_list(F.struct(F.col("pos").alias("lo"), "more", *more)).alias("runs"))
 
 
 def _digest(batch: pa.RecordBatch, rows: list) -> pa.RecordBatch:

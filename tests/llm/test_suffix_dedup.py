@@ -88,3 +88,15 @@ def test_runs_are_told_apart_by_their_whole_name(spark, monkeypatch):
         name = df.sparkSession.createDataFrame([(int(runs[0][0].view("int64")[0]), salts)], "name long, salts int")
         monkeypatch.setattr(suffix_dedup, "_common_anchors", lambda keyed, name=name: name)
         assert [r.n_removed for r in suffix_dedup.removal_report(df).collect()] == [0, 0]
+
+
+def test_a_thousand_texts_under_a_null_id(spark):
+    rnd = random.Random(8)
+    letters = lambda n: "".join(rnd.choice("abcdefghijklmnop") for _ in range(n))
+    texts = [(p := letters(130)) + letters(rnd.randint(20, 400)) + p + letters(i % 7) for i in range(1000)]
+    rows = [(None, text) for text in texts] + [(7, text) for text in texts[:300]]
+    want = sorted([brute([(1, text)])[1] for text in texts] + [(len(text), len(text), 1, hashlib.sha256(b"").hexdigest()) for text in texts[:300]])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.removal_report(df).collect()) == want
+    kept = sorted(hashlib.sha256(r.text.encode()).hexdigest() for r in suffix_dedup.remove_repeats(df).collect())
+    assert kept == sorted(x[3] for x in want)
