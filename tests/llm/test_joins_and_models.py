@@ -148,6 +148,14 @@ def test_lm_without_training(spark):
     assert pitman_yor.score(pitman_yor.id_and_text(wide(spark, [(1, "a")]).where("false")).withColumn("fold", pitman_yor.F.lit(0))).collect() == []
 
 
+def test_lm_contexts_are_whole_words(spark):
+    # both contexts end in the same three bytes, but only one is followed by b
+    rows = [(i, "breathe b" if i % 2 else "the a") for i in range(400) if zlib.crc32(str(i).encode()) % 5 != 1]
+    held = [i for i in range(1000, 1400) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
+    got = {r.doc_id: r.score for r in scored(spark, [*rows, (held[0], "the a"), (held[1], "the b")])}
+    assert got[held[0]] > -0.5 and got[held[1]] < got[held[0]] - 1.5
+
+
 def test_seating():
     rng = np.random.default_rng(0)
     tables = pitman_yor.seat(np.array([0, 1, 5, 5000]), np.full(4, 0.5), 0.5, rng)
