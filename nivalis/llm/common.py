@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 #: Stands for a null doc_id inside an operator; it sorts before every other id.
 NO_ID = -(2**63)
+BATCH_BYTES = 4 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +24,7 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def id_and_text(docs: DataFrame) -> DataFrame:
     """doc_id as a long and text as a string (null: empty); all other columns go."""
+    bounded_batches(docs.sparkSession)
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
@@ -34,16 +37,31 @@ def remainder(doc_id: Column, mod: int) -> Column:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new path in the folder that the cluster shares (``spark.checkpoint.dir``)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """A new path in the folder that the cluster shares (``spark.checkpoint.dir``).
+
+    Only a session that runs in one process gets a folder of its own where the setting is missing.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
-        if not base:
-            base = f"file://{tempfile.mkdtemp(prefix='spark-')}"
-            spark.sparkContext.setCheckpointDir(base)
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='spark-')}"
+        spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Batches between Spark and Python of at most BATCH_BYTES (one longer text is a batch of its own).
+
+    Spark's own limit lets a batch of texts take 64 MB, several times over in the executor and in
+    the worker. The setting is the session's; a smaller one stays.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = int(re.sub(r"\D", "", spark.conf.get(key)) or 0)
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def materialise(df: DataFrame, *, partitions: int | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back, which cuts its lineage."""
     path = scratch(df.sparkSession)

@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from nivalis.llm.common import NO_ID, documents, materialise
+from nivalis.llm.common import NO_ID, bounded_batches, documents, materialise
 
 LENGTH, GRAM, HALF = 100, 40, 50
 PLACES = LENGTH - GRAM + 1
@@ -208,6 +208,7 @@ def _kept(text: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[bytes, int, int]
 
 def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
     """The columns k (the id), t (which tells rows with one id apart; 0 if no id repeats), text, and ``more``."""
+    bounded_batches(docs.sparkSession)
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("k")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     repeated = not docs.select(key).groupBy("k").count().where("count > 1").limit(1).isEmpty()
