@@ -3,14 +3,18 @@
 1. One pass over the texts makes 160 MinHash values of each set. Documents with equal sets are
    one class and go on as one.
 2. Classes that agree in one of 32 bands of 5 values are candidates (a pair at 0.8 is missed
-   with probability 3e-6). The members of a band value are compared pair by pair, one byte of
-   each value, 16 values at a time; a pair is dropped once the posterior probability that its
-   similarity reaches the threshold is under TOLERANCE (Bayes, flat prior). What is left only
-   serves to group classes, so each group of m emits m - 1 edges and never its pairs.
-3. Within the groups so linked, every pair is verified exactly on its sets of 5-grams. Large
-   band values and groups are cut into blocks of 512, and each pair of blocks is a task of its
-   own, so no group is ever in one task. Links are counted there, weighted by copies; again only
-   spanning edges leave. Their components are the classes of the result.
+   with probability 3e-6). A pair belongs to the first band in which it agrees and is met there
+   only. Its MinHash values are compared 16 at a time, one byte of each; it is dropped once the
+   posterior probability that its similarity reaches the threshold is under TOLERANCE (Bayes,
+   flat prior).
+3. Each pair that is left is verified exactly, once, on its sets of 5-grams, among the members of
+   its band value that have such pairs. Links are counted there, weighted by copies; of a group's
+   links only spanning edges leave, never all its pairs. Their components are the classes of the
+   result.
+
+A band value of many members is cut into blocks of 256, and each pair of blocks is a task of its
+own, so no group is ever in one task. A long chain of documents, each like the next, costs what
+its links cost: nothing is compared across band values.
 
 Defined cases: a text with one to four words has one gram of them all; a text without words
 links to nothing; a null text is empty; a null id sorts before all others; rows that repeat an
@@ -27,13 +31,15 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nivalis.llm.common import documents, id_and_text, materialise
+from nivalis.llm.common import NO_ID, documents, id_and_text, materialise
 from nivalis.llm.components import components
 from nivalis.llm.words import mix, window_hashes, word_hashes
 
 GRAM, THRESHOLD, TOLERANCE = 5, 0.8, 1e-6
 BANDS, ROWS, STEP = 32, 5, 16
-BLOCK = 512
+BLOCK = 256
+#: Pairs compared at once.
+PAIRS = 1 << 16
 
 _rng = np.random.default_rng(11)
 _A = (_rng.integers(0, 2**31, (BANDS * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)).astype(np.uint32)
@@ -77,12 +83,13 @@ def fewest_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -
     return np.array(out)
 
 
-def _roots(linked: np.ndarray) -> np.ndarray:
-    """The smallest index that each index is connected to, from a symmetric boolean matrix."""
-    np.fill_diagonal(linked, True)
-    label = linked.argmax(axis=1)
+def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest index that each of n is connected to by the edges (a, b)."""
+    label = np.arange(n)
     while True:
-        low = np.where(linked, label[None, :], len(label)).min(axis=1)
+        low = label.copy()
+        np.minimum.at(low, a, label[b])
+        np.minimum.at(low, b, label[a])
         low = low[low]
         if (low == label).all():
             return label
@@ -126,48 +133,42 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield rest
 
 
-def _edges(out: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    a, b = (np.concatenate(x) for x in zip(*out, strict=True))
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+def _survivors(group: pa.Table, fewest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of a group that this band is the first to bring together and that stay likely."""
+    n, band = group.num_rows, group["band"][0].as_py()
+    cross, own = group["i"][0].as_py() != group["j"][0].as_py(), group["own"].to_numpy()
+    values = np.frombuffer(b"".join(group["minhash"].to_pylist()), np.uint8).reshape(n, -1)
+    bands = group["bands"].combine_chunks().flatten().to_numpy().reshape(n, -1)
+    every, found = np.triu_indices(n, 1), []
+    for at in range(0, len(every[0]), PAIRS):
+        left, right = (x[at : at + PAIRS] for x in every)
+        if cross:
+            apart = own[left] != own[right]
+            left, right = left[apart], right[apart]
+        for earlier in range(band):
+            if len(left):
+                new = bands[left, earlier] != bands[right, earlier]
+                left, right = left[new], right[new]
+        matches = np.zeros(len(left), np.int64)
+        for step, least in enumerate(fewest):
+            part = slice(step * STEP, (step + 1) * STEP)
+            matches += (values[left, part] == values[right, part]).sum(axis=1)
+            stay = matches >= least
+            if not stay.all():
+                left, right, matches = left[stay], right[stay], matches[stay]
+        found.append((left, right))
+    left, right = zip(*found, strict=True)
+    return np.concatenate(left), np.concatenate(right)
 
 
 def _likely(fewest: np.ndarray):
-    """Edges that connect the members of each band value whose pairs stay likely."""
+    """The members of each band value that have pairs to be verified."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[np.ndarray, np.ndarray]] = []
         for group in _groups(batches, ["key", "i", "j"]):
-            names = group["name"].to_numpy()
-            blob = b"".join(group["minhash"].to_pylist())
-            values = np.frombuffer(blob, np.uint8).reshape(len(names), -1)
-            own = group["own"].to_numpy()
-            cross = group["i"][0].as_py() != group["j"][0].as_py()
-            left, right = np.triu_indices(len(names), 1)
-            if cross:
-                apart = own[left] != own[right]
-                left, right = left[apart], right[apart]
-            matches = np.zeros(len(left), np.int64)
-            for step, least in enumerate(fewest):
-                part = slice(step * STEP, (step + 1) * STEP)
-                matches += (values[left, part] == values[right, part]).sum(axis=1)
-                stay = matches >= least
-                if not stay.all():
-                    left, right, matches = left[stay], right[stay], matches[stay]
-            if not len(left):
-                continue
-            if len(names) == 2:
-                out.append((names[left], names[right]))
-            else:
-                linked = np.zeros((len(names), len(names)), bool)
-                linked[left, right] = linked[right, left] = True
-                root = _roots(linked)
-                moved = root != np.arange(len(root))
-                out.append((names[moved], names[root[moved]]))
-            if len(out) > 5000:
-                yield _edges(out)
-                out = []
-        if out:
-            yield _edges(out)
+            left, right = _survivors(group, fewest)
+            if len(left):
+                yield from group.select(["key", "i", "j", "own", "band", "name"]).take(np.union1d(left, right)).combine_chunks().to_batches()
 
     return search
 
@@ -181,36 +182,44 @@ def _in_blocks(rows: DataFrame, size: str, name: str) -> DataFrame:
     return rows.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("other")
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For pairs of blocks: (a, b null, links of a by copies), and spanning edges (a, b, 0)."""
-    expand = zstandard.ZstdDecompressor()
-    for group in _groups(batches, ["cluster", "i", "j"]):
-        names, first = np.unique(group["name"].to_numpy(), return_index=True)  # one row for each class
-        group = group.take(first)
-        copies, own = group["copies"].to_numpy(), group["own"].to_numpy()
-        sets = [gram_set(expand.decompress(x.as_buffer(), max_output_size=n)) for x, n in zip(group["data"], group["size"].to_pylist(), strict=True)]
-        sizes = np.array([len(x) for x in sets])
-        flat = np.unique(np.concatenate(sets), return_inverse=True)[1]
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        mark = np.zeros(flat.max() + 1, np.int32)
-        linked = np.zeros((len(names), len(names)), bool)
-        cross = group["i"][0].as_py() != group["j"][0].as_py()
-        for a in range(len(names)):
-            part = flat[starts[a] : starts[a] + sizes[a]]
-            mark[part] = 1
-            common = np.add.reduceat(mark[flat], starts)
-            mark[part] = 0
-            linked[a] = common >= THRESHOLD * (sizes[a] + sizes - common)
-        np.fill_diagonal(linked, False)
-        if cross:
-            linked &= own[:, None] != own[None, :]
-        links = linked @ copies
-        root = _roots(linked)
-        moved = root != np.arange(len(root))
-        a = np.concatenate([names, names[moved]])
-        b = np.concatenate([names, names[root[moved]]])
-        links = np.concatenate([links, np.zeros(moved.sum(), np.int64)])
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(links, pa.int64())], names=["a", "b", "links"])
+def _linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether each pair of sorted sets reaches the threshold."""
+    out = np.zeros(len(left), bool)
+    order = np.argsort(left, kind="stable")
+    for own in np.split(order, np.flatnonzero(np.diff(left[order])) + 1) if len(left) else []:
+        one = sets[left[own[0]]]
+        for part in np.split(own, range(64, len(own), 64)):
+            others = [sets[k] for k in right[part]]
+            sizes, flat = np.array([len(x) for x in others]), np.concatenate(others)
+            at = np.minimum(np.searchsorted(one, flat), len(one) - 1)
+            common = np.add.reduceat((one[at] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
+            out[part] = common >= THRESHOLD * (len(one) + sizes - common)
+    return out
+
+
+def _verified(fewest: np.ndarray):
+    """For the members of a band value: (a, null, links of a by copies), and spanning edges (a, b, 0)."""
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        expand = zstandard.ZstdDecompressor()
+        for group in _groups(batches, ["key", "i", "j"]):
+            left, right = _survivors(group, fewest)
+            sets = [gram_set(expand.decompress(x.as_buffer(), max_output_size=n)) for x, n in zip(group["data"], group["size"].to_pylist(), strict=True)]
+            linked = _linked(sets, left, right)
+            left, right = left[linked], right[linked]
+            if not len(left):
+                continue
+            names, copies = group["name"].to_numpy(), group["copies"].to_numpy()
+            links = np.zeros(len(names), np.int64)
+            np.add.at(links, left, copies[right])
+            np.add.at(links, right, copies[left])
+            root, some = _roots(len(names), left, right), np.flatnonzero(links)
+            moved = np.flatnonzero(root != np.arange(len(root)))
+            a, links = np.concatenate([names[some], names[moved]]), np.concatenate([links[some], np.zeros(len(moved), np.int64)])
+            b = pa.concat_arrays([pa.nulls(len(some), pa.int64()), pa.array(names[root[moved]], pa.int64())])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), b, pa.array(links, pa.int64())], names=["a", "b", "links"])
+
+    return verify
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,20 +245,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     classes = materialise(classes)
 
-    rows = classes.select("name", F.explode("bands").alias("key"))
+    fewest = fewest_matches()
+    unit = ["key", "i", "j"]
+    rows = classes.select("name", F.posexplode("bands").alias("band", "key"))
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    rows = rows.join(shared, "key").join(classes.select("name", "minhash"), "name")
-    rows = _in_blocks(rows, "members", "name").select("key", "i", "j", "own", "name", "minhash")
-    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    clusters = components(rows.mapInArrow(_likely(fewest_matches()), "a long, b long"))
-
-    members = clusters.select(F.col("node").alias("name"), F.col("label").alias("cluster")).join(classes.select("name", "rep", "copies"), "name")
-    sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"))
-    members = members.join(sizes, "cluster").select("cluster", "members", "name", "copies", F.coalesce("rep.doc_id", F.lit(-(2**63))).alias("doc_id"), "rep.tie")
-    packed = texts.mapInArrow(_packed, "doc_id long, tie long, size int, data binary").withColumn("doc_id", F.coalesce("doc_id", F.lit(-(2**63))))
-    rows = _in_blocks(members.join(packed, ["doc_id", "tie"]), "members", "name")
-    rows = rows.select("cluster", "i", "j", "own", "name", "copies", "size", "data").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    found = materialise(rows.mapInArrow(_verified, "a long, b long, links long"))
+    rows = rows.join(shared, "key").join(classes.select("name", "minhash", "bands"), "name")
+    rows = _in_blocks(rows, "members", "name").select(*unit, "own", "band", "name", "minhash", "bands")
+    rows = rows.repartition(*unit).sortWithinPartitions(*unit)
+    likely = materialise(rows.mapInArrow(_likely(fewest), "key long, i int, j int, own int, band int, name long"))
+
+    asked = classes.join(likely.select("name").distinct(), "name").select("name", "copies", "minhash", "bands", F.coalesce("rep.doc_id", F.lit(NO_ID)).alias("doc_id"), "rep.tie")
+    packed = texts.mapInArrow(_packed, "doc_id long, tie long, size int, data binary").withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+    asked = asked.join(packed, ["doc_id", "tie"]).groupBy("name").agg(*[F.any_value(c).alias(c) for c in ("copies", "minhash", "bands", "size", "data")])
+    rows = likely.join(asked, "name").repartition(*unit).sortWithinPartitions(*unit)
+    found = materialise(rows.mapInArrow(_verified(fewest), "a long, b long, links long"))
 
     labels = components(found.where("a != b").select("a", "b")).select(F.col("node").alias("name"), "label")
     links = found.groupBy(F.col("a").alias("name")).agg(F.sum("links").alias("links"))

@@ -73,6 +73,22 @@ def test_keep_first_keeps_one_of_each_class(spark):
     assert out.count() == len(classes)
 
 
+def test_a_long_chain_costs_its_links(spark):
+    # each text shares 0.82 of its 5-grams with the next and under 0.7 with the one after that
+    words = [f"w{i}" for i in range(20_000)]
+    rows = [(i, " ".join(words[i * 10 : i * 10 + 104])) for i in range(1500)]
+    got = ngram_join.near_duplicates(wide(spark, rows)).collect()
+    assert {r.class_id for r in got} == {0}
+    assert sorted(r.n_links for r in got) == [1, 1] + [2] * 1498
+
+
+def test_chains_below_the_threshold_stay_apart(spark):
+    words = [f"w{i}" for i in range(20_000)]
+    rows = [(i, " ".join(words[i * 18 : i * 18 + 104])) for i in range(1000)]  # 82 of 118: 0.69
+    got = ngram_join.near_duplicates(wide(spark, rows)).collect()
+    assert all((r.class_id, r.n_links) == (r.doc_id, 0) for r in got)
+
+
 def test_join_empty(spark):
     df = wide(spark, [(1, "a")]).where("false")
     assert ngram_join.near_duplicates(df).collect() == [] and ngram_join.keep_first(df).collect() == []
