@@ -2,11 +2,14 @@
 
 Such an operator meets each word of a block once, sends the block's distinct words to the tasks
 that own them (by hash), and gets one answer back for each. Texts cross the network once, packed;
-words cross it once per block and not once per occurrence.
+words cross it once per block and not once per occurrence. How many blocks and owners there are
+goes by the bytes of text, not by a setting, so a block has about BLOCK_BYTES at every size (or
+one longer text).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -15,36 +18,39 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nivalis.llm.common import shuffle_partitions
-
 #: Bytes of text in a page (a longer text has a page of its own).
 PAGE_BYTES = 1 << 20
-#: A block's words go to so many owners at most.
-MOST_OWNERS = 4096
+#: Bytes of text in a block.
+BLOCK_BYTES = 16 << 20
 
 
-def owners(df: DataFrame) -> int:
-    return min(shuffle_partitions(df.sparkSession), MOST_OWNERS)
+def count(texts: DataFrame) -> int:
+    """The number of blocks for the column text."""
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(1, math.ceil(size / BLOCK_BYTES))
 
 
 def owner(word: bytes, n: int) -> int:
     return crc32(word) % n
 
 
-def pages(texts: DataFrame) -> DataFrame:
-    """Packs the rows of (doc_id long, fold int, text string): block, doc_ids, folds, sizes, and data (zstandard)."""
-    blocks = shuffle_partitions(texts.sparkSession)
+def pages(texts: DataFrame, n: int) -> DataFrame:
+    """Packs the rows of (doc_id long, fold int, text string): block (of n), doc_ids, folds, sizes, and data (zstandard).
+
+    Pages are dealt by data, ids and their turn, so that copies of a long text spread.
+    """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3)
         rows: list[tuple] = []
-        size = 0
+        size = turn = 0
 
         def page() -> pa.RecordBatch:
             ids, folds, sizes, parts = (list(x) for x in zip(*rows, strict=True))
             data = squeeze.compress(b"".join(parts))
+            block = crc32(repr((turn, ids)).encode(), crc32(data)) % n
             return pa.RecordBatch.from_arrays(
-                [pa.array([crc32(data) % blocks], pa.int32()), pa.array([ids], pa.list_(pa.int64())), pa.array([folds], pa.list_(pa.int32())), pa.array([sizes], pa.list_(pa.int32())), pa.array([data], pa.binary())],
+                [pa.array([block], pa.int32()), pa.array([ids], pa.list_(pa.int64())), pa.array([folds], pa.list_(pa.int32())), pa.array([sizes], pa.list_(pa.int32())), pa.array([data], pa.binary())],
                 names=["block", "doc_ids", "folds", "sizes", "data"],
             )
 
@@ -53,7 +59,7 @@ def pages(texts: DataFrame) -> DataFrame:
                 raw = text.as_buffer().to_pybytes()
                 if rows and size + len(raw) > PAGE_BYTES:
                     yield page()
-                    rows, size = [], 0
+                    rows, size, turn = [], 0, turn + 1
                 rows.append((doc_id, fold, len(raw), raw))
                 size += len(raw)
         if rows:
