@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from nivalis.llm import ngram_join, pitman_yor, sharding
+from nivalis.llm import blocks, ngram_join, pitman_yor, sharding
 from nivalis.llm.common import scratch
 from nivalis.llm.components import components
 
@@ -119,10 +119,10 @@ def test_pruning_keeps_true_pairs():
 # ---- language model
 
 
-def scored(spark, rows):
+def scored(spark, rows, by_token=False):
     df = wide(spark, rows)
     texts = pitman_yor.id_and_text(df)
-    return pitman_yor.score(texts.withColumn("fold", (pitman_yor.remainder(pitman_yor.F.col("doc_id"), 5) == 1).cast("int"))).collect()
+    return pitman_yor.score(texts.withColumn("fold", (pitman_yor.remainder(pitman_yor.F.col("doc_id"), 5) == 1).cast("int")), by_token).collect()
 
 
 def brute_base(rows):
@@ -146,15 +146,41 @@ def test_lm_base_and_model(spark):
     assert all(r.score <= 1e-6 for r in got)
 
 
-def test_lm_is_a_distribution(spark):
-    rows = [(i, t) for i, t in enumerate(["a b a c", "b a", "c c a b a", "a"] * 5)]
-    held = [i for i in range(1000, 1400) if zlib.crc32(str(i).encode()) % 5 == 1][:4]
-    asked = list(zip(held, ["", "a", "b", "c"]))  # an end, or a word and an end
-    asked.append((next(i for i in range(1400, 1500) if zlib.crc32(str(i).encode()) % 5 == 1), "unknown"))
-    got = {r.doc_id: r for r in scored(spark, rows + asked)}
-    end_after = lambda i: got[i].score
-    # P(first word) is at least P(word, end); the sum over first words and the end cannot exceed 1
-    assert sum(10 ** end_after(i) for i, _ in asked) <= 1 + 1e-6
+def held_ids(n):
+    return [i for i in range(100_000, 100_000 + 10 * n) if zlib.crc32(str(i).encode()) % 5 == 1][:n]
+
+
+@pytest.mark.parametrize("block", [16 << 20, 600])
+def test_lm_is_a_distribution(spark, monkeypatch, block):
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", block)
+    monkeypatch.setattr(blocks, "PAGE_BYTES", block // 4)
+    rnd = random.Random(3)
+    words = [f"w{i}" for i in range(12)]
+    rows = [(i, " ".join(rnd.choice(words[: rnd.randint(1, 12)]) for _ in range(rnd.randint(0, 30)))) for i in range(120)]
+    known = sorted({w for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1 for w in t.split()})
+    contexts = ["", "w0", "w5", "unseen"]
+    asked = [(c, w) for c in contexts for w in [*known, "unknown", None]]
+    texts = [" ".join(x for x in pair if x) for pair in asked]
+    got = {r.doc_id: r.logs for r in scored(spark, rows + list(zip(held_ids(len(asked)), texts)), by_token=True)}
+    total = Counter()
+    for i, (c, w) in zip(held_ids(len(asked)), asked):
+        total[c] += 10 ** got[i][1 if c else 0]
+    assert all(abs(total[c] - 1) < 1e-9 for c in contexts)
+
+
+def test_lm_does_not_depend_on_the_dealing(spark, monkeypatch):
+    rnd = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(words[min(int(rnd.expovariate(0.1)), 59)] for _ in range(rnd.randint(1, 80)))) for i in range(150)]
+    found = []
+    for block, partitions in ((16 << 20, "4"), (3000, "7"), (900, "3")):
+        monkeypatch.setattr(blocks, "BLOCK_BYTES", block)
+        monkeypatch.setattr(blocks, "PAGE_BYTES", block // 3)
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        found.append({r.doc_id: (r.score, r.base_score) for r in scored(spark, rows)})
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    for other in found[1:]:
+        assert all(other[i] == pytest.approx(found[0][i], abs=1e-9) for i in found[0])
 
 
 def test_lm_without_training(spark):
@@ -172,9 +198,46 @@ def test_lm_contexts_are_whole_words(spark):
     assert got[held[0]] > -0.5 and got[held[1]] < got[held[0]] - 1.5
 
 
+def seatings(n, discount):
+    """The weight of all seatings of n customers by their tables, from every table each could take."""
+    states = Counter({(): 1.0})
+    for _ in range(n):
+        after = Counter()
+        for sizes, weight in states.items():
+            after[tuple(sorted((*sizes, 1)))] += weight
+            for k, size in enumerate(sizes):
+                after[tuple(sorted((*sizes[:k], size + 1, *sizes[k + 1 :])))] += weight * (size - discount)
+        states = after
+    return states
+
+
+def test_chance_to_sit_alone_matches_all_seatings():
+    states = seatings(7, 0.4)
+    for tables in range(1, 8):
+        own = {s: w for s, w in states.items() if len(s) == tables}
+        want = sum(w * sum(x == 1 for x in s) / 7 for s, w in own.items()) / sum(own.values())
+        assert pitman_yor.alone(np.array([7]), np.array([tables]), 0.4)[0] == pytest.approx(want)
+
+
+def test_sweeps_reach_the_posterior():
+    # one dish with six customers and a fresh table's weight of (strength + discount * tables) * base
+    n, discount, base, many = 6, 0.4, 0.3, 40_000
+    weight = Counter()
+    for sizes, w in seatings(n, discount).items():
+        fresh = np.prod([(pitman_yor.STRENGTH + discount * k) * base for k in range(len(sizes))])
+        weight[len(sizes)] += w * fresh
+    want = np.array([weight[t] for t in range(1, n + 1)]) / sum(weight.values())
+    customers, keys = np.full(many, n), pitman_yor.mix(np.arange(many, dtype=np.uint64))
+    tables = pitman_yor.seat(customers, np.full(many, base), discount, keys, 0)
+    for i in range(12):
+        tables = pitman_yor.reseat(customers, tables, tables, base, discount, keys, 1 + i)
+    got = np.bincount(tables, minlength=n + 1)[1:] / many
+    assert np.abs(got - want).max() < 0.015
+
+
 def test_seating():
-    rng = np.random.default_rng(0)
-    tables = pitman_yor.seat(np.array([0, 1, 5, 5000]), np.full(4, 0.5), 0.5, rng)
+    keys = np.arange(4, dtype=np.uint64)
+    tables = pitman_yor.seat(np.array([0, 1, 5, 5000]), np.full(4, 0.5), 0.5, keys, 0)
     assert tables[0] == 0 and tables[1] == 1 and 1 <= tables[2] <= 5 and 3 < tables[3] < 60
 
 
