@@ -1,48 +1,60 @@
 """Shards for training data by size-tiered compaction.
 
-``append`` writes an arrival as small immutable shards. ``compact`` merges FANOUT shards of like
-size (one tier) into one shard of the next tier, tier after tier, until shards reach the target
-size; a shard at the target is never rewritten, so a row is written once at arrival and once for
-each tier it climbs. Every change ends with a new manifest, written beside its place and moved
-there by one rename that fails if the version exists: readers see the old set of shards or the
-new one, and of two writers one loses. Files that no manifest lists any more are removed by
-``clean``.
-
-Rows are dealt to the shards of an arrival by a hash of the id and the text, so a hot source or
-group of copies spreads evenly. The manifest has one line for each shard and no rows; it is the
-only thing that the driver reads.
-
-Defined cases: a null text has 0 bytes, a null id is hashed as a null; repeated rows are stored as
-often as they come; an empty arrival adds no shard but commits a version; the columns of the rows
-are kept whatever their names (arrivals with other columns than the first are refused).
+``append`` writes an arrival as small immutable files, one for each task, without a shuffle;
+``append_parts`` writes several arrivals in one pass. ``compact`` merges files of like size: tier 0
+holds files up to ``small`` bytes, and each further tier those up to ``fanout`` times larger, until
+files near ``target`` are finished and never rewritten. A tier is merged once it has ``fanout``
+files or as many bytes as the target; a merge takes files until they reach the target and is read
+and written by one task of one job, without a shuffle. So a row is written once at arrival and once
+for each tier it climbs.
+
+Every change ends with a new manifest, written beside its place and moved there by one rename that
+fails if the version exists: readers see the old set of files or the new one, and of two writers one
+loses. That holds where rename is exclusive (HDFS, local disks), not on object stores. A manifest
+has one line for each file and no rows: at 128 MB a file, 100 TB are 800,000 lines of about 100
+bytes, which the driver reads and writes at each commit; with a larger ``target`` they are fewer.
+
+``clean`` keeps the last versions, and removes a file only if a retired manifest names it, no kept
+one does, and it is older than a grace period. What a writer has not committed yet is never touched.
+
+Defined cases: a null text counts 0 bytes of text; repeated rows are stored as often as they come;
+an empty arrival adds no file but commits a version; the columns of the rows are kept whatever
+their names (arrivals with other columns than the first are refused). The manifest holds the schema,
+so a set without files can be read. It uses Hadoop's file system through the session's JVM, which
+a Spark Connect session doesn't offer.
 """
 
 from __future__ import annotations
 
 import json
-import math
+import time
 import uuid
 from dataclasses import asdict, dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from nivalis.llm.common import documents, scratch
 
-#: Bytes of text in a shard at arrival, in a finished shard, and shards merged at once.
+#: Bytes of a file of the lowest tier at most, of a finished file, and files merged at once.
 SMALL, TARGET, FANOUT = 8 << 20, 128 << 20, 4
+#: A file of this share of the target is finished: merged files compress a little better than their parts.
+NEAR = 0.8
+#: Merges written by one job; shards that a broadcast may list.
+MERGES, LISTED = 64, 50_000
 
 
 @dataclass(frozen=True)
 class Shard:
     path: str
-    tier: int
     bytes: int
     rows: int
 
 
 class ShardSet:
-    """A versioned set of shards below one folder."""
+    """A versioned set of files below one folder."""
 
     def __init__(self, spark: SparkSession, root: str, small: int = SMALL, target: int = TARGET, fanout: int = FANOUT):
         self.spark, self.root, self.small, self.target, self.fanout = spark, root.rstrip("/"), small, target, fanout
@@ -51,118 +63,162 @@ class ShardSet:
         self._fs = hadoop.Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
         self._fs.mkdirs(hadoop.Path(f"{self.root}/manifests"))
 
-    @property
-    def finished(self) -> int:
-        """The tier of shards that are not merged again."""
-        return max(0, math.ceil(math.log(self.target / self.small, self.fanout)))
+    def tier(self, shard: Shard) -> int | None:
+        """The tier that a file belongs to by its bytes; None for a finished one."""
+        if shard.bytes >= NEAR * self.target:
+            return None
+        tier, most = 0, self.small
+        while shard.bytes > most:
+            tier, most = tier + 1, most * self.fanout
+        return tier
 
-    def version(self) -> int:
+    def versions(self) -> list[int]:
         names = [s.getPath().getName() for s in self._fs.listStatus(self._path(f"{self.root}/manifests"))]
-        return max((int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit()), default=0)
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
-    def shards(self, version: int | None = None) -> list[Shard]:
+    def version(self) -> int:
+        return max(self.versions(), default=0)
+
+    def _manifest(self, version: int | None) -> dict:
         version = self.version() if version is None else version
         if not version:
-            return []
+            return {"schema": None, "shards": []}
         stream = self._fs.open(self._path(f"{self.root}/manifests/{version:09d}.json"))
         try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
-        return [Shard(**x) for x in json.loads(text)]
 
-    def commit(self, shards: list[Shard], after: int) -> int:
+    def shards(self, version: int | None = None) -> list[Shard]:
+        return [Shard(**x) for x in self._manifest(version)["shards"]]
+
+    def schema(self, version: int | None = None) -> StructType | None:
+        found = self._manifest(version)["schema"]
+        return StructType.fromJson(found) if found else None
+
+    def commit(self, shards: list[Shard], after: int, schema: StructType | None = None) -> int:
         """Make ``shards`` version after + 1, unless another writer has made it already."""
         place = self._path(f"{self.root}/manifests/{after + 1:09d}.json")
         draft = self._path(f"{self.root}/manifests/draft-{uuid.uuid4().hex}")
+        schema = schema or self.schema(after)
         stream = self._fs.create(draft, False)
-        stream.write(bytearray(json.dumps([asdict(s) for s in shards]).encode()))
+        stream.write(bytearray(json.dumps({"schema": schema and schema.jsonValue(), "shards": [asdict(s) for s in shards]}).encode()))
         stream.close()
         if self._fs.exists(place) or not self._fs.rename(draft, place):
             self._fs.delete(draft, False)
             raise RuntimeError(f"version {after + 1} exists; read it and try again")
         return after + 1
 
-    def _write(self, rows: DataFrame, tiers: dict[int, int]) -> list[Shard]:
-        """Write rows (with the column __shard) as a file for each shard number; tiers: the tier of each."""
-        folder = f"{self.root}/data/{uuid.uuid4().hex}"
-        (
-            rows.repartition(max(1, min(len(tiers), 4096)), "__shard")
-            .sortWithinPartitions("__shard")
-            .write.option("compression", "zstd")
-            .partitionBy("__shard")
-            .parquet(folder)
-        )
-        found = self.spark.read.parquet(folder).groupBy("__shard").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("bytes"))
-        return [Shard(f"{folder}/__shard={r['__shard']}", tiers[r["__shard"]], int(r["bytes"]), r["rows"]) for r in found.orderBy("__shard").collect()]
+    def _files(self, folder: str, schema: StructType) -> list[Shard]:
+        """The files of a folder that hold rows; only their footers are read."""
+        if not self._fs.exists(self._path(folder)):
+            return []
+        found = self.spark.read.schema(schema).parquet(folder).groupBy("_metadata.file_path", "_metadata.file_size").agg(F.count(F.lit(1)).alias("rows"))
+        return [Shard(f"{folder}/{r['file_path'].rsplit('/', 1)[1]}", r["file_size"], r["rows"]) for r in found.orderBy("file_path").collect()]
+
+    def _checked(self, rows: DataFrame, version: int) -> None:
+        known = self.schema(version)
+        if known and set(known.fieldNames()) != set(rows.columns):
+            raise ValueError("the arrival's columns differ from those stored")
 
     def append(self, rows: DataFrame) -> int:
-        """Add an arrival as small shards."""
+        """Add an arrival as small files."""
         version = self.version()
-        old = self.shards(version)
-        if old and set(self.read(version).columns) != set(rows.columns):
-            raise ValueError("the arrival's columns differ from those stored")
-        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        n = max(1, math.ceil(size / self.small))
-        place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")
-        new = self._write(rows.withColumn("__shard", place), dict.fromkeys(range(n), 0))
-        return self.commit(old + new, version)
-
-    def compact(self) -> int:
-        """Merge shards of like size until no tier below the last has FANOUT of them."""
+        self._checked(rows, version)
+        folder = f"{self.root}/data/{uuid.uuid4().hex}"
+        rows.write.option("compression", "zstd").parquet(folder)
+        return self.commit(self.shards(version) + self._files(folder, rows.schema), version, rows.schema)
+
+    def append_parts(self, rows: DataFrame, part: Column, n: int, compact: bool = True) -> int:
+        """Add n arrivals, the rows with part = 0, 1, ..., in one pass; each is committed, and compacted, on its own."""
+        self._checked(rows, self.version())
+        folder = f"{self.root}/data/{uuid.uuid4().hex}"
+        rows.withColumn("__part", part).write.option("compression", "zstd").partitionBy("__part").parquet(folder)
+        for i in range(n):
+            version = self.version()
+            version = self.commit(self.shards(version) + self._files(f"{folder}/__part={i}", rows.schema), version, rows.schema)
+            if compact:
+                version = self.compact()
+        return version
+
+    def merges(self, shards: list[Shard], everything: bool = False) -> list[list[Shard]]:
+        """The groups of files to be merged next."""
+        tiers: dict[int, list[Shard]] = {}
+        for shard in sorted(shards, key=lambda s: (s.bytes, s.path)):
+            tier = self.tier(shard)
+            if tier is not None:
+                tiers.setdefault(0 if everything else tier, []).append(shard)
+        out = []
+        for _, own in sorted(tiers.items()):
+            group: list[Shard] = []
+            for shard in own:
+                group.append(shard)
+                if sum(s.bytes for s in group) >= self.target:
+                    out.append(group)
+                    group = []
+            if len(group) >= (2 if everything else self.fanout):
+                out.append(group)
+        return [group for group in out if len(group) > 1]
+
+    def compact(self, everything: bool = False) -> int:
+        """Merge files of like size until no tier has enough of them; with ``everything``, all that are not finished."""
         version = self.version()
-        shards = self.shards(version)
-        while True:
-            groups: list[list[Shard]] = []
-            for tier in range(self.finished):
-                own = [s for s in shards if s.tier == tier]
-                groups += [own[i : i + self.fanout] for i in range(0, len(own) - self.fanout + 1, self.fanout)]
-            if not groups:
-                return version
-            parts = [(s.path, i) for i, group in enumerate(groups) for s in group]
-            merged = self._write(self._tagged(parts), {i: group[0].tier + 1 for i, group in enumerate(groups)})
-            gone = {s.path for group in groups for s in group}
-            shards = [s for s in shards if s.path not in gone] + merged
-            version = self.commit(shards, version)
-
-    def _tagged(self, parts: list[tuple[str, int]]) -> DataFrame:
-        """The rows of shards, with their new shard as __shard."""
-        rows = self.spark.read.parquet(*[p for p, _ in parts])
-        folder = F.regexp_extract(F.input_file_name(), r"([0-9a-f]{32}/__shard=\d+)/[^/]*$", 1)
-        targets = self.spark.createDataFrame([("/".join(p.split("/")[-2:]), i) for p, i in parts], "__folder string, __shard int")
-        return rows.withColumn("__folder", folder).join(F.broadcast(targets), "__folder").drop("__folder")
+        shards, schema = self.shards(version), self.schema(version)
+        while groups := self.merges(shards, everything):
+            for at in range(0, len(groups), MERGES):
+                own = groups[at : at + MERGES]
+                folder = f"{self.root}/data/{uuid.uuid4().hex}"
+                parts = [self.spark.read.schema(schema).parquet(*[s.path for s in group]).coalesce(1) for group in own]
+                reduce(DataFrame.union, parts).write.option("compression", "zstd").parquet(folder)
+                gone = {s.path for group in own for s in group}
+                shards = [s for s in shards if s.path not in gone] + self._files(folder, schema)
+                version = self.commit(shards, version)
+            everything = False
+        return version
 
     def read(self, version: int | None = None) -> DataFrame:
         """All rows of a version."""
-        return self.spark.read.parquet(*[s.path for s in self.shards(version)])
+        shards, schema = self.shards(version), self.schema(version)
+        if not shards:
+            return self.spark.createDataFrame([], schema or StructType())
+        return self.spark.read.schema(schema).parquet(*[s.path for s in shards])
 
     def placed(self) -> DataFrame:
-        """doc_id, text, shard (its number in the manifest), tier and version of each row."""
-        version, shards = self.version(), self.shards()
-        rows = self._tagged([(s.path, i) for i, s in enumerate(shards)]).select("doc_id", "text", F.col("__shard").alias("shard"))
-        tiers = self.spark.createDataFrame([(i, s.tier) for i, s in enumerate(shards)], "shard int, tier int")
-        return rows.join(F.broadcast(tiers), "shard").withColumn("version", F.lit(version))
-
-    def clean(self) -> None:
-        """Remove files that the latest manifest doesn't list."""
-        used = {s.path for s in self.shards()}
-        if not self._fs.exists(self._path(f"{self.root}/data")):
-            return
-        for folder in self._fs.listStatus(self._path(f"{self.root}/data")):
-            for shard in self._fs.listStatus(folder.getPath()):
-                name = f"{self.root}/data/{folder.getPath().getName()}/{shard.getPath().getName()}"
-                if shard.isDirectory() and name not in used:
-                    self._fs.delete(shard.getPath(), True)
+        """doc_id, text, shard (its number in the manifest), tier (null: finished) and version of each row."""
+        version = self.version()
+        shards = self.shards(version)
+        name = lambda path: path.rsplit("/", 1)[1]
+        listed = self.spark.createDataFrame([(name(s.path), i, self.tier(s)) for i, s in enumerate(shards)], "__file string, shard int, tier int")
+        if not shards:
+            return self.read().select("doc_id", "text", F.lit(0).alias("shard"), F.lit(0).alias("tier"), F.lit(version).alias("version"))
+        rows = self.read().select("doc_id", "text", F.col("_metadata.file_name").alias("__file"))
+        return rows.join(F.broadcast(listed) if len(shards) <= LISTED else listed, "__file").select("doc_id", "text", "shard", "tier", F.lit(version).alias("version"))
+
+    def clean(self, keep: int = 2, grace_s: float = 3600) -> None:
+        """Retire all but the last ``keep`` versions, and remove files that only they name, once older than ``grace_s`` seconds.
+
+        A manifest goes when it is as old and its files have gone.
+        """
+        versions = self.versions()
+        used = {s.path for v in versions[-keep:] for s in self.shards(v)}
+        before = (time.time() - grace_s) * 1000
+        old = lambda place: self._fs.getFileStatus(place).getModificationTime() <= before
+        for version in versions[:-keep]:
+            manifest = self._path(f"{self.root}/manifests/{version:09d}.json")
+            gone = old(manifest)
+            for path in {s.path for s in self.shards(version)} - used:
+                place = self._path(path)
+                if self._fs.exists(place):
+                    gone &= old(place) and self._fs.delete(place, False)
+            if gone:
+                self._fs.delete(manifest, False)
 
 
 def shard_arrivals(docs: DataFrame, root: str, arrivals: int = 4, **sizes: int) -> ShardSet:
-    """Append docs in ``arrivals`` parts, by a hash of the id, compacting after each."""
+    """Append docs as ``arrivals`` arrivals, by a hash of the id and the text, compacting after each."""
     shards = ShardSet(docs.sparkSession, root, **sizes)
-    turn = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(arrivals))
-    for i in range(arrivals):
-        shards.append(docs.where(turn == i))
-        shards.compact()
-        shards.clean()
+    turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(arrivals)).cast("int")
+    shards.append_parts(docs, turn, arrivals)
     return shards
 
 

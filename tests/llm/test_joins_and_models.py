@@ -247,15 +247,56 @@ def test_seating():
 def test_shards_hold_all_rows_and_grow(spark):
     rows = [(i, "text %d " % i * 20, "n", 1, 2, 3) for i in range(400)] + [(None, None, None, None, None, None), (5, "x", "n", 1, 2, 3), (5, "x", "n", 1, 2, 3)]
     df = spark.createDataFrame(rows, EXTRA)
-    shards = sharding.shard_arrivals(df, scratch(spark), 3, small=4000, target=16000)
-    assert shards.finished == 1
+    shards = sharding.shard_arrivals(df, scratch(spark), 3, small=6000, target=30_000)
     listed = shards.shards()
     assert sum(s.rows for s in listed) == len(rows)
-    assert Counter(s.tier for s in listed)[0] < 4 and any(s.tier == 1 for s in listed)
+    assert not shards.merges(listed)
     key = lambda r: str(tuple(r))
     assert sorted(map(key, shards.read().select(df.columns).collect())) == sorted(map(key, df.collect()))
     placed = shards.placed()
-    assert placed.groupBy("shard").count().count() == len(listed)
+    assert placed.groupBy("shard").count().count() == len(listed) and placed.count() == len(rows)
+
+
+def test_merges_are_those_of_a_plain_replay():
+    shards = sharding.ShardSet.__new__(sharding.ShardSet)
+    shards.small, shards.target, shards.fanout = 10, 640, 4
+    rnd = random.Random(2)
+    held: list[int] = []
+    written = arrived = 0
+    for turn in range(3000):
+        held.append(rnd.choice([1, 3, 9, 20, 50, 200]))
+        arrived += held[-1]
+        while groups := shards.merges([sharding.Shard(str(i), b, 1) for i, b in enumerate(held)]):
+            for group in groups:
+                assert len({shards.tier(s) for s in group}) == 1  # like sizes only
+                assert sum(s.bytes for s in group[:-1]) < 640  # no more than it takes
+            gone = {int(s.path) for group in groups for s in group}
+            new = [sum(s.bytes for s in group) for group in groups]
+            written += sum(new)
+            held = [b for i, b in enumerate(held) if i not in gone] + new
+    done = [b for b in held if b >= 0.8 * 640]
+    assert sum(held) == arrived and max(held) < 2 * 640
+    assert len(held) - len(done) <= 3 * 4 and sum(done) > 0.95 * arrived
+    assert written < 5 * arrived
+
+
+def test_many_tiny_arrivals_become_one_file(spark):
+    shards = sharding.ShardSet(spark, scratch(spark))
+    row = wide(spark, [(1, "a")]).coalesce(1)
+    for _ in range(12):
+        shards.append(row)
+        shards.compact()
+        assert len(shards.shards()) < 4
+    shards.compact(everything=True)
+    assert [s.rows for s in shards.shards()] == [12] and shards.tier(shards.shards()[0]) == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 2])
+def test_few_rows(spark, n):
+    rows = wide(spark, [(7, "a")] * 2).limit(n)
+    shards = sharding.shard_arrivals(rows, scratch(spark))
+    assert shards.version() >= 4 and shards.read().columns == rows.columns
+    assert [(r.doc_id, r.text) for r in shards.placed().collect()] == [(7, "a")] * n
 
 
 def test_commits_are_exclusive(spark):
@@ -270,3 +311,23 @@ def test_commits_are_exclusive(spark):
     old = shards.read(1)
     shards.append(rows)
     assert old.count() == 2 and shards.read().count() == 4
+
+
+def test_clean_spares_readers_and_writers(spark):
+    root = scratch(spark)
+    shards = sharding.ShardSet(spark, root)
+    rows = wide(spark, [(i, "a") for i in range(8)]).coalesce(1)
+    for _ in range(4):
+        shards.append(rows)
+    folder = f"{root}/data/of-another-writer"
+    rows.write.parquet(folder)
+    shards.compact()
+    other = sharding.ShardSet(spark, root)
+    other.clean(keep=2, grace_s=3600)
+    assert shards.read(1).count() == 8  # still within the grace period
+    other.clean(keep=2, grace_s=0)
+    assert shards.read(4).count() == 32 and shards.read().count() == 32
+    assert shards.commit(shards.shards() + shards._files(folder, rows.schema), shards.version()) == 6
+    assert shards.read().count() == 40
+    other.clean(keep=1, grace_s=0)
+    assert shards.versions() == [6] and shards.read().count() == 40
