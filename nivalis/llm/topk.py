@@ -11,8 +11,9 @@ against all rows in blocks; nothing is broadcast and no pair of vectors becomes
 is among the k best of its block.
 
 Defined cases: a null id, and a null vector or one with a null or non-finite component, takes no
-part; of rows that repeat an id the largest vector stands for it; only vectors of equal length
-are compared; ties go to the smaller id; a query with fewer than k candidates returns all.
+part; rows that repeat an id are candidates each, and the largest vector asks for the id, of which
+no row is an answer; only vectors of equal length are compared; ties go to the smaller id; a query
+with fewer than k candidates returns all; a score beyond 64 bits counts as the nearest that fits.
 """
 
 from __future__ import annotations
@@ -50,9 +51,10 @@ def threshold_search(q: np.ndarray, data: np.ndarray, order: np.ndarray, ids: np
         seen |= met
         new = new[ids[new] != own]
         rows = np.concatenate([rows, new])
-        scores = np.concatenate([scores, data[new] @ q])
+        found = data[new] @ q
+        scores = np.concatenate([scores, np.clip(found, -(2**63), 2**63 - 1) if data.dtype == object else found])
         if len(rows) > k:
-            kth = np.partition(scores, len(scores) - k)[len(scores) - k]
+            kth = np.sort(scores)[len(scores) - k] if scores.dtype == object else np.partition(scores, len(scores) - k)[len(scores) - k]
             keep = scores >= kth
             rows, scores = rows[keep], scores[keep]
         if depth == n or not len(used):
@@ -72,8 +74,9 @@ def _block_search(k: int):
         if len(queries) and len(candidates):
             data, ids = np.stack(candidates["v"].to_list()), candidates["id"].to_numpy()
             asked = np.stack(queries["v"].to_list())
-            if data.shape[1] * float(np.abs(data).max(initial=0)) * float(np.abs(asked).max(initial=0)) < 2**53:
-                data, asked = data.astype(np.float64), asked.astype(np.float64)  # exact, and faster to multiply
+            most = data.shape[1] * float(np.abs(data.astype(float)).max(initial=0)) * float(np.abs(asked.astype(float)).max(initial=0))
+            kind = np.float64 if most < 2**53 else np.int64 if most < 2**63 else object  # the fastest that is exact
+            data, asked = data.astype(kind), asked.astype(kind)
             order = np.argsort(data, axis=0, kind="stable")
             for own, q in zip(queries["id"].to_numpy(), asked, strict=True):
                 rows, scores = threshold_search(q, data, order, ids, own, k)
@@ -87,14 +90,15 @@ def _block_search(k: int):
 def top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     """query_id, rank, vec_id, score of the k best other rows for each row of ``vectors`` (id long, v array<long>) that is a query."""
     one = vectors.where("id is not null and v is not null and not exists(v, x -> x is null)")
-    one = one.groupBy("id").agg(F.max("v").alias("v")).withColumn("dims", F.size("v"))
+    one = one.select("id", "v", F.size("v").alias("dims"))
+    askers = one.where(is_query).groupBy("id").agg(F.max("v").alias("v")).withColumn("dims", F.size("v"))
     n, asked = one.select(F.count(F.lit(1)), F.count_if(is_query)).first()
     blocks, query_blocks = max(1, math.ceil(n / CANDIDATE_BLOCK)), max(1, math.ceil(asked / QUERY_BLOCK))
-    own = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
+    own = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(blocks)).cast("int")  # rows of one id spread
     query_own = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(query_blocks)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
     candidates = one.select("dims", own.alias("c"), every(query_blocks).alias("q"), "id", "v")
-    queries = one.where(is_query).select("dims", every(blocks).alias("c"), query_own.alias("q"), "id", "v")
+    queries = askers.select("dims", every(blocks).alias("c"), query_own.alias("q"), "id", "v")
     found = (
         queries.groupBy("dims", "c", "q")
         .cogroup(candidates.groupBy("dims", "c", "q"))

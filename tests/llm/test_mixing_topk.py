@@ -9,15 +9,6 @@ def rows_of(df, *names):
     return sorted(tuple(r[n] for n in names) for r in df.collect())
 
 
-def brute_top(vectors, k):
-    out = []
-    for q, v in vectors.items():
-        if q % 20 == 0:
-            scores = sorted(((-sum(a * b for a, b in zip(v, w)), i) for i, w in vectors.items() if i != q and len(w) == len(v)))
-            out += [(q, n, i, -s) for n, (s, i) in enumerate(scores[:k], 1)]
-    return sorted(out)
-
-
 def test_threshold_search_matches_all_scores():
     rng = np.random.default_rng(3)
     data = rng.integers(-9, 10, (500, 8)).astype(float)
@@ -30,14 +21,29 @@ def test_threshold_search_matches_all_scores():
         assert [(-s, ids[i]) for i, s in zip(rows, scores)] == want
 
 
-def test_topk_query(spark):
+def brute_rows(rows, k):
+    """As the contract says, with each row a candidate and the largest vector of an id asking."""
+    out, queries = [], {}
+    for i, v in rows:
+        if i % 20 == 0:
+            queries[i] = max(queries.get(i, v), v)
+    for q, v in queries.items():
+        fit = lambda s: max(min(s, 2**63 - 1), -(2**63))
+        scores = sorted((-fit(sum(a * b for a, b in zip(v, w))), i) for i, w in rows if i != q and len(w) == len(v))
+        out += [(q, n, i, -s) for n, (s, i) in enumerate(scores[:k], 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("size", [0.2, 2.0**25, 2.0**40])
+def test_topk_query(spark, size):
     rng = np.random.default_rng(1)
-    good = {i: rng.normal(0, 0.2, 6).tolist() for i in range(120)}
+    good = {i: rng.normal(0, size, 6).tolist() for i in range(120)}
     good[40] = good[20]
-    rows = [(i, v, "x", 1) for i, v in good.items()] + [(None, good[1], "x", 1), (500, None, "x", 1), (501, [1.0, None], "x", 1), (502, [float("nan")] * 6, "x", 1), (503, [float("inf")] * 6, "x", 1), (5, [-9.0] * 6, "x", 1)]
+    again = [(3, good[3]), (3, good[3]), (3, good[4]), (20, good[7]), (60, [size * 9] * 5)]
+    rows = [(i, v, "x", 1) for i, v in [*good.items(), *again]] + [(None, good[1], "x", 1), (500, None, "x", 1), (501, [1.0, None], "x", 1), (502, [float("nan")] * 6, "x", 1), (503, [float("inf")] * 6, "x", 1)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, v string, dims int")
     got = rows_of(topk.top_k(topk.quantised(df), topk.F.col("id") % 20 == 0, 7), "query_id", "rank", "vec_id", "score")
-    assert got == brute_top({i: [int(np.floor(64 * x)) for x in v] for i, v in good.items()}, 7)
+    assert got == brute_rows([(i, [int(np.floor(64 * x)) for x in v]) for i, v in [*good.items(), *again]], 7)
 
 
 def test_topk_empty(spark):
