@@ -6,8 +6,10 @@ import re
 import tempfile
 import uuid
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: Stands for a null doc_id inside an operator; it sorts before every other id.
 NO_ID = -(2**63)
@@ -36,6 +38,19 @@ def remainder(doc_id: Column, mod: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % F.lit(mod), F.lit(-1)).cast("int")
 
 
+def sample_texts(docs: DataFrame, chosen: DataFrame, most_bytes: int) -> pd.DataFrame:
+    """id, label and text (null: empty) of the documents that ``chosen`` (id, label) lists, for the driver.
+
+    ``chosen`` is a bounded sample. Whole texts are taken by the hash of their id until a label has
+    ``most_bytes``; of rows that repeat an id the one with the smallest text stands for it.
+    """
+    bounded_batches(docs.sparkSession)
+    docs = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = docs.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+    before = F.sum(F.octet_length("text")).over(Window.partitionBy("label").orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn("bytes", before).where(F.col("bytes") <= most_bytes).select("id", "label", "text").toPandas().sort_values(["id", "label"])
+
+
 def scratch(spark: SparkSession) -> str:
     """A new path in the folder that the cluster shares (``spark.checkpoint.dir``).
 

@@ -9,13 +9,13 @@ once, so a text costs one lookup for each subword.
 Scores are calibrated with a temperature, and the score under which a prediction should be
 rejected is set so that at most FALSE_REJECTS of the right held-back predictions fall under it.
 
-Training reads at most SAMPLE rows for each language (those with the smallest hash of the id; up to
-1,000, Spark cuts each language's rows down before it shuffles them);
-predictions cover every document and its whole text.
+Training reads at most SAMPLE rows and SAMPLE_BYTES of text for each language (those with the
+smallest hash of the id; no task sees more of a language than about that many); predictions cover
+every document and its whole text.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, and rejected; without
-training rows every text is ``und``; a null or repeated id is no obstacle; other columns are
-ignored.
+training rows every text is ``und``; of languages that score alike the first by name is taken; a
+null or repeated id is no obstacle; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,24 +29,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from nivalis.llm.common import documents, remainder
+from nivalis.llm.common import bounded_batches, documents, remainder, sample_texts
 
-SAMPLE, EPOCHS, RATE = 1000, 5, 0.5
+SAMPLE, SAMPLE_BYTES = 1500, 16 << 20
+EPOCHS, RATE = 5, 0.5
 BUCKETS, WIDTH, LONGEST = 1 << 15, 16, 4
 FALSE_REJECTS = 0.005
 #: Subwords are looked up in slices of so many bytes.
 SLICE = 1 << 20
 
-_FOLD = np.arange(256, dtype=np.uint32)
+_FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[[b for b in range(128) if not chr(b).isalpha()]] = 32
 _FOLD[65:91] += 32
 
 
-def buckets(text: bytes) -> np.ndarray:
-    """The buckets of all subwords of a text."""
+def folded(text: bytes) -> np.ndarray:
     data = _FOLD[np.frombuffer(text, np.uint8)]
-    if len(data):
-        data = data[np.concatenate([[True], (data[1:] != 32) | (data[:-1] != 32)])]
+    return data[np.concatenate([[True], (data[1:] != 32) | (data[:-1] != 32)])] if len(data) else data
+
+
+def buckets(data: np.ndarray, starts: int) -> np.ndarray:
+    """The buckets of all subwords of a folded text that begin at one of the first ``starts`` bytes."""
     out = []
     h = np.zeros(len(data), np.uint32)
     for n in range(LONGEST):
@@ -54,10 +57,17 @@ def buckets(text: bytes) -> np.ndarray:
             break
         h = (h[: len(data) - n] + data[n:] + np.uint32(1)) * np.uint32(0x9E3779B1)
         h ^= h >> np.uint32(15)
-        out.append((h + np.uint32(n * 0x5EBCA6B)) >> np.uint32(7) & np.uint32(BUCKETS - 1))
+        out.append((h[:starts] + np.uint32(n * 0x5EBCA6B)) >> np.uint32(7) & np.uint32(BUCKETS - 1))
     return np.concatenate(out) if out else np.empty(0, np.uint32)
 
 
+def slices(text: bytes) -> Iterator[np.ndarray]:
+    """The buckets of all subwords of a text, in parts."""
+    data = folded(text)
+    for at in range(0, len(data), SLICE):
+        yield buckets(data[at : at + SLICE + LONGEST - 1], SLICE)
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -68,8 +78,7 @@ class Model:
 
     def logits(self, text: bytes) -> np.ndarray:
         total, n = np.zeros(len(self.languages)), 0
-        for at in range(0, len(text), SLICE):
-            own = buckets(text[at : at + SLICE])
+        for own in slices(text):
             times = np.bincount(own, minlength=BUCKETS) if len(own) > BUCKETS else None
             total += times @ self.table if times is not None else self.table[own].sum(axis=0)
             n += len(own)
@@ -87,7 +96,7 @@ def fit(texts: list[bytes], langs: list[str], seed: int = 1) -> Model | None:
         return None
     rng = np.random.default_rng(seed)
     y = np.array([languages.index(x) for x in langs])
-    rows = [np.unique(buckets(t), return_counts=True) for t in texts]
+    rows = [np.unique(np.concatenate([np.empty(0, np.uint32), *slices(t)]), return_counts=True) for t in texts]
     held = rng.random(len(rows)) < 0.2
     e, w, b = rng.normal(0, 0.1, (BUCKETS, WIDTH)), np.zeros((WIDTH, len(languages))), np.zeros(len(languages))
     w += rng.normal(0, 0.1, w.shape)
@@ -128,11 +137,15 @@ def fit(texts: list[bytes], langs: list[str], seed: int = 1) -> Model | None:
 
 def fit_on(docs: DataFrame, allowed, sample: int = SAMPLE) -> Model | None:
     """A model fitted on at most ``sample`` documents of each language, among those ``allowed``."""
-    rows = docs.where(allowed & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("id"), F.col("lang").cast("string").alias("lang"))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample).select("id", F.col("lang").alias("label"))
-    text = docs.where(allowed).select("doc_id", F.col("text").cast("string").alias("text"))
-    found = text.join(F.broadcast(chosen), text["doc_id"] == chosen["id"]).where("text is not null").select("id", "label", "text").toPandas().sort_values(["id", "label", "text"])
+    docs = docs.where(allowed & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("lang").cast("string").alias("label")).distinct()
+    counts = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    # the smallest hashes lie below this share of all; a fifth and a hundred more leave room for chance
+    share = F.shiftrightunsigned(F.xxhash64("id"), 11) / F.lit(2.0**53)
+    few = rows.join(F.broadcast(counts), "label").where(share * F.col("n") < 1.2 * sample + 100)
+    first = F.row_number().over(Window.partitionBy("label").orderBy(share, "id"))
+    chosen = few.withColumn("first", first).where(F.col("first") <= sample).select("id", "label")
+    found = sample_texts(docs, chosen, SAMPLE_BYTES)
     return fit([t.encode() for t in found["text"]], found["label"].to_list())
 
 
@@ -152,6 +165,7 @@ def predict(docs: DataFrame, model: Model | None, fold) -> DataFrame:
             rejected = best < model.limit if model else np.ones(len(texts), bool)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], pa.array(found, pa.string()), pa.array(best), pa.array(rejected | (best == 0))], names=["doc_id", "held_out", "lang_pred", "score", "rejected"])
 
+    bounded_batches(docs.sparkSession)
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), fold.alias("held_out"), text.alias("text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
     return rows.mapInArrow(report, "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean")

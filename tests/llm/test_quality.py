@@ -1,3 +1,4 @@
+import math
 import os
 import random
 import re
@@ -5,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import zstandard
 
 from nivalis.llm import language_id, quality_classifier, quality_rules
 from nivalis.llm.common import documents, labels
@@ -104,5 +106,96 @@ def test_forest_finds_what_lies_outside():
     assert (forest.scores(rng.normal(0, 0.05, (800, 3))) > forest.limit).mean() < 0.03
 
 
-if __name__ == "__main__":
-    pytest.main([__file__])
+
+# ---- the models, computed step by step
+
+
+def test_forest_scores_match_a_walk_of_each_tree():
+    rng = np.random.default_rng(4)
+    x = rng.normal(0, 1, (300, quality_rules.FEATURES))
+    forest = quality_rules.fit(x, np.arange(300) < 260)
+
+    def depth(tree, row, node=0):
+        feature = forest.feature[tree][node]
+        if feature < 0:
+            return forest.depth[tree][node]
+        return depth(tree, row, forest.left[tree][node] + (row[feature] >= forest.value[tree][node]))
+
+    usual = 2 * (np.log(forest.rows - 1) + np.euler_gamma) - 2 * (forest.rows - 1) / forest.rows
+    want = [2 ** (-np.mean([depth(t, row) for t in range(len(forest.feature))]) / usual) for row in x[:40]]
+    assert np.allclose(forest.scores(x[:40]), want)
+
+
+def test_verdicts_match_the_forest_row_by_row(spark):
+    docs = documents(spark, SF)
+    forest = quality_rules.fit_on_labels(docs, labels(spark, SF))
+    text = {r.doc_id: (r.text or "").encode() for r in docs.select("doc_id", "text").collect()}
+    for r in quality_rules.judge(docs, forest).collect()[:200]:
+        counts, features = quality_rules.statistics(text[r.doc_id])
+        score = forest.scores(np.array([features]))[0]
+        assert r.score == pytest.approx(score) and r.kept == (not quality_rules.base_failed(counts) and score <= forest.limit)
+    kept = quality_rules.keep_good(docs, forest)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in quality_rules.judge(docs, forest).where("kept").collect())
+
+
+def test_classifier_scores_match_two_compressions(spark):
+    docs = documents(spark, SF)
+    model = quality_classifier.fit_on_labels(docs, labels(spark, SF))
+    packers = [zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_dict_id=False) for d in (model.good, model.bad)]
+    for r in documents(spark, SF).select("text").limit(60).collect():
+        text = (r.text or "").encode()
+        good, bad = (len(p.compress(text)) for p in packers)
+        z = model.weights[0] + model.weights[1] * 10 * (bad - good) / max(len(text), 1) + model.weights[2] * (bad - good) / max(len(text), 1) * math.log1p(len(text))
+        assert model.scores([text])[0] == pytest.approx(1 / (1 + math.exp(-z)) if text else model.empty)
+
+
+def test_classifier_learns_no_label_that_is_not_there(spark):
+    docs = spark.createDataFrame([(i, "" if i % 4 == 0 else f"good fine words {i}" if i % 2 else f"### !!! {i}") for i in range(40)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, 1 if i % 2 or i % 8 == 0 else 0) for i in range(40)] + [(1, 1), (1, 1)], "doc_id long, quality int")
+    model = quality_classifier.fit_on_labels(docs, marks)
+    share = 25 / 40
+    assert model.empty == pytest.approx((5 + share) / 11)  # 10 empty texts, 5 of label 1
+    empty = quality_classifier.fit_on_labels(docs.where("false"), marks)
+    assert empty.scores([b"", b"x"]).tolist() == [0.5, 0.5]
+
+
+def test_language_logits_match_a_sum_over_subwords(spark):
+    docs = documents(spark, SF)
+    model = language_id.fit_on(docs, language_id.F.lit(True))
+
+    def logits(text):
+        out = bytearray()
+        for byte in text:
+            byte = byte + 32 if 65 <= byte <= 90 else byte if byte > 127 or 97 <= byte <= 122 else 32
+            if byte != 32 or not out or out[-1] != 32:
+                out.append(byte)
+        total, n = np.zeros(len(model.languages)), 0
+        for size in range(1, language_id.LONGEST + 1):
+            for i in range(len(out) - size + 1):
+                h = 0
+                for byte in out[i : i + size]:
+                    h = (h + byte + 1) * 0x9E3779B1 % 2**32
+                    h ^= h >> 15
+                total += model.table[((h + (size - 1) * 0x5EBCA6B) % 2**32 >> 7) % language_id.BUCKETS]
+                n += 1
+        return total / n + model.bias
+
+    for r in docs.where("text is not null and length(text) between 1 and 600").limit(20).collect():
+        assert np.allclose(model.logits(r.text.encode()), logits(r.text.encode()))
+
+
+def test_slices_lose_no_subword(monkeypatch):
+    text = ("Ünder the  12 old  tree " * 40).encode()
+    whole = np.concatenate(list(language_id.slices(text)))
+    monkeypatch.setattr(language_id, "SLICE", 37)
+    assert sorted(np.concatenate(list(language_id.slices(text))).tolist()) == sorted(whole.tolist())
+
+
+def test_models_on_empty_tables_and_repeated_labels(spark):
+    docs, marks = documents(spark, SF), labels(spark, SF)
+    none = docs.where("false")
+    model = quality_classifier.fit_on_labels(none, marks.where("false"))
+    assert quality_classifier.score(none, model, quality_classifier.F.lit(True)).collect() == []
+    assert language_id.predict(none, None, language_id.F.lit(True)).collect() == []
+    once, twice = (quality_classifier.fit_on_labels(docs, x) for x in (marks, marks.unionByName(marks)))
+    assert once == twice
