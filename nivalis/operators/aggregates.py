@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from nivalis.functions import columns as C
+from nivalis.operators.lineage import in_ranges
 
 
 def _long(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -17,21 +18,42 @@ def _long(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in names])).alias("s")).select("s.*")
 
 
+def quantiles(long: DataFrame, shares: Sequence[float]) -> DataFrame:
+    """name and q0, q1, ...: the exact quantiles of (name, value) at the shares, linear between neighbours.
+
+    Distinct values are counted, dealt into ranges, and their counts added up over the ranges before,
+    so no task holds all values of a name.
+    """
+    counts = long.where("value is not null").groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+    ranges = in_ranges(counts, ["name", "value"])
+    sums = ranges.groupBy("__part", "name").agg(F.sum("n").alias("own"))
+    by_name = Window.partitionBy("name")
+    before = F.coalesce(F.sum("own").over(by_name.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = sums.select("__part", "name", before.alias("before"), F.sum("own").over(by_name).alias("whole"))
+    upto = F.sum("n").over(Window.partitionBy("__part", "name").orderBy("value"))
+    rows = ranges.withColumn("upto", upto).join(F.broadcast(sums), ["__part", "name"]).withColumn("upto", F.col("upto") + F.col("before"))
+    at = lambda p: (F.col("whole") - 1) * F.lit(float(p))
+    value = lambda place: F.min(F.when(F.col("upto") > place, F.col("value")))
+    found = rows.groupBy("name").agg(*[x for i, p in enumerate(shares) for x in (value(F.floor(at(p))).alias(f"low{i}"), value(F.ceil(at(p))).alias(f"high{i}"), F.max(at(p) - F.floor(at(p))).alias(f"rest{i}"))])
+    return found.select("name", *[(F.col(f"low{i}") + F.col(f"rest{i}") * (F.col(f"high{i}") - F.col(f"low{i}"))).alias(f"q{i}") for i in range(len(shares))])
+
+
 def describe(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """count, mean, sample deviation, min, quartiles and max of columns, one row each."""
-    q = lambda p: F.percentile("value", F.lit(p))
-    return _long(df, names).groupBy("name").agg(
-        F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("low"),
-        q(0.25).alias("q25"), q(0.5).alias("q50"), q(0.75).alias("q75"), F.max("value").alias("high"),
-    )
+    long = _long(df, names)
+    found = long.groupBy("name").agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("low"), F.max("value").alias("high"))
+    found = found.join(quantiles(long, (0.25, 0.5, 0.75)), "name", "left")
+    return found.select("name", "n", "mean", "std", "low", F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75"), "high")
 
 
 def describe_population(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """mean, median, population deviation and variance, min, max and sum; nulls are skipped."""
-    return _long(df, names).groupBy("name").agg(
-        F.avg("value").alias("mean"), F.median("value").alias("median"), F.stddev_pop("value").alias("std"), F.var_pop("value").alias("variance"),
+    long = _long(df, names)
+    found = long.groupBy("name").agg(
+        F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.var_pop("value").alias("variance"),
         F.min("value").alias("low"), F.max("value").alias("high"), F.sum("value").alias("total"),
     )
+    return found.join(quantiles(long, (0.5,)).withColumnRenamed("q0", "median"), "name", "left").select("name", "mean", "median", "std", "variance", "low", "high", "total")
 
 
 def null_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:

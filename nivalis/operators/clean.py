@@ -26,7 +26,11 @@ CANONICAL = {
     "vpd": "mean_vapor_pressure_deficit",
     "vs": "wind_speed",
     "AMSR_SWE": "SWE",
+    "AMSR_Flag": "Flag",
+    "Latitude": "lat",
+    "Longitude": "lon",
 }
+CANONICAL |= {f"cumulative_{a}": f"cumulative_{b}" for a, b in CANONICAL.items() if a not in ("Latitude", "Longitude")}
 
 
 def rename(df: DataFrame, names: Mapping[str, str] = CANONICAL) -> DataFrame:

@@ -7,9 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from nivalis.operators.aggregates import keep_first
+from nivalis.operators.lineage import numbered
 
 
 def inner(a: DataFrame, b: DataFrame, on: Sequence[str], other: Sequence[str] | None = None, null_safe: bool = False) -> DataFrame:
@@ -44,10 +44,9 @@ def with_dimension(facts: DataFrame, dimension: DataFrame, on: Sequence[str]) ->
 def zip_by_order(frames: Sequence[DataFrame], order: Sequence[Sequence[str]]) -> DataFrame:
     """Tables without a common key side by side, row by row in a declared order.
 
-    Row numbers over a whole table need one task; use a key where there is one.
+    Rows are numbered within ranges of the order, so no task holds a whole table.
     """
-    numbered = [f.withColumn("row", F.row_number().over(Window.orderBy(*o))) for f, o in zip(frames, order, strict=True)]
-    return reduce(lambda a, b: a.join(b, "row", "full_outer"), numbered)
+    return reduce(lambda a, b: a.join(b, "row", "full_outer"), [numbered(f, o) for f, o in zip(frames, order, strict=True)])
 
 
 def present_every_day(df: DataFrame, key: str, day: str) -> DataFrame:

@@ -15,11 +15,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from nivalis.operators.clean import numeric_only
-
-
-def prepare(df: DataFrame, label: str, missing: float = -999.0) -> DataFrame:
-    """Numeric columns with nulls marked, without rows whose label is missing."""
+from nivalis.functions.columns import season
+from nivalis.operators.clean import blank_to_null, numeric_only, to_number
+from nivalis.operators.lineage import numbered
+
+
+def prepare(df: DataFrame, label: str, missing: float = -999.0, day: str | None = None, features: Sequence[str] | None = None) -> DataFrame:
+    """Numeric columns with '--' and nulls marked, without rows whose label is missing.
+
+    ``day`` adds the season of a date; ``features`` are the columns to keep before the label, in this
+    order, of which texts are read as numbers.
+    """
+    if day:
+        df = df.withColumn("season", season(F.col(day)))
+    if features:
+        texts = {f.name for f in df.schema if f.dataType.typeName() == "string"}
+        df = df.select(*[to_number(blank_to_null(F.col(c))).alias(c) if c in texts else F.col(c) for c in features], label)
     return numeric_only(df).na.fill(missing).where(F.col(label) != missing)
 
 
@@ -42,7 +53,7 @@ def forest(label: str, trees: int = 25, depth: int = 15, **more) -> RandomForest
 
 
 def extra_trees(label: str, trees: int = 100, depth: int = 10, **more) -> RandomForestRegressor:
-    """Trees on all rows and all features. Unlike extremely randomised trees, thresholds are the best of maxBins."""
+    """Trees on all rows, with a third of the features tried at each split. Unlike extremely randomised trees, thresholds are the best of maxBins."""
     return RandomForestRegressor(labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth, bootstrap=False, featureSubsetStrategy="onethird", seed=42, **more)
 
 
@@ -108,8 +119,8 @@ def search(train: DataFrame, features: Sequence[str], label: str, trees: Sequenc
 
 def label_encoded(df: DataFrame, column: str) -> DataFrame:
     """column_code: the place of each text among the sorted distinct ones, from 0."""
-    codes = df.select(column).distinct().withColumn(f"{column}_code", F.dense_rank().over(Window.orderBy(column)) - 1)
-    return df.join(codes, column)
+    codes = numbered(df.select(column).where(F.col(column).isNotNull()).distinct(), [column], f"{column}_code")
+    return df.join(codes.withColumn(f"{column}_code", (F.col(f"{column}_code") - 1).cast("int")), column)
 
 
 def indexer(column: str) -> StringIndexer:

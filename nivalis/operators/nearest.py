@@ -8,6 +8,7 @@ on with buckets of four times the side. No table is broadcast and no full produc
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import degrees, pi, sin
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,16 +32,29 @@ def _reach(metric: str, side: Column, lat: Column) -> Column:
     return side * side if metric == "l2" else side
 
 
-def _around(points: DataFrame, side: Column) -> DataFrame:
-    """points with the buckets (by, bx) around each."""
-    near = lambda c: F.explode(F.sequence(F.floor(F.col(c) / side) - 1, F.floor(F.col(c) / side) + 1))
-    return points.withColumn("by", near("lat")).withColumn("bx", near("lon"))
+def _turns(metric: str, side: float) -> tuple[float, int | None]:
+    """The side of buckets on the second axis, and how many go around the globe (None: the axis is a line)."""
+    if metric != "haversine":
+        return side, None
+    n = max(1, int(360 // side))
+    return 360 / n, n
 
 
-def _meet(points: DataFrame, cells: DataFrame, side: float) -> DataFrame:
-    s = F.lit(float(side))
-    bucketed = cells.withColumns({"by": F.floor(F.col("clat") / s), "bx": F.floor(F.col("clon") / s)})
-    return _around(points, s).join(bucketed, ["by", "bx"]).drop("by", "bx")
+def _meet(points: DataFrame, cells: DataFrame, side: float, metric: str, reach: Column | None = None) -> DataFrame:
+    """Pairs of points and the cells in the buckets around them: the next ones, on the second axis those up to ``reach``.
+
+    Buckets of longitude go around the globe, so places on both sides of the 180th meridian meet.
+    """
+    width, n = _turns(metric, side)
+    around = (lambda b: F.pmod(b, F.lit(n))) if n else (lambda b: b)
+    row, column = lambda c: F.floor(F.col(c) / F.lit(float(side))), lambda v: F.floor(v / F.lit(width))
+    bucketed = cells.withColumns({"by": row("clat"), "bx": around(column(F.col("clon")))})
+    first, last = (column(F.col("lon")) - 1, column(F.col("lon")) + 1) if reach is None else (column(F.col("lon") - reach), column(F.col("lon") + reach))
+    if n:  # no more than once around
+        last = F.least(last, first + (n - 1))
+    near = points.withColumn("by", F.explode(F.sequence(row("lat") - 1, row("lat") + 1)))
+    near = near.withColumn("bx", F.explode(F.transform(F.sequence(first, last), around)))
+    return near.join(bucketed, ["by", "bx"]).drop("by", "bx")
 
 
 def nearest(points: DataFrame, cells: DataFrame, metric: str = "l1", side: float = 1.0) -> DataFrame:
@@ -54,11 +68,11 @@ def nearest(points: DataFrame, cells: DataFrame, metric: str = "l1", side: float
     p, c = ends(points, "lat", "lon"), ends(cells, "clat", "clon")
     if p[0] is None or c[0] is None:
         return points.join(cells, F.lit(False)).select("point_id", "cell_id", F.lit(0.0).alias("distance"))
-    extent = max(float(max(p[1], c[1]) - min(p[0], c[0])), float(max(p[3], c[3]) - min(p[2], c[2])))
+    extent = max(float(max(p[1], c[1]) - min(p[0], c[0])), 360.0 if metric == "haversine" else float(max(p[3], c[3]) - min(p[2], c[2])))
     found, rest = [], points
     while True:
         distance = METRICS[metric](F.col("lat"), F.col("lon"), F.col("clat"), F.col("clon"))
-        best = _meet(rest, cells, side).groupBy("point_id", "lat", "lon").agg(F.min(F.struct(distance.alias("distance"), "cell_id")).alias("best"))
+        best = _meet(rest, cells, side, metric).groupBy("point_id", "lat", "lon").agg(F.min(F.struct(distance.alias("distance"), "cell_id")).alias("best"))
         best = checkpointed(best.select("point_id", "lat", "lon", "best.*"))
         done = best if side > extent else best.where(F.col("distance") < _reach(metric, F.lit(float(side)), F.col("lat")))
         found.append(done.select("point_id", "cell_id", "distance"))
@@ -76,15 +90,18 @@ def nearest(points: DataFrame, cells: DataFrame, metric: str = "l1", side: float
 
 def within(points: DataFrame, cells: DataFrame, radius: float, metric: str = "l2") -> DataFrame:
     """point_id, cell_id and distance of all cells within a radius (l2: squared distance; haversine: km)."""
-    points = points.select("point_id", "lat", "lon")
-    cells = cells.select("cell_id", F.col("lat").alias("clat"), F.col("lon").alias("clon"))
+    points = points.select("point_id", "lat", "lon").where("lat is not null and lon is not null")
+    cells = cells.select("cell_id", F.col("lat").alias("clat"), F.col("lon").alias("clon")).where("clat is not null and clon is not null")
     distance = METRICS[metric](F.col("lat"), F.col("lon"), F.col("clat"), F.col("clon"))
     if metric == "haversine":
-        # a degree of longitude shrinks towards the poles; 60 degrees is as far as the buckets allow for
-        side, limit = radius / (EARTH_RADIUS_KM * 3.141592653589793 / 180) / 0.5, radius
+        # the longitudes within reach widen towards the poles, and are all of them where a pole is within the radius
+        angle = radius / EARTH_RADIUS_KM * 1.001
+        side, limit = degrees(angle), radius
+        share = F.lit(sin(min(angle, pi / 2))) / F.cos(F.radians("lat"))
+        reach = F.when((F.abs(F.radians("lat")) + angle < pi / 2) & (share < 1), F.degrees(F.asin(F.least(share, F.lit(1.0))))).otherwise(180.0)
     else:
-        side, limit = radius, radius * radius if metric == "l2" else radius
-    return _meet(points, cells, side).withColumn("distance", distance).where(F.col("distance") <= limit).select("point_id", "cell_id", "distance")
+        side, limit, reach = radius, radius * radius if metric == "l2" else radius, None
+    return _meet(points, cells, side, metric, reach).withColumn("distance", distance).where(F.col("distance") <= limit).select("point_id", "cell_id", "distance")
 
 
 def nearest_within(points: DataFrame, cells: DataFrame, radius: float, metric: str = "l2") -> DataFrame:

@@ -37,6 +37,19 @@ def fills_grid(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"), ((F.max("y") + 1) * (F.max("x") + 1)).cast("long").alias("cells")).withColumn("ok", F.col("rows") == F.col("cells"))
 
 
+def enough_places(df: DataFrame, columns: Sequence[str], least: int) -> DataFrame:
+    """expectation, checked (distinct places), failed (how many are missing) and ok."""
+    n = F.count_distinct(*columns)
+    return df.agg(F.lit("distinct places").alias("expectation"), n.alias("checked"), F.greatest(F.lit(least) - n, F.lit(0)).alias("failed"), (n >= least).alias("ok"))
+
+
+def same_columns(train: DataFrame, serve: DataFrame) -> DataFrame:
+    """For each column of either table: expectation, checked, failed (1 if the other table lacks it) and ok."""
+    names = sorted({*train.columns, *serve.columns})
+    both = {*train.columns} & {*serve.columns}
+    return train.sparkSession.createDataFrame([(c, 1, int(c not in both), c in both) for c in names], "expectation string, checked long, failed long, ok boolean")
+
+
 def required(df: DataFrame, condition: Column, message: str = FAILED) -> DataFrame:
     """df, with an error at run time if a row breaks the condition."""
     return df.where(F.coalesce(F.assert_true(F.coalesce(condition, F.lit(False)), message).isNull(), F.lit(True)))

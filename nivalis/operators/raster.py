@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from nivalis.operators.aggregates import circular_mean
+from nivalis.operators.nearest import nearest_on_axis
 
 
 def _along(axis: str, keys: Sequence[str]):
@@ -154,16 +155,16 @@ def terrain_summary(cells: DataFrame, keys: Sequence[str], elevation: str, slope
     return out.withColumns({"northness": north, "eastness": east})
 
 
-def terrain_table(grid: DataFrame, value: str = "z") -> DataFrame:
-    """Elevation, slope, aspect, curvature, northness and eastness of each cell."""
-    a = slope_aspect(grid, value).select("y", "x", F.col(value).alias("elevation"), "slope", "aspect", "gy", "gx")
+def terrain_table(grid: DataFrame, value: str = "z", from_vertical: bool = True) -> DataFrame:
+    """Elevation, slope (from the vertical, or else the angle itself), aspect, curvature, northness and eastness of each cell."""
+    a = slope_aspect(grid, value, from_vertical).select("y", "x", F.col(value).alias("elevation"), "slope", "aspect", "gy", "gx")
     share = lambda g: F.atan(F.try_divide(F.col(g), _norm()))
     a = a.withColumns({"northness": share("gy"), "eastness": share("gx")}).drop("gy", "gx")
     return a.join(curvature_sobel(grid, value), ["y", "x"])
 
 
-def focal_means(points: DataFrame, grid: DataFrame, values: Sequence[str], half: int = 33) -> DataFrame:
-    """Means of values over the window of cells y-half..y+half-1 (x likewise) around each point (point_id, y, x).
+def focal_means(points: DataFrame, grid: DataFrame, values: Sequence[str], half: int = 33, angles: Sequence[str] = ()) -> DataFrame:
+    """n, own_<value> at the point's cell, and mean_<value> (a direction for ``angles``) over the window of cells y-half..y+half-1 (x likewise) around each point (point_id, y, x).
 
     Cells are grouped into squares of the window's size; a point meets the four to nine squares
     that its window touches.
@@ -173,7 +174,9 @@ def focal_means(points: DataFrame, grid: DataFrame, values: Sequence[str], half:
     touch = lambda c: F.explode(F.sequence(F.floor((F.col(c) - half) / side), F.floor((F.col(c) + half - 1) / side)))
     near = points.select("point_id", "y", "x").withColumn("sy", touch("y")).withColumn("sx", touch("x")).join(squares, ["sy", "sx"])
     inside = near.where((F.col("cy") >= F.col("y") - half) & (F.col("cy") < F.col("y") + half) & (F.col("cx") >= F.col("x") - half) & (F.col("cx") < F.col("x") + half))
-    return inside.groupBy("point_id").agg(F.count(F.lit(1)).alias("n"), *[F.avg(v).alias(f"mean_{v}") for v in values])
+    means = [circular_mean(F.col(v)).alias(f"mean_{v}") if v in angles else F.avg(v).alias(f"mean_{v}") for v in values]
+    own = (F.col("cy") == F.col("y")) & (F.col("cx") == F.col("x"))
+    return inside.groupBy("point_id").agg(F.count(F.lit(1)).alias("n"), *[F.max(F.when(own, F.col(v))).alias(f"own_{v}") for v in values], *means)
 
 
 def mosaic(tiles_: DataFrame, value: str, order: str | None = None) -> DataFrame:
@@ -182,12 +185,23 @@ def mosaic(tiles_: DataFrame, value: str, order: str | None = None) -> DataFrame
     return tiles_.groupBy("y", "x").agg(pick.alias(value))
 
 
-def regrid(grid: DataFrame, step: float, north: float, west: float, value: str = "z", lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """The value of the source cell nearest to each output cell's centre (ties: smaller cell_id), where there is one."""
-    y, x = F.floor((F.lit(north) - F.col(lat)) / step), F.floor((F.col(lon) - F.lit(west)) / step)
-    cells = grid.withColumns({"oy": y, "ox": x})
-    dy, dx = F.col(lat) - (F.lit(north) - (F.col("oy") + 0.5) * step), F.col(lon) - (F.lit(west) + (F.col("ox") + 0.5) * step)
-    return cells.where((F.col("oy") >= 0) & (F.col("ox") >= 0)).groupBy("oy", "ox").agg(F.min_by(value, F.struct((dy * dy + dx * dx).alias("d"), "cell_id")).alias(value))
+def regrid(grid: DataFrame, step: float, north: float, west: float, south: float, east: float, value: str = "z", lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """oy, ox and value of each output cell from the north-west corner to the extent's other end.
+
+    The value is that of the source cell whose row and column are nearest to the output cell's
+    centre (ties: the smaller coordinate); null where the source lacks that cell.
+    """
+    spark = grid.sparkSession
+    line = lambda n, name, place: spark.range(max(0, n)).select(F.col("id").alias(name), place(F.col("id")).alias(f"{name}_at"))
+    rows = line(round((north - south) / step), "oy", lambda i: F.lit(float(north)) - (i + 0.5) * step)
+    columns = line(round((east - west) / step), "ox", lambda i: F.lit(float(west)) + (i + 0.5) * step)
+    rows = rows.join(nearest_on_axis(rows, grid, "oy_at", lat), "oy_at").select("oy", F.col("near_oy_at").alias(lat))
+    columns = columns.join(nearest_on_axis(columns, grid, "ox_at", lon), "ox_at").select("ox", F.col("near_ox_at").alias(lon))
+    # the cells that an output row takes come by its source row, and meet the columns that take them
+    cells = grid.groupBy(lat, lon).agg(F.min_by(value, "cell_id").alias(value))
+    found = rows.join(cells, lat).join(columns, lon).select("oy", "ox", value)
+    every = rows.select("oy").join(F.broadcast(columns.select(F.collect_list("ox").alias("ox")))).select("oy", F.explode("ox").alias("ox"))
+    return every.join(found, ["oy", "ox"], "left")
 
 
 def dense_rows(grid: DataFrame, value: str = "z") -> DataFrame:

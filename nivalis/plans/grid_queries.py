@@ -181,7 +181,7 @@ def r11(grid):
 @query(
     "r12_terrain_table",
     _CURV + f", gr as (select y, x, z, {_GY} as gy, {_GX} as gx from grid {_W}) "
-    f"select y, x, gr.z as elevation, round(degrees(atan(sqrt(gx * gx + gy * gy))), 4) as slope, round({_TURN}, 4) as aspect, round(atan(gy / nullif(sqrt(gx * gx + gy * gy), 0)), 4) as northness, "
+    f"select y, x, gr.z as elevation, round(90 - degrees(atan(sqrt(gx * gx + gy * gy))), 4) as slope, round({_TURN}, 4) as aspect, round(atan(gy / nullif(sqrt(gx * gx + gy * gy), 0)), 4) as northness, "
     "round(atan(gx / nullif(sqrt(gx * gx + gy * gy), 0)), 4) as eastness, round(g2.z, 3) as curvature from gr join g2 using (y, x)",
     "grid",
 )
@@ -190,10 +190,19 @@ def r12(grid):
     return out.withColumns({c: F.round(c, 4) for c in ("slope", "aspect", "northness", "eastness")}).withColumn("curvature", F.round("curvature", 3))
 
 
-@query("a11_terrain_summary", _GS + ", t as (select y, x, z, degrees(atan(sqrt(gx * gx + gy * gy))) as slope from gr), u as (select cast(floor(y / 8) as bigint) as cell, avg(z) as elevation, avg(slope) as slope from t group by 1) select cell, round(elevation, 6) as elevation, round(slope, 6) as slope from u", "grid")
+_DIRECTION = "((degrees(atan2(sum(sin(radians({a}))), sum(cos(radians({a}))))) + 360) % 360)"
+_TERRAIN = _GS + f", t as (select y, x, z, degrees(atan(sqrt(gx * gx + gy * gy))) as slope, {_TURN} as aspect, {_GRAD.format(v='gy', w='wy')} + {_GRAD.format(v='gx', w='wx')} as curvature from gr {_W}) "
+
+
+def terrain(grid):
+    return R.curvature_gradient(R.slope_aspect(grid)).select("y", "x", "z", "slope", "aspect", "curvature")
+
+
+@query("a11_terrain_summary", _TERRAIN + f", u as (select cast(floor(y / 8) as bigint) as cell, avg(z) as elevation, avg(slope) as slope, avg(curvature) as curvature, {_DIRECTION.format(a='aspect')} as aspect from t group by 1) select cell, round(elevation, 4) as elevation, round(slope, 4) as slope, round(curvature, 4) + 0e0 as curvature, round(aspect, 4) as aspect, round(sin(radians(aspect)), 4) + 0e0 as northness, round(cos(radians(aspect)), 4) + 0e0 as eastness from u", "grid")
 def a11(grid):
-    terrain = R.slope_aspect(grid).withColumn("cell", F.floor(F.col("y") / 8)).withColumn("curvature", F.lit(0.0))
-    return rounded(R.terrain_summary(terrain, ["cell"], "z", "slope", "curvature", "aspect").select("cell", "elevation", "slope"))
+    cells = terrain(grid).withColumn("cell", F.floor(F.col("y") / 8))
+    out = rounded(R.terrain_summary(cells, ["cell"], "z", "slope", "curvature", "aspect"), 4)
+    return out.withColumns({c: F.col(c) + 0.0 for c in ("curvature", "northness", "eastness")})
 
 
 @query("r13_stack_bands", "select day_idx, tile, y, " + ", ".join(f"max(value) filter (where x = {b}) as b{b}" for b in range(8)) + " from cube group by 1, 2, 3", "cube")
@@ -201,10 +210,20 @@ def r13(cube):
     return R.stack_bands(cube, ["day_idx", "tile", "y"], "x", "value", list(range(8)))
 
 
-@query("r14_focal_means", "select s.point_id, count(*) as n, round(avg(g.z), 6) as mean_z from (select point_id, cast(floor((lat10 - 250) / 6) as int) as y, cast(floor((lon10 + 1250) / 5) as int) as x from station) s join grid g on g.y >= s.y - 5 and g.y < s.y + 5 and g.x >= s.x - 5 and g.x < s.x + 5 group by 1", "station", "grid")
+_FOCAL = "avg(g.z)", "avg(g.slope)", "avg(g.curvature)", _DIRECTION.format(a="g.aspect")
+_OWN = ", ".join(f"round(max(g.{v}) filter (where g.y = s.y and g.x = s.x), 4) + 0e0 as own_{v}" for v in ("z", "slope", "curvature", "aspect"))
+
+
+@query(
+    "r14_focal_means",
+    _TERRAIN + f"select s.point_id, count(*) as n, {_OWN}, " + ", ".join(f"round({e}, 4) + 0e0 as mean_{v}" for v, e in zip(("z", "slope", "curvature", "aspect"), _FOCAL, strict=True))
+    + " from (select point_id, cast(floor((lat10 - 250) / 6) as int) as y, cast(floor((lon10 + 1250) / 5) as int) as x from station) s join t g on g.y >= s.y - 33 and g.y < s.y + 33 and g.x >= s.x - 33 and g.x < s.x + 33 group by 1",
+    "station", "grid",
+)
 def r14(station, grid):
     points = station.select("point_id", F.floor((F.col("lat10") - 250) / 6).alias("y"), F.floor((F.col("lon10") + 1250) / 5).alias("x"))
-    return rounded(R.focal_means(points, grid, ["z"], 5))
+    out = rounded(R.focal_means(points, terrain(grid), ["z", "slope", "curvature", "aspect"], angles=["aspect"]), 4)
+    return out.withColumns({c: F.col(c) + 0.0 for c in out.columns if c.startswith(("own_", "mean_"))})
 
 
 @query("a17_mosaic_min", "select y, x, min(value) as value from cube group by 1, 2", "cube")
@@ -219,13 +238,15 @@ def a22(cube):
 
 @query(
     "a18_regrid",
-    "with c as (select *, cast(floor((100000e0 - lat10) / 12) as bigint) as oy, cast(floor((lon10 + 1250e0) / 12) as bigint) as ox from grid), "
-    "d as (select *, pow(lat10 - (100000e0 - (oy + 0.5e0) * 12), 2) + pow(lon10 - (-1250e0 + (ox + 0.5e0) * 12), 2) as d from c), "
-    "r as (select *, row_number() over (partition by oy, ox order by d, cell_id) as r from d) select oy, ox, z from r where r = 1",
+    "with r as (select i as oy, 400e0 - (i + 0.5e0) * 3 as place from range(56) t(i)), c as (select i as ox, -1240e0 + (i + 0.5e0) * 3 as place from range(70) t(i)), "
+    "ny as (select oy, min_by(lat10, abs(lat10 - place) * 100000 + lat10) as lat10 from r, (select distinct lat10 from grid) g group by 1), "
+    "nx as (select ox, min_by(lon10, abs(lon10 - place) * 100000 + lon10) as lon10 from c, (select distinct lon10 from grid) g group by 1) "
+    "select oy, ox, z from ny cross join nx left join grid using (lat10, lon10)",
     "grid",
 )
 def a18(grid):
-    return R.regrid(grid, 12.0, 100000.0, -1250.0, lat="lat10", lon="lon10")
+    """Cells of 0.3 degrees, finer than the source, cropped to an extent that reaches beyond it."""
+    return R.regrid(grid, 3.0, 400.0, -1240.0, 232.0, -1030.0, lat="lat10", lon="lon10")
 
 
 @query("k04_dense_rows", "select y, list(z order by x) as row from grid group by y", "grid")

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import functools
 import re
-import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from nivalis.operators.lineage import shared_folder
 from nivalis.plans.fixtures import oracle, view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,8 +47,7 @@ def scalar(name: str, source: str, keys: Sequence[str], columns: dict[str, tuple
 
 def folder(spark: SparkSession) -> str:
     """A new folder for what a query writes, in the one that the cluster shares."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-')}"
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    return f"{shared_folder(spark).rstrip('/')}/{uuid.uuid4().hex}"
 
 
 def with_folder(name: str, sql: str | None = None, *views: str):

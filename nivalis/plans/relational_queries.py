@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from nivalis.functions import columns as C
 from nivalis.operators import aggregates as A
 from nivalis.operators import joins as J
+from nivalis.operators.lineage import numbered
 from nivalis.plans.registry import query
 
 KEY = ["point_id", "obs_date"]
@@ -221,14 +222,8 @@ def a21(lineitem):
 
 @query("o01_sort_by_day", "select point_id, obs_date, v, row_number() over (order by obs_date, point_id, v) as place from season", "season")
 def o01(season):
-    """A global order; the place is counted from sizes of sorted ranges, not in one task."""
-    ordered = season.repartitionByRange("obs_date", "point_id", "v").sortWithinPartitions("obs_date", "point_id", "v")
-    by_day = season.groupBy("obs_date").agg(F.count(F.lit(1)).alias("n"))
-    from pyspark.sql.window import Window
-
-    before = by_day.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("obs_date").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    place = F.row_number().over(Window.partitionBy("obs_date").orderBy("point_id", "v"))
-    return ordered.withColumn("own", place).join(before, "obs_date").select("point_id", "obs_date", "v", (F.col("before") + F.col("own")).alias("place"))
+    """A global order, by a range sort at the end; the place comes from the sizes of ranges, not from one task."""
+    return numbered(season.select("point_id", "obs_date", "v"), ["obs_date", "point_id", "v"], "place").orderBy("obs_date", "point_id", "v")
 
 
 @query("o02_sort_by_point", "select point_id, obs_date, row_number() over (partition by point_id order by obs_date, v) as place from season", "season")

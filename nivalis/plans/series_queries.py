@@ -123,6 +123,16 @@ def q03_grid(grid):
     return Q.fills_grid(grid)
 
 
+@query("q04_enough_places", "select 'distinct places' as expectation, count(*) as checked, greatest(10 - count(*), 0) as failed, count(*) >= 10 as ok from (select distinct lat10, lon10 from station)", "station")
+def q04(station):
+    return Q.enough_places(station, ["lat10", "lon10"], 10)
+
+
+@query("q05_same_columns", "with c as (select column_name as name, table_name as t from information_schema.columns where table_name in ('customer', 'supplier')) select name as expectation, cast(1 as bigint) as checked, cast(case when count(distinct t) = 2 then 0 else 1 end as bigint) as failed, count(distinct t) = 2 as ok from c group by name", "customer", "supplier")
+def q05(customer, supplier):
+    return Q.same_columns(customer, supplier)
+
+
 # ---- increments and streams
 
 
@@ -134,7 +144,7 @@ def t01(daily):
 
 @with_folder("t02_daily_stream", "select cast(ts as date) as obs_date, event_type, count(*) as n, round(sum(value), 2) as total from events group by 1, 2")
 def t02(spark, sf_dir, folder):
-    """Event files as a stream with daily windows; a last empty day lets the watermark pass the end."""
+    """Event files as a stream with daily windows, as totals of all that has arrived."""
     events = table(spark, sf_dir, "events")
     stream = T.read_stream(spark, f"{sf_dir}/events.parquet*", events.schema)
     T.run_available(T.daily_totals(stream, "ts", ["event_type"], "value"), f"{folder}/out", f"{folder}/checkpoint", "complete")

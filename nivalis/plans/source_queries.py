@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from nivalis.operators import models as M
 from nivalis.operators import sampling as S
 from nivalis.operators import timeseries as W
+from nivalis.operators.lineage import checkpointed
 from nivalis.plans.fixtures import view
 from nivalis.plans.registry import query, with_folder
 from nivalis.sources import readers as R
@@ -21,6 +22,13 @@ def s01(spark, sf_dir, folder):
 
 @query("s02_split_scan", "select l_returnflag, count(*) as n, round(sum(l_extendedprice), 1) as total from lineitem group by 1", "lineitem")
 def s02(lineitem):
+    """The scan is cut into blocks of 10 MB for this query."""
+    before = lineitem.sparkSession.conf.get("spark.sql.files.maxPartitionBytes")
+    R.in_blocks(lineitem.sparkSession, 10 << 20)
+    try:
+        lineitem = checkpointed(lineitem.select("l_returnflag", "l_extendedprice"))
+    finally:
+        lineitem.sparkSession.conf.set("spark.sql.files.maxPartitionBytes", before)
     return lineitem.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_extendedprice"), 1).alias("total"))
 
 
@@ -84,11 +92,10 @@ def s11(station, cube):
     return R.cube_at(cube, mapped(station), 100).select("point_id", "value")
 
 
-@query("s12_cube_all_days", "with " + _MAPPED + "select m.point_id, count(*) as n, round(avg(c.value), 6) as mean from m join cube c using (y, x) group by 1", "station", "cube")
-def s12(station, cube):
-    """Cells are summed up before they are joined to the points that share them."""
-    cells = cube.groupBy("y", "x").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 6).alias("mean"))
-    return R.cube_at(cells, mapped(station)).select("point_id", "n", "mean")
+@query("s12_cube_all_days", "select s_suppkey as point_id, c.day_idx, c.value from supplier join cube c on c.y = s_suppkey % 8 and c.x = cast(floor(s_suppkey / 8) % 8 as int)", "supplier", "cube")
+def s12(supplier, cube):
+    """Every day's value for a list of stations, as rows."""
+    return R.cube_at(cube, mapped(supplier.withColumnRenamed("s_suppkey", "point_id"))).select("point_id", "day_idx", "value")
 
 
 @query("s13_sampled_scan", None, "lineitem")
@@ -96,6 +103,11 @@ def s13(lineitem):
     return S.sampled(lineitem, 0.1).select("l_orderkey", "l_linenumber", "l_quantity")
 
 
+@query("s13_sampled_by_key", "select l_orderkey, l_linenumber, l_quantity from lineitem where cast('0x' || substr(md5(cast(l_orderkey as varchar)), 1, 7) as bigint) % 10 = 0", "lineitem")
+def s13_by_key(lineitem):
+    return S.sampled_by_key(lineitem, "l_orderkey", 10).select("l_orderkey", "l_linenumber", "l_quantity")
+
+
 @query("s14_daily_requests", "select cast(day as date) as day, 'get/' || cast(cast(day as date) as varchar) || '.nc' as request from (select unnest(generate_series(min(obs_date), max(obs_date), interval 1 day)) as day from daily)", "daily")
 def s14(daily):
     return R.requests_for(W.calendar(daily, "obs_date").withColumnRenamed("obs_date", "day"), "get/%s.nc")
@@ -103,7 +115,7 @@ def s14(daily):
 
 @query("s15_text_payloads", "select page_id from pages where length(html) > 0 and strpos(html, chr(0)) = 0", "pages")
 def s15(pages):
-    return pages.where(R.is_text(F.col("html").cast("binary"), 1 << 24)).select("page_id")
+    return pages.where(R.is_text(F.col("html").cast("binary"), None)).select("page_id")
 
 
 # ---- sinks
@@ -173,6 +185,16 @@ def m02(code):
     return M.prepare(code, "label")
 
 
+@query(
+    "m02_prepare_features",
+    "select cast(floor(((month(obs_date) + 9) % 12) / 3) as int) + 1 as season, coalesce(depth, -999e0) as depth, coalesce(try_cast(s as double), -999e0) as s, lc, label from code join strnum using (event_id) where label is not null",
+    "code", "strnum",
+)
+def m02_features(code, strnum):
+    """The season, texts with '--' as numbers, and the features in a declared order."""
+    return M.prepare(code.join(strnum, "event_id"), "label", day="obs_date", features=["season", "depth", "s", "lc"])
+
+
 @query("m03_scaled", "select l_orderkey, l_linenumber, " + ", ".join(f"round((l_{c} - avg(l_{c}) over ()) / stddev_pop(l_{c}) over (), 6) as l_{c}_scaled" for c in ("quantity", "tax")) + " from lineitem", "lineitem")
 def m03(lineitem):
     out = M.population_scaled(lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_tax"), ["l_quantity", "l_tax"])
@@ -211,17 +233,42 @@ def m07(lineitem):
 
 @query("m08_predict_grid", None, "grid", "code")
 def m08(grid, code):
-    """A model of cell values predicts every cell, and codes mask the predictions."""
+    """A forest learns from four fifths of the cells and predicts every cell; the cells' own codes mask the predictions."""
     from nivalis.operators import clean as P
     from nivalis.operators import joins as J
 
     table = grid.select("cell_id", "y", "x", F.col("z").alias("label"))
-    found = M.fit(table, ["y", "x"], M.forest("label", 10, 6)).transform(table).select("cell_id", "prediction")
-    codes = code.select((F.col("event_id")).alias("cell_id"), "code", "lc", "depth")
+    train = S.split_by_key(table, F.col("cell_id")).where("not is_test").drop("is_test")
+    found = M.fit(train, ["y", "x"], M.forest("label", 10, 6)).transform(table).select("cell_id", "prediction")
+    depths = code.groupBy(F.col("lc").alias("y")).agg(F.max("depth").alias("depth"))
+    codes = grid.select("cell_id", "y", "code").join(depths, "y", "left").withColumn("lc", F.col("y")).drop("y")
     out = J.attach(table.join(codes, "cell_id", "left"), found, ["cell_id"])
     return out.select("cell_id", P.mask_prediction(F.col("prediction"), F.col("code"), F.col("depth"), F.col("lc")).alias("prediction"))
 
 
+@query(
+    "daily_prediction_raster",
+    "with t as (select point_id, elevation, round(sum(v), 2) as label from station join season using (point_id) where lat between 25 and 49 group by 1, 2), "
+    "m as (select regr_slope(label, elevation) as s, regr_intercept(label, elevation) as i from t), "
+    "d as (select lc, max(depth) as depth from code group by 1), "
+    "p as (select y, x, case when g.code in (0, 225, 237, 239) or d.depth is null or d.lc in (3, 27, 255) then 0e0 else round((m.i + m.s * g.z) / 1e6, 6) end as v from grid g cross join m left join d on d.lc = g.y) "
+    "select y, list(v order by x) as row from p group by y",
+    "station", "season", "grid", "code",
+)
+def daily_prediction_raster(station, season, grid, code):
+    """The daily job: station totals train a model, every cell of the grid is predicted and masked, and rows of the raster come out."""
+    from nivalis.operators import clean as P
+    from nivalis.operators import raster as G
+
+    totals = P.in_box(station, 25, 49, -180, 180).select("point_id", "elevation").join(season, "point_id").groupBy("point_id", "elevation").agg(F.round(F.sum("v"), 2).alias("label"))
+    cells = grid.select("cell_id", "y", "x", "code", F.col("z").alias("elevation"))
+    found = M.fit(totals, ["elevation"], M.linear("label")).transform(cells).select("cell_id", "prediction")
+    depths = code.groupBy("lc").agg(F.max("depth").alias("depth"))
+    full = cells.join(found, "cell_id").join(depths, cells["y"] == depths["lc"], "left")
+    masked = P.mask_prediction(F.round(F.col("prediction") / 1e6, 6), F.col("code"), F.col("depth"), F.coalesce("lc", F.lit(-1)))
+    return G.dense_rows(full.select("y", "x", masked.alias("v")), "v")
+
+
 @query("m09_importances", None, "lineitem")
 def m09(lineitem):
     train, _ = parts(lineitem)
@@ -276,9 +323,9 @@ def m17(grid):
     return S.random_land_points(grid, 200, 25.0, -125.0, 0.6, ends[0] + 1, ends[1] + 1)
 
 
-@query("m18_random_above", None, "station")
+@query("m18_random_above", "select point_id, elevation from station where elevation > 1000 order by md5(cast(point_id as varchar)), point_id limit 50", "station")
 def m18(station):
-    return S.random_above(station, "elevation", 1000.0, 50).select("point_id", "elevation")
+    return S.random_above(station, "elevation", 1000.0, 50, "point_id").select("point_id", "elevation")
 
 
 @with_folder("m19_saved_model")
@@ -290,6 +337,14 @@ def m19(spark, sf_dir, folder):
     return predicted(PipelineModel.load(f"{folder}/latest").transform(test))
 
 
+@query("o04_ranked", "select name as feature, corr as importance, cast(row_number() over (order by corr desc, name) as int) as rank from (select 'l_quantity' as name, round(corr(l_quantity, l_extendedprice), 6) as corr from lineitem union all select 'l_tax', round(corr(l_tax, l_extendedprice), 6) from lineitem union all select 'l_discount', round(corr(l_discount, l_extendedprice), 6) from lineitem)", "lineitem")
+def o04_by_correlation(lineitem):
+    """Features ranked by their correlation with the label."""
+    from nivalis.operators import aggregates as A
+
+    return M.ranked(A.correlations(lineitem, "l_extendedprice", FEATURES).select(F.col("name").alias("feature"), F.round("corr", 6).alias("importance")))
+
+
 @query("o04_ranked_importances", None, "lineitem")
 def o04(lineitem):
     train, _ = parts(lineitem)

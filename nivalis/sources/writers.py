@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Rows of (day, kind) up to which they are broadcast.
+BROADCAST_ROWS = 100_000
+
 
 def write_table(df: DataFrame, path: str, force: bool = True, one_file: bool = False) -> None:
-    """Parquet; without ``force`` a table that is there stays."""
-    (df.coalesce(1) if one_file else df).write.mode("overwrite" if force else "ignore").parquet(path)
+    """Parquet; without ``force`` a table that is there stays. ``one_file`` is for results that one task can write; what makes them stays spread."""
+    (df.repartition(1) if one_file else df).write.mode("overwrite" if force else "ignore").parquet(path)
 
 
 def append_days(df: DataFrame, path: str, day: str = "obs_date") -> None:
@@ -23,7 +26,10 @@ def rewrite_days(df: DataFrame, path: str, day: str = "obs_date") -> None:
 def dense_cube(df: DataFrame, point: str, day: str, kind: str, value: str) -> DataFrame:
     """A row for each point, day and kind that occurs in the table, with nulls where there is no value."""
     keys = lambda c: df.select(c).distinct()
-    spine = keys(point).join(F.broadcast(keys(day))).join(F.broadcast(keys(kind)))
+    days, kinds = keys(day), keys(kind)
+    planes = days.join(kinds, F.lit(True))
+    small = days.count() * kinds.count() <= BROADCAST_ROWS
+    spine = keys(point).join(F.broadcast(planes) if small else planes, F.lit(True))
     return spine.join(df.select(point, day, kind, value), [point, day, kind], "left")
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nivalis.functions.columns import water_year
+from nivalis.operators.lineage import checkpointed
 from nivalis.sources.writers import rewrite_days
 
 
@@ -48,13 +50,13 @@ def correct_days(stream: DataFrame, path: str, checkpoint: str, day: str, key: l
         batch = batch.dropDuplicates([*key, day])
         try:
             old = spark.read.parquet(path)
-        except Exception as e:  # the first batch finds no table
-            if "PATH_NOT_FOUND" not in str(e):
+        except AnalysisException as e:  # the first batch finds no table
+            if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             rewrite_days(batch, path, day)
             return
         touched = old.join(batch.select(day).distinct(), day, "left_semi")
         merged = touched.join(batch.select(*key, day), [*key, day], "left_anti").unionByName(batch)
-        rewrite_days(merged, path, day)
+        rewrite_days(checkpointed(merged), path, day)  # partitions are read before they are replaced
 
     stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(correct).trigger(availableNow=True).start().awaitTermination()
