@@ -265,6 +265,25 @@ def repeats(keyed: DataFrame, packed: DataFrame) -> DataFrame:
     return _by_document(whole.unionByName(later))
 
 
+def repeats_by_every_position(keyed: DataFrame) -> DataFrame:
+    """The same as ``repeats`` by plain prefix doubling: every position has a name for its string of 1, 2,
+    4, ..., 64 and then LENGTH bytes, each the hash of the names of two that overlap or meet; positions
+    with a name of their own drop out at each length. It takes over a hundred times the input in disk.
+    """
+    data = keyed.dropDuplicates(["k", "t"]).select("k", "t", F.col("text").cast("binary").alias("data")).where(F.length("data") >= LENGTH)
+    at = data.select("k", "t", "data", F.explode(F.sequence(F.lit(0), F.length("data") - 1)).alias("pos"))
+    names = at.select("k", "t", F.col("pos").cast("long").alias("pos"), F.xxhash64(F.substring("data", F.col("pos") + 1, F.lit(1))).alias("name"))
+    size = 1
+    while size < LENGTH:
+        step = min(size, LENGTH - size)
+        ahead = names.select("k", "t", (F.col("pos") - step).alias("pos"), F.col("name").alias("next"))
+        names = names.join(ahead, ["k", "t", "pos"]).select("k", "t", "pos", F.xxhash64("name", "next").alias("name"))
+        names = materialise(names.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("name"))).where("n > 1").drop("n"))
+        size += step
+    place = F.rank().over(Window.partitionBy("name").orderBy("k", "t", "pos"))
+    return _by_document(names.withColumn("place", place).where("place > 1").select("k", "t", "pos", F.lit(0).cast("short").alias("more")))
+
+
 def _by_document(runs: DataFrame, *more: str) -> DataFrame:
     return runs.groupBy("k", "t").agg(F.collect_list(F.struct(F.col("pos").alias("lo"), "more", *more)).alias("runs"))
 
@@ -277,12 +296,13 @@ def _digest(batch: pa.RecordBatch, rows: list) -> pa.RecordBatch:
     )
 
 
-def removal_report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each document."""
+def removal_report(docs: DataFrame, every_position: bool = False) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each document; ``every_position`` names all positions, not only anchors."""
     keyed = _keyed(docs)
     packed = keyed.mapInArrow(_packed, PACKED)
+    found = repeats_by_every_position(keyed) if every_position else repeats(keyed, packed)
     return (
-        packed.join(repeats(keyed, packed), ["k", "t"], "left")
+        packed.join(found, ["k", "t"], "left")
         .select("k", "size", "data", "runs")
         .mapInArrow(lambda it: _removed(it, _digest), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
         .withColumn("doc_id", F.nullif(F.col("doc_id"), F.lit(NO_ID)))

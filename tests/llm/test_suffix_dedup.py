@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+import pytest
+
 from nivalis.llm import suffix_dedup
 
 SCHEMA = "doc_id long, text string, t string, runs int, k int, rest string, n_chars long"
@@ -32,10 +34,11 @@ def corpus():
     return rows
 
 
-def test_matches_brute_force(spark):
+@pytest.mark.parametrize("every_position", [False, True])
+def test_matches_brute_force(spark, every_position):
     rows = corpus()
     df = spark.createDataFrame([(*r, "x", 1, 2, "y", 3) for r in rows], SCHEMA)
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.removal_report(df).collect()}
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.removal_report(df, every_position).collect()}
     assert got == brute(rows)
 
 
