@@ -25,9 +25,10 @@ BLOCK_BYTES = 16 << 20
 
 
 def count(texts: DataFrame) -> int:
-    """The number of blocks for the column text."""
+    """The number of blocks for the column text; of little text each core gets one, of a page or more."""
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(1, math.ceil(size / BLOCK_BYTES))
+    few = min(texts.sparkSession.sparkContext.defaultParallelism, math.ceil(size / PAGE_BYTES))
+    return max(1, few, math.ceil(size / BLOCK_BYTES))
 
 
 def owner(word: bytes, n: int) -> int:
