@@ -109,6 +109,15 @@ def compare(train: DataFrame, test: DataFrame, label: str, sets: Mapping[str, Se
     return reduce(DataFrame.unionByName, parts)
 
 
+def compare_rows(train: DataFrame, test: DataFrame, label: str, features: Sequence[str], subsets: Mapping[str, Column], make=linear) -> DataFrame:
+    """Metrics of one kind of model fitted and tried on several choices of rows."""
+    parts = []
+    for name, chosen in subsets.items():
+        found = fit(train.where(chosen), features, make(label)).transform(test.where(chosen))
+        parts.append(metrics(found, label).select(F.lit(name).alias("rows_used"), "*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def search(train: DataFrame, features: Sequence[str], label: str, trees: Sequence[int], depths: Sequence[int], parallelism: int = 2):
     """The forest that does best on a held-back part."""
     regressor = forest(label)

@@ -11,6 +11,7 @@ from nivalis.operators.lineage import numbered
 from nivalis.plans.registry import query
 
 KEY = ["point_id", "obs_date"]
+VARIABLES = ["click", "view", "purchase", "error", "signup"]
 _THREE = [f"{v} as (select point_id, obs_date, v as {v} from daily where variable = '{v}')" for v in ("click", "view", "purchase")]
 WITH3 = "with " + ", ".join(_THREE) + " "
 
@@ -201,15 +202,15 @@ def a16(lineitem):
     return A.density(lineitem, "l_quantity", "l_extendedprice", 5, 10000)
 
 
-@query("a19_union_by_variable", "select point_id, obs_date, variable, v from daily where variable in ('click', 'view')", "daily")
+@query("a19_union_by_variable", "select point_id, obs_date, variable, v from daily where variable is not null", "daily")
 def a19(daily):
-    parts = [daily.where(F.col("variable") == v).select(*KEY, F.lit(v).alias("variable"), "v") for v in ("click", "view")]
+    parts = [daily.where(F.col("variable") == v).select(*KEY, F.lit(v).alias("variable"), "v") for v in VARIABLES]
     return A.union_all(*parts)
 
 
-@query("a20_widen", "select point_id, obs_date, " + ", ".join(f"max(v) filter (where variable = '{v}') as {v}" for v in ("click", "view", "purchase")) + " from daily group by 1, 2", "daily")
+@query("a20_widen", "select point_id, obs_date, " + ", ".join(f"max(v) filter (where variable = '{v}') as {v}" for v in VARIABLES) + " from daily group by 1, 2", "daily")
 def a20(daily):
-    return A.widen(daily, KEY, "variable", "v", ["click", "view", "purchase"])
+    return A.widen(daily, KEY, "variable", "v", VARIABLES)
 
 
 @query("a21_correlations", "select 'l_quantity' as name, round(corr(l_quantity, l_extendedprice), 6) as corr from lineitem union all select 'l_tax', round(corr(l_tax, l_extendedprice), 6) from lineitem", "lineitem")
@@ -251,8 +252,8 @@ def u01(customer, supplier):
 
 @query("u02_union_same", "select point_id, obs_date, variable, v from daily", "daily")
 def u02(daily):
-    parts = [daily.where(F.col("variable") == v) for v in ("click", "view", "purchase", "error", "signup")]
-    rest = daily.where(~F.col("variable").isin("click", "view", "purchase", "error", "signup") | F.col("variable").isNull())
+    parts = [daily.where(F.col("variable") == v) for v in VARIABLES]
+    rest = daily.where(~F.col("variable").isin(VARIABLES) | F.col("variable").isNull())
     return A.union_all(*parts, rest).drop("n")
 
 
@@ -261,11 +262,17 @@ def u03(station, grid):
     return A.union_all(station.select("lat10", "lon10"), grid.select("lat10", "lon10")).distinct()
 
 
-@query("u04_column_difference", "select 'network' as name, 'left' as only_in, (select count(*) from station) as n union all select 'z', 'right', (select count(*) from grid)", "station", "grid")
-def u04(station, grid):
-    a, b = station.select("lat10", "lon10", "network"), grid.select("lat10", "lon10", "z")
-    counts = A.union_all(a.agg(F.count(F.lit(1)).alias("n")).withColumn("only_in", F.lit("left")), b.agg(F.count(F.lit(1)).alias("n")).withColumn("only_in", F.lit("right")))
-    return A.column_difference(a, b).join(counts, "only_in")
+@query(
+    "u04_column_difference",
+    "with c as (select column_name as name, table_name as t from information_schema.columns where table_name in ('documents', 'pages')), "
+    "n as (select 'documents' as t, count(*) as n from documents union all select 'pages', count(*) from pages) "
+    "select name, case t when 'documents' then 'left' else 'right' end as only_in, n from (select name, min(t) as t from c group by name having count(distinct t) = 1) join n using (t)",
+    "documents", "pages",
+)
+def u04(documents, pages):
+    """Columns that only one of two tables has, with the number of rows that carry them."""
+    counts = A.union_all(*[df.agg(F.count(F.lit(1)).alias("n")).withColumn("only_in", F.lit(side)) for df, side in ((documents, "left"), (pages, "right"))])
+    return A.column_difference(documents, pages).join(counts, "only_in")
 
 
 @query("a06_seasons_by_point", "select point_id, count(*) as n, cast(count(distinct water_year) as bigint) as seasons from season group by 1", "season")

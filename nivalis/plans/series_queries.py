@@ -10,10 +10,10 @@ from nivalis.operators import quality as Q
 from nivalis.operators import timeseries as W
 from nivalis.plans.fixtures import table, view
 from nivalis.plans.registry import query, with_folder
+from nivalis.plans.relational_queries import VARIABLES
 from nivalis.streaming import incremental as T
 
 
-
 def known():
     """The value, or null where it is a gap."""
     return F.when(F.col("v") <= 240, F.col("v"))
@@ -92,12 +92,42 @@ def w09(daily):
     return W.complete_days(daily.where("variable = 'click'"), "point_id", "obs_date", "v", 200.0)
 
 
-@query("w10_by_series", "select point_id, obs_date, v, row_number() over (partition by point_id order by obs_date) as place from panel", "panel")
+@query(
+    "w10_by_series",
+    "with s as (select point_id, obs_date, sum(coalesce(v, 0e0) - 50) over w as s from panel window w as (partition by point_id order by obs_date rows unbounded preceding)) "
+    "select point_id, obs_date, round(s - least(0e0, min(s) over (partition by point_id order by obs_date rows unbounded preceding)), 4) as store from s",
+    "panel",
+)
 def w10(panel):
-    def number(part):
-        return part.assign(place=range(1, len(part) + 1))
+    """A store that gains each day's value and loses up to 50 a day: a step from day to day, in each series by its order."""
+
+    def stored(part):
+        left, out = 0.0, []
+        for gain in part["v"].fillna(0.0):
+            left = max(0.0, left + gain - 50)
+            out.append(left)
+        return part[["point_id", "obs_date"]].assign(store=out)
+
+    out = W.by_series(panel, ["point_id"], "obs_date", stored, "point_id long, obs_date date, store double")
+    return out.withColumn("store", F.round("store", 4))
 
-    return W.by_series(panel, ["point_id"], "obs_date", number, "point_id long, obs_date date, v double, place long")
+
+_SUMS = ", ".join(f"sum(power(x, {k})) filter (where v is not null) over w as s{k}, sum(v * power(x, {k})) over w as t{k}" for k in range(5))
+_DET = "(({0}) * (({4}) * ({8}) - ({5}) * ({7})) - ({1}) * (({3}) * ({8}) - ({5}) * ({6})) + ({2}) * (({3}) * ({7}) - ({4}) * ({6})))"
+_PARABOLA = " + ".join(f"power(x, {k}) * {_DET.format(*[f't{i}' if j == k else f's{i + j}' for i in range(3) for j in range(3)])}" for k in range(3))
+_WHOLE = _DET.format(*[f"s{i + j}" for i in range(3) for j in range(3)])
+
+
+@query(
+    "w10_fill_parabola",
+    f"with {_GROW}, p as (select point_id, obs_date, v, x - 1 - 15e0 as x from g), s as (select *, count(v) over w as n, {_SUMS} from p window w as (partition by point_id)) "
+    f"select point_id, obs_date, round(case when n <= 2 then 0e0 when v is not null then v else ({_PARABOLA}) / {_WHOLE} end, 3) + 0e0 as v from s",
+    "panel",
+)
+def w10_parabola(panel):
+    """Gaps on each series' least-squares parabola."""
+    rows = panel.select("point_id", "obs_date", known().alias("v"))
+    return W.fill_polynomial(rows, ["point_id"], "obs_date", "v", 2).withColumn("v", F.round("v", 3) + 0.0)
 
 
 # ---- expectations
@@ -195,8 +225,8 @@ def season_features(panel, station):
 
 @query(
     "training_table",
-    "with k as (select point_id, obs_date, " + ", ".join(f"max(v) filter (where variable = '{v}') as {v}" for v in ("click", "view", "purchase")) + " from daily group by 1, 2) "
-    "select point_id, obs_date, click, view, purchase, cast(floor(((month(obs_date) + 9) % 12) / 3) as int) + 1 as season, elevation, "
+    "with k as (select point_id, obs_date, " + ", ".join(f"max(v) filter (where variable = '{v}') as {v}" for v in VARIABLES) + " from daily group by 1, 2) "
+    f"select point_id, obs_date, {', '.join(VARIABLES)}, cast(floor(((month(obs_date) + 9) % 12) / 3) as int) + 1 as season, elevation, "
     "coalesce(lag(click, 1) over w, 0e0) as click_1, coalesce(lag(click, 2) over w, 0e0) as click_2 "
     "from (select k.*, s.elevation from k join station s using (point_id) where lat between 25 and 49 and lon between -125 and -100) window w as (partition by point_id order by obs_date)",
     "daily",
@@ -204,7 +234,7 @@ def season_features(panel, station):
 )
 def training_table(daily, station):
     """Sources as columns, stations in the region, season and lags: the table a model is trained on."""
-    wide = daily.groupBy("point_id", "obs_date").pivot("variable", ["click", "view", "purchase"]).agg(F.first("v"))
+    wide = daily.groupBy("point_id", "obs_date").pivot("variable", VARIABLES).agg(F.first("v"))
     stations = P.in_box(station, 25, 49, -125, -100).select("point_id", "elevation")
     joined = wide.join(stations, "point_id").withColumn("season", C.season(F.col("obs_date")))
     from pyspark.sql.window import Window

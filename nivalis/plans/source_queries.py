@@ -204,13 +204,13 @@ def m03(lineitem):
 @query("m04_forest", None, "lineitem")
 def m04(lineitem):
     train, test = parts(lineitem)
-    return predicted(M.fit(train, FEATURES, M.forest("label", 25, 8)).transform(test))
+    return predicted(M.fit(train, FEATURES, M.forest("label")).transform(test))
 
 
 @query("m05_extra_trees", None, "lineitem")
 def m05(lineitem):
     train, test = parts(lineitem)
-    return predicted(M.fit(train, FEATURES, M.extra_trees("label", 20, 6)).transform(test))
+    return predicted(M.fit(train, FEATURES, M.extra_trees("label")).transform(test))
 
 
 @query("m06_balanced_weights", "with e as (select l_orderkey, l_linenumber, abs(l_quantity - 25) as err from lineitem), c as (select err, count(*) as n from e group by 1) select l_orderkey, l_linenumber, round((select count(*) from e) / ((select count(*) from c) * c.n), 8) as weight from e join c using (err)", "lineitem")
@@ -288,6 +288,24 @@ def m11(lineitem):
     return M.compare(train, test, "label", {"quantity": ["l_quantity"], "rates": ["l_discount", "l_tax"], "all": FEATURES})
 
 
+_ERRORS = "round(avg(abs(e)), 4) as mae, round(avg(e * e), 4) as mse, round(sqrt(avg(e * e)), 4) as rmse, round(1 - avg(e * e) / nullif(var_pop(label), 0), 6) as r2"
+
+
+@query(
+    "m11_compare_quality",
+    "with s as (select k.name as rows_used, c.* from code c join (values ('best', 0), ('usable', 2), ('any', 3)) k(name, most) on c.qa <= k.most where label is not null and depth is not null), "
+    "m as (select rows_used, regr_slope(label, depth) as a, regr_intercept(label, depth) as b from s where event_id % 5 <> 1 group by 1) "
+    f"select rows_used, {_ERRORS} from (select rows_used, label, label - (b + a * depth) as e from s join m using (rows_used) where event_id % 5 = 1) group by 1",
+    "code",
+)
+def m11_quality(code):
+    """One model over the rows of three grades of quality."""
+    rows = S.split_by_key(code.where("label is not null and depth is not null"), F.col("event_id"), test=1)
+    grades = {"best": F.col("qa") == 0, "usable": F.col("qa") < 3, "any": F.lit(True)}
+    out = M.compare_rows(rows.where("not is_test"), rows.where("is_test"), "label", ["depth"], grades)
+    return out.withColumns({"mae": F.round("mae", 4), "mse": F.round("mse", 4), "rmse": F.round("rmse", 4), "r2": F.round("r2", 6)})
+
+
 @query("m12_melted", "select point_id, obs_date, 'a' as model, v as predicted from panel union all select point_id, obs_date, 'b', v * 2 from panel", "panel")
 def m12(panel):
     return M.melted(panel.select("point_id", "obs_date", F.col("v").alias("a"), (F.col("v") * 2).alias("b")), ["point_id", "obs_date"], ["a", "b"])
@@ -300,6 +318,13 @@ def m13(code):
     return M.metrics(M.fit(train, ["code", "lc", "qa"], M.forest("label", 10, 5)).transform(test))
 
 
+@query("m13_cover_importances", None, "code")
+def m13_importances(code):
+    """What the cover model goes by, most important first."""
+    rows = code.select("code", "lc", "qa", F.col("label")).na.drop()
+    return M.importances(M.fit(rows, ["code", "lc", "qa"], M.forest("label", 10, 5)), ["code", "lc", "qa"], code.sparkSession)
+
+
 @query("m14_label_encoded", "select c_custkey, c_mktsegment, cast(dense_rank() over (order by c_mktsegment) - 1 as int) as c_mktsegment_code from customer", "customer")
 def m14(customer):
     return M.label_encoded(customer.select("c_custkey", "c_mktsegment"), "c_mktsegment")
