@@ -4,7 +4,8 @@ Vectors are dealt into blocks. In each pair of a query block and a candidate blo
 dimension has a list of the candidates sorted by that component. A query walks all its lists
 together, each from the end where its own component gains most, scores what it meets, and stops
 as soon as the sum of the contributions at the current depth (a bound on everything not yet met)
-is below its k-th best score. The best of each block are then merged per query.
+is below its k-th best score. A query that has walked as many entries as its block has rows scores
+the rows not met yet, which ends its search. The best of each block are then merged per query.
 
 Each block pair costs at most one full scoring, so the work is that of the stated query set
 against all rows in blocks; nothing is broadcast and no pair of vectors becomes a row unless it
@@ -28,6 +29,8 @@ from pyspark.sql.window import Window
 
 QUERY_BLOCK, CANDIDATE_BLOCK = 2048, 16384
 FIRST_DEPTH = 16
+#: Entries of all lists together that are walked for each row of a block before the rows not met are scored at once.
+WALKED = 1
 
 
 def threshold_search(q: np.ndarray, data: np.ndarray, order: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -42,13 +45,15 @@ def threshold_search(q: np.ndarray, data: np.ndarray, order: np.ndarray, ids: np
     rows, scores = np.empty(0, np.int64), np.empty(0, data.dtype)
     done, depth = 0, min(n, FIRST_DEPTH)
     while True:
-        met = np.zeros(n, bool)
-        met[order[n - depth : n - done, up]] = True
-        met[order[done:depth, down]] = True
-        if not len(used) or depth == n:
-            met[:] = True
-        new = np.flatnonzero(met & ~seen)
-        seen |= met
+        if not len(used) or depth * len(used) > WALKED * n:
+            depth = n  # few are left that no list has shown: to score them costs less than to walk on
+        if depth == n:
+            new = np.flatnonzero(~seen)
+        else:
+            met = seen.copy()
+            met[order[n - depth : n - done, up]] = True
+            met[order[done:depth, down]] = True
+            new, seen = np.flatnonzero(met & ~seen), met
         new = new[ids[new] != own]
         rows = np.concatenate([rows, new])
         found = data[new] @ q
@@ -57,7 +62,7 @@ def threshold_search(q: np.ndarray, data: np.ndarray, order: np.ndarray, ids: np
             kth = np.sort(scores)[len(scores) - k] if scores.dtype == object else np.partition(scores, len(scores) - k)[len(scores) - k]
             keep = scores >= kth
             rows, scores = rows[keep], scores[keep]
-        if depth == n or not len(used):
+        if depth == n:
             break
         if len(rows) >= k:
             last = np.concatenate([order[n - depth, up], order[depth - 1, down]])
