@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from nivalis.functions import columns as C
 from nivalis.operators import clean as P
@@ -182,11 +183,35 @@ def t02(spark, sf_dir, folder):
     return out.select(F.col("window.start").cast("date").alias("obs_date"), "event_type", "n", F.round("total", 2).alias("total"))
 
 
+_LATE = "ts < timestamp '2024-01-08' and event_id % 10 = 0"
+
+
+@with_folder(
+    "t02_daily_arrivals",
+    f"select cast(ts as date) as obs_date, event_type, count(*) as n, round(sum(value), 2) as total from events where not ({_LATE}) "
+    "group by 1, 2 having cast(ts as date) + interval 1 day <= (select max(ts) - interval 3 days from events)",
+)
+def t02_arrivals(spark, sf_dir, folder):
+    """The same in three arrivals, each a run that goes on from the last one's state: a day comes out once and for good
+    when it is three days behind, and rows of the first week that only the last arrival brings are too late."""
+    events = table(spark, sf_dir, "events")
+    late, new = F.expr(_LATE), F.col("ts") >= F.lit("2024-01-16").cast("timestamp")
+    for arrived in (~late & ~new, ~late & new, late):
+        events.where(arrived).write.mode("append").parquet(f"{folder}/in")
+        stream = T.read_stream(spark, f"{folder}/in", events.schema)
+        T.run_available(T.daily_totals(stream, "ts", ["event_type"], "value"), f"{folder}/out", f"{folder}/checkpoint")
+    out = spark.read.parquet(f"{folder}/out")
+    return out.select(F.col("window.start").cast("date").alias("obs_date"), "event_type", "n", F.round("total", 2).alias("total"))
+
+
 @with_folder("t03_season_stream", "select o_custkey as point_id, cast(year(o_orderdate) + case when month(o_orderdate) >= 10 then 1 else 0 end as int) as water_year, count(*) as n, round(sum(o_totalprice), 2) as total from orders group by 1, 2")
 def t03(spark, sf_dir, folder):
+    """Orders in two arrivals; the second run goes on from the totals that the first one kept as state."""
     orders = table(spark, sf_dir, "orders")
-    stream = T.read_stream(spark, f"{sf_dir}/orders.parquet*", orders.schema)
-    T.run_available(T.season_totals(stream, "o_orderdate", "o_custkey", "o_totalprice"), f"{folder}/out", f"{folder}/checkpoint", "complete")
+    for part in (0, 1):
+        orders.where(F.pmod("o_orderkey", F.lit(2)) == part).write.mode("append").parquet(f"{folder}/in")
+        stream = T.read_stream(spark, f"{folder}/in", orders.schema)
+        T.run_available(T.season_totals(stream, "o_orderdate", "o_custkey", "o_totalprice"), f"{folder}/out", f"{folder}/checkpoint", "complete")
     return spark.read.parquet(f"{folder}/out").select(F.col("o_custkey").alias("point_id"), "water_year", "n", F.round("total", 2).alias("total"))
 
 
@@ -237,7 +262,5 @@ def training_table(daily, station):
     wide = daily.groupBy("point_id", "obs_date").pivot("variable", VARIABLES).agg(F.first("v"))
     stations = P.in_box(station, 25, 49, -125, -100).select("point_id", "elevation")
     joined = wide.join(stations, "point_id").withColumn("season", C.season(F.col("obs_date")))
-    from pyspark.sql.window import Window
-
     w = Window.partitionBy("point_id").orderBy("obs_date")
     return joined.withColumns({f"click_{k}": F.coalesce(F.lag("click", k).over(w), F.lit(0.0)) for k in (1, 2)})
