@@ -19,11 +19,12 @@ Spark groups the (name, position) pairs at each length and names that are unique
 Names have 64 bits at each length and the bytes behind equal names are not compared again, so the
 result is exact but for collisions: K different runs (or strings) with one anchor have about
 K * K / 2^64 colliding pairs, 5e-8 at a million (the lowest bit only tells whether the length is
-odd). Each round is one shuffle by the anchor's name. An anchor that a sample shows to be common is salted by its share of the sample, ranked
-within each salt first and then over the few left of it, so a passage that a third of all
-documents share does not land in one task; the sample only decides how rows are dealt. Round 3
-moves one row for each run and not for each string, and no pairs of positions are ever made. Texts
-are shuffled once, compressed, for round 3 and for the cut.
+odd). Each round is one shuffle by the anchor's name. A common anchor is salted by document, in
+round 2 by its share of a sample and in round 3 by its kinds of run: its runs (or strings) are ranked
+within each salt first, and then the first of each salt over all salts, so a passage that a third
+of all documents share does not land in one task; the sample only decides how rows are dealt. Round
+3 moves one row for each run and not for each string (but for the first strings of each salt), and
+no pairs of positions are ever made. Texts are shuffled once, compressed, for round 3 and for the cut.
 
 Defined cases: a null text is empty; texts under 100 bytes stay whole; a null doc_id comes
 before all others; rows that repeat a doc_id with another text are told apart and ordered by a
@@ -35,6 +36,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -51,8 +53,8 @@ PLACES = LENGTH - GRAM + 1
 SLICE = 1 << 19
 #: One document in SAMPLE shows which anchors are common; these get a salt for each SALT_ROWS rows expected.
 SAMPLE, SALT_ROWS = 64, 20_000
-#: An anchor with more kinds of run than this has its strings salted in round 3.
-SALT_KINDS = 4096
+#: The strings of an anchor have a salt in round 3 for each SALT_KINDS of its kinds of run.
+SALT_KINDS = 1024
 
 RUNS = "name long, run long, k long, t long, pos long, more short"
 PACKED = "k long, t long, size int, data binary"
@@ -149,27 +151,22 @@ def _spans(value: list | None) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _emit_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each listed run, the names of its strings in a row; for a salted run, a row for each string."""
+    """For each listed run, the names of its strings in a row, dealt by document to the salts of its anchor."""
     expand = zstandard.ZstdDecompressor()
     for batch in batches:
         out: list[tuple] = []
         for k, t, size, packed, value in zip(*(batch[c].to_pylist() for c in ("k", "t", "size", "data", "runs")), strict=True):
             data = np.frombuffer(expand.decompress(packed, max_output_size=size), np.uint8)
+            dealt = crc32(f"{k} {t}".encode())
             for run in value:
                 names = _Names(data[run["lo"] : run["lo"] + run["more"] + LENGTH])
                 start = np.arange(run["more"] + 1)
                 whole = names.at(start, start + HALF) * _MIX + names.at(start + HALF, start + LENGTH)
-                if run["salts"] == 1:
-                    out.append((run["name"], 0, k, t, run["lo"], whole.view(np.int64)))
-                else:
-                    salt = (whole % np.uint64(run["salts"])).tolist()
-                    out += ((run["name"], salt[i], k, t, run["lo"] + i, whole.view(np.int64)[i : i + 1]) for i in range(len(whole)))
+                out.append((run["name"], dealt % run["salts"], run["salts"], k, t, run["lo"], whole.view(np.int64)))
         if out:
-            name, salt, k, t, pos, strings = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(name, pa.int64()), pa.array(salt, pa.int32()), pa.array(k, pa.int64()), pa.array(t, pa.int64()), pa.array(pos, pa.int64()), pa.array(strings, pa.list_(pa.int64()))],
-                names=["name", "salt", "k", "t", "pos", "strings"],
-            )
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+            columns = [pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=["name", "salt", "salts", "k", "t", "pos", "strings"])
 
 
 def covered(n: int, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -257,12 +254,17 @@ def repeats(keyed: DataFrame, packed: DataFrame) -> DataFrame:
 
     first = first.withColumn("salts", F.ceil(F.col("kinds") / SALT_KINDS).cast("int"))
     strings = packed.join(_by_document(first, "name", "salts"), ["k", "t"]).select("k", "t", "size", "data", "runs")
-    strings = strings.mapInArrow(_emit_strings, "name long, salt int, k long, t long, pos long, strings array<long>").repartition("name", "salt")
-    strings = strings.select("name", "salt", "k", "t", "pos", F.posexplode("strings").alias("i", "string"))
-    strings = strings.select("name", "salt", "string", "k", "t", (F.col("pos") + F.col("i")).alias("pos"))
+    strings = strings.mapInArrow(_emit_strings, "name long, salt int, salts int, k long, t long, pos long, strings array<long>").repartition("name", "salt")
+    strings = strings.select("name", "salt", "salts", "k", "t", "pos", F.posexplode("strings").alias("i", "string"))
+    strings = strings.withColumn("pos", F.col("pos") + F.col("i"))
     place = F.rank().over(Window.partitionBy("name", "salt", "string").orderBy("k", "t", "pos"))
-    later = strings.withColumn("place", place).where("place > 1").select("k", "t", "pos", F.lit(0).cast("short").alias("more"))
-    return _by_document(whole.unionByName(later))
+    placed = strings.withColumn("place", place).where("place > 1 or salts > 1")
+    # a repeat within its salt is settled; the first of each salt are ranked over all salts
+    placed = materialise(placed.select("k", "t", "pos", *[F.when(F.col("place") == 1, F.col(c)).alias(c) for c in ("name", "string")]))
+    over_all = F.rank().over(Window.partitionBy("name", "string").orderBy("k", "t", "pos"))
+    later = placed.where("name is null").drop("name", "string")
+    later = later.unionByName(placed.where("name is not null").withColumn("place", over_all).where("place > 1").select("k", "t", "pos"))
+    return _by_document(whole.unionByName(later.withColumn("more", F.lit(0).cast("short"))))
 
 
 def repeats_by_every_position(keyed: DataFrame) -> DataFrame:
