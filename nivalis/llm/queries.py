@@ -11,6 +11,7 @@ from nivalis.llm.quality_classifier import op5_quality_classifier
 from nivalis.llm.quality_rules import op4_quality_rules
 from nivalis.llm.sharding import op10_sharding
 from nivalis.llm.suffix_dedup import op1_suffix_dedup
+from nivalis.llm.token_files import op11_token_files
 from nivalis.llm.topk import OP2_SQL, op2_exact_topk
 
 QUERIES = {
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_source_mixing": op8_source_mixing,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_sharding": op10_sharding,
+    "op11_token_files": op11_token_files,
 }
 
 ORACLE_SQL: dict[str, str] = {
