@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from nivalis.llm.bpe import op6_bpe_encoding
+from nivalis.llm.cross_tokenizer import op13_token_alignment
 from nivalis.llm.language_id import op7_language_id
+from nivalis.llm.lexical_search import OP12_SQL, op12_lexical_search
 from nivalis.llm.mixing import OP8_SQL, op8_source_mixing
 from nivalis.llm.ngram_join import OP9_SQL, op9_ngram_jaccard_join
 from nivalis.llm.pitman_yor import op3_lm_scoring
@@ -26,10 +28,13 @@ QUERIES = {
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_sharding": op10_sharding,
     "op11_token_files": op11_token_files,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_topk": OP2_SQL,
     "op8_source_mixing": OP8_SQL,
     "op9_ngram_jaccard_join": OP9_SQL,
+    "op12_lexical_search": OP12_SQL,
 }
