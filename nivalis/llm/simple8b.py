@@ -43,6 +43,16 @@ def _selectors(kinds: np.ndarray) -> np.ndarray:
     return np.int8(_ESCAPE) - fit
 
 
+_SMALL = (np.searchsorted(_LIMITS, np.arange(1 << 16, dtype=np.uint64)) + 1).astype(np.int8)
+
+
+def _kinds(values: np.ndarray) -> np.ndarray:
+    """The smallest selector that each value fits."""
+    if values.max(initial=0) < len(_SMALL):
+        return _SMALL[values]
+    return (np.searchsorted(_LIMITS, values) + 1).astype(np.int8)
+
+
 def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The words (uint64) of whole numbers from 0 to 2^64 - 1, and the place of each block's first word."""
     values = np.ascontiguousarray(values, np.uint64)
@@ -50,7 +60,7 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     rows = -(-n // BLOCK)
     padded = np.zeros(rows * BLOCK + 60, np.uint64)
     padded[:n] = values
-    kinds = (np.searchsorted(_LIMITS, padded[: rows * BLOCK]) + 1).astype(np.int8).reshape(rows, BLOCK)
+    kinds = _kinds(padded[: rows * BLOCK]).reshape(rows, BLOCK)
     choice = _selectors(kinds)
     step = np.where(choice == _ESCAPE, 1, COUNTS[np.minimum(choice, 14)])
     begins = np.zeros((rows, BLOCK), bool)
@@ -71,10 +81,13 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if k == _ESCAPE:
             words[to + 1] = padded[at]
             continue
-        turn = np.arange(COUNTS[k])
-        inside = turn < np.minimum(BLOCK - at % BLOCK, n - at)[:, None]
-        taken = np.where(inside, padded[at[:, None] + turn], np.uint64(0))
-        words[to] = np.bitwise_or.reduce(taken << (turn.astype(np.uint64) * BITS[k]), axis=1) | (np.uint64(k) << _TOP)
+        left = np.minimum(BLOCK - at % BLOCK, n - at)
+        short = bool((left < COUNTS[k]).any())
+        word = np.full(len(at), np.uint64(k) << _TOP)
+        for turn in range(COUNTS[k]):
+            value = padded[at + turn] << np.uint64(turn * BITS[k])
+            word |= np.where(left > turn, value, np.uint64(0)) if short else value
+        words[to] = word
     return words, target[np.searchsorted(places, np.arange(rows) * BLOCK)]
 
 

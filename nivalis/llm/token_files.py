@@ -20,6 +20,7 @@ texts' hash; no documents: no files and no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 import struct
@@ -37,11 +38,12 @@ from pyspark.sql.window import Window
 
 from nivalis.llm import bpe, simple8b
 from nivalis.llm.common import documents, id_and_text, materialise, scratch
+from nivalis.llm.joined_words import joined_ids
 
 #: The id after each document.
 END = 2
 #: Bytes of text for a file, ids in a section, and bytes of words whose ids a worker keeps.
-FILE_BYTES, SECTION, KNOWN_BYTES = 64 << 20, 1 << 20, 48 << 20
+FILE_BYTES, SECTION, KNOWN_BYTES = 64 << 20, 1 << 20, 128 << 20
 
 MAGIC = b"S8BIDS01"
 #: A section's header: documents, ids, words and blocks.
@@ -49,28 +51,59 @@ HEADER = struct.Struct("<IIII")
 #: Of a document in a section: its id, its ids there, whether it ends there, whether its id is null.
 ENTRY = np.dtype([("doc_id", "<i8"), ("n", "<u4"), ("ends", "u1"), ("null", "u1")])
 
+#: White space in a row, and a byte that UTF-8 does not use.
+_RUN, _BARE = re.compile(rb"[\t-\r ]{2}"), b"\xff"
+
 MANIFEST = "part int, file string, n_docs long, n_ids long, n_bytes long"
 
 
+def _keys(text: bytes) -> list[bytes]:
+    """The words of a text: a space before a word is left out, and a word without one that does not follow a line end gets a byte that no text has."""
+    if _RUN.search(text) or (not text.isascii() and bpe._WIDE.search(text)):
+        return [w[1:] if w[:1] == b" " and w[1:2] != b"\n" else w if w[:1] == b"\n" else _BARE + w for w in bpe.split_words(text)]
+    found = text.replace(b"\n", b" \n").split(b" ")
+    if found[0]:
+        found[0] = _BARE + found[0]
+    else:  # a space or a line end comes first
+        del found[0]
+    return found
+
+
+def _word(key: bytes) -> bytes:
+    return key[1:] if key[:1] == _BARE else key if key[:1] == b"\n" else b" " + key
+
+
+class Numbers(dict):
+    """A number for each word, in the order of their first use."""
+
+    def __missing__(self, key: bytes) -> int:
+        self[key] = found = len(self)
+        return found
+
+
 class Known:
-    """The ids, as bytes, of the words that this worker met lately."""
+    """The ids of the words that this worker met lately. Word 0 is the end of a document."""
 
     def __init__(self, path: str):
-        self.path, self.ids, self.size = path, {}, 0
+        self.path = path
+        self.clear()
+
+    def clear(self) -> None:
+        self.number, self.size = Numbers({_BARE: 0}), 0
+        self.table = bpe.Packed(np.ones(1, np.int64), np.array([END], "<u4"))
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit numbers."""
-        split = [bpe.split_words(x) for x in texts]
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text and its end."""
         if self.size > KNOWN_BYTES:
-            self.ids, self.size = {}, 0
-        new = list({w for words in split for w in words if w not in self.ids})
-        for at in range(0, len(new), bpe.CALL):
-            part = new[at : at + bpe.CALL]
-            found = bpe.tokenizer(self.path).encode_batch([w.decode() for w in part], add_special_tokens=False)
-            for word, x in zip(part, found, strict=True):
-                self.ids[word] = np.array(x.ids, "<u4").tobytes()
-                self.size += 200 + len(word) + 4 * len(x.ids)
-        return [b"".join([self.ids[w] for w in words]) for words in split]
+            self.clear()
+        look, before = self.number.__getitem__, len(self.number)
+        words = [np.fromiter(map(look, [*(_keys(x) if x else []), _BARE]), np.int64) for x in texts]
+        if new := list(itertools.islice(self.number, before, None)):
+            many = lambda parts: [x.ids for x in bpe.tokenizer(self.path).encode_batch_fast([w.decode() for w in parts], add_special_tokens=False)]
+            flat, cuts = joined_ids([_word(w) for w in new], many, bpe.pieces(self.path).lengths)
+            self.table = bpe.Packed(np.concatenate([self.table.lengths, np.diff(cuts)]), np.concatenate([self.table.flat, flat.astype("<u4")]))
+            self.size += 150 * len(new) + sum(map(len, new)) + 4 * len(flat)
+        return [self.table.joined(x) for x in words]
 
 
 _known: dict[str, Known] = {}
@@ -143,7 +176,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None) -> DataFrame
         known = _known.setdefault(tokenizer, Known(tokenizer))
         system, folder = _place(path)
         out = writer = None
-        name, end = f"{uuid.uuid4().hex}.ids", np.array([END], "<u4").tobytes()
+        name = f"{uuid.uuid4().hex}.ids"
         try:
             for batch in batches:
                 if writer is None:
@@ -152,7 +185,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None) -> DataFrame
                     writer = Writer(out)
                 encoded = known.encode([x.as_buffer().to_pybytes() for x in batch["text"]])
                 for doc_id, ids in zip(batch["doc_id"].to_pylist(), encoded, strict=True):
-                    writer.add(doc_id, np.frombuffer(ids + end, "<u4"))
+                    writer.add(doc_id, ids)
             if writer:
                 writer.flush()
         finally:

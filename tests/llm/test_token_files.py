@@ -111,3 +111,13 @@ def test_empty(spark):
     path = scratch(spark)
     manifest = token_files.write(spark.createDataFrame([], "doc_id long, text string"), path)
     assert token_files.report(manifest, path).collect() == []
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("ab \n\t\r\x0b\x85\xa0　'sé1!<|>\x1c"), max_size=30), max_size=5))
+def test_ids_equal_the_tokenizer(texts):
+    plain = bpe.tokenizer(bpe.default_path())
+    known = token_files.Known(bpe.default_path())
+    for _ in range(2):  # words that are new, and that are known
+        got = known.encode([x.encode() for x in texts])
+        assert [x.tolist() for x in got] == [[*plain.encode(x, add_special_tokens=False).ids, 2] for x in texts]
