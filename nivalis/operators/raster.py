@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import warnings
+from collections.abc import Callable, Sequence
 from math import exp
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from nivalis.operators import blocks as B
 from nivalis.operators.aggregates import circular_mean
 from nivalis.operators.nearest import nearest_on_axis
 
@@ -19,9 +22,10 @@ def _along(axis: str, keys: Sequence[str]):
 
 
 def gradient(value: Column, axis: str, spacing: float = 1.0, keys: Sequence[str] = ()) -> Column:
-    """Central difference, one-sided at the ends; null on a line of one cell."""
+    """Central difference of the cells beside; one-sided at an end or a gap, null where no cell is beside."""
     w = _along(axis, keys)
-    before, after = F.lag(value).over(w), F.lead(value).over(w)
+    before = F.when(F.lag(axis).over(w) == F.col(axis) - 1, F.lag(value).over(w))
+    after = F.when(F.lead(axis).over(w) == F.col(axis) + 1, F.lead(value).over(w))
     return F.when(before.isNull(), after - value).when(after.isNull(), value - before).otherwise((after - before) / 2) / spacing
 
 
@@ -64,38 +68,6 @@ def from_aspect(aspect: Column) -> tuple[Column, Column]:
     return F.sin(F.radians(aspect)), F.cos(F.radians(aspect))
 
 
-def extent(grid: DataFrame) -> DataFrame:
-    """One row: height and width."""
-    return grid.agg((F.max("y") + 1).alias("height"), (F.max("x") + 1).alias("width"))
-
-
-def _inside(i: Column, n: Column) -> Column:
-    """An index reflected at the border: d c b a | a b c d | d c b a."""
-    j = F.pmod(i, 2 * n)
-    return F.when(j < n, j).otherwise(2 * n - 1 - j)
-
-
-def gather(grid: DataFrame, offsets: Sequence[tuple[int, int, float]], value: str = "z", border: str = "reflect") -> DataFrame:
-    """For each cell (y, x) its neighbours at (dy, dx, weight): z and w, one row each.
-
-    Each cell is sent to the cells that use it as a neighbour, so one shuffle by target follows;
-    ``border``: "reflect", or "zero" (neighbours outside are left out).
-    """
-    moves = F.explode(F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx"), F.lit(float(w)).alias("w")) for dy, dx, w in offsets]))
-    if border == "zero":
-        cells = grid.select("y", "x", F.col(value).alias("z")).withColumn("m", moves)
-        out = cells.select((F.col("y") - F.col("m.dy")).alias("y"), (F.col("x") - F.col("m.dx")).alias("x"), "z", "m.w")
-        return out.join(grid.select("y", "x"), ["y", "x"], "left_semi")
-    wanted = grid.select("y", "x").join(F.broadcast(extent(grid))).withColumn("m", moves)
-    wanted = wanted.select("y", "x", "m.w", _inside(F.col("y") + F.col("m.dy"), F.col("height")).alias("sy"), _inside(F.col("x") + F.col("m.dx"), F.col("width")).alias("sx"))
-    source = grid.select(F.col("y").alias("sy"), F.col("x").alias("sx"), F.col(value).alias("z"))
-    return wanted.join(source, ["sy", "sx"]).select("y", "x", "z", "w")
-
-
-def convolve(grid: DataFrame, offsets: Sequence[tuple[int, int, float]], value: str = "z", border: str = "reflect", name: str = "z") -> DataFrame:
-    return gather(grid, offsets, value, border).groupBy("y", "x").agg(F.sum(F.col("z") * F.col("w")).alias(name))
-
-
 def _sobel(axis: str) -> list[tuple[int, int, float]]:
     smooth, diff = {-1: 1, 0: 2, 1: 1}, {-1: -1, 1: 1}
     pairs = [(a, b, da * s) for a, da in diff.items() for b, s in smooth.items()]
@@ -107,33 +79,52 @@ def gaussian_weights(sigma: float = 1.0, radius: int = 4) -> list[float]:
     return [w / sum(raw) for w in raw]
 
 
-def smooth(grid: DataFrame, sigma: float = 1.0, radius: int = 4, value: str = "z") -> DataFrame:
-    """Gaussian smoothing by one pass for each axis."""
+def _gaussian(field: B.Field, sigma: float, radius: int) -> B.Field:
     weights = list(zip(range(-radius, radius + 1), gaussian_weights(sigma, radius), strict=True))
-    rows = convolve(grid, [(d, 0, w) for d, w in weights], value)
-    return convolve(rows, [(0, d, w) for d, w in weights])
+    rows = field.like(B.weighted(field.reflected(), [(d, 0, w) for d, w in weights]))
+    return field.like(B.weighted(rows.reflected(), [(0, d, w) for d, w in weights]))
+
+
+def smooth(grid: DataFrame, sigma: float = 1.0, radius: int = 4, value: str = "z", keys: Sequence[str] = (), side: int = B.SIDE) -> DataFrame:
+    """Gaussian smoothing, with the values mirrored at the border."""
+    return B.by_tile(grid, lambda f: {"z": _gaussian(f, sigma, radius).z}, ["z"], radius, keys, value, side)
+
 
+def _curvature(field: B.Field, sigma: float | None, radius: int = 4) -> np.ndarray:
+    twice = [field.like(B.weighted(field.like(B.weighted(field.z, _sobel(axis))).z, _sobel(axis))).z for axis in "yx"]
+    total = field.like(twice[0] + twice[1])
+    return (_gaussian(total, sigma, radius) if sigma else total).z
 
-def curvature_sobel(grid: DataFrame, value: str = "z", sigma: float | None = 1.0) -> DataFrame:
+
+def curvature_sobel(grid: DataFrame, value: str = "z", sigma: float | None = 1.0, keys: Sequence[str] = (), side: int = B.SIDE) -> DataFrame:
     """curvature: Sobel twice on each axis with a border of zeros, added up and smoothed."""
-    twice = lambda axis: convolve(convolve(grid, _sobel(axis), value, "zero"), _sobel(axis), "z", "zero", f"z{axis}")
-    total = twice("y").join(twice("x"), ["y", "x"]).select("y", "x", (F.col("zy") + F.col("zx")).alias("z"))
-    return (smooth(total, sigma) if sigma else total).withColumnRenamed("z", "curvature")
+    return B.by_tile(grid, lambda f: {"curvature": _curvature(f, sigma)}, ["curvature"], 6 if sigma else 2, keys, value, side)
 
 
 _BOX = [(dy, dx, 1.0) for dy in (-1, 0, 1) for dx in (-1, 0, 1)]
 _CROSS = [(0, 0, 1.0), (-1, 0, 1.0), (1, 0, 1.0), (0, -1, 1.0), (0, 1, 1.0)]
 
 
-def median_filter(grid: DataFrame, value: str = "z") -> DataFrame:
-    """The median of the 3 x 3 cells around each."""
-    return gather(grid, _BOX, value).groupBy("y", "x").agg(F.median("z").alias("z"))
+def _of_neighbours(how: Callable, z: np.ndarray, offsets: Sequence[tuple[int, int, float]]) -> np.ndarray:
+    """how(the neighbours that have a value); NaN where none has."""
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore", RuntimeWarning)  # cells without any
+        return how(B.neighbours(z, offsets), axis=0)
+
+
+def median_filter(grid: DataFrame, value: str = "z", keys: Sequence[str] = (), side: int = B.SIDE) -> DataFrame:
+    """The median of the 3 x 3 cells around each, mirrored at the border."""
+    return B.by_tile(grid, lambda f: {"z": _of_neighbours(np.nanmedian, f.reflected(), _BOX)}, ["z"], 1, keys, value, side)
 
 
-def closing(grid: DataFrame, value: str = "z") -> DataFrame:
-    """Morphological closing with the cross of five cells."""
-    wide = gather(grid, _CROSS, value, "zero").groupBy("y", "x").agg(F.max("z").alias("z"))
-    return gather(wide, _CROSS, "z", "zero").groupBy("y", "x").agg(F.min("z").alias("z"))
+def closing(grid: DataFrame, value: str = "z", keys: Sequence[str] = (), side: int = B.SIDE) -> DataFrame:
+    """Morphological closing with the cross of five cells; cells beyond the border don't count."""
+
+    def close(field: B.Field) -> dict[str, np.ndarray]:
+        widened = field.like(_of_neighbours(np.nanmax, field.z, _CROSS))
+        return {"z": _of_neighbours(np.nanmin, widened.z, _CROSS)}
+
+    return B.by_tile(grid, close, ["z"], 2, keys, value, side)
 
 
 def window_scaled(grid: DataFrame, y0: int, y1: int, x0: int, x1: int, value: str = "z") -> DataFrame:
@@ -155,12 +146,18 @@ def terrain_summary(cells: DataFrame, keys: Sequence[str], elevation: str, slope
     return out.withColumns({"northness": north, "eastness": east})
 
 
-def terrain_table(grid: DataFrame, value: str = "z", from_vertical: bool = True) -> DataFrame:
-    """Elevation, slope (from the vertical, or else the angle itself), aspect, curvature, northness and eastness of each cell."""
-    a = slope_aspect(grid, value, from_vertical).select("y", "x", F.col(value).alias("elevation"), "slope", "aspect", "gy", "gx")
-    share = lambda g: F.atan(F.try_divide(F.col(g), _norm()))
-    a = a.withColumns({"northness": share("gy"), "eastness": share("gx")}).drop("gy", "gx")
-    return a.join(curvature_sobel(grid, value), ["y", "x"])
+def terrain_table(grid: DataFrame, value: str = "z", from_vertical: bool = True, keys: Sequence[str] = (), side: int = B.SIDE) -> DataFrame:
+    """Elevation, slope (from the vertical, or else the angle itself), aspect, curvature, northness and eastness of each cell, in one pass over the tiles."""
+
+    def terrain(field: B.Field) -> dict[str, np.ndarray]:
+        gy, gx = B.gradient(field.z, "y"), B.gradient(field.z, "x")
+        norm = np.sqrt(gy * gy + gx * gx)
+        angle, turn = np.degrees(np.arctan(norm)), np.degrees(np.arctan2(-gx, gy))
+        with np.errstate(invalid="ignore", divide="ignore"):
+            north, east = np.arctan(gy / norm), np.arctan(gx / norm)
+        return {"elevation": field.z, "slope": 90 - angle if from_vertical else angle, "aspect": np.where(turn < 0, turn + 360, turn), "northness": north, "eastness": east, "curvature": _curvature(field, 1.0)}
+
+    return B.by_tile(grid, terrain, ["elevation", "slope", "aspect", "northness", "eastness", "curvature"], 6, keys, value, side)
 
 
 def focal_means(points: DataFrame, grid: DataFrame, values: Sequence[str], half: int = 33, angles: Sequence[str] = ()) -> DataFrame:
@@ -189,25 +186,45 @@ def regrid(grid: DataFrame, step: float, north: float, west: float, south: float
     """oy, ox and value of each output cell from the north-west corner to the extent's other end.
 
     The value is that of the source cell whose row and column are nearest to the output cell's
-    centre (ties: the smaller coordinate); null where the source lacks that cell.
+    centre (ties: the smaller coordinate). It is null where the source lacks that cell, and where
+    the centre is farther from it than half a source cell (the axis's mean spacing) on either axis:
+    nothing is carried beyond the source.
     """
     spark = grid.sparkSession
     line = lambda n, name, place: spark.range(max(0, n)).select(F.col("id").alias(name), place(F.col("id")).alias(f"{name}_at"))
-    rows = line(round((north - south) / step), "oy", lambda i: F.lit(float(north)) - (i + 0.5) * step)
-    columns = line(round((east - west) / step), "ox", lambda i: F.lit(float(west)) + (i + 0.5) * step)
-    rows = rows.join(nearest_on_axis(rows, grid, "oy_at", lat), "oy_at").select("oy", F.col("near_oy_at").alias(lat))
-    columns = columns.join(nearest_on_axis(columns, grid, "ox_at", lon), "ox_at").select("ox", F.col("near_ox_at").alias(lon))
+    every_row = line(round((north - south) / step), "oy", lambda i: F.lit(float(north)) - (i + 0.5) * step)
+    every_column = line(round((east - west) / step), "ox", lambda i: F.lit(float(west)) + (i + 0.5) * step)
+    half = lambda c: F.coalesce(F.try_divide(F.max(c) - F.min(c), F.count_distinct(c) - 1) / 2, F.lit(step / 2))
+    reach = F.broadcast(grid.agg(half(lat).alias("__hy"), half(lon).alias("__hx")))  # one row
+
+    def met(places: DataFrame, name: str, axis: str, limit: str) -> DataFrame:
+        near = places.join(nearest_on_axis(places, grid, f"{name}_at", axis), f"{name}_at").join(reach)
+        return near.where(F.abs(F.col(f"{name}_at") - F.col(f"near_{name}_at")) <= F.col(limit)).select(name, F.col(f"near_{name}_at").alias(axis))
+
+    rows, columns = met(every_row, "oy", lat, "__hy"), met(every_column, "ox", lon, "__hx")
     # the cells that an output row takes come by its source row, and meet the columns that take them
     cells = grid.groupBy(lat, lon).agg(F.min_by(value, "cell_id").alias(value))
     found = rows.join(cells, lat).join(columns, lon).select("oy", "ox", value)
-    every = rows.select("oy").join(F.broadcast(columns.select(F.collect_list("ox").alias("ox")))).select("oy", F.explode("ox").alias("ox"))
+    every = every_row.select("oy").join(F.broadcast(every_column.select(F.collect_list("ox").alias("ox")))).select("oy", F.explode("ox").alias("ox"))
     return every.join(found, ["oy", "ox"], "left")
 
 
-def dense_rows(grid: DataFrame, value: str = "z") -> DataFrame:
-    """Each row of a grid as an array in the order of x."""
-    pairs = F.sort_array(F.collect_list(F.struct("x", F.col(value).alias("v"))))
-    return grid.groupBy("y").agg(F.transform(pairs, lambda p: p["v"]).alias("row"))
+def dense_rows(grid: DataFrame, value: str = "z", width: int | None = None) -> DataFrame:
+    """Each row of a grid as an array of ``width`` values (default: the largest x and one), null where a cell is missing.
+
+    A cell that comes twice, or lies outside the width, is an error at run time, not a shifted row.
+    """
+    size = grid.agg((F.max("x") + 1).cast("int").alias("width")) if width is None else grid.sparkSession.range(1).select(F.lit(width).alias("width"))
+    rows = grid.groupBy("y").agg(F.sort_array(F.collect_list(F.struct("x", F.col(value).alias("v")))).alias("cells")).join(F.broadcast(size))  # one row
+    places = F.transform("cells", lambda c: c["x"])
+    good = (F.size(F.array_distinct(places)) == F.size(places)) & (F.array_min(places) >= 0) & (F.array_max(places) < F.col("width"))
+    # a full row is its cells in order; else each cell goes behind as many nulls as were missing before it
+    before = lambda i: F.when(i == 0, F.lit(-1)).otherwise(places[i - 1].cast("int"))
+    nulls = lambda n: F.transform(F.filter(F.sequence(F.lit(0), n), lambda k: k > 0), lambda k: F.lit(None).cast(dict(grid.dtypes)[value]))
+    padded = F.flatten(F.transform("cells", lambda c, i: F.concat(nulls(c["x"].cast("int") - before(i) - 1), F.array(c["v"]))))
+    ending = nulls(F.col("width") - F.element_at(places, -1).cast("int") - 1)
+    row = F.when(F.size("cells") == F.col("width"), F.transform("cells", lambda c: c["v"])).otherwise(F.concat(padded, ending))
+    return rows.where(F.assert_true(F.coalesce(good, F.lit(False)), "cells are repeated or outside the raster").isNull()).select("y", row.alias("row"))
 
 
 def stack_bands(df: DataFrame, keys: Sequence[str], band: str, value: str, bands: Sequence) -> DataFrame:

@@ -83,8 +83,16 @@ def j19(station, grid, daily):
 # ---- grids
 
 _W = "window wy as (partition by x order by y), wx as (partition by y order by x)"
-_GRAD = "case when lag({v}) over {w} is null then lead({v}) over {w} - {v} when lead({v}) over {w} is null then {v} - lag({v}) over {w} else (lead({v}) over {w} - lag({v}) over {w}) / 2 end"
-_GY, _GX = _GRAD.format(v="z", w="wy"), _GRAD.format(v="z", w="wx")
+_BESIDE = "case when {f}({a}) over w{a} = {a} {d} 1 then {f}({v}) over w{a} end"
+
+
+def _grad(v: str, a: str) -> str:
+    """The gradient in SQL: only cells that are one step away are neighbours."""
+    before, after = _BESIDE.format(f="lag", a=a, d="-", v=v), _BESIDE.format(f="lead", a=a, d="+", v=v)
+    return f"case when {before} is null then {after} - {v} when {after} is null then {v} - {before} else ({after} - {before}) / 2 end"
+
+
+_GY, _GX = _grad("z", "y"), _grad("z", "x")
 _GS = f"with gr as (select y, x, z, {_GY} as gy, {_GX} as gx from grid {_W}) "
 
 
@@ -115,36 +123,47 @@ def r03(grid):
     return rounded(R.slope_aspect_spaced(grid, 30.0).select("y", "x", "slope", "aspect"))
 
 
-@query("r04_curvature_gradient", _GS + f"select y, x, round({_GRAD.format(v='gy', w='wy')} + {_GRAD.format(v='gx', w='wx')}, 6) + 0e0 as curvature from gr {_W}", "grid")
+@query("r04_curvature_gradient", _GS + f"select y, x, round({_grad('gy', 'y')} + {_grad('gx', 'x')}, 6) + 0e0 as curvature from gr {_W}", "grid")
 def r04(grid):
     return R.curvature_gradient(grid).select("y", "x", (F.round("curvature", 6) + 0.0).alias("curvature"))
 
 
-def _stencil_sql(offsets, source: str, border: str) -> str:
-    """A convolution in SQL: the weights as a table, indices reflected or left out at the border."""
+def _stencil_sql(offsets, source: str, border: str, keys: str = "") -> str:
+    """A convolution in SQL: the weights as a table, indices reflected or left out at the border; ``keys`` (with commas) tell grids apart."""
     rows = ", ".join(f"({dy}, {dx}, {w!r}e0)" if "e" not in repr(w) else f"({dy}, {dx}, {w!r})" for dy, dx, w in offsets)
     k = f"(values {rows}) k(dy, dx, w)"
+    own = [c.strip() for c in keys.split(",") if c.strip()]
+    named, same = "".join(f"t.{c}, " for c in own), "".join(f"s.{c} = t.{c} and " for c in own)
     if border == "zero":
-        return f"select t.y, t.x, sum(s.z * k.w) as z from {source} t cross join {k} join {source} s on s.y = t.y + k.dy and s.x = t.x + k.dx group by 1, 2"
+        return f"select {named}t.y, t.x, sum(s.z * k.w) as z from {source} t cross join {k} join {source} s on {same}s.y = t.y + k.dy and s.x = t.x + k.dx group by all"
     inside = lambda i, n: f"case when ({i} + 2 * {n}) % (2 * {n}) < {n} then ({i} + 2 * {n}) % (2 * {n}) else 2 * {n} - 1 - ({i} + 2 * {n}) % (2 * {n}) end"
     return (
-        f"select t.y, t.x, sum(s.z * k.w) as z from {source} t cross join (select max(y) + 1 as h, max(x) + 1 as w from {source}) e cross join {k} "
-        f"join {source} s on s.y = {inside('(t.y + k.dy)', 'e.h')} and s.x = {inside('(t.x + k.dx)', 'e.w')} group by 1, 2"
+        f"select {named}t.y, t.x, sum(s.z * k.w) as z from {source} t cross join (select max(y) + 1 as h, max(x) + 1 as w from {source}) e cross join {k} "
+        f"join {source} s on {same}s.y = {inside('(t.y + k.dy)', 'e.h')} and s.x = {inside('(t.x + k.dx)', 'e.w')} group by all"
     )
 
 
 _SY, _SX = R._sobel("y"), R._sobel("x")
 _GAUSS = list(zip(range(-4, 5), R.gaussian_weights(), strict=True))
-_CURV = (
-    f"with y1 as ({_stencil_sql(_SY, 'grid', 'zero')}), y2 as ({_stencil_sql(_SY, 'y1', 'zero')}), x1 as ({_stencil_sql(_SX, 'grid', 'zero')}), x2 as ({_stencil_sql(_SX, 'x1', 'zero')}), "
-    "c as (select y, x, y2.z + x2.z as z from y2 join x2 using (y, x)), "
-    f"g1 as ({_stencil_sql([(d, 0, w) for d, w in _GAUSS], 'c', 'reflect')}), g2 as ({_stencil_sql([(0, d, w) for d, w in _GAUSS], 'g1', 'reflect')}) "
-)
+
+
+def _curv_sql(source: str, keys: str = "") -> str:
+    part = lambda offsets, of, border: f"({_stencil_sql(offsets, of, border, keys)})"
+    return (
+        f"with y1 as {part(_SY, source, 'zero')}, y2 as {part(_SY, 'y1', 'zero')}, x1 as {part(_SX, source, 'zero')}, x2 as {part(_SX, 'x1', 'zero')}, "
+        f"c as (select {keys}y, x, y2.z + x2.z as z from y2 join x2 using ({keys}y, x)), "
+        f"g1 as {part([(d, 0, w) for d, w in _GAUSS], 'c', 'reflect')}, g2 as {part([(0, d, w) for d, w in _GAUSS], 'g1', 'reflect')} "
+    )
+
+
+_CURV = _curv_sql("grid")
+#: A side that cuts the small grids of the test tables into many tiles.
+_TILE = 16
 
 
 @query("r05_curvature_sobel", _CURV + "select y, x, round(z, 4) as curvature from g2", "grid")
 def r05(grid):
-    return rounded(R.curvature_sobel(grid), 4)
+    return rounded(R.curvature_sobel(grid, side=_TILE), 4)
 
 
 @query("r06_northness_eastness", _GS + "select y, x, round(atan(gy / nullif(sqrt(gx * gx + gy * gy), 0)), 6) as northness, round(atan(gx / nullif(sqrt(gx * gx + gy * gy), 0)), 6) as eastness from gr", "grid")
@@ -160,12 +179,58 @@ def r07(grid):
 
 @query("r08_median_filter", "select y, x, z from (" + _stencil_sql(R._BOX, "grid", "reflect").replace("sum(s.z * k.w)", "median(s.z)") + ")", "grid")
 def r08(grid):
-    return R.median_filter(grid)
+    return R.median_filter(grid, side=_TILE)
 
 
 @query("r09_closing", "with m as (" + _stencil_sql(R._CROSS, "grid", "zero").replace("sum(s.z * k.w)", "max(s.z)") + ") " + _stencil_sql(R._CROSS, "m", "zero").replace("sum(s.z * k.w)", "min(s.z)"), "grid")
 def r09(grid):
-    return R.closing(grid)
+    return R.closing(grid, side=_TILE)
+
+
+_DAY = "day_idx, "
+_STACK = "stack as (select day_idx, y, x, value as z from cube) "
+
+
+def stacked(cube):
+    return cube.select("day_idx", "y", "x", F.col("value").alias("z"))
+
+
+def of_stack(sql: str) -> str:
+    """SQL on the stack of daily grids."""
+    return f"with {_STACK}, {sql[5:]}" if sql.startswith("with ") else f"with {_STACK} {sql}"
+
+
+@query("r05_curvature_stack", of_stack(_curv_sql("stack", _DAY) + "select day_idx, y, x, round(z, 4) + 0e0 as curvature from c"), "cube")
+def r05_stack(cube):
+    """Every day's grid at once; tiles of 3 x 3 cells, whose surroundings of 3 come from the tiles beside them."""
+    return R.curvature_sobel(stacked(cube), sigma=None, keys=["day_idx"], side=3).select("day_idx", "y", "x", (F.round("curvature", 4) + 0.0).alias("curvature"))
+
+
+@query("r08_median_stack", of_stack("select day_idx, y, x, z from (" + _stencil_sql(R._BOX, "stack", "reflect", _DAY).replace("sum(s.z * k.w)", "median(s.z)") + ")"), "cube")
+def r08_stack(cube):
+    return R.median_filter(stacked(cube), keys=["day_idx"], side=3)
+
+
+@query(
+    "r09_closing_stack",
+    of_stack("with m as (" + _stencil_sql(R._CROSS, "stack", "zero", _DAY).replace("sum(s.z * k.w)", "max(s.z)") + ") " + _stencil_sql(R._CROSS, "m", "zero", _DAY).replace("sum(s.z * k.w)", "min(s.z)")),
+    "cube",
+)
+def r09_stack(cube):
+    return R.closing(stacked(cube), keys=["day_idx"], side=3)
+
+
+_GAUSS3 = list(zip(range(-3, 4), R.gaussian_weights(1.0, 3), strict=True))
+
+
+@query(
+    "r09_smooth_stack",
+    of_stack(f"with g1 as ({_stencil_sql([(d, 0, w) for d, w in _GAUSS3], 'stack', 'reflect', _DAY)}), g2 as ({_stencil_sql([(0, d, w) for d, w in _GAUSS3], 'g1', 'reflect', _DAY)}) select day_idx, y, x, round(z, 6) + 0e0 as z from g2"),
+    "cube",
+)
+def smooth_stack(cube):
+    """Daily maps smoothed, a day at a time, all days at once."""
+    return R.smooth(stacked(cube), radius=3, keys=["day_idx"], side=3).select("day_idx", "y", "x", (F.round("z", 6) + 0.0).alias("z"))
 
 
 @query("r10_window_scaled", "with p as (select y, x, z from grid where y between 1 and 30 and x between 5 and 40) select y, x, round((z - min(z) over ()) / nullif(max(z) over () - min(z) over (), 0), 8) as scaled from p", "grid")
@@ -186,12 +251,12 @@ def r11(grid):
     "grid",
 )
 def r12(grid):
-    out = R.terrain_table(grid)
+    out = R.terrain_table(grid, side=_TILE)
     return out.withColumns({c: F.round(c, 4) for c in ("slope", "aspect", "northness", "eastness")}).withColumn("curvature", F.round("curvature", 3))
 
 
 _DIRECTION = "((degrees(atan2(sum(sin(radians({a}))), sum(cos(radians({a}))))) + 360) % 360)"
-_TERRAIN = _GS + f", t as (select y, x, z, degrees(atan(sqrt(gx * gx + gy * gy))) as slope, {_TURN} as aspect, {_GRAD.format(v='gy', w='wy')} + {_GRAD.format(v='gx', w='wx')} as curvature from gr {_W}) "
+_TERRAIN = _GS + f", t as (select y, x, z, degrees(atan(sqrt(gx * gx + gy * gy))) as slope, {_TURN} as aspect, {_grad('gy', 'y')} + {_grad('gx', 'x')} as curvature from gr {_W}) "
 
 
 def terrain(grid):
@@ -239,9 +304,10 @@ def a22(cube):
 @query(
     "a18_regrid",
     "with r as (select i as oy, 400e0 - (i + 0.5e0) * 3 as place from range(56) t(i)), c as (select i as ox, -1240e0 + (i + 0.5e0) * 3 as place from range(70) t(i)), "
-    "ny as (select oy, min_by(lat10, abs(lat10 - place) * 100000 + lat10) as lat10 from r, (select distinct lat10 from grid) g group by 1), "
-    "nx as (select ox, min_by(lon10, abs(lon10 - place) * 100000 + lon10) as lon10 from c, (select distinct lon10 from grid) g group by 1) "
-    "select oy, ox, z from ny cross join nx left join grid using (lat10, lon10)",
+    "half as (select (max(lat10) - min(lat10)) / (count(distinct lat10) - 1) / 2e0 as hy, (max(lon10) - min(lon10)) / (count(distinct lon10) - 1) / 2e0 as hx from grid), "
+    "ny as (select oy, any_value(place) as py, min_by(lat10, abs(lat10 - place) * 100000 + lat10) as lat10 from r, (select distinct lat10 from grid) g group by 1), "
+    "nx as (select ox, any_value(place) as px, min_by(lon10, abs(lon10 - place) * 100000 + lon10) as lon10 from c, (select distinct lon10 from grid) g group by 1) "
+    "select oy, ox, z from ny cross join nx cross join half left join grid on grid.lat10 = ny.lat10 and grid.lon10 = nx.lon10 and abs(py - ny.lat10) <= hy and abs(px - nx.lon10) <= hx",
     "grid",
 )
 def a18(grid):
@@ -249,7 +315,7 @@ def a18(grid):
     return R.regrid(grid, 3.0, 400.0, -1240.0, 232.0, -1030.0, lat="lat10", lon="lon10")
 
 
-@query("k04_dense_rows", "select y, list(z order by x) as row from grid group by y", "grid")
+@query("k04_dense_rows", "select r.y, list(g.z order by c.x) as row from (select distinct y from grid) r cross join (select unnest(range((select max(x) + 1 from grid))) as x) c left join grid g on g.y = r.y and g.x = c.x group by r.y", "grid")
 def k04(grid):
     return R.dense_rows(grid)
 

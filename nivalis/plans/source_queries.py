@@ -252,7 +252,7 @@ def m08(grid, code):
     "m as (select regr_slope(label, elevation) as s, regr_intercept(label, elevation) as i from t), "
     "d as (select lc, max(depth) as depth from code group by 1), "
     "p as (select y, x, case when g.code in (0, 225, 237, 239) or d.depth is null or d.lc in (3, 27, 255) then 0e0 else round((m.i + m.s * g.z) / 1e6, 6) end as v from grid g cross join m left join d on d.lc = g.y) "
-    "select y, list(v order by x) as row from p group by y",
+    "select r.y, list(p.v order by c.x) as row from (select distinct y from p) r cross join (select unnest(range((select max(x) + 1 from p))) as x) c left join p on p.y = r.y and p.x = c.x group by r.y",
     "station", "season", "grid", "code",
 )
 def daily_prediction_raster(station, season, grid, code):
