@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import os
 import re
 import uuid
@@ -37,12 +38,13 @@ from pyspark.sql.window import Window
 
 from nivalis.llm.bpe import _WIDE, Packed, default_path, pieces
 from nivalis.llm.common import NO_ID, documents, id_and_text, materialise
-from nivalis.llm.token_fragments import B_BITS, Fragment, Tokens, fragment, groups, tallied
+from nivalis.llm.joined_words import Numbers, joined_ids
+from nivalis.llm.token_fragments import B_BITS, Fragment, Tokens, fragment, group_lines, linked, met, tallied
 
 #: Bytes of text in a page; bytes from which a text is dealt over tasks, and in a part of it; fragments put together at once.
 PAGE_BYTES, LONG, PART, FAN = 8 << 20, 1 << 20, 256 << 10, 16
 #: Words tokenized in one call, and bytes that a worker keeps of the words it knows.
-CALL, KNOWN_BYTES = 4096, 64 << 20
+CALL, KNOWN_BYTES = 32_768, 128 << 20
 
 #: A space after what is not white space, in texts without white space beyond ASCII and in any text.
 _CUT, _CUT_ANY, _PLAIN = re.compile(rb"(?<=[^\t-\r ])(?= )"), re.compile(rb"(?<=[!-~])(?= )"), re.compile(rb"[\t-\r ] ")
@@ -98,7 +100,7 @@ class Tokenizers:
         self.a_bytes, self.b_bytes = pieces(a), Packed(np.array([len(x) for x in parts]), np.frombuffer(b"".join(parts), np.uint8))
 
     def encode_a(self, texts: list[bytes]) -> list[list[int]]:
-        return [x.ids for x in self.a.encode_batch([x.decode() for x in texts], add_special_tokens=False)]
+        return [x.ids for x in self.a.encode_batch_fast([x.decode() for x in texts], add_special_tokens=False)]
 
     def encode_b(self, texts: list[bytes]) -> list[list[int]]:
         """Of texts that begin with a space, which B puts there itself, but not before an empty text."""
@@ -132,56 +134,63 @@ class Words:
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.sizes: list[tuple[int, int, int]] = []
+        self.number, self.held = Numbers(), 0
+        #: A word's groups as text, each with a semicolon after it; its tokens of A, of B and its groups; its links.
         self.texts: list[bytes] = []
-        self.codes: list[np.ndarray] = []
-        self.bad: set[int] = set()
-        self.held = 0
-
-    def learn(self, words: list[list[bytes]]) -> None:
-        new = list({w for x in words for w in x if w not in self.number})
+        self.sizes, self.bad = np.empty((0, 3), np.int64), np.empty(0, bool)
+        self.codes = Packed(np.empty(0, np.int64), np.empty(0, np.int64))
+
+    def numbers(self, texts: list[list[bytes]]) -> list[np.ndarray]:
+        """The numbers of the words of each text; new ones are looked up together."""
+        look, before = self.number.__getitem__, len(self.number)
+        found = [np.fromiter(map(look, words), np.int64) for words in texts]
+        new = list(itertools.islice(self.number, before, None))
         for at in range(0, len(new), CALL):
             self._add([b" " + w for w in new[at : at + CALL]])
+        return found
 
     def _add(self, words: list[bytes]) -> None:
         both = self.both
-        found_a, found_b = both.encode_a(words), both.encode_b(words)
-        good = [both.a_bytes.joined(np.array(a, np.int64)).tobytes() == w == both.b_bytes.joined(np.array(b, np.int64)).tobytes() for w, a, b in zip(words, found_a, found_b, strict=True)]
-        a, b = (both.tokens(of, [x for x, ok in zip(found, good, strict=True) if ok]) for of, found in ((both.a_bytes, found_a), (both.b_bytes, found_b)))
-        ends = np.cumsum([len(w) for w, ok in zip(words, good, strict=True) if ok], dtype=np.int64)
-        common, either = np.intersect1d(a.ends, b.ends), np.union1d(a.ends, b.ends)
-        links = (a.ids[np.searchsorted(a.ends, either)] << B_BITS) | b.ids[np.searchsorted(b.ends, either)] if len(ends) else either
-        texts = groups(a, b, common)
-        cut = lambda x: [0, *np.searchsorted(x, ends, "right").tolist()]
-        cuts, turn = list(zip(cut(a.ends), cut(b.ends), cut(common), cut(either), strict=True)), 0
-        for word, ok in zip(words, good, strict=True):
-            number = self.number[word[1:]] = len(self.texts)
-            if ok:
-                (a0, b0, g0, l0), (a1, b1, g1, l1) = cuts[turn], cuts[turn + 1]
-                turn += 1
-                self.sizes.append((a1 - a0, b1 - b0, g1 - g0))
-                self.texts.append(b";".join(texts[g0:g1]))
-                self.codes.append(links[l0:l1].copy())
-            else:
-                self.bad.add(number)
-                self.sizes.append((0, 0, 0))
-                self.texts.append(b"")
-                self.codes.append(links[:0])
-            self.held += 400 + len(word) + len(self.texts[-1]) + self.codes[-1].nbytes
-
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        return np.array([self.number[w] for w in words], np.int64)
+        (a_ids, a_cuts), (b_ids, b_cuts) = joined_ids(words, both.encode_a, both.a_bytes.lengths), joined_ids(words, both.encode_b, both.b_bytes.lengths)
+        good = self._good(words, a_ids, a_cuts, b_ids, b_cuts)
+        n_a, n_b = np.diff(a_cuts) * good, np.diff(b_cuts) * good
+        a, b = (Tokens(ids, np.cumsum(of.lengths[ids])) for ids, of in ((a_ids[np.repeat(good, np.diff(a_cuts))], both.a_bytes), (b_ids[np.repeat(good, np.diff(b_cuts))], both.b_bytes)))
+        common, links = met(a, b), linked(a, b)
+        lines = group_lines(a, b, common)
+        ends = np.cumsum(np.array([len(w) for w in words], np.int64) * good)
+        cut = lambda n: np.diff(n, prepend=0)
+        n_groups = cut(np.searchsorted(common, ends, "right"))
+        n_links = n_a + n_b - n_groups  # an end of either is a link's end, and the common ones are the groups'
+        to = np.cumsum(n_groups).tolist()
+        texts = [b"".join(lines[i:j]) for i, j in zip([0, *to[:-1]], to, strict=True)]
+        self.texts += texts
+        self.sizes = np.concatenate([self.sizes, np.column_stack([n_a, n_b, n_groups])])
+        self.bad = np.concatenate([self.bad, ~good])
+        self.codes = Packed(np.concatenate([self.codes.lengths, n_links]), np.concatenate([self.codes.flat, links]))
+        self.held += 250 * len(words) + int(ends[-1]) + sum(map(len, texts)) + links.nbytes
+
+    def _good(self, words: list[bytes], a_ids: np.ndarray, a_cuts: np.ndarray, b_ids: np.ndarray, b_cuts: np.ndarray) -> np.ndarray:
+        """Whether both tokenizers give a word's bytes back."""
+        whole, sizes = b"".join(words), np.array([len(w) for w in words], np.int64)
+        good = np.ones(len(words), bool)
+        for ids, cuts, of in ((a_ids, a_cuts, self.both.a_bytes), (b_ids, b_cuts, self.both.b_bytes)):
+            data = of.joined(ids).tobytes()
+            if data != whole:
+                ends = np.concatenate([[0], np.cumsum(of.lengths[ids])])[cuts]
+                good &= np.array([data[i:j] == w for i, j, w in zip(ends[:-1].tolist(), ends[1:].tolist(), words, strict=True)])
+            elif (np.concatenate([[0], np.cumsum(of.lengths[ids])])[cuts[1:]] != np.cumsum(sizes)).any():
+                raise AssertionError("tokens over the begin of a word")
+        return good
 
     def text(self, numbers: np.ndarray) -> bytes:
-        return b";".join([self.texts[i] for i in numbers.tolist()])
+        return b"".join(map(self.texts.__getitem__, numbers.tolist()))[:-1]
 
     def closed(self, numbers: np.ndarray) -> Fragment:
         """Words in a row; both tokenizers end before the first."""
         if not len(numbers):
             return Fragment()
-        n_a, n_b, n_groups = np.array(self.sizes, np.int64)[numbers].sum(axis=0).tolist()
-        codes, times = tallied(np.concatenate([self.codes[i] for i in numbers.tolist()]))
+        n_a, n_b, n_groups = self.sizes[numbers].sum(axis=0).tolist()
+        codes, times = tallied(self.codes.joined(numbers))
         return Fragment(Tokens(), Tokens(), True, n_a, n_b, n_groups, self.text(numbers), codes, times)
 
 
@@ -202,19 +211,19 @@ class Page:
         self.rows.append((NO_ID if doc_id is None else doc_id, *sizes, digest, numbers))
         self.size += size
 
-    def packed(self, codes_of: list[np.ndarray], times_of: list[np.ndarray] | None = None) -> dict:
+    def packed(self, codes_of: Packed, times: np.ndarray | None = None) -> dict:
+        """One row; ``times`` if the links of the words come more than once each (all words are in use then)."""
         ids, n_a, n_b, n_groups, n_links, digests, numbers = zip(*self.rows, strict=True)
         words = np.concatenate(numbers).astype(np.int64)
         own = np.unique(words)
         place = np.zeros(int(own[-1]) + 1 if len(own) else 0, np.int32)
         place[own] = np.arange(len(own))
-        codes = [codes_of[i] for i in own.tolist()]
-        flat = np.concatenate([np.empty(0, np.int64), *codes]).astype(np.int64)
-        times = np.concatenate([np.empty(0, np.int64), *[times_of[i] for i in own.tolist()]]).astype(np.int64) if times_of else np.ones(len(flat), np.int64)
+        flat = codes_of.joined(own)
+        times = np.ones(len(flat), np.int64) if times is None else times
         binary = {"ids": ids, "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": n_links}
         row = {k: np.array(v, "<i8").tobytes() for k, v in binary.items()}
         row |= {"page": uuid.uuid4().int >> 65, "digests": b"".join(digests), "n_words": np.array([len(x) for x in numbers], "<i8").tobytes(), "words": place[words].tobytes()}
-        return row | {"n_codes": np.array([len(x) for x in codes], "<i4").tobytes(), "codes": flat.tobytes(), "times": times.tobytes()}
+        return row | {"n_codes": codes_of.lengths[own].astype("<i4").tobytes(), "codes": flat.tobytes(), "times": times.tobytes()}
 
 
 NOTHING = ((0, 0, 0, 0), bytes(32), np.empty(0, np.int64))
@@ -245,15 +254,12 @@ def _dealt(a: str, b: str):
                     doc = uuid.uuid4().int >> 65
                     for part in _ranges(text):
                         yield _batch([part | {"doc": doc, "doc_id": doc_id}], schema)
-            short = [(doc_id, text, split(text) if text else []) for doc_id, text in docs if len(text) <= LONG]
-            known.learn([words for *_, words in short])
-            for doc_id, text, words in short:
-                numbers = known.numbers(words)
-                if not len(numbers) or not known.bad.isdisjoint(numbers.tolist()):
+            short = [(doc_id, text) for doc_id, text in docs if len(text) <= LONG]
+            for (doc_id, text), numbers in zip(short, known.numbers([split(text) if text else [] for _, text in short]), strict=True):
+                if not len(numbers) or known.bad[numbers].any():
                     page.add(doc_id, *NOTHING, len(text))
                     continue
-                n_a, n_b, n_groups = (sum(x) for x in zip(*[known.sizes[i] for i in numbers.tolist()], strict=True))
-                # an end of either is a link's end, and the common ones are the groups'
+                n_a, n_b, n_groups = known.sizes[numbers].sum(axis=0).tolist()
                 page.add(doc_id, (n_a, n_b, n_groups, n_a + n_b - n_groups), hashlib.sha256(known.text(numbers)).digest(), numbers, len(text))
             if page.size > PAGE_BYTES or known.held > KNOWN_BYTES:
                 if page.rows:
@@ -293,9 +299,8 @@ def part_fragment(known: Words, text: bytes, at: int, b_begin: int, a_end: int)
     total = Fragment(prefix_a=lead)
     if middle > b_begin:
         words = split(text[b_begin + 1 : middle])
-        known.learn([words])
-        numbers = known.numbers(words)
-        if not known.bad.isdisjoint(numbers.tolist()):
+        (numbers,) = known.numbers([words])
+        if known.bad[numbers].any():
             return None
         first = b" " + words[0]
         a, b = both.tokens(both.a_bytes, both.encode_a([first]), at + b_begin), both.tokens(both.b_bytes, both.encode_b([first]), at + b_begin)
@@ -336,7 +341,8 @@ def _finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 page.add(row["doc_id"], (whole.n_a, whole.n_b, whole.n_groups, int(whole.times.sum())), hashlib.sha256(whole.text).digest(), np.zeros(1, np.int64), 0)
             else:
                 page.add(row["doc_id"], *NOTHING, 0)
-            yield _batch([page.packed([whole.codes], [whole.times])], PAGE)
+                whole = Fragment()
+            yield _batch([page.packed(Packed(np.array([len(whole.codes)]), whole.codes), whole.times)], PAGE)
 
 
 def _pages(docs: DataFrame, a: str, b: str) -> DataFrame:

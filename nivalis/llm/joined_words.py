@@ -13,6 +13,14 @@ WORDS = 256
 _LEADING = frozenset(b"\t\n\x0b\x0c\r ")
 
 
+class Numbers(dict):
+    """A number for each word, in the order of their first use."""
+
+    def __missing__(self, key: bytes) -> int:
+        self[key] = found = len(self)
+        return found
+
+
 def _alone(word: bytes) -> bool:
     """Whether a word can't stand between others: it begins without white space or ends with some."""
     return word[0] not in _LEADING or word[-1] in _LEADING or (word[-1] > 127 and word.decode()[-1] in _SPACES)

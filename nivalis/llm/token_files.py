@@ -38,7 +38,7 @@ from pyspark.sql.window import Window
 
 from nivalis.llm import bpe, simple8b
 from nivalis.llm.common import documents, id_and_text, materialise, scratch
-from nivalis.llm.joined_words import joined_ids
+from nivalis.llm.joined_words import Numbers, joined_ids
 
 #: The id after each document.
 END = 2
@@ -73,14 +73,6 @@ def _word(key: bytes) -> bytes:
     return key[1:] if key[:1] == _BARE else key if key[:1] == b"\n" else b" " + key
 
 
-class Numbers(dict):
-    """A number for each word, in the order of their first use."""
-
-    def __missing__(self, key: bytes) -> int:
-        self[key] = found = len(self)
-        return found
-
-
 class Known:
     """The ids of the words that this worker met lately. Word 0 is the end of a document."""
 

@@ -10,6 +10,7 @@ The ranges of the two tokenizers need not be the same: one may be ahead of the o
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -37,6 +38,13 @@ class Tokens:
         return Tokens(self.ids[:n], self.ends[:n]), Tokens(self.ids[n:], self.ends[n:])
 
 
+def met(a: Tokens, b: Tokens) -> np.ndarray:
+    """The places where tokens of both end."""
+    if not len(a.ends) or not len(b.ends):
+        return _NONE
+    return a.ends[b.ends[np.minimum(np.searchsorted(b.ends, a.ends), len(b.ends) - 1)] == a.ends]
+
+
 def linked(a: Tokens, b: Tokens) -> np.ndarray:
     """A number for each pair of tokens whose byte ranges overlap; both lists cover one range.
 
@@ -44,17 +52,35 @@ def linked(a: Tokens, b: Tokens) -> np.ndarray:
     does so in one such stretch.
     """
     ends = np.union1d(a.ends, b.ends)
-    return (a.ids[np.searchsorted(a.ends, ends)] << B_BITS) | b.ids[np.searchsorted(b.ends, ends)]
+    return (a.ids[np.searchsorted(a.ends, ends)] << B_BITS) | b.ids[np.searchsorted(b.ends, ends)] if len(ends) else _NONE
+
+
+@functools.lru_cache(maxsize=1)
+def _names() -> dict[int, bytes]:
+    """The text of an id and what follows it (0: a comma, 1: a bar, 2: a semicolon), by 4 times the id and that."""
 
+    class Names(dict):
+        def __missing__(self, key: int) -> bytes:
+            self[key] = found = b"%d%c" % (key >> 2, b",|;"[key & 3])
+            return found
 
-def groups(a: Tokens, b: Tokens, common: np.ndarray) -> list[bytes]:
-    """The groups that end at ``common``, as text."""
-    a_cuts, b_cuts = ([0, *np.searchsorted(x.ends, common, "right").tolist()] for x in (a, b))
-    a_names, b_names = list(map(str, a.ids.tolist())), list(map(str, b.ids.tolist()))
-    return [
-        f"{','.join(a_names[i:j])}|{','.join(b_names[k:m])}".encode()
-        for i, j, k, m in zip(a_cuts[:-1], a_cuts[1:], b_cuts[:-1], b_cuts[1:], strict=True)
-    ]
+    return Names()
+
+
+def group_lines(a: Tokens, b: Tokens, common: np.ndarray) -> list[bytes]:
+    """The groups that end at ``common``, as text with a semicolon after each."""
+    if not len(common):
+        return []
+    parts = []
+    for x, last in ((a, 1), (b, 2)):
+        group = np.searchsorted(common, x.ends)
+        follows = np.zeros(len(group), np.int64)
+        follows[np.searchsorted(group, np.arange(len(common)), "right") - 1] = last
+        parts.append((group, 4 * x.ids + follows))
+    order = np.argsort(np.concatenate([2 * parts[0][0], 2 * parts[1][0] + 1]), kind="stable")
+    names = list(map(_names().__getitem__, np.concatenate([parts[0][1], parts[1][1]])[order].tolist()))
+    stops = np.cumsum(np.bincount(np.concatenate([parts[0][0], parts[1][0]]), minlength=len(common))).tolist()
+    return [b"".join(names[i:j]) for i, j in zip([0, *stops[:-1]], stops, strict=True)]
 
 
 def tallied(codes: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -107,17 +133,17 @@ def _joined(*parts: Fragment) -> tuple[int, int, int, bytes, np.ndarray, np.ndar
 
 def _closed_and_open(a: Tokens, b: Tokens) -> Fragment:
     """Tokens that begin together: all groups are closed, what is left is the suffix."""
-    common = np.intersect1d(a.ends, b.ends)
+    common = met(a, b)
     if not len(common):
         return Fragment(closed=True, suffix_a=a, suffix_b=b)
     (a, rest_a), (b, rest_b) = a.cut(common[-1]), b.cut(common[-1])
     codes, times = tallied(linked(a, b))
-    return Fragment(Tokens(), Tokens(), True, len(a.ids), len(b.ids), len(common), b";".join(groups(a, b, common)), codes, times, rest_a, rest_b)
+    return Fragment(Tokens(), Tokens(), True, len(a.ids), len(b.ids), len(common), b"".join(group_lines(a, b, common))[:-1], codes, times, rest_a, rest_b)
 
 
 def fragment(a: Tokens, b: Tokens) -> Fragment:
     """The fragment of tokens of a byte range."""
-    common = np.intersect1d(a.ends, b.ends)
+    common = met(a, b)
     if not len(common):
         return Fragment(a, b)
     (prefix_a, a), (prefix_b, b) = a.cut(common[0]), b.cut(common[0])
