@@ -42,9 +42,9 @@ from nivalis.llm.joined_words import Numbers, joined_ids
 from nivalis.llm.token_fragments import B_BITS, Fragment, Tokens, fragment, group_lines, linked, met, tallied
 
 #: Bytes of text in a page; bytes from which a text is dealt over tasks, and in a part of it; fragments put together at once.
-PAGE_BYTES, LONG, PART, FAN = 8 << 20, 1 << 20, 256 << 10, 16
+PAGE_BYTES, LONG, PART, FAN = 4 << 20, 1 << 20, 256 << 10, 16
 #: Words tokenized in one call, and bytes that a worker keeps of the words it knows.
-CALL, KNOWN_BYTES = 32_768, 128 << 20
+CALL, KNOWN_BYTES = 8192, 40 << 20
 
 #: A space after what is not white space, in texts without white space beyond ASCII and in any text.
 _CUT, _CUT_ANY, _PLAIN = re.compile(rb"(?<=[^\t-\r ])(?= )"), re.compile(rb"(?<=[!-~])(?= )"), re.compile(rb"[\t-\r ] ")
