@@ -44,7 +44,7 @@ from nivalis.llm.token_fragments import B_BITS, Fragment, Tokens, fragment, grou
 #: Bytes of text in a page; bytes from which a text is dealt over tasks, and in a part of it; fragments put together at once.
 PAGE_BYTES, LONG, PART, FAN = 4 << 20, 1 << 20, 256 << 10, 16
 #: Words tokenized in one call, and bytes that a worker keeps of the words it knows.
-CALL, KNOWN_BYTES = 8192, 40 << 20
+CALL, KNOWN_BYTES = 8192, 64 << 20
 
 #: A space after what is not white space, in texts without white space beyond ASCII and in any text.
 _CUT, _CUT_ANY, _PLAIN = re.compile(rb"(?<=[^\t-\r ])(?= )"), re.compile(rb"(?<=[!-~])(?= )"), re.compile(rb"[\t-\r ] ")
@@ -212,14 +212,15 @@ class Page:
         self.size += size
 
     def packed(self, codes_of: Packed, times: np.ndarray | None = None) -> dict:
-        """One row; ``times`` if the links of the words come more than once each (all words are in use then)."""
+        """One row; ``times`` if the links of the words come more than once each (all words are in use then), else it is empty."""
         ids, n_a, n_b, n_groups, n_links, digests, numbers = zip(*self.rows, strict=True)
         words = np.concatenate(numbers).astype(np.int64)
         own = np.unique(words)
-        place = np.zeros(int(own[-1]) + 1 if len(own) else 0, np.int32)
+        # numbers of two bytes where they fit
+        place = np.zeros(int(own[-1]) + 1 if len(own) else 0, "<u2" if len(own) <= 1 << 16 else "<u4")
         place[own] = np.arange(len(own))
         flat = codes_of.joined(own)
-        times = np.ones(len(flat), np.int64) if times is None else times
+        times = flat[:0] if times is None else times
         binary = {"ids": ids, "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": n_links}
         row = {k: np.array(v, "<i8").tobytes() for k, v in binary.items()}
         row |= {"page": uuid.uuid4().int >> 65, "digests": b"".join(digests), "n_words": np.array([len(x) for x in numbers], "<i8").tobytes(), "words": place[words].tobytes()}
@@ -269,6 +270,7 @@ def _dealt(a: str, b: str):
                     known.clear()
         if page.rows:
             yield _batch([page.packed(known.codes)], schema)
+        known.clear()  # the worker goes on with other work
 
     return deal
 
@@ -362,13 +364,21 @@ def _read(row: dict, name: str, kind: str = "<i8") -> np.ndarray:
     return np.frombuffer(row[name], kind)
 
 
+def _words_of(row: dict) -> np.ndarray:
+    return _read(row, "words", "<u2" if len(row["n_codes"]) <= 4 << 16 else "<u4")
+
+
+def _times_of(row: dict) -> np.ndarray | int:
+    return _read(row, "times") if row["times"] else 1
+
+
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """page, code and n: the links of each page."""
     for batch in batches:
         for row in batch.to_pylist():
             n_codes = _read(row, "n_codes", "<i4")
-            met = np.bincount(_read(row, "words", "<i4"), minlength=len(n_codes))
-            codes, n = tallied(_read(row, "codes"), np.repeat(met, n_codes) * _read(row, "times"))
+            met = np.bincount(_words_of(row), minlength=len(n_codes))
+            codes, n = tallied(_read(row, "codes"), np.repeat(met, n_codes) * _times_of(row))
             for at in range(0, len(codes), 1 << 16):
                 part = slice(at, at + (1 << 16))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(codes[part]), row["page"])), pa.array(codes[part]), pa.array(n[part])], names=["page", "code", "n"])
@@ -382,12 +392,12 @@ def _summed(pages: pa.Table, answers: pa.Table) -> pa.Table:
     out = []
     for row in pages.to_pylist():
         place = np.searchsorted(code, _read(row, "codes"))
-        times, n_codes = _read(row, "times"), _read(row, "n_codes", "<i4")
+        times, n_codes = _times_of(row), _read(row, "n_codes", "<i4")
         by_word = np.repeat(np.arange(len(n_codes)), n_codes)
         sums = [np.zeros(len(n_codes), np.int64) for _ in range(2)]
         np.add.at(sums[0], by_word, times * best[place])
         np.add.at(sums[1], by_word, times * count[place])
-        n_words, words = _read(row, "n_words"), _read(row, "words", "<i4")
+        n_words, words = _read(row, "n_words"), _words_of(row)
         edges = np.concatenate([[0], np.cumsum(n_words)])
         n_best, count_sum = (np.diff(np.concatenate([[0], np.cumsum(x[words])])[edges]) for x in sums)
         ids, digests = _read(row, "ids"), row["digests"]
@@ -401,6 +411,7 @@ def _summed(pages: pa.Table, answers: pa.Table) -> pa.Table:
 def align(docs: DataFrame, a: str | None = None, b: str | None = None) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256 of each document."""
     pages = _pages(docs, a or default_path(), b or piece_path())
+    # one row for each page and distinct pair in it
     pairs = pages.select("page", "words", "n_codes", "codes", "times").mapInArrow(_pairs, "page long, code long, n long")
     counts = pairs.groupBy("code").agg(F.sum("n").alias("count"))
     # a B id has no more pairs than A has ids
