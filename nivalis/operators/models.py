@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from nivalis.functions.columns import season
+from nivalis.operators import random_trees
 from nivalis.operators.clean import blank_to_null, numeric_only, to_number
 from nivalis.operators.lineage import numbered
+from nivalis.sources.published import latest_path, publish
 
 
 def prepare(df: DataFrame, label: str, missing: float = -999.0, day: str | None = None, features: Sequence[str] | None = None) -> DataFrame:
@@ -52,11 +54,6 @@ def forest(label: str, trees: int = 25, depth: int = 15, **more) -> RandomForest
     return RandomForestRegressor(labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth, seed=42, **more)
 
 
-def extra_trees(label: str, trees: int = 100, depth: int = 10, **more) -> RandomForestRegressor:
-    """Trees on all rows, with a third of the features tried at each split. Unlike extremely randomised trees, thresholds are the best of maxBins."""
-    return RandomForestRegressor(labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth, bootstrap=False, featureSubsetStrategy="onethird", seed=42, **more)
-
-
 def fit(train: DataFrame, features: Sequence[str], regressor, scale: bool = False) -> PipelineModel:
     return _pipeline(features, [regressor], scale).fit(train)
 
@@ -74,6 +71,11 @@ def balanced_weights(df: DataFrame, value: Column) -> DataFrame:
     return keyed.join(weights, keyed["__key"].eqNullSafe(weights["__key"])).drop("__key")
 
 
+def extra_trees(train: DataFrame, features: Sequence[str], label: str, trees: int = 100, depth: int = 10, **more) -> random_trees.Forest:
+    """Extremely randomised trees: all rows in each tree, thresholds drawn at random."""
+    return random_trees.fit(train, features, label, trees, depth, **more)
+
+
 def fit_twice(train: DataFrame, features: Sequence[str], label: str, make) -> PipelineModel:
     """A fit, and a second one weighted by how rare each row's error was in the first."""
     first = fit(train, features, make(label))
@@ -93,8 +95,12 @@ def metrics(df: DataFrame, label: str = "label", predicted: str = "prediction")
 
 def importances(model: PipelineModel, features: Sequence[str], spark) -> DataFrame:
     """feature, importance and rank."""
-    rows = [(f, float(v)) for f, v in zip(features, model.stages[-1].featureImportances.toArray(), strict=True)]
-    return ranked(spark.createDataFrame(rows, "feature string, importance double"))
+    return shares(features, model.stages[-1].featureImportances.toArray(), spark)
+
+
+def shares(features: Sequence[str], values: Sequence[float], spark) -> DataFrame:
+    """feature, importance and rank of importances at hand."""
+    return ranked(spark.createDataFrame([(f, float(v)) for f, v in zip(features, values, strict=True)], "feature string, importance double"))
 
 
 def ranked(df: DataFrame) -> DataFrame:
@@ -145,7 +151,10 @@ def as_array(df: DataFrame) -> DataFrame:
     return df.withColumn("features", vector_to_array("features"))
 
 
-def save_versioned(model: PipelineModel, root: str, run_id: str) -> None:
-    """The model under its run, and as the latest one."""
-    model.write().overwrite().save(f"{root}/runs/{run_id}")
-    model.write().overwrite().save(f"{root}/latest")
+def save_versioned(model: PipelineModel, spark, root: str, run_id: str) -> int:
+    """The model as a run, and as the latest version; the version's number."""
+    return publish(spark, root, run_id, lambda path: model.save(path))
+
+
+def load_latest(spark, root: str) -> PipelineModel:
+    return PipelineModel.load(latest_path(spark, root))

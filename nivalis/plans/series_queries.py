@@ -12,7 +12,9 @@ from nivalis.operators import timeseries as W
 from nivalis.plans.fixtures import table, view
 from nivalis.plans.registry import query, with_folder
 from nivalis.plans.relational_queries import VARIABLES
+from nivalis.sources.published import DayTable
 from nivalis.streaming import incremental as T
+from nivalis.streaming import seasons as SS
 
 
 def known():
@@ -215,6 +217,45 @@ def t03(spark, sf_dir, folder):
     return spark.read.parquet(f"{folder}/out").select(F.col("o_custkey").alias("point_id"), "water_year", "n", F.round("total", 2).alias("total"))
 
 
+_ARRIVALS = (
+    ("obs_date < date '1995-06-01'", "case when obs_date >= date '1995-04-01' then 2 * v else v end"),
+    ("obs_date >= date '1995-04-01' and obs_date < date '1996-12-01'", "v"),
+    ("obs_date >= date '1996-12-01' or (obs_date >= date '1996-09-01' and point_id % 10 = 0)", "v"),
+)
+
+
+def season_runs(spark, sf_dir, folder):
+    """Daily totals in three arrivals: the second corrects two months of the first, the third brings again what some points had."""
+    season, own = view(spark, sf_dir, "season").select("point_id", "obs_date", "v"), SS.state_session(spark)
+    for chosen, v in _ARRIVALS:
+        season.where(chosen).withColumn("v", F.expr(v)).write.mode("append").parquet(f"{folder}/in")
+        stream = T.read_stream(own, f"{folder}/in", season.schema)
+        SS.run_changes(SS.changed_totals(stream, "obs_date", "point_id", "v", late="200 days"), f"{folder}/out", f"{folder}/checkpoint")
+
+
+@with_folder("t03_season_state", "select point_id, water_year, count(*) as n, round(sum(v), 2) as total, max(obs_date) as last_day from season group by 1, 2", "season")
+def t03_state(spark, sf_dir, folder):
+    """What stands after all arrivals equals the totals of all days."""
+    season_runs(spark, sf_dir, folder)
+    return SS.current_totals(spark, f"{folder}/out", "point_id").withColumn("total", F.round("total", 2))
+
+
+@with_folder(
+    "t03_changed_rows",
+    "with r as (select 0 as run, point_id, water_year, obs_date from season where obs_date < date '1995-06-01' "
+    "union all select 1, point_id, water_year, obs_date from season where obs_date >= date '1995-04-01' and obs_date < date '1996-12-01' "
+    "union all select 2, point_id, water_year, obs_date from season where obs_date >= date '1996-12-01') "
+    "select run, count(distinct (point_id, water_year)) as seasons, count(*) as written from (select distinct run, point_id, water_year from r) group by 1",
+    "season",
+)
+def t03_changed(spark, sf_dir, folder):
+    """Each run writes only the seasons that it changed, each once; days that come again with the value they had change none."""
+    season_runs(spark, sf_dir, folder)
+    rows = spark.read.parquet(f"{folder}/out")
+    runs = rows.select("batch").distinct().withColumn("run", (F.row_number().over(Window.orderBy("batch")) - 1).cast("int"))
+    return rows.join(runs, "batch").groupBy("run").agg(F.count_distinct("point_id", "water_year").alias("seasons"), F.count(F.lit(1)).alias("written"))
+
+
 @with_folder("t04_late_correction", "select point_id, obs_date, variable, case when variable = 'click' then v * 2 else v end as v from daily", "daily")
 def t04(spark, sf_dir, folder):
     """All days are stored, then corrected clicks arrive and replace theirs."""
@@ -224,7 +265,24 @@ def t04(spark, sf_dir, folder):
     for part in ("in1", "in2"):
         stream = T.read_stream(spark, f"{folder}/{part}", daily.schema)
         T.correct_days(stream, f"{folder}/table", f"{folder}/checkpoint-{part}", "obs_date", ["point_id", "variable"])
-    return spark.read.parquet(f"{folder}/table").select("point_id", "obs_date", "variable", "v")
+    return DayTable(spark, f"{folder}/table").read().select("point_id", "obs_date", "variable", "v")
+
+
+@with_folder(
+    "t04_ordered_corrections",
+    "select point_id, obs_date, variable, case when variable = 'click' then v + 2 when variable = 'view' then v + 1 else v end as v from daily",
+    "daily",
+)
+def t04_ordered(spark, sf_dir, folder):
+    """Several corrections of a key arrive in one batch, and the one sent last counts, whatever their order in the files; rows without a point are replaced too."""
+    daily = view(spark, sf_dir, "daily").select(F.when(F.col("point_id") % 7 > 0, F.col("point_id")).alias("p"), "point_id", "obs_date", "variable", "v", F.lit(0).alias("sent"))
+    daily.write.parquet(f"{folder}/in1")
+    again = lambda kinds, turn, add: daily.where(F.col("variable").isin(kinds)).withColumns({"v": F.col("v") + add, "sent": F.lit(turn)})
+    again(["click", "view"], 1, 1.0).union(again(["click"], 2, 2.0)).repartition(3, "v").write.parquet(f"{folder}/in2")
+    for part in ("in1", "in2"):
+        stream = T.read_stream(spark, f"{folder}/{part}", daily.schema)
+        T.correct_days(stream, f"{folder}/table", f"{folder}/checkpoint-{part}", "obs_date", ["p", "point_id", "variable"], "sent")
+    return DayTable(spark, f"{folder}/table").read().select("point_id", "obs_date", "variable", "v")
 
 
 # ---- feature tables

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from nivalis.operators import models as M
+from nivalis.operators import random_trees as X
 from nivalis.operators import sampling as S
 from nivalis.operators import timeseries as W
 from nivalis.operators.lineage import checkpointed
@@ -151,8 +152,11 @@ def k06(daily):
 
 @with_folder("k07_versioned", "select point_id, obs_date, v from panel", "panel")
 def k07(spark, sf_dir, folder):
-    K.write_versioned(view(spark, sf_dir, "panel"), folder, "a1b2c")
-    return spark.read.parquet(f"{folder}/latest")
+    """Two runs are published; the latest is read through the pointer."""
+    panel = view(spark, sf_dir, "panel")
+    K.write_versioned(panel.withColumn("v", F.lit(0.0)), folder, "a1b2c")
+    K.write_versioned(panel, folder, "d3e4f")
+    return K.read_latest(spark, folder)
 
 
 # ---- samples and models
@@ -210,7 +214,25 @@ def m04(lineitem):
 @query("m05_extra_trees", None, "lineitem")
 def m05(lineitem):
     train, test = parts(lineitem)
-    return predicted(M.fit(train, FEATURES, M.extra_trees("label")).transform(test))
+    return predicted(M.extra_trees(train, FEATURES, "label").predict(test))
+
+
+@query(
+    "m05_one_tree",
+    "with t as (select *, case when l_quantity <= 17.5 then (case when l_discount <= 0.045 then 2 else 3 end) else (case when l_tax <= 0.035 then 5 else 6 end) end as leaf from lineitem) "
+    "select leaf, count(*) as n, round(avg(l_extendedprice), 4) as value from t group by 1",
+    "lineitem",
+)
+def m05_tree(lineitem):
+    """The rows of each leaf of a given tree."""
+    tree = X.Tree()
+    for depth, features, thresholds in ((0, 0, 17.5), (1, 1, 0.045), (2, -1, 0.0), (2, -1, 0.0), (1, 2, 0.035), (2, -1, 0.0), (2, -1, 0.0)):
+        node = tree.add(0.0, depth)
+        tree.feature[node], tree.threshold[node] = features, thresholds
+    tree.left, tree.right = [1, 2, -1, -1, 5, -1, -1], [4, 3, -1, -1, 6, -1, -1]
+    tree.value = [float(i) for i in range(7)]
+    leaves = X.Forest(FEATURES, [tree]).predict(lineitem, "leaf")
+    return leaves.groupBy(F.col("leaf").cast("int").alias("leaf")).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("l_extendedprice"), 4).alias("value"))
 
 
 @query("m06_balanced_weights", "with e as (select l_orderkey, l_linenumber, abs(l_quantity - 25) as err from lineitem), c as (select err, count(*) as n from e group by 1) select l_orderkey, l_linenumber, round((select count(*) from e) / ((select count(*) from c) * c.n), 8) as weight from e join c using (err)", "lineitem")
@@ -355,11 +377,9 @@ def m18(station):
 
 @with_folder("m19_saved_model")
 def m19(spark, sf_dir, folder):
-    from pyspark.ml import PipelineModel
-
     train, test = parts(view(spark, sf_dir, "lineitem"))
-    M.save_versioned(M.fit(train, FEATURES, M.linear("label"), scale=True), folder, "a1b2c")
-    return predicted(PipelineModel.load(f"{folder}/latest").transform(test))
+    M.save_versioned(M.fit(train, FEATURES, M.linear("label"), scale=True), spark, folder, "a1b2c")
+    return predicted(M.load_latest(spark, folder).transform(test))
 
 
 @query("o04_ranked", "select name as feature, corr as importance, cast(row_number() over (order by corr desc, name) as int) as rank from (select 'l_quantity' as name, round(corr(l_quantity, l_extendedprice), 6) as corr from lineitem union all select 'l_tax', round(corr(l_tax, l_extendedprice), 6) from lineitem union all select 'l_discount', round(corr(l_discount, l_extendedprice), 6) from lineitem)", "lineitem")
@@ -373,7 +393,7 @@ def o04_by_correlation(lineitem):
 @query("o04_ranked_importances", None, "lineitem")
 def o04(lineitem):
     train, _ = parts(lineitem)
-    return M.ranked(M.importances(M.fit(train, FEATURES, M.extra_trees("label", 5, 5)), FEATURES, lineitem.sparkSession).drop("rank"))
+    return M.shares(FEATURES, M.extra_trees(train, FEATURES, "label", 5, 5).importances(), lineitem.sparkSession)
 
 
 @query("f18_run_id", None, "region")

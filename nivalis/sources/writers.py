@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nivalis.sources.published import latest_path, publish
+
 #: Rows of (day, kind) up to which they are broadcast.
 BROADCAST_ROWS = 100_000
 
@@ -39,7 +41,11 @@ def published_dates(names: DataFrame, column: str) -> DataFrame:
     return names.select(day.alias("day")).where("day != ''").distinct()
 
 
-def write_versioned(df: DataFrame, root: str, run_id: str) -> None:
-    """The result under its run, and as the latest one."""
-    df.write.mode("overwrite").parquet(f"{root}/run_id={run_id}")
-    df.write.mode("overwrite").parquet(f"{root}/latest")
+def write_versioned(df: DataFrame, root: str, run_id: str, after: int | None = None) -> int:
+    """The result as a run that nothing changes later, and as the latest version; the version's number."""
+    return publish(df.sparkSession, root, run_id, lambda path: df.write.parquet(path), after)
+
+
+def read_latest(spark: SparkSession, root: str) -> DataFrame:
+    """The run that is the latest now; what is published meanwhile does not change what is read."""
+    return spark.read.parquet(latest_path(spark, root))

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nivalis.functions.columns import water_year
-from nivalis.operators.lineage import checkpointed
-from nivalis.sources.writers import rewrite_days
+from nivalis.sources.published import DayTable
 
 
 def days_after(df: DataFrame, done: DataFrame, day: str) -> DataFrame:
@@ -42,21 +40,14 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "ap
     query.trigger(availableNow=True).start().awaitTermination()
 
 
-def correct_days(stream: DataFrame, path: str, checkpoint: str, day: str, key: list[str]) -> None:
-    """Late rows replace those of the same key; only the days they touch are rewritten."""
-
-    def correct(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.dropDuplicates([*key, day])
-        try:
-            old = spark.read.parquet(path)
-        except AnalysisException as e:  # the first batch finds no table
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            rewrite_days(batch, path, day)
-            return
-        touched = old.join(batch.select(day).distinct(), day, "left_semi")
-        merged = touched.join(batch.select(*key, day), [*key, day], "left_anti").unionByName(batch)
-        rewrite_days(checkpointed(merged), path, day)  # partitions are read before they are replaced
+def correct_days(stream: DataFrame, root: str, checkpoint: str, day: str, key: list[str], order: str | None = None) -> None:
+    """Late rows replace those of the same key; only the days they touch are written, and all of a batch's changes are seen at once.
+
+    The table is a ``DayTable`` under ``root``. A batch that is run again after a failure finds that
+    it is done.
+    """
+
+    def correct(batch: DataFrame, number: int) -> None:
+        DayTable(batch.sparkSession, root, day).correct(batch, key, order, checkpoint, number)
 
     stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(correct).trigger(availableNow=True).start().awaitTermination()
