@@ -9,7 +9,6 @@ import uuid
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 #: Stands for a null doc_id inside an operator; it sorts before every other id.
 NO_ID = -(2**63)
@@ -38,17 +37,37 @@ def remainder(doc_id: Column, mod: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % F.lit(mod), F.lit(-1)).cast("int")
 
 
+def one_text_each(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """chosen (id and more) with the text (null: empty) of each id; of rows that repeat an id the one with the smallest text stands for it."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return docs.join(F.broadcast(chosen), "id").groupBy(*chosen.columns).agg(F.min("text").alias("text"))  # chosen is a bounded sample
+
+
+def fitting(sizes: list[int], most: int) -> list[int]:
+    """The places of sizes that fit into ``most`` when each in turn is taken if it still does; the smallest one if none fits."""
+    taken, total = [], 0
+    for i, size in enumerate(sizes):
+        if total + size <= most:
+            taken.append(i)
+            total += size
+    return taken or ([min(range(len(sizes)), key=sizes.__getitem__)] if sizes else [])
+
+
 def sample_texts(docs: DataFrame, chosen: DataFrame, most_bytes: int) -> pd.DataFrame:
     """id, label and text (null: empty) of the documents that ``chosen`` (id, label) lists, for the driver.
 
-    ``chosen`` is a bounded sample. Whole texts are taken by the hash of their id until a label has
-    ``most_bytes``; of rows that repeat an id the one with the smallest text stands for it.
+    ``chosen`` is a bounded sample. Whole texts are taken by the hash of their id while a label has
+    less than ``most_bytes``; a text that does not fit is left out and the next one is looked at. A
+    label that has only larger texts gets the smallest of them, whole.
     """
     bounded_batches(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = docs.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
-    before = F.sum(F.octet_length("text")).over(Window.partitionBy("label").orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, 0))
-    return rows.withColumn("bytes", before).where(F.col("bytes") <= most_bytes).select("id", "label", "text").toPandas().sort_values(["id", "label"])
+    rows = materialise(one_text_each(docs, chosen))
+    sizes = rows.select("id", "label", F.octet_length("text").alias("size"), F.xxhash64("id").alias("turn")).toPandas().sort_values(["turn", "id"])
+    taken = [part.iloc[fitting(part["size"].tolist(), most_bytes)] for _, part in sizes.groupby("label")]
+    if not taken:
+        return pd.DataFrame({"id": [], "label": [], "text": []})
+    picked = docs.sparkSession.createDataFrame(pd.concat(taken)[["id", "label"]], chosen.select("id", "label").schema)
+    return rows.join(F.broadcast(picked), ["id", "label"], "left_semi").select("id", "label", "text").toPandas().sort_values(["id", "label"])
 
 
 def scratch(spark: SparkSession) -> str:

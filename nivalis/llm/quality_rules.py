@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nivalis.llm.common import bounded_batches, documents, labels
+from nivalis.llm.common import bounded_batches, documents, labels, one_text_each
 from nivalis.llm.words import slice_hashes, window_hashes, word_bounds
 
 SAMPLE, TREES, TREE_ROWS, FALSE_REJECTS = 20_000, 200, 512, 0.003
@@ -153,12 +153,15 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit_on_labels(docs: DataFrame, marks: DataFrame, sample: int = SAMPLE) -> Forest | None:
-    """A forest fitted on at most ``sample`` labelled documents that pass the fixed limits."""
+    """A forest fitted on at most ``sample`` labelled documents that pass the fixed limits.
+
+    An id counts once, however often it is labelled or comes in docs; one with both labels does not.
+    """
     bounded_batches(docs.sparkSession)
-    marks = marks.where("doc_id is not null and quality is not null").select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("quality"))
-    marks = marks.orderBy(F.xxhash64("id"), "id").limit(sample)
-    docs = docs.select("doc_id", "text")
-    rows = docs.join(F.broadcast(marks), docs["doc_id"] == marks["id"]).select("quality", F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
+    marks = marks.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("id"))
+    marks = marks.agg(F.min("quality").cast("int").alias("quality"), F.max("quality").cast("int").alias("other")).where("quality = other")
+    marks = marks.select("id", "quality").orderBy(F.xxhash64("id"), "id").limit(sample)
+    rows = one_text_each(docs, marks).select("quality", "text")
     rows = rows.mapInArrow(_features, "quality int, failed boolean, features array<double>").where("not failed").toPandas()
     if rows.empty:
         return None

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import zstandard
 
-from nivalis.llm import language_id, quality_classifier, quality_rules
+from nivalis.llm import common, language_id, quality_classifier, quality_rules
 from nivalis.llm.common import documents, labels
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
@@ -199,3 +199,63 @@ def test_models_on_empty_tables_and_repeated_labels(spark):
     assert language_id.predict(none, None, language_id.F.lit(True)).collect() == []
     once, twice = (quality_classifier.fit_on_labels(docs, x) for x in (marks, marks.unionByName(marks)))
     assert once == twice
+
+
+def test_texts_that_do_not_fit_are_passed_over():
+    assert common.fitting([5, 20, 3, 2, 1], 10) == [0, 2, 3]
+    assert common.fitting([20, 30, 15], 10) == [2]
+    assert common.fitting([], 10) == []
+
+
+def in_turn(spark, n):
+    """Ids in the order in which labelled texts are taken."""
+    from pyspark.sql import functions as F
+
+    return [r.id for r in spark.range(n).orderBy(F.xxhash64("id"), "id").collect()]
+
+
+@pytest.mark.parametrize("place", [0, 30, 59])
+def test_one_long_labelled_text_does_not_erase_its_class(spark, monkeypatch, place):
+    monkeypatch.setattr(quality_classifier, "SAMPLE_BYTES", 200_000)
+    ids = in_turn(spark, 120)
+    good, bad = ids[:60], ids[60:]
+    text = lambda i: (("the river runs down to the sea and the hills " if i in set(good) else "buy $$ click ### win ||| now ") + f"{i} ") * 30
+    docs = [(i, text(i)) for i in ids]
+    marks = spark.createDataFrame([(i, int(i in set(good)), 0) for i in ids], "doc_id long, quality int, toxic int")
+    long_one = good[place]
+    with_long = [(i, t if i != long_one else t * 400) for i, t in docs]
+    model = quality_classifier.fit_on_labels(spark.createDataFrame(with_long, "doc_id long, text string"), marks)
+    scores = model.scores([text(good[5]).encode(), text(bad[5]).encode()])
+    assert scores[0] > 0.8 > 0.2 > scores[1]
+
+
+@pytest.mark.parametrize("place", [0, 20, 39])
+def test_one_long_text_does_not_erase_its_language(spark, monkeypatch, place):
+    monkeypatch.setattr(language_id, "SAMPLE_BYTES", 200_000)
+    from pyspark.sql import functions as F
+
+    ids = in_turn(spark, 80)
+    english, german = set(ids[:40]), set(ids[40:])
+    text = lambda i: ("the house and the river of this land " if i in english else "das haus und der fluss dieses landes ") * 20 + str(i)
+    docs = [(i, text(i) * (500 if i == ids[place] else 1), "en" if i in english else "de") for i in ids]
+    model = language_id.fit_on(spark.createDataFrame(docs, "doc_id long, text string, lang string"), F.lit(True))
+    found = language_id.predict(spark.createDataFrame([(1, "the house and the river"), (2, "das haus und der fluss")], "doc_id long, text string"), model, F.lit(False)).collect()
+    assert {r.doc_id: r.lang_pred for r in found} == {1: "en", 2: "de"}
+
+
+def test_a_class_with_long_texts_only_has_the_smallest(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a" * 500), (2, "b" * 300), (3, "c" * 10), (3, "d")], "doc_id long, text string")
+    chosen = spark.createDataFrame([(1, 1), (2, 1), (3, 0)], "id long, label int")
+    found = common.sample_texts(docs, chosen, 100)
+    assert [(r.id, r.label, len(r.text), r.text[0]) for r in found.itertuples()] == [(2, 1, 300, "b"), (3, 0, 10, "c")]
+
+
+def test_rules_count_a_labelled_id_once(spark, monkeypatch):
+    """One id that comes many times, is labelled many times, or both ways, brings one row to the driver, or none."""
+    seen = {}
+    monkeypatch.setattr(quality_rules, "fit", lambda x, good: seen.update(n=len(x), good=int(good.sum())))
+    words = " ".join(f"word{i} thing{i}" for i in range(30))
+    docs = spark.range(5000).selectExpr("7L as doc_id", f"'{words}' as text").unionByName(spark.createDataFrame([(8, words), (9, words), (10, words)], "doc_id long, text string"))
+    marks = spark.createDataFrame([(7, 1)] * 50 + [(8, 0), (9, 1), (9, 0), (10, 1)], "doc_id long, quality int")
+    quality_rules.fit_on_labels(docs, marks)
+    assert seen == {"n": 3, "good": 2}
