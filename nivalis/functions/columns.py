@@ -74,13 +74,6 @@ def class_index(value: Column, bounds: Sequence[Column]) -> Column:
     return reduce(lambda rest, i: F.when(value <= bounds[i], i).otherwise(rest), range(len(bounds) - 1, -1, -1), last)
 
 
-def scaled_weight(value: Column, scale: float = 10.0, *keys: str) -> Column:
-    """The value's place between the smallest and the largest, times ``scale``."""
-    over = Window.partitionBy(*(keys or [F.lit(1)]))
-    low, high = F.min(value).over(over), F.max(value).over(over)
-    return F.try_divide(value - low, high - low) * scale
-
-
 def asymmetric_loss(truth: Column, predicted: Column, above: float = 10.0, factor: float = 2.0) -> Column:
     """Absolute error, doubled where the truth is large."""
     return F.abs(truth - predicted) * F.when(truth > above, factor).otherwise(1.0)

@@ -92,6 +92,21 @@ def circular_mean(angle: Column) -> Column:
     return F.pmod(F.degrees(F.atan2(F.sum(F.sin(F.radians(angle))), F.sum(F.cos(F.radians(angle))))), F.lit(360.0))
 
 
+def scaled_weight(df: DataFrame, value: str, name: str = "weight", scale: float = 10.0, keys: Sequence[str] = ()) -> DataFrame:
+    """df with the value's place between the smallest and the largest (of each key), times ``scale``; null where these are equal.
+
+    Ends are aggregated and joined back, so neither the whole table nor a key's rows go to one task.
+    """
+    ends = [F.min(value).alias("__low"), F.max(value).alias("__high")]
+    if keys:
+        found = df.groupBy(*keys).agg(*ends).withColumnsRenamed({k: f"__{k}" for k in keys})
+        both = df.join(found, [df[k].eqNullSafe(found[f"__{k}"]) for k in keys])
+    else:
+        both = df.join(F.broadcast(df.agg(*ends)))  # one row
+    place = F.try_divide(F.col(value) - F.col("__low"), F.col("__high") - F.col("__low")) * scale
+    return both.withColumn(name, place).drop("__low", "__high", *[f"__{k}" for k in keys])
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """The first row of each key in a declared order."""
     w = Window.partitionBy(*keys).orderBy(*order)

@@ -28,12 +28,19 @@ def left_chain(base: DataFrame, sources: Sequence[DataFrame], on: Sequence[str],
 
 
 def outer_chain(sources: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:
-    """All keys of all sources, without repeated rows.
+    """All keys of all sources, without repeated rows; rows with a null in their key meet no others.
 
-    Each source is freed of repeated rows before it is joined, which gives the same rows as doing so
-    after each join and keeps the joins small.
+    A chain of full joins loses the partitioning of its keys at each step. Here the distinct keys of
+    all sources come first and each source is joined to them, so every source moves once, and not
+    at all if it is stored in buckets of its keys (``sources.bucketed``). Sources without repeated
+    rows give none, joined to distinct keys.
     """
-    return reduce(lambda a, b: a.join(b, list(on), "full_outer"), [s.dropDuplicates() for s in sources]).dropDuplicates()
+    sources = [s.dropDuplicates() for s in sources]
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on])
+    keys = reduce(DataFrame.union, [s.where(known).select(*on) for s in sources]).distinct()
+    joined = reduce(lambda a, b: a.join(b, list(on), "left"), [s.where(known) for s in sources], keys)
+    alone = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [s.where(~known) for s in sources]).dropDuplicates()
+    return joined.unionByName(alone.select(*joined.columns))
 
 
 def with_dimension(facts: DataFrame, dimension: DataFrame, on: Sequence[str]) -> DataFrame:

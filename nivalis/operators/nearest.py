@@ -1,36 +1,20 @@
-"""Nearest cells and cells within a distance, by buckets of coordinates.
+"""Nearest cells by a quadtree, and cells within a distance by buckets of coordinates.
 
-Points meet only the cells of the 3 x 3 buckets around them, found by an equi-join. A point is
-settled once its nearest cell is closer than anything outside these buckets can be; the others go
-on with buckets of four times the side. No table is broadcast and no full product is made.
+The tree's leaves follow the density of the cells, so a point meets a few leaves' cells however fine
+the grid is. For a radius, points meet the cells of the buckets that it reaches, found by an
+equi-join. No table is broadcast and no full product is made.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from math import degrees, pi, sin
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nivalis.functions.columns import EARTH_RADIUS_KM, haversine_km
-from nivalis.operators.lineage import checkpointed
-
-Metric = Callable[[Column, Column, Column, Column], Column]
-
-METRICS: dict[str, Metric] = {
-    "l1": lambda a, b, c, d: F.abs(a - c) + F.abs(b - d),
-    "l2": lambda a, b, c, d: (a - c) * (a - c) + (b - d) * (b - d),
-    "haversine": haversine_km,
-}
-
-
-def _reach(metric: str, side: Column, lat: Column) -> Column:
-    """No cell that is ``side`` or more away on an axis has a smaller distance than this."""
-    if metric == "haversine":
-        return F.lit(EARTH_RADIUS_KM * 0.999) * F.least(F.radians(side), F.asin(F.cos(F.radians(lat)) * F.sin(F.radians(F.least(side, F.lit(90.0))))))
-    return side * side if metric == "l2" else side
-
+from nivalis.functions.columns import EARTH_RADIUS_KM
+from nivalis.operators import quadtree
+from nivalis.operators.quadtree import METRICS, Tree, build
 
 def _turns(metric: str, side: float) -> tuple[float, int | None]:
     """The side of buckets on the second axis, and how many go around the globe (None: the axis is a line)."""
@@ -57,35 +41,16 @@ def _meet(points: DataFrame, cells: DataFrame, side: float, metric: str, reach:
     return near.join(bucketed, ["by", "bx"]).drop("by", "bx")
 
 
-def nearest(points: DataFrame, cells: DataFrame, metric: str = "l1", side: float = 1.0) -> DataFrame:
+def nearest(points: DataFrame, cells: DataFrame | Tree, metric: str = "l1") -> DataFrame:
     """point_id, cell_id and distance of the nearest cell; ties go to the smallest cell_id.
 
-    points: point_id, lat, lon; cells: cell_id, lat, lon, in any one unit (degrees for haversine).
+    points: point_id, lat, lon; cells: cell_id, lat, lon, in any one unit (degrees for haversine), or
+    a tree of them that was built before.
     """
-    points = points.select("point_id", "lat", "lon").where("lat is not null and lon is not null")
-    cells = cells.select("cell_id", F.col("lat").alias("clat"), F.col("lon").alias("clon")).where("clat is not null and clon is not null")
-    ends = lambda df, y, x: df.agg(F.min(y), F.max(y), F.min(x), F.max(x)).first()
-    p, c = ends(points, "lat", "lon"), ends(cells, "clat", "clon")
-    if p[0] is None or c[0] is None:
+    tree = cells if isinstance(cells, Tree) else build(cells)
+    if tree is None:
         return points.join(cells, F.lit(False)).select("point_id", "cell_id", F.lit(0.0).alias("distance"))
-    extent = max(float(max(p[1], c[1]) - min(p[0], c[0])), 360.0 if metric == "haversine" else float(max(p[3], c[3]) - min(p[2], c[2])))
-    found, rest = [], points
-    while True:
-        distance = METRICS[metric](F.col("lat"), F.col("lon"), F.col("clat"), F.col("clon"))
-        best = _meet(rest, cells, side, metric).groupBy("point_id", "lat", "lon").agg(F.min(F.struct(distance.alias("distance"), "cell_id")).alias("best"))
-        best = checkpointed(best.select("point_id", "lat", "lon", "best.*"))
-        done = best if side > extent else best.where(F.col("distance") < _reach(metric, F.lit(float(side)), F.col("lat")))
-        found.append(done.select("point_id", "cell_id", "distance"))
-        if side > extent:
-            break
-        rest = checkpointed(rest.join(done.select("point_id", "lat", "lon"), ["point_id", "lat", "lon"], "left_anti"))
-        if rest.isEmpty():
-            break
-        side *= 4
-    out = found[0]
-    for part in found[1:]:
-        out = out.unionByName(part)
-    return out
+    return quadtree.nearest(points, tree, metric)
 
 
 def within(points: DataFrame, cells: DataFrame, radius: float, metric: str = "l2") -> DataFrame:
@@ -128,8 +93,8 @@ def nearest_per_axis(points: DataFrame, cells: DataFrame) -> DataFrame:
     return out
 
 
-def nearest_of_distinct(rows: DataFrame, cells: DataFrame, metric: str = "l2", side: float = 1.0) -> DataFrame:
+def nearest_of_distinct(rows: DataFrame, cells: DataFrame | Tree, metric: str = "l2") -> DataFrame:
     """rows (lat, lon, ...) with cell_id, searched once for each distinct place."""
     places = rows.select("lat", "lon").distinct().withColumn("point_id", F.struct("lat", "lon"))
-    found = nearest(places, cells, metric, side).select("point_id.lat", "point_id.lon", "cell_id")
+    found = nearest(places, cells, metric).select("point_id.lat", "point_id.lon", "cell_id")
     return rows.join(found, ["lat", "lon"], "left")

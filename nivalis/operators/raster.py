@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from math import exp
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -163,17 +164,58 @@ def terrain_table(grid: DataFrame, value: str = "z", from_vertical: bool = True,
 def focal_means(points: DataFrame, grid: DataFrame, values: Sequence[str], half: int = 33, angles: Sequence[str] = ()) -> DataFrame:
     """n, own_<value> at the point's cell, and mean_<value> (a direction for ``angles``) over the window of cells y-half..y+half-1 (x likewise) around each point (point_id, y, x).
 
-    Cells are grouped into squares of the window's size; a point meets the four to nine squares
-    that its window touches.
+    Points of one cell are looked up once. A tile sums its cells up from its corner in both
+    directions; the part of a window in it is then four look-ups, whatever the window's size, and a
+    window touches four tiles at most.
     """
-    side = 2 * half
-    squares = grid.withColumns({"sy": F.floor(F.col("y") / side), "sx": F.floor(F.col("x") / side)}).withColumnsRenamed({"y": "cy", "x": "cx"})
-    touch = lambda c: F.explode(F.sequence(F.floor((F.col(c) - half) / side), F.floor((F.col(c) + half - 1) / side)))
-    near = points.select("point_id", "y", "x").withColumn("sy", touch("y")).withColumn("sx", touch("x")).join(squares, ["sy", "sx"])
-    inside = near.where((F.col("cy") >= F.col("y") - half) & (F.col("cy") < F.col("y") + half) & (F.col("cx") >= F.col("x") - half) & (F.col("cx") < F.col("x") + half))
-    means = [circular_mean(F.col(v)).alias(f"mean_{v}") if v in angles else F.avg(v).alias(f"mean_{v}") for v in values]
-    own = (F.col("cy") == F.col("y")) & (F.col("cx") == F.col("x"))
-    return inside.groupBy("point_id").agg(F.count(F.lit(1)).alias("n"), *[F.max(F.when(own, F.col(v))).alias(f"own_{v}") for v in values], *means)
+    side = max(B.SIDE, 2 * half)
+    parts = {v: [f"sin_{v}", f"cos_{v}"] if v in angles else [v] for v in values}
+    number = lambda v: F.col(v).cast("double")
+    summed = [F.sin(F.radians(number(v))).alias(f"sin_{v}") if i == 0 else F.cos(F.radians(number(v))).alias(f"cos_{v}") for v in angles if v in parts for i in (0, 1)]
+    tile = lambda c, n: F.floor(F.col(c) / side).alias(n)
+    cells = grid.na.drop(subset=["y", "x"]).select(tile("y", "ty"), tile("x", "tx"), F.col("y").cast("long").alias("y"), F.col("x").cast("long").alias("x"), *[number(v).alias(v) for v in values], *summed)
+    places = points.na.drop(subset=["y", "x"]).select(F.col("y").cast("long").alias("y"), F.col("x").cast("long").alias("x")).distinct()
+    touched = lambda c: F.explode(F.sequence(F.floor((F.col(c) - half) / side), F.floor((F.col(c) + half - 1) / side)))
+    wanted = places.withColumn("ty", touched("y")).withColumn("tx", touched("x"))
+    names = [c for v in values for c in parts[v]]
+    schema = ", ".join(["y long", "x long", "n double", *[f"`own_{v}` double" for v in values], *[f"`sum_{c}` double, `n_{c}` double" for c in names]])
+
+    def look_up(cells: pa.Table, wanted: pa.Table) -> pa.Table:
+        number_of = lambda t, c: t[c].to_numpy().astype(np.int64)
+        y, x = number_of(wanted, "y"), number_of(wanted, "x")
+        out = {"y": y, "x": x}
+        if not len(y) or not len(cells):
+            return pa.table({c.split()[0].strip("`"): pa.array([], pa.int64() if c.endswith("long") else pa.float64()) for c in schema.split(", ")})
+        cy, cx = number_of(cells, "y"), number_of(cells, "x")
+        y0, x0 = cy[0] // side * side, cx[0] // side * side
+
+        def window(image: np.ndarray) -> np.ndarray:
+            total = np.zeros((side + 1, side + 1))
+            total[1:, 1:] = image.cumsum(axis=0).cumsum(axis=1)
+            top, bottom, left, right = (np.clip(v, 0, side) for v in (y - half - y0, y + half - y0, x - half - x0, x + half - x0))
+            return total[bottom, right] - total[top, right] - total[bottom, left] + total[top, left]
+
+        def image(values: np.ndarray) -> np.ndarray:
+            found = np.zeros((side, side))
+            found[cy - y0, cx - x0] = values
+            return found
+
+        out["n"] = window(image(np.ones(len(cy))))
+        inside = (y >= y0) & (y < y0 + side) & (x >= x0) & (x < x0 + side)
+        for v in values:
+            own = np.full((side, side), np.nan)
+            own[cy - y0, cx - x0] = cells[v].to_numpy().astype(float)
+            out[f"own_{v}"] = np.where(inside, own[np.clip(y - y0, 0, side - 1), np.clip(x - x0, 0, side - 1)], np.nan)
+        for c in names:
+            z = cells[c].to_numpy().astype(float)
+            out[f"sum_{c}"], out[f"n_{c}"] = window(image(np.nan_to_num(z))), window(image(~np.isnan(z)))
+        return pa.table({k: pa.array(v, from_pandas=True) for k, v in out.items()})
+
+    found = cells.groupBy("ty", "tx").cogroup(wanted.groupBy("ty", "tx")).applyInArrow(look_up, schema)
+    sums = found.groupBy("y", "x").agg(F.sum("n").cast("long").alias("n"), *[F.max(f"own_{v}").alias(f"own_{v}") for v in values], *[F.sum(f"{k}_{c}").alias(f"{k}_{c}") for c in names for k in ("sum", "n")]).where("n > 0")
+    turn = lambda v: F.pmod(F.degrees(F.atan2(f"sum_sin_{v}", f"sum_cos_{v}")) + 360, F.lit(360.0))
+    means = [(F.when(F.col(f"n_sin_{v}") > 0, turn(v)) if v in angles else F.try_divide(F.col(f"sum_{v}"), F.col(f"n_{v}"))).alias(f"mean_{v}") for v in values]
+    return points.select("point_id", "y", "x").join(sums.select("y", "x", "n", *[f"own_{v}" for v in values], *means), ["y", "x"]).drop("y", "x")
 
 
 def mosaic(tiles_: DataFrame, value: str, order: str | None = None) -> DataFrame:

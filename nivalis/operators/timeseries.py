@@ -58,31 +58,59 @@ def fill_linear(df: DataFrame, keys: Sequence[str], day: str, value: Column, nam
     return df.withColumn(name, filled).drop("__v", "__x", "__p", "__n")
 
 
-def fill_line(df: DataFrame, keys: Sequence[str], x: Column, value: Column, name: str, low: float | None = None, high: float | None = None) -> DataFrame:
-    """Gaps on the least-squares line through the series' values; with one value or none all is 0."""
-    df = _keyed(df, keys).withColumns({"__x": x.cast("double"), "__v": value})
+def fill_line(df: DataFrame, keys: Sequence[str], x: Column, value: Column, name: str, low: float | None = None, high: float | None = None, digits: int = 6) -> DataFrame:
+    """Gaps on the least-squares line through the series' values; with one value or none all is 0.
+
+    ``x`` is a whole number, such as a day. Values are summed as whole numbers of ``digits``
+    decimals, so the line does not depend on the order of rows. A series whose values all have one
+    x has its mean on the line.
+    """
     w = Window.partitionBy(*keys)
-    n = F.count("__v").over(w)
-    line = F.regr_intercept("__v", "__x").over(w) + F.regr_slope("__v", "__x").over(w) * F.col("__x")
+    exact = lambda c: c.cast("decimal(38,0)")
+    df = _keyed(df, keys).withColumns({"__at": x.cast("long"), "__v": value})
+    df = df.withColumns({"__x": F.col("__at") - F.min("__at").over(w), "__y": F.round(F.col("__v") * 10**digits).cast("decimal(20,0)")})
+    at = F.when(F.col("__y").isNotNull(), F.col("__x")).cast("decimal(20,0)")
+    sums = {"__n": F.count("__y"), "__sx": F.sum(at), "__sxx": F.sum(at * at), "__sy": F.sum("__y"), "__sxy": F.sum(at * F.col("__y"))}
+    df = df.withColumns({c: exact(s.over(w)) for c, s in sums.items()})
+    n, sx, sxx, sy, sxy = map(F.col, sums)
+    spread = exact(exact(n * sxx) - exact(sx * sx))
+    above = exact(exact(exact(sy * sxx) - exact(sx * sxy)) + exact(exact(F.col("__x")) * exact(exact(n * sxy) - exact(sx * sy))))
+    line = F.when(spread == 0, sy.cast("double") / (n.cast("double") * 10.0**digits)).otherwise(F.try_divide(above.cast("double"), spread.cast("double") * 10.0**digits))
     out = F.when(n <= 1, 0.0).otherwise(F.coalesce("__v", line))
     if low is not None:
         out = F.greatest(F.lit(low), F.least(F.lit(high), out))
-    return df.withColumn(name, out).drop("__x", "__v")
+    return df.withColumn(name, out).drop("__at", "__x", "__v", "__y", *sums)
 
 
 def fill_polynomial(df: DataFrame, keys: Sequence[str], order: str, value: str, degree: int) -> DataFrame:
-    """Gaps on a polynomial in the row's place, for degrees over 1; with ``degree`` values or fewer all is 0."""
-    import numpy as np
-
-    def fill(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(order).reset_index(drop=True)
-        x, known = np.arange(len(part)), part[value].notna().to_numpy()
-        if known.sum() <= degree:
-            return part.assign(**{value: 0.0})
-        line = np.polyval(np.polyfit(x[known], part[value].to_numpy(float)[known], degree), x)
-        return part.assign(**{value: np.where(known, part[value].to_numpy(float), line)})
-
-    return _keyed(df, keys).groupBy(*keys).applyInPandas(fill, df.schema)
+    """Gaps on the least-squares polynomial in the row's place; ``value`` becomes a double.
+
+    With ``degree`` values or fewer all is 0. Places are scaled to -1..1; the sums of their powers
+    are windows over the series, and the normal equations are solved row by row in columns.
+    """
+    w = Window.partitionBy(*keys)
+    middle = (F.count(F.lit(1)).over(w) - 1) / 2
+    place = (F.row_number().over(w.orderBy(order)) - 1 - middle) / F.greatest(middle, F.lit(1.0))
+    names = df.columns
+    df = _keyed(df, keys).withColumns({"__x": place, "__v": F.col(value).cast("double")})
+    power = lambda k: F.when(F.col("__v").isNotNull(), F.lit(1.0) if k == 0 else F.pow("__x", F.lit(float(k))))
+    size = degree + 1
+    df = df.withColumns({f"__s{k}": F.sum(power(k)).over(w) for k in range(2 * degree + 1)} | {f"__t{k}": F.sum(power(k) * F.col("__v")).over(w) for k in range(size)})
+    # elimination from the first row down: the matrix is positive definite, so no rows change places
+    df = df.withColumns({f"__m{i}_{j}": F.col(f"__s{i + j}") for i in range(size) for j in range(size)} | {f"__m{i}_{size}": F.col(f"__t{i}") for i in range(size)})
+    for p in range(size):
+        share = {i: F.try_divide(F.col(f"__m{i}_{p}"), F.col(f"__m{p}_{p}")) for i in range(p + 1, size)}
+        df = df.withColumns({f"__m{i}_{j}": F.col(f"__m{i}_{j}") - share[i] * F.col(f"__m{p}_{j}") for i in share for j in range(p, size + 1)})
+    for i in reversed(range(size)):
+        rest = F.col(f"__m{i}_{size}")
+        for j in range(i + 1, size):
+            rest = rest - F.col(f"__m{i}_{j}") * F.col(f"__c{j}")
+        df = df.withColumn(f"__c{i}", F.try_divide(rest, F.col(f"__m{i}_{i}")))
+    line = F.col("__c0")
+    for k in range(1, size):
+        line = line + F.col(f"__c{k}") * F.pow("__x", F.lit(float(k)))
+    filled = F.when(F.count("__v").over(w) <= degree, 0.0).otherwise(F.coalesce("__v", line))
+    return df.withColumn(value, filled).select(*names)
 
 
 def by_series(df: DataFrame, keys: Sequence[str], order: str, apply: Callable[[pd.DataFrame], pd.DataFrame], schema) -> DataFrame:

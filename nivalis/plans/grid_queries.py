@@ -16,12 +16,12 @@ _HAV = "2 * 6371.0e0 * asin(sqrt(least(pow(sin(radians(g.lat10 / 10e0 - s.lat) /
 
 @query("j07_nearest_l1", "select s.point_id, min_by(g.cell_id, (abs(s.lat10 - g.lat10) + abs(s.lon10 - g.lon10)) * 100000 + g.cell_id) as cell_id, cast(min(abs(s.lat10 - g.lat10) + abs(s.lon10 - g.lon10)) as int) as distance from station s cross join grid g group by 1", "station", "grid")
 def j07(station, grid):
-    return N.nearest(TENTHS(station, "point_id"), TENTHS(grid, "cell_id"), "l1", side=8.0)
+    return N.nearest(TENTHS(station, "point_id"), TENTHS(grid, "cell_id"), "l1")
 
 
 @query("j08_nearest_l2", "select s.point_id, min_by(g.cell_id, (pow(s.lat10 - g.lat10, 2) + pow(s.lon10 - g.lon10, 2)) * 100000 + g.cell_id) as cell_id from station s cross join grid g group by 1", "station", "grid")
 def j08(station, grid):
-    return N.nearest(TENTHS(station, "point_id"), TENTHS(grid, "cell_id"), "l2", side=8.0).select("point_id", "cell_id")
+    return N.nearest(TENTHS(station, "point_id"), TENTHS(grid, "cell_id"), "l2").select("point_id", "cell_id")
 
 
 _AXES = "with y as (select distinct lat10 as p from grid), x as (select distinct lon10 as p from grid) "
@@ -36,7 +36,7 @@ def j09(station, grid):
 @query("j10_nearest_haversine", f"select s.point_id, round(min({_HAV}), 4) as km from station s cross join (select * from grid where code <= 100) g group by 1", "station", "grid")
 def j10(station, grid):
     """Only cells with a valid code take part."""
-    found = N.nearest(station, DEGREES(grid.where("code <= 100")), "haversine", side=1.0)
+    found = N.nearest(station, DEGREES(grid.where("code <= 100")), "haversine")
     return found.select("point_id", F.round("distance", 4).alias("km"))
 
 
@@ -66,7 +66,7 @@ def j12(station, grid, daily):
 )
 def j13(station, grid, daily):
     """The mapping is made once; each day then joins it by id."""
-    mapper = N.nearest(TENTHS(station, "point_id"), TENTHS(grid, "cell_id"), "l1", side=8.0).select("point_id", "cell_id")
+    mapper = N.nearest(TENTHS(station, "point_id"), TENTHS(grid, "cell_id"), "l1").select("point_id", "cell_id")
     return daily.join(mapper, "point_id").join(grid.select("cell_id", "z"), "cell_id").select("point_id", "obs_date", "variable", "cell_id", "z")
 
 
@@ -77,7 +77,7 @@ def j13(station, grid, daily):
 )
 def j19(station, grid, daily):
     rows = daily.join(TENTHS(station, "point_id"), "point_id")
-    return N.nearest_of_distinct(rows, TENTHS(grid, "cell_id"), "l2", side=8.0).select("point_id", "obs_date", "variable", "cell_id")
+    return N.nearest_of_distinct(rows, TENTHS(grid, "cell_id"), "l2").select("point_id", "obs_date", "variable", "cell_id")
 
 
 # ---- grids

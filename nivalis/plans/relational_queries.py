@@ -8,7 +8,9 @@ from nivalis.functions import columns as C
 from nivalis.operators import aggregates as A
 from nivalis.operators import joins as J
 from nivalis.operators.lineage import numbered
-from nivalis.plans.registry import query
+from nivalis.plans.fixtures import view
+from nivalis.plans.registry import query, with_folder
+from nivalis.sources.bucketed import bucketed
 
 KEY = ["point_id", "obs_date"]
 VARIABLES = ["click", "view", "purchase", "error", "signup"]
@@ -48,6 +50,13 @@ def j03(daily):
     return J.outer_chain([click.unionByName(click), view, purchase], KEY)
 
 
+@with_folder("j03_bucketed_chain", WITH3 + "select distinct point_id, obs_date, click, view, purchase from click full join view using (point_id, obs_date) full join purchase using (point_id, obs_date)", "daily")
+def j03_bucketed(spark, sf_dir, folder):
+    """Three sources stored in buckets of point and day, and joined where they lie."""
+    sources = three(view(spark, sf_dir, "daily"))
+    return J.outer_chain([bucketed(s, f"{folder}/{i}", KEY, 8) for i, s in enumerate(sources)], KEY)
+
+
 @query("j04_dimension", "select d.point_id, d.obs_date, d.variable, d.v, s.elevation from daily d left join station s using (point_id)", "daily", "station")
 def j04(daily, station):
     return J.with_dimension(daily, station.select("point_id", "elevation"), ["point_id"]).drop("n")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from nivalis.functions import columns as C
+from nivalis.operators import aggregates as A
 from nivalis.operators import clean as P
 from nivalis.plans.registry import query, scalar
 
@@ -33,7 +34,16 @@ scalar(
             "round(2 * 6371.0e0 * asin(sqrt(least(pow(sin(radians(40.0e0 - lat) / 2), 2) + cos(radians(lat)) * cos(radians(40.0e0)) * pow(sin(radians(-110.0e0 - lon) / 2), 2), 1e0))), 5)")},
 )
 scalar("f10_degree_distance", "station", ["point_id"], {"d": (lambda: F.round(C.degree_distance(F.col("lat"), F.col("lon"), F.lit(40.0), F.lit(-110.0)), 8), "round(sqrt(pow(40.0e0 - lat, 2) + pow(-110.0e0 - lon, 2)), 8)")})
-scalar("f15_sample_weight", "season", DAY, {"w": (lambda: F.round(C.scaled_weight(F.col("v"), 10.0, "water_year"), 8), "round((v - min(v) over (partition by water_year)) / nullif(max(v) over (partition by water_year) - min(v) over (partition by water_year), 0) * 10, 8)")})
+@query("f15_sample_weight", "select point_id, obs_date, round((v - min(v) over (partition by water_year)) / nullif(max(v) over (partition by water_year) - min(v) over (partition by water_year), 0) * 10, 8) as w from season", "season")
+def f15(season):
+    return A.scaled_weight(season, "v", "w", 10.0, ["water_year"]).select(*DAY, F.round("w", 8).alias("w"))
+
+
+@query("f15_sample_weight_all", "select point_id, obs_date, round((v - min(v) over ()) / nullif(max(v) over () - min(v) over (), 0) * 10, 8) as w from season", "season")
+def f15_all(season):
+    return A.scaled_weight(season, "v", "w", 10.0).select(*DAY, F.round("w", 8).alias("w"))
+
+
 scalar("f16_asymmetric_loss", "lineitem", ["l_orderkey", "l_linenumber"], {"loss": (lambda: F.round(C.asymmetric_loss(F.col("l_quantity"), F.col("l_tax") * 100), 6), "round(abs(l_quantity - l_tax * 100) * case when l_quantity > 10 then 2e0 else 1e0 end, 6)")})
 scalar("f17_normalise", "panel", DAY, {"scaled": (lambda: F.round(C.normalised(F.col("v")), 9), "round(v / 200e0, 9)"), "back": (lambda: F.round(C.denormalised(C.normalised(F.col("v"))), 6), "round(v / 200e0 * 200e0, 6)")})
 scalar("f19_operation_day", "season", DAY, {"op_day": (lambda: C.operation_day(F.col("obs_date")), "cast(obs_date - interval 3 day as date)")})

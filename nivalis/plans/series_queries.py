@@ -12,7 +12,7 @@ from nivalis.operators import timeseries as W
 from nivalis.plans.fixtures import table, view
 from nivalis.plans.registry import query, with_folder
 from nivalis.plans.relational_queries import VARIABLES
-from nivalis.sources.published import DayTable
+from nivalis.sources.published import DayTable, Versions
 from nivalis.streaming import incremental as T
 from nivalis.streaming import seasons as SS
 
@@ -64,15 +64,22 @@ def w05(panel):
     return filled.groupBy("point_id").agg(F.round(F.sum("filled"), 4).alias("total"))
 
 
+#: Added before rounding to four digits, so that values between two of them go one way.
+_NUDGE = 1e-8
+
+
 @query(
     "w06_fill_line",
-    f"with {_G}, s as (select *, count(v) over w as n, regr_intercept(v, x) over w as i, regr_slope(v, x) over w as m from g window w as (partition by point_id)) "
-    "select point_id, obs_date, round(greatest(0e0, least(240e0, case when n <= 1 then 0e0 else coalesce(v, i + m * x) end)), 4) as filled from s",
+    f"with {_G}, h as (select point_id, obs_date, v, x - min(x) over (partition by point_id) as x, cast(round(v * 1000000) as hugeint) as y from g), "
+    "k as (select point_id, count(y) as n, sum(cast(x as hugeint)) filter (where y is not null) as sx, sum(cast(x * x as hugeint)) filter (where y is not null) as sxx, sum(y) as sy, sum(x * y) as sxy from h group by 1), "
+    "s as (select h.*, k.* exclude (point_id), n * sxx - sx * sx as d from h join k using (point_id)) "
+    f"select point_id, obs_date, round(greatest(0e0, least(240e0, case when n <= 1 then 0e0 when v is not null then v when d = 0 then cast(sy as double) / (n * 1e6) else cast(sy * sxx - sx * sxy + x * (n * sxy - sx * sy) as double) / (cast(d as double) * 1e6) end)) + {_NUDGE!r}, 4) as filled from s",
     "panel",
 )
 def w06(panel):
     days = F.datediff("obs_date", F.lit("1970-01-01").cast("date"))
-    return W.fill_line(panel, ["point_id"], days, known(), "filled", 0.0, 240.0).select("point_id", "obs_date", F.round("filled", 4).alias("filled"))
+    filled = W.fill_line(panel, ["point_id"], days, known(), "filled", 0.0, 240.0)
+    return filled.select("point_id", "obs_date", F.round(F.col("filled") + _NUDGE, 4).alias("filled"))
 
 
 @query("w07_season_to_date", "select point_id, count(*) as n, round(sum(v), 2) as total from season where obs_date between date '1996-10-01' and date '1997-03-15' group by 1", "season")
@@ -146,9 +153,34 @@ def q02(panel):
     return Q.at_most(panel, {"v": 240.0})
 
 
-@query("q03_same_rows", "select count(*) as before, count(*) as after, true as ok from panel", "panel")
-def q03(panel):
-    return Q.same_rows(panel, W.fill_linear(panel, ["point_id"], "obs_date", known(), "filled"))
+@with_folder("q03_same_rows", "select count(*) as before, count(*) as after, true as ok from panel", "panel")
+def q03(spark, sf_dir, folder):
+    """Gap filling keeps the rows: counted before and after it while its result is written."""
+    step = lambda df: W.fill_linear(df, ["point_id"], "obs_date", known(), "filled")
+    return Q.watched_step(view(spark, sf_dir, "panel"), step, lambda df: df.write.parquet(f"{folder}/out"))
+
+
+_RULES = {"no gap": "filled is not null", "not below 0": "filled >= 0", "at most 240": "filled <= 240"}
+
+
+@with_folder(
+    "q02_published_if_good",
+    f"with {_G}{_EDGES}, f as (select {_FILLED.format(lead='nv')} as filled from e), c as (select unnest(['no gap', 'not below 0', 'at most 240']) as expectation) "
+    "select expectation, (select count(*) from f) as checked, (select count(*) from f where case expectation when 'no gap' then filled is null when 'not below 0' then not coalesce(filled >= 0, false) else not coalesce(filled <= 240, false) end) as failed, true as ok from c",
+    "panel",
+)
+def q02_published(spark, sf_dir, folder):
+    """A filled series is published with its report; the same series before filling breaks a rule and is not, so readers keep the first."""
+    panel = view(spark, sf_dir, "panel")
+    rules = {n: F.expr(r) for n, r in _RULES.items()}
+    filled = W.fill_linear(panel, ["point_id"], "obs_date", known(), "filled")
+    number, report = Q.publish_checked(spark, folder, "good", filled, rules)
+    try:
+        Q.publish_checked(spark, folder, "bad", panel.withColumn("filled", F.lit(None).cast("double")), rules)
+    except Q.ExpectationFailed as e:
+        assert e.failed["no gap"] == panel.count()
+    kept = Versions(spark, folder).latest() == number
+    return report.withColumn("ok", F.col("ok") & F.lit(kept))
 
 
 @query("q03_fills_grid", "select count(*) as rows, cast((max(y) + 1) * (max(x) + 1) as bigint) as cells, count(*) = (max(y) + 1) * (max(x) + 1) as ok from grid", "grid")

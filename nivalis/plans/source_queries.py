@@ -8,7 +8,6 @@ from nivalis.operators import models as M
 from nivalis.operators import random_trees as X
 from nivalis.operators import sampling as S
 from nivalis.operators import timeseries as W
-from nivalis.operators.lineage import checkpointed
 from nivalis.plans.fixtures import view
 from nivalis.plans.registry import query, with_folder
 from nivalis.sources import readers as R
@@ -21,16 +20,11 @@ def s01(spark, sf_dir, folder):
     return R.typed_csv(spark, folder, "point_id long, station_name string, elevation double")
 
 
-@query("s02_split_scan", "select l_returnflag, count(*) as n, round(sum(l_extendedprice), 1) as total from lineitem group by 1", "lineitem")
-def s02(lineitem):
+@with_folder("s02_split_scan", "select l_returnflag, count(*) as n, round(sum(l_extendedprice), 1) as total from lineitem group by 1")
+def s02(spark, sf_dir, folder):
     """The scan is cut into blocks of 10 MB for this query."""
-    before = lineitem.sparkSession.conf.get("spark.sql.files.maxPartitionBytes")
-    R.in_blocks(lineitem.sparkSession, 10 << 20)
-    try:
-        lineitem = checkpointed(lineitem.select("l_returnflag", "l_extendedprice"))
-    finally:
-        lineitem.sparkSession.conf.set("spark.sql.files.maxPartitionBytes", before)
-    return lineitem.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_extendedprice"), 1).alias("total"))
+    blocks = R.in_blocks(spark, f"{sf_dir}/lineitem.parquet", 10 << 20)
+    return blocks.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_extendedprice"), 1).alias("total"))
 
 
 @query("s03_pruned_scan", "select l_orderkey as point, l_quantity as depth from lineitem", "lineitem")

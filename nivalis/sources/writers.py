@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from nivalis.sources.published import latest_path, publish
 
-#: Rows of (day, kind) up to which they are broadcast.
-BROADCAST_ROWS = 100_000
-
-
 def write_table(df: DataFrame, path: str, force: bool = True, one_file: bool = False) -> None:
     """Parquet; without ``force`` a table that is there stays. ``one_file`` is for results that one task can write; what makes them stays spread."""
     (df.repartition(1) if one_file else df).write.mode("overwrite" if force else "ignore").parquet(path)
@@ -26,12 +22,14 @@ def rewrite_days(df: DataFrame, path: str, day: str = "obs_date") -> None:
 
 
 def dense_cube(df: DataFrame, point: str, day: str, kind: str, value: str) -> DataFrame:
-    """A row for each point, day and kind that occurs in the table, with nulls where there is no value."""
+    """A row for each point, day and kind that occurs in the table, with nulls where there is no value.
+
+    Days and kinds are lists of a cube's axes: thousands, not rows. Null days and kinds have no place.
+    """
     keys = lambda c: df.select(c).distinct()
-    days, kinds = keys(day), keys(kind)
-    planes = days.join(kinds, F.lit(True))
-    small = days.count() * kinds.count() <= BROADCAST_ROWS
-    spine = keys(point).join(F.broadcast(planes) if small else planes, F.lit(True))
+    # every point gets the days, then each of its rows the kinds, from arrays that come as one row
+    listed = df.agg(F.sort_array(F.collect_set(day)).alias("__days"), F.sort_array(F.collect_set(kind)).alias("__kinds"))
+    spine = keys(point).join(F.broadcast(listed)).select(point, F.explode("__days").alias(day), "__kinds").select(point, day, F.explode("__kinds").alias(kind))
     return spine.join(df.select(point, day, kind, value), [point, day, kind], "left")
 
 
