@@ -251,6 +251,40 @@ def regrid(grid: DataFrame, step: float, north: float, west: float, south: float
     return every.join(found, ["oy", "ox"], "left")
 
 
+def overlaps(n: int, start: float, step: float, source_start: float, source_step: float, out: str, source: str, spark) -> DataFrame:
+    """out, source and share: for each of n intervals of an axis the source's intervals that it meets, and how much of each of these (0 to 1) lies in it.
+
+    Both axes are regular and rise or fall alike; the table is as long as the longer of the two.
+    """
+    low, high = (F.col(out) * step + start), ((F.col(out) + 1) * step + start)
+    place = lambda v: (v - source_start) / source_step
+    begin, end = F.least(place(low), place(high)), F.greatest(place(low), place(high))
+    met = spark.range(n).withColumnRenamed("id", out).withColumns({"__a": begin, "__b": end})
+    met = met.withColumn(source, F.explode(F.sequence(F.floor("__a"), F.ceil("__b"))))
+    share = F.least(F.col(source) + 1.0, F.col("__b")) - F.greatest(F.col(source).cast("double"), F.col("__a"))
+    return met.withColumn("share", share).where("share > 1e-12").select(out, source, "share")
+
+
+def regrid_by_area(grid: DataFrame, rows: DataFrame, columns: DataFrame, value: str = "z", keys: Sequence[str] = (), least_share: float = 0.0, total: bool = False) -> DataFrame:
+    """keys, oy, ox and value: the mean of the source cells in each output cell, weighted by area, or (``total``) the sum of the shares of them in it.
+
+    ``rows`` and ``columns`` are ``overlaps`` of (oy, y) and (ox, x), made once for all grids of one
+    shape. Cells that are missing or null are left out of the weights; an output cell less of whose
+    area than ``least_share`` has values is null, and one that meets no cell is not there. Sums keep
+    the total of what lies within the extent.
+    """
+    met = grid.where(F.col(value).isNotNull()).select(*keys, "y", "x", F.col(value).cast("double").alias("__v"))
+    met = met.join(rows.withColumnRenamed("share", "__sy"), "y").join(columns.withColumnRenamed("share", "__sx"), "x")
+    area = F.col("__sy") * F.col("__sx")
+    sums = met.groupBy(*keys, "oy", "ox").agg(F.sum(area * F.col("__v")).alias("__z"), F.sum(area).alias("__w"))
+    # the whole area of an output cell in source cells
+    full = rows.groupBy("oy").agg(F.sum("share").alias("__fy")), columns.groupBy("ox").agg(F.sum("share").alias("__fx"))
+    sums = sums.join(full[0], "oy").join(full[1], "ox")
+    enough = F.col("__w") >= F.lit(least_share) * F.col("__fy") * F.col("__fx") - 1e-9
+    found = F.col("__z") if total else F.col("__z") / F.col("__w")
+    return sums.select(*keys, "oy", "ox", F.when(enough, found).alias(value))
+
+
 def dense_rows(grid: DataFrame, value: str = "z", width: int | None = None) -> DataFrame:
     """Each row of a grid as an array of ``width`` values (default: the largest x and one), null where a cell is missing.
 

@@ -315,6 +315,30 @@ def a18(grid):
     return R.regrid(grid, 3.0, 400.0, -1240.0, 232.0, -1030.0, lat="lat10", lon="lon10")
 
 
+_AREA = (
+    "with o as (select oy, ox from range(14) a(oy), range(18) b(ox)), "
+    "m as (select o.oy, o.ox, g.z, greatest(least(g.y + 1, (o.oy + 1) * 3.5e0 - 1) - greatest(g.y, o.oy * 3.5e0 - 1), 0) * greatest(least(g.x + 1, (o.ox + 1) * 2.75e0 + 0.5e0) - greatest(g.x, o.ox * 2.75e0 + 0.5e0), 0) as w "
+    "from o join grid g on g.y + 1 > o.oy * 3.5e0 - 1 and g.y < (o.oy + 1) * 3.5e0 - 1 and g.x + 1 > o.ox * 2.75e0 + 0.5e0 and g.x < (o.ox + 1) * 2.75e0 + 0.5e0) "
+)
+
+
+def area_weights(grid):
+    spark = grid.sparkSession
+    return R.overlaps(14, -1.0, 3.5, 0.0, 1.0, "oy", "y", spark), R.overlaps(18, 0.5, 2.75, 0.0, 1.0, "ox", "x", spark)
+
+
+@query("a18_regrid_by_area", _AREA + "select oy, ox, case when sum(w) >= 0.25e0 * 3.5e0 * 2.75e0 then round(sum(z * w) / sum(w), 6) end as z from m where w > 0 group by 1, 2", "grid")
+def a18_area(grid):
+    """Cells of 3.5 by 2.75 source cells, off their borders, as means by area; null where less than a quarter is covered."""
+    return rounded(R.regrid_by_area(grid, *area_weights(grid), least_share=0.25))
+
+
+@query("a18_totals_by_area", _AREA + "select oy, ox, round(sum(z * w) + 1e-7, 5) as z from m where w > 0 group by 1, 2", "grid")
+def a18_totals(grid):
+    """The same as sums of the source cells' parts."""
+    return R.regrid_by_area(grid, *area_weights(grid), total=True).withColumn("z", F.round(F.col("z") + 1e-7, 5))
+
+
 @query("k04_dense_rows", "select r.y, list(g.z order by c.x) as row from (select distinct y from grid) r cross join (select unnest(range((select max(x) + 1 from grid))) as x) c left join grid g on g.y = r.y and g.x = c.x group by r.y", "grid")
 def k04(grid):
     return R.dense_rows(grid)

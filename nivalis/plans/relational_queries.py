@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from nivalis.functions import columns as C
 from nivalis.operators import aggregates as A
 from nivalis.operators import joins as J
-from nivalis.operators.lineage import numbered
+from nivalis.operators import sketches as K
+from nivalis.operators.lineage import checkpointed, numbered
 from nivalis.plans.fixtures import view
 from nivalis.plans.registry import query, with_folder
 from nivalis.sources.bucketed import bucketed
@@ -123,6 +124,52 @@ def a01(lineitem):
     return rounded(A.describe(lineitem, _COLS))
 
 
+_RANGES = "(values ('first', date '2024-01-01', date '2024-01-10'), ('rest', date '2024-01-11', date '2024-01-31'), ('all', date '2024-01-01', date '2024-01-31')) t(part, a, b)"
+
+
+def daily_summaries(daily):
+    return K.daily(daily.select("obs_date", "point_id", "v"), "obs_date", "v", F.col("point_id"), 0.0, 500.0, 50)
+
+
+def of_ranges(daily, read):
+    """read(the merged summaries) of three ranges of days."""
+    days = checkpointed(daily_summaries(daily))
+    ranges = [("first", "2024-01-01", "2024-01-10"), ("rest", "2024-01-11", "2024-01-31"), ("all", "2024-01-01", "2024-01-31")]
+    parts = [read(K.over(days, "obs_date", a, b)).select(F.lit(part).alias("part"), "*") for part, a, b in ranges]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+@query("a01_merged_summaries", f"select t.part, count(*) as n, count(*) - count(v) as n_null, round(avg(v), 6) as mean, min(v) as smallest, max(v) as largest from daily join {_RANGES} on obs_date between t.a and t.b group by 1", "daily")
+def a01_merged(daily):
+    """Ranges of days from daily summaries."""
+    return of_ranges(daily, K.answers).select("part", "n", "n_null", F.round("mean", 6).alias("mean"), "smallest", "largest")
+
+
+@query("a15_merged_histogram", f"select t.part, cast(least(floor(v / 500 * 50), 49) as int) as bin, count(*) as n from daily join {_RANGES} on obs_date between t.a and t.b where v between 0 and 500 group by 1, 2", "daily")
+def a15_merged(daily):
+    return of_ranges(daily, K.histogram)
+
+
+@query(
+    "a05_sketch_errors",
+    f"select t.part, count(distinct point_id) as places, true as places_near, true as quantiles_near from daily join {_RANGES} on obs_date between t.a and t.b group by 1",
+    "daily",
+)
+def a05_errors(daily):
+    """Estimates of ranges of days against exact counts: within the bounds that the sketches state."""
+    exact = lambda a, b: daily.where(F.col("obs_date").between(F.lit(a).cast("date"), F.lit(b).cast("date")))
+    found = of_ranges(daily, K.answers)
+    out = None
+    for part, a, b in (("first", "2024-01-01", "2024-01-10"), ("rest", "2024-01-11", "2024-01-31"), ("all", "2024-01-01", "2024-01-31")):
+        own = F.broadcast(found.where(F.col("part") == part).withColumnsRenamed({"n": "__n"}))  # one row
+        rows = exact(a, b).select("point_id", "v").join(own)
+        near = [(F.count_if(F.col("v") <= F.col(q)) / F.max("__n") >= s - K.RANK_ERROR) & (F.count_if(F.col("v") < F.col(q)) / F.max("__n") <= s + K.RANK_ERROR) for q, s in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))]
+        n = F.count_distinct("point_id")
+        row = rows.agg(F.lit(part).alias("part"), n.alias("places"), (F.abs(F.max("places") - n) <= K.DISTINCT_ERROR * n + 0.5).alias("places_near"), (near[0] & near[1] & near[2]).alias("quantiles_near"))
+        out = row if out is None else out.union(row)
+    return out
+
+
 @query("a02_describe_population", _LONG + "select name, round(avg(value), 6) as mean, round(median(value), 6) as median, round(stddev_pop(value), 6) as std, round(var_pop(value) / 1e6, 4) as variance, round(min(value), 6) as low, round(max(value), 6) as high, round(sum(value), 1) as total from s group by name", "lineitem")
 def a02(lineitem):
     out = A.describe_population(lineitem, _COLS)

@@ -10,6 +10,7 @@ from nivalis.operators import sampling as S
 from nivalis.operators import timeseries as W
 from nivalis.plans.fixtures import view
 from nivalis.plans.registry import query, with_folder
+from nivalis.sources import grids as G
 from nivalis.sources import readers as R
 from nivalis.sources import writers as K
 
@@ -44,6 +45,32 @@ def s05(events):
     return R.flattened(events.select("event_id", "props"), "props", "k int").drop("props")
 
 
+_DRIFT = {"k": (["$.k", "$.reading.k"], "int"), "unit": (["$.reading.unit"], "string")}
+
+
+@query("s05_drifting_records", "select event_id, try_cast(regexp_extract(props, '\"k\": *(-?[0-9]+)', 1) as int) as k, case when event_id % 3 = 1 then 'm' end as unit from events where event_id % 3 < 2 union all select event_id, null, null from events where event_id % 3 = 2", "events")
+def s05_drifting(events):
+    """Records of three kinds in one scan: as they are, with the field one level down beside a unit, and texts that are no JSON."""
+    moved = F.concat(F.lit('{"reading": '), F.regexp_replace("props", r"\}\s*$", ', "unit": "m"}'), F.lit("}"))
+    kind = F.col("event_id") % 3
+    texts = events.select("event_id", F.when(kind == 0, F.col("props")).when(kind == 1, moved).otherwise(F.lit("{broken")).alias("props"))
+    return R.drifting(texts, "props", _DRIFT)
+
+
+@with_folder(
+    "s04_dated_grids",
+    "select d.obs_date as day, s.lat10 - 250 as y, s.lon10 + 1250 as x, round(sum(d.v), 4) as z from daily d join station s using (point_id) where d.obs_date between date '2024-01-05' and date '2024-01-20' group by 1, 2, 3",
+    "daily", "station",
+)
+def s04_grids(spark, sf_dir, folder):
+    """Every day's observations are written as a grid in binary files, of which those of two weeks are read again."""
+    daily, station = view(spark, sf_dir, "daily"), view(spark, sf_dir, "station")
+    placed = daily.join(station.select("point_id", (F.col("lat10") - 250).alias("y"), (F.col("lon10") + 1250).alias("x")), "point_id")
+    grids = placed.groupBy(F.col("obs_date").alias("day"), "y", "x").agg(F.sum("v").alias("z"))
+    G.write_grids(grids, folder, "v", 25.0, -125.0, -0.1)
+    return G.read_grids(spark, folder, "2024-01-05", "2024-01-20").select("day", "y", "x", F.round("z", 4).alias("z"))
+
+
 @query("s06_centroids", "select cell_id, cast(lat10 as double) as lat, cast(lon10 as double) as lon from grid", "grid")
 def s06(grid):
     corner = lambda dx, dy: F.struct((F.col("lon10") + dx).cast("double").alias("x"), (F.col("lat10") + dy).cast("double").alias("y"))
