@@ -14,8 +14,10 @@ loses. That holds where rename is exclusive (HDFS, local disks), not on object s
 has one line for each file and no rows: at 128 MB a file, 100 TB are 800,000 lines of about 100
 bytes, which the driver reads and writes at each commit; with a larger ``target`` they are fewer.
 
-``clean`` keeps the last versions, and removes a file only if a retired manifest names it, no kept
-one does, and it is older than a grace period. What a writer has not committed yet is never touched.
+An arrival is written once: a writer that loses commits its files after the winner's version; a merge
+that loses is dropped. ``clean`` keeps the last versions and removes files that only retired manifests
+name, once older than a grace period, and folders that no manifest names (of a writer that died) after
+a longer one, within which a writer has to commit.
 
 Defined cases: a null text counts 0 bytes of text; repeated rows are stored as often as they come;
 an empty arrival adds no file but commits a version; the columns of the rows are kept whatever
@@ -46,6 +48,10 @@ NEAR = 0.8
 MERGES, LISTED = 64, 50_000
 
 
+class Outrun(RuntimeError):
+    """Another writer has made the version that was to be made."""
+
+
 @dataclass(frozen=True)
 class Shard:
     path: str
@@ -106,7 +112,7 @@ class ShardSet:
         stream.close()
         if self._fs.exists(place) or not self._fs.rename(draft, place):
             self._fs.delete(draft, False)
-            raise RuntimeError(f"version {after + 1} exists; read it and try again")
+            raise Outrun(f"version {after + 1} exists; read it and try again")
         return after + 1
 
     def _files(self, folder: str, schema: StructType) -> list[Shard]:
@@ -123,11 +129,25 @@ class ShardSet:
 
     def append(self, rows: DataFrame) -> int:
         """Add an arrival as small files."""
-        version = self.version()
-        self._checked(rows, version)
+        self._checked(rows, self.version())
         folder = f"{self.root}/data/{uuid.uuid4().hex}"
         rows.write.option("compression", "zstd").parquet(folder)
-        return self.commit(self.shards(version) + self._files(folder, rows.schema), version, rows.schema)
+        return self._added(folder, rows)
+
+    def _added(self, folder: str, rows: DataFrame) -> int:
+        """Commits the files of an arrival after whatever version is the last; they are written once however often others come first."""
+        files = self._files(folder, rows.schema)
+        while True:
+            version = self.version()
+            try:
+                self._checked(rows, version)
+            except ValueError:
+                self._fs.delete(self._path(folder), True)
+                raise
+            try:
+                return self.commit(self.shards(version) + files, version, rows.schema)
+            except Outrun:
+                continue
 
     def append_parts(self, rows: DataFrame, part: Column, n: int, compact: bool = True) -> int:
         """Add n arrivals, the rows with part = 0, 1, ..., in one pass; each is committed, and compacted, on its own."""
@@ -135,8 +155,7 @@ class ShardSet:
         folder = f"{self.root}/data/{uuid.uuid4().hex}"
         rows.withColumn("__part", part).write.option("compression", "zstd").partitionBy("__part").parquet(folder)
         for i in range(n):
-            version = self.version()
-            version = self.commit(self.shards(version) + self._files(f"{folder}/__part={i}", rows.schema), version, rows.schema)
+            version = self._added(f"{folder}/__part={i}", rows)
             if compact:
                 version = self.compact()
         return version
@@ -161,7 +180,10 @@ class ShardSet:
         return [group for group in out if len(group) > 1]
 
     def compact(self, everything: bool = False) -> int:
-        """Merge files of like size until no tier has enough of them; with ``everything``, all that are not finished."""
+        """Merge files of like size until no tier has enough of them; with ``everything``, all that are not finished.
+
+        A merge that another writer outruns is dropped, and the next one starts from that writer's version.
+        """
         version = self.version()
         shards, schema = self.shards(version), self.schema(version)
         while groups := self.merges(shards, everything):
@@ -171,9 +193,16 @@ class ShardSet:
                 parts = [self.spark.read.schema(schema).parquet(*[s.path for s in group]).coalesce(1) for group in own]
                 reduce(DataFrame.union, parts).write.option("compression", "zstd").parquet(folder)
                 gone = {s.path for group in own for s in group}
-                shards = [s for s in shards if s.path not in gone] + self._files(folder, schema)
-                version = self.commit(shards, version)
-            everything = False
+                merged = [s for s in shards if s.path not in gone] + self._files(folder, schema)
+                try:
+                    version, shards = self.commit(merged, version), merged
+                except Outrun:
+                    self._fs.delete(self._path(folder), True)
+                    version = self.version()
+                    shards = self.shards(version)
+                    break
+            else:
+                everything = False
         return version
 
     def read(self, version: int | None = None) -> DataFrame:
@@ -194,10 +223,11 @@ class ShardSet:
         rows = self.read().select("doc_id", "text", F.col("_metadata.file_name").alias("__file"))
         return rows.join(F.broadcast(listed) if len(shards) <= LISTED else listed, "__file").select("doc_id", "text", "shard", "tier", F.lit(version).alias("version"))
 
-    def clean(self, keep: int = 2, grace_s: float = 3600) -> None:
+    def clean(self, keep: int = 2, grace_s: float = 3600, orphan_s: float = 7 * 86_400) -> None:
         """Retire all but the last ``keep`` versions, and remove files that only they name, once older than ``grace_s`` seconds.
 
-        A manifest goes when it is as old and its files have gone.
+        A manifest goes when it is as old and its files have gone. Folders that no manifest names go
+        once older than ``orphan_s``.
         """
         versions = self.versions()
         used = {s.path for v in versions[-keep:] for s in self.shards(v)}
@@ -212,6 +242,12 @@ class ShardSet:
                     gone &= old(place) and self._fs.delete(place, False)
             if gone:
                 self._fs.delete(manifest, False)
+        named = {s.path.removeprefix(f"{self.root}/data/").split("/")[0] for v in self.versions() for s in self.shards(v)}
+        data = self._path(f"{self.root}/data")
+        if self._fs.exists(data):
+            for status in self._fs.listStatus(data):
+                if status.getPath().getName() not in named and status.getModificationTime() <= (time.time() - orphan_s) * 1000:
+                    self._fs.delete(status.getPath(), True)
 
 
 def shard_arrivals(docs: DataFrame, root: str, arrivals: int = 4, **sizes: int) -> ShardSet:

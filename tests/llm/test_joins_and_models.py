@@ -331,3 +331,53 @@ def test_clean_spares_readers_and_writers(spark):
     assert shards.read().count() == 40
     other.clean(keep=1, grace_s=0)
     assert shards.versions() == [6] and shards.read().count() == 40
+
+
+def test_an_arrival_that_is_outrun_is_committed_without_writing_it_again(spark, monkeypatch):
+    root = scratch(spark)
+    one, two = sharding.ShardSet(spark, root), sharding.ShardSet(spark, root)
+    rows = wide(spark, [(i, "a") for i in range(6)]).coalesce(1)
+    find, turns = one._files, []
+
+    def outrun(folder, schema):
+        turns.append(folder)
+        two.append(rows.limit(1))
+        return find(folder, schema)
+
+    monkeypatch.setattr(one, "_files", outrun)
+    monkeypatch.setattr(one, "version", lambda real=one.version, seen=[]: seen.append(1) or (0 if len(seen) < 3 else real()))  # noqa: B006
+    assert one.append(rows) == 2
+    assert len(turns) == 1 and two.read().count() == 7
+
+
+def test_a_merge_that_is_outrun_is_dropped_and_done_again(spark, monkeypatch):
+    root = scratch(spark)
+    one, two = sharding.ShardSet(spark, root), sharding.ShardSet(spark, root)
+    rows = wide(spark, [(i, "a") for i in range(6)]).coalesce(1)
+    for _ in range(4):
+        one.append(rows)
+    find, done = one._files, []
+
+    def outrun(folder, schema):
+        if not done:
+            done.append(folder)
+            two.append(rows)
+        return find(folder, schema)
+
+    monkeypatch.setattr(one, "_files", outrun)
+    one.compact()
+    assert two.read().count() == 30 and sum(s.rows for s in two.shards()) == 30
+    assert not one._fs.exists(one._path(done[0]))
+
+
+def test_folders_of_dead_writers_go(spark):
+    root = scratch(spark)
+    shards = sharding.ShardSet(spark, root)
+    rows = wide(spark, [(1, "a")]).coalesce(1)
+    shards.append(rows)
+    rows.write.parquet(f"{root}/data/dead")
+    shards.clean(orphan_s=3600)
+    assert shards._fs.exists(shards._path(f"{root}/data/dead"))
+    shards.clean(orphan_s=-10)
+    assert not shards._fs.exists(shards._path(f"{root}/data/dead"))
+    assert shards.read().count() == 1
