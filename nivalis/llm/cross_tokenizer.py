@@ -43,8 +43,8 @@ from nivalis.llm.token_fragments import B_BITS, Fragment, Tokens, fragment, grou
 
 #: Bytes of text in a page; bytes from which a text is dealt over tasks, and in a part of it; fragments put together at once.
 PAGE_BYTES, LONG, PART, FAN = 4 << 20, 1 << 20, 256 << 10, 16
-#: Words tokenized in one call, and bytes that a worker keeps of the words it knows.
-CALL, KNOWN_BYTES = 8192, 64 << 20
+#: Bytes of text that are split at once (no more than LONG), words tokenized in one call, and bytes that a worker keeps of the words it knows.
+GROUP, CALL, KNOWN_BYTES = 1 << 20, 8192, 64 << 20
 
 #: A space after what is not white space, in texts without white space beyond ASCII and in any text.
 _CUT, _CUT_ANY, _PLAIN = re.compile(rb"(?<=[^\t-\r ])(?= )"), re.compile(rb"(?<=[!-~])(?= )"), re.compile(rb"[\t-\r ] ")
@@ -230,11 +230,11 @@ class Page:
 NOTHING = ((0, 0, 0, 0), bytes(32), np.empty(0, np.int64))
 
 
-def _ranges(text: bytes) -> Iterator[dict]:
+def _ranges(text: bytes, size: int) -> Iterator[dict]:
     """The parts of a long text that follows a space."""
     text, at, ends = b" " + text, 0, [(0, 0)]
     while at < len(text):
-        a = _A_END.search(text, at + PART)
+        a = _A_END.search(text, at + size)
         b = _B_END.search(text, a.start()) if a else None
         at = b.start() if b else len(text)
         ends.append((a.start(), at) if b else (at, at))
@@ -242,6 +242,21 @@ def _ranges(text: bytes) -> Iterator[dict]:
         yield {"part": part, "n_parts": len(ends) - 1, "at": a0, "b_begin": b0 - a0, "a_end": a1 - a0, "text": text[a0:b1]}
 
 
+def _grouped(batch: pa.RecordBatch, most: int) -> Iterator[list[tuple[int | None, bytes]]]:
+    """The documents of a batch, some at a time: up to so many bytes, or one longer text."""
+    group: list[tuple[int | None, bytes]] = []
+    size = 0
+    for doc_id, x in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
+        text = x.as_buffer().to_pybytes()
+        if group and size + len(text) > most:
+            yield group
+            group, size = [], 0
+        group.append((doc_id, text))
+        size += len(text)
+    if group:
+        yield group
+
+
 def _dealt(a: str, b: str):
     """Pages of the short documents, and the parts of the long ones."""
     schema = PAGE | RANGE
@@ -249,25 +264,24 @@ def _dealt(a: str, b: str):
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, page = _known(a, b), Page()
         for batch in batches:
-            docs = [(doc_id, x.as_buffer().to_pybytes()) for doc_id, x in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True)]
-            for doc_id, text in docs:
-                if len(text) > LONG:
+            for docs in _grouped(batch, GROUP):
+                if len(docs[0][1]) > LONG:  # alone in its group
                     doc = uuid.uuid4().int >> 65
-                    for part in _ranges(text):
-                        yield _batch([part | {"doc": doc, "doc_id": doc_id}], schema)
-            short = [(doc_id, text) for doc_id, text in docs if len(text) <= LONG]
-            for (doc_id, text), numbers in zip(short, known.numbers([split(text) if text else [] for _, text in short]), strict=True):
-                if not len(numbers) or known.bad[numbers].any():
-                    page.add(doc_id, *NOTHING, len(text))
+                    for part in _ranges(docs[0][1], PART):
+                        yield _batch([part | {"doc": doc, "doc_id": docs[0][0]}], schema)
                     continue
-                n_a, n_b, n_groups = known.sizes[numbers].sum(axis=0).tolist()
-                page.add(doc_id, (n_a, n_b, n_groups, n_a + n_b - n_groups), hashlib.sha256(known.text(numbers)).digest(), numbers, len(text))
-            if page.size > PAGE_BYTES or known.held > KNOWN_BYTES:
-                if page.rows:
-                    yield _batch([page.packed(known.codes)], schema)
-                    page = Page()
-                if known.held > KNOWN_BYTES:
-                    known.clear()
+                for (doc_id, text), numbers in zip(docs, known.numbers([split(text) if text else [] for _, text in docs]), strict=True):
+                    if not len(numbers) or known.bad[numbers].any():
+                        page.add(doc_id, *NOTHING, len(text))
+                        continue
+                    n_a, n_b, n_groups = known.sizes[numbers].sum(axis=0).tolist()
+                    page.add(doc_id, (n_a, n_b, n_groups, n_a + n_b - n_groups), hashlib.sha256(known.text(numbers)).digest(), numbers.astype(np.int32), len(text))
+                if page.size > PAGE_BYTES or known.held > KNOWN_BYTES:
+                    if page.rows:
+                        yield _batch([page.packed(known.codes)], schema)
+                        page = Page()
+                    if known.held > KNOWN_BYTES:
+                        known.clear()
         if page.rows:
             yield _batch([page.packed(known.codes)], schema)
         known.clear()  # the worker goes on with other work
@@ -327,11 +341,14 @@ def _fragments(a: str, b: str):
     return make
 
 
-def _put_together(table: pa.Table) -> pa.Table:
-    rows = sorted(table.to_pylist(), key=lambda r: r["part"])
-    good = all(r["good"] for r in rows)
-    total = functools.reduce(Fragment.__add__, map(_from_row, rows)) if good else Fragment()
-    return _table([{"doc": rows[0]["doc"], "doc_id": rows[0]["doc_id"], "part": rows[0]["part"] // FAN, "good": good} | _to_row(total)], FRAGMENT)
+def _put_together(fan: int):
+    def add(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: r["part"])
+        good = all(r["good"] for r in rows)
+        total = functools.reduce(Fragment.__add__, map(_from_row, rows)) if good else Fragment()
+        return _table([{"doc": rows[0]["doc"], "doc_id": rows[0]["doc_id"], "part": rows[0]["part"] // fan, "good": good} | _to_row(total)], FRAGMENT)
+
+    return add
 
 
 def _finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,7 +372,7 @@ def _pages(docs: DataFrame, a: str, b: str) -> DataFrame:
         return pages
     found = ranges.repartition("doc", "part").mapInArrow(_fragments(a, b), _ddl(FRAGMENT))
     while longest > 1:
-        found = found.groupBy("doc", F.floor(F.col("part") / FAN).alias("next")).applyInArrow(_put_together, _ddl(FRAGMENT))
+        found = found.groupBy("doc", F.floor(F.col("part") / FAN).alias("next")).applyInArrow(_put_together(FAN), _ddl(FRAGMENT))
         longest = -(-longest // FAN)
     return pages.unionByName(materialise(found.mapInArrow(_finished, _ddl(PAGE))))
 

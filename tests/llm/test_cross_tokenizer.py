@@ -61,6 +61,7 @@ def key(row):
 @pytest.mark.parametrize("long, part", [(1 << 20, 1 << 18), (40, 12), (0, 3), (200, 90)])
 def test_align_equals_brute_force(spark, monkeypatch, long, part):
     monkeypatch.setattr(ct, "LONG", long)
+    monkeypatch.setattr(ct, "GROUP", min(long, 1 << 19))
     monkeypatch.setattr(ct, "PART", part)
     monkeypatch.setattr(ct, "FAN", 3)
     monkeypatch.setattr(ct, "PAGE_BYTES", 100)
@@ -72,12 +73,14 @@ def test_align_equals_brute_force(spark, monkeypatch, long, part):
 
 def test_long_text_over_several_rounds(spark, monkeypatch):
     monkeypatch.setattr(ct, "LONG", 5000)
+    monkeypatch.setattr(ct, "GROUP", 3000)
     monkeypatch.setattr(ct, "PART", 700)
     monkeypatch.setattr(ct, "FAN", 2)
     rng = np.random.default_rng(5)
     words = ["alpha", "beta\n", "γάμμα", "1234", "δ\tx", "the", "  of", "x\r\n", "naïve"]
     text = " ".join(words[i] for i in rng.integers(0, len(words), 4000))
     docs = [(1, text), (2, text[:4000]), (3, "z" * 9000), (4, text + "▁")]
+    assert len(list(ct._ranges(text.encode(), 700))) > 20
     got = ct.align(spark.createDataFrame(docs, "doc_id long, text string"))
     expected = {}
     for doc_id, t in docs:
@@ -133,6 +136,22 @@ def test_fragments_are_a_monoid(a, b, cuts, ahead, rnd):
     assert (done.n_a, done.n_b, done.n_groups) == (len(a_ids), len(b_ids), len(set(a_ends) & set(b_ends)))
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=st.sampled_from("ab \n\té1!日"), min_size=1, max_size=60), st.integers(1, 9))
+def test_parts_put_together_are_the_whole(text, size):
+    """The ranges of a text, each made a fragment by itself, add up to the fragment of its tokens."""
+    known = ct.Words(both())
+    raw = text.encode()
+    parts = [ct.part_fragment(known, r["text"], r["at"], r["b_begin"], r["a_end"]) for r in ct._ranges(raw, size)]
+    total = Fragment()
+    for x in parts:
+        total = total + x
+    (a, a_ends), (b, b_ends) = streams(text)
+    whole = fragment(Tokens(np.array(a), np.array(a_ends)), Tokens(np.array(b), np.array(b_ends)))
+    assert plain(total) == plain(whole)
+    assert plain(total.whole()) == plain(whole.whole())
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.sampled_from("ab \n\t\r\x0b\x0c\x85\xa0　'sé1!<|>\x1c日"), min_size=1, max_size=30))
 def test_words_are_tokenized_as_the_whole(text):

@@ -44,7 +44,6 @@ def corpus(n, seed):
 @pytest.mark.parametrize("slice_bytes", [8 << 20, 300])
 def test_search_equals_brute_force(spark, monkeypatch, slice_bytes):
     monkeypatch.setattr(ls, "SLICE_BYTES", slice_bytes)
-    monkeypatch.setattr(ls, "LOOKUPS", 64)
     docs = [*corpus(150, 1), (None, None), (900, ""), (901, "..!"), (None, "W1 w1 W2"), (7, "w4 W4"), (7, "w4 W4"), (-5, "w50 " * 3000)]
     items = [*corpus(12, 2), (50, None), (51, "w50 w50 W1"), (51, "w2"), (None, "w7 é3ñ"), (52, "nowhere at all"), (53, "W4")]
     got = ls.search(spark.createDataFrame([(*r, 1) for r in docs], "doc_id long, text string, item_id int").repartition(5), spark.createDataFrame([(*r, 2) for r in items], "item_id long, text string, doc_id int"))
@@ -58,7 +57,9 @@ def test_rows_alike_fill_the_ranks(spark):
     assert [r.doc_id for r in got] == [0] * 10 and [r["rank"] for r in got] == list(range(1, 11))
 
 
-def test_documents_that_cannot_enter_are_not_scored():
+@pytest.mark.parametrize("lookups", [1, 64, 1 << 20])
+def test_documents_that_cannot_enter_are_not_scored(monkeypatch, lookups):
+    monkeypatch.setattr(ls, "LOOKUPS", lookups)
     docs, items = corpus(3000, 3), corpus(5, 4)
     index = ls.Index([(i, ls.terms(t.encode())) for i, t in items])
     rows = [(i, Counter(index.number[t] for t in ls.terms(x.encode()) if t in index.number), len(ls.terms(x.encode()))) for i, x in docs]
