@@ -147,4 +147,4 @@ def by_tile(grid: DataFrame, compute: Callable[[Field], Mapping[str, np.ndarray]
                 columns += [pa.array(y + y0), pa.array(x + x0), *[pa.array(found[c][own], from_pandas=True) for c in outputs]]
                 yield pa.RecordBatch.from_arrays(columns, names=[*keys, "y", "x", *outputs])
 
-    return tiles.mapInArrow(run, schema)
+    return tiles.mapInArrow(run, schema).withColumns({c: F.col(c).cast(grid.schema[c].dataType) for c in ("y", "x")})

@@ -16,7 +16,7 @@ _HAV = "2 * 6371.0e0 * asin(sqrt(least(pow(sin(radians(g.lat10 / 10e0 - s.lat) /
 
 @query("j07_nearest_l1", "select s.point_id, min_by(g.cell_id, (abs(s.lat10 - g.lat10) + abs(s.lon10 - g.lon10)) * 100000 + g.cell_id) as cell_id, cast(min(abs(s.lat10 - g.lat10) + abs(s.lon10 - g.lon10)) as int) as distance from station s cross join grid g group by 1", "station", "grid")
 def j07(station, grid):
-    return N.nearest(TENTHS(station, "point_id"), TENTHS(grid, "cell_id"), "l1")
+    return N.nearest(TENTHS(station, "point_id"), TENTHS(grid, "cell_id"), "l1").withColumn("distance", F.col("distance").cast("int"))
 
 
 @query("j08_nearest_l2", "select s.point_id, min_by(g.cell_id, (pow(s.lat10 - g.lat10, 2) + pow(s.lon10 - g.lon10, 2)) * 100000 + g.cell_id) as cell_id from station s cross join grid g group by 1", "station", "grid")
