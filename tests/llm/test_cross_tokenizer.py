@@ -160,3 +160,40 @@ def test_words_are_tokenized_as_the_whole(text):
     assert b"".join(words) == whole
     assert [i for x in both().encode_a(words) for i in x] == both().encode_a([whole])[0]
     assert [i for x in both().encode_b(words) for i in x] == both().encode_b([whole])[0]
+
+
+def test_the_query_equals_a_walk_over_both_token_lists(spark):
+    import pyarrow.parquet as pq
+
+    sf = "/root/testdata/sf0.001"
+    found = {}
+    for row in pq.read_table(f"{sf}/documents.parquet").to_pylist():
+        s = streams(row["text"])
+        if not s:
+            found[row["doc_id"]] = (0, 0, "", [])
+            continue
+        (a, a_ends), (b, b_ends) = s
+        i = j = 0
+        links, texts, open_a, open_b = [], [], [], []
+        while i < len(a):
+            links.append((a[i], b[j]))
+            end_a, end_b = a_ends[i], b_ends[j]
+            if end_a <= end_b:
+                open_a.append(str(a[i]))
+                i += 1
+            if end_b <= end_a:
+                open_b.append(str(b[j]))
+                j += 1
+            if end_a == end_b:
+                texts.append(",".join(open_a) + "|" + ",".join(open_b))
+                open_a, open_b = [], []
+        found[row["doc_id"]] = (len(a), len(b), ";".join(texts), links)
+    count = Counter(x for *_, links in found.values() for x in links)
+    top = {}
+    for (_, y), n in count.items():
+        top[y] = max(top.get(y, 0), n)
+    want = {
+        i: (a, b, text.count(";") + 1 if text else 0, len(links), sum(count[x] == top[x[1]] for x in links), sum(count[x] for x in links), hashlib.sha256(text.encode()).hexdigest() if text else "")
+        for i, (a, b, text, links) in found.items()
+    }
+    assert {r.doc_id: tuple(r)[1:] for r in ct.op13_token_alignment(spark, sf).collect()} == want

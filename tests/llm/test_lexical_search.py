@@ -81,3 +81,18 @@ def test_empty(spark):
     some = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     for d, i in ((docs, items), (some, items), (docs, some.select("doc_id", "text").withColumnRenamed("doc_id", "item_id"))):
         assert ls.search(d, i).collect() == []
+
+
+def test_the_query_equals_its_sql_and_brute_force(spark):
+    import duckdb
+    import pyarrow.parquet as pq
+
+    sf = "/root/testdata/sf0.001"
+    got = sorted(map(tuple, ls.op12_lexical_search(spark, sf).select("item_id", "rank", "doc_id", "score").collect()))
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.sql(f"create view {name} as select * from '{sf}/{name}.parquet'")
+    assert got == sorted(con.sql(f"select item_id, rank, doc_id, score from ({ls.OP12_SQL})").fetchall())
+    docs = [(r["doc_id"], r["text"]) for r in pq.read_table(f"{sf}/documents.parquet").to_pylist()]
+    items = [(r["item_id"], r["text"]) for r in pq.read_table(f"{sf}/benchmark.parquet").to_pylist()]
+    assert got == sorted(brute(docs, items))

@@ -121,3 +121,13 @@ def test_ids_equal_the_tokenizer(texts):
     for _ in range(2):  # words that are new, and that are known
         got = known.encode([x.encode() for x in texts])
         assert [x.tolist() for x in got] == [[*plain.encode(x, add_special_tokens=False).ids, 2] for x in texts]
+
+
+def test_the_query_equals_the_tokenizer_on_whole_texts(spark):
+    import pyarrow.parquet as pq
+
+    sf = "/root/testdata/sf0.001"
+    rows = [(r["doc_id"], r["text"]) for r in pq.read_table(f"{sf}/documents.parquet").to_pylist()]
+    got = token_files.op11_token_files(spark, sf)
+    assert got.dtypes == [("doc_id", "bigint"), ("start", "bigint"), ("n_tokens", "bigint"), ("ids_crc32", "bigint")]
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[1]) == brute(rows)
