@@ -235,6 +235,7 @@ def _grow(spark, rows: DataFrame, forest: list[Tree], nodes: list[tuple[int, int
                 known[r.tree, r.node] = sums, spread
                 splits.setdefault(r.tree, []).append((r.node, chosen, thresholds))
     if not splits:
+        trees.unpersist()
         return []
     # nodes where fewer features vary repeat their first draw
     padded = lambda a: np.concatenate([a, np.repeat(a[:1], tried - len(a))])
