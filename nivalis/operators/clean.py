@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -129,7 +128,3 @@ def good_quality(df: DataFrame, flag: str, code: str, best: bool = True, limit:
 
 def replace_by(df: DataFrame, column: str, corrected: str) -> DataFrame:
     return df.drop(column).withColumnRenamed(corrected, column)
-
-
-def all_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions, F.lit(True))

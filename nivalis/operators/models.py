@@ -6,8 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -138,19 +137,10 @@ def label_encoded(df: DataFrame, column: str) -> DataFrame:
     return df.join(codes.withColumn(f"{column}_code", (F.col(f"{column}_code") - 1).cast("int")), column)
 
 
-def indexer(column: str) -> StringIndexer:
-    """The same as an ML stage."""
-    return StringIndexer(inputCol=column, outputCol=f"{column}_code", stringOrderType="alphabetAsc", handleInvalid="keep")
-
-
 def melted(df: DataFrame, keys: Sequence[str], values: Sequence[str], name: str = "model", value: str = "predicted") -> DataFrame:
     return df.unpivot(list(keys), list(values), name, value)
 
 
-def as_array(df: DataFrame) -> DataFrame:
-    return df.withColumn("features", vector_to_array("features"))
-
-
 def save_versioned(model: PipelineModel, spark, root: str, run_id: str) -> int:
     """The model as a run, and as the latest version; the version's number."""
     return publish(spark, root, run_id, lambda path: model.save(path))

@@ -16,11 +16,6 @@ def append_days(df: DataFrame, path: str, day: str = "obs_date") -> None:
     df.repartition(day).write.mode("append").partitionBy(day).parquet(path)
 
 
-def rewrite_days(df: DataFrame, path: str, day: str = "obs_date") -> None:
-    """Only the partitions of the days in df are replaced."""
-    df.repartition(day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
-
-
 def dense_cube(df: DataFrame, point: str, day: str, kind: str, value: str) -> DataFrame:
     """A row for each point, day and kind that occurs in the table, with nulls where there is no value.
 
