@@ -66,13 +66,14 @@ class Tree:
 
     lat: float
     lon: float
-    size: float
+    height: float
+    width: float
     nodes: dict[int, DataFrame]
     cells: DataFrame
 
     def box(self, level: int, iy: Column, ix: Column) -> tuple[Column, ...]:
-        side = self.size / 2**level
-        return F.lit(self.lat) + iy * side, F.lit(self.lat) + (iy + 1) * side, F.lit(self.lon) + ix * side, F.lit(self.lon) + (ix + 1) * side
+        high, wide = self.height / 2**level, self.width / 2**level
+        return F.lit(self.lat) + iy * high, F.lit(self.lat) + (iy + 1) * high, F.lit(self.lon) + ix * wide, F.lit(self.lon) + (ix + 1) * wide
 
 
 def _ends() -> list[Column]:
@@ -86,8 +87,8 @@ def build(cells: DataFrame, leaf: int = LEAF) -> Tree | None:
     n, y0, y1, x0, x1 = cells.agg(*_ends()).first()
     if not n:
         return None
-    size = max(y1 - y0, x1 - x0, 1e-9) * (1 + 1e-6)
-    at = lambda c, low, level: F.floor((F.col(c) - low) / size * float(2**level)).alias("iy" if c == "clat" else "ix")
+    height, width = (max(x, 1e-9) * (1 + 1e-6) for x in (y1 - y0, x1 - x0))
+    at = lambda c, low, level: F.floor((F.col(c) - low) / (height if c == "clat" else width) * float(2**level)).alias("iy" if c == "clat" else "ix")
     first = level = min(DEEPEST, STEP * ceil(log(max(n / leaf, 1), 4) / STEP))
     nodes, placed, rest = {}, [], cells
     while True:
@@ -107,7 +108,7 @@ def build(cells: DataFrame, leaf: int = LEAF) -> Tree | None:
         sums = [F.sum("n").alias("n"), F.min("y0").alias("y0"), F.max("y1").alias("y1"), F.min("x0").alias("x0"), F.max("x1").alias("x1")]
         nodes[upper] = below.groupBy(*up).agg(*sums).withColumn("leaf", F.lit(False))
     names = ["level", "iy", "ix", "clat", "clon", "cell_id"]
-    return Tree(float(y0), float(x0), float(size), dict(sorted(nodes.items())), reduce(DataFrame.union, [p.select(*names) for p in placed]))
+    return Tree(float(y0), float(x0), float(height), float(width), dict(sorted(nodes.items())), reduce(DataFrame.union, [p.select(*names) for p in placed]))
 
 
 _POINT = ["point_id", "lat", "lon"]

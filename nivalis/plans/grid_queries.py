@@ -157,8 +157,8 @@ def _curv_sql(source: str, keys: str = "") -> str:
 
 
 _CURV = _curv_sql("grid")
-#: A side that cuts the small grids of the test tables into many tiles.
-_TILE = 16
+#: A side that cuts the grids of the test tables into several tiles.
+_TILE = 64
 
 
 @query("r05_curvature_sobel", _CURV + "select y, x, round(z, 4) as curvature from g2", "grid")
