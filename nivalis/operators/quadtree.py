@@ -1,11 +1,12 @@
 """A linear quadtree over cells, and the nearest cell of many points by walking it.
 
-The tree is tables: for every third level the nodes that hold cells, with their tight boxes, and the
-cells with the leaf that they lie in. A node of up to LEAF cells is a leaf, so dense regions go deeper
-than sparse ones. All points walk at once, one join on node numbers for each level: a point keeps
-the nodes that could hold something nearer than the farthest corner of its best node, and at the end
-meets the cells of the few leaves that are left. So the pairs of a point do not depend on how
-fine the grid is.
+The tree is tables: for every third level a row for each node with the tight boxes of its children,
+and the cells in packs by the leaf that they lie in. Nodes are square. A node of up to LEAF cells is a
+leaf, so dense regions go deeper than sparse ones. All places walk at once, twice, one join on node
+numbers for each level. The first walk takes the nearest child each time, to one leaf, whose nearest
+cell bounds the distance; the second takes all children that could hold a nearer one, at the end the
+cells of the few leaves that are left. So a place is one row for each level of the first walk, and a
+few of the second, however fine the grid is, and points of one place walk once.
 """
 
 from __future__ import annotations
@@ -17,13 +18,14 @@ from math import ceil, log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from nivalis.functions.columns import EARTH_RADIUS_KM, haversine_km
 from nivalis.operators.lineage import checkpointed
 
 #: Cells in a leaf, levels from one table of nodes to the next, and the deepest level (cells that even this does not part share a leaf).
 LEAF, STEP, DEEPEST = 32, 3, 27
+#: Cells in an array at most, about.
+PACK = 4096
 #: For rounding: a node this much beyond the bound is still looked at.
 SLACK = 1 + 1e-9
 
@@ -62,18 +64,15 @@ def most(metric: str, box: tuple[Column, ...]) -> Column:
 
 @dataclass
 class Tree:
-    """nodes: by level (iy, ix, leaf, the cells' box and count); cells: (level, iy, ix, clat, clon, cell_id)."""
+    """families: for each step down, a node's number and its children (number and tight box), a leaf being its own child; packs: the cells of each leaf in arrays."""
 
-    lat: float
-    lon: float
-    height: float
-    width: float
-    nodes: dict[int, DataFrame]
-    cells: DataFrame
+    families: list[DataFrame]
+    packs: DataFrame
 
-    def box(self, level: int, iy: Column, ix: Column) -> tuple[Column, ...]:
-        high, wide = self.height / 2**level, self.width / 2**level
-        return F.lit(self.lat) + iy * high, F.lit(self.lat) + (iy + 1) * high, F.lit(self.lon) + ix * wide, F.lit(self.lon) + (ix + 1) * wide
+
+def _number(level: int, iy: Column, ix: Column) -> Column:
+    """One number for a node; 0 is the root."""
+    return F.lit(level // STEP << 2 * DEEPEST) + F.shiftleft(iy, DEEPEST) + ix
 
 
 def _ends() -> list[Column]:
@@ -87,19 +86,17 @@ def build(cells: DataFrame, leaf: int = LEAF) -> Tree | None:
     n, y0, y1, x0, x1 = cells.agg(*_ends()).first()
     if not n:
         return None
-    height, width = (max(x, 1e-9) * (1 + 1e-6) for x in (y1 - y0, x1 - x0))
-    at = lambda c, low, level: F.floor((F.col(c) - low) / (height if c == "clat" else width) * float(2**level)).alias("iy" if c == "clat" else "ix")
+    size = max(y1 - y0, x1 - x0, 1e-9) * (1 + 1e-6)
+    at = lambda c, low, level: F.floor((F.col(c) - low) / size * float(2**level)).alias("iy" if c == "clat" else "ix")
     first = level = min(DEEPEST, STEP * ceil(log(max(n / leaf, 1), 4) / STEP))
     nodes, placed, rest = {}, [], cells
     while True:
         keyed = rest.select("cell_id", "clat", "clon", at("clat", y0, level), at("clon", x0, level))
         nodes[level] = checkpointed(keyed.groupBy("iy", "ix").agg(*_ends()).withColumn("leaf", (F.col("n") <= leaf) | F.lit(level >= DEEPEST)))
-        keyed = keyed.withColumn("level", F.lit(level))
+        split = keyed.join(nodes[level].select("iy", "ix", "leaf", "n").hint("merge"), ["iy", "ix"])
+        placed.append(split.where("leaf").select(_number(level, F.col("iy"), F.col("ix")).alias("node"), "n", "cell_id", "clat", "clon"))
         if nodes[level].where("not leaf").isEmpty():
-            placed.append(keyed)
             break
-        split = keyed.join(nodes[level].select("iy", "ix", "leaf"), ["iy", "ix"])
-        placed.append(split.where("leaf").drop("leaf"))
         rest = checkpointed(split.where("not leaf").select("cell_id", "clat", "clon"))
         level += STEP
     for upper in range(first - STEP, 0, -STEP):
@@ -107,39 +104,60 @@ def build(cells: DataFrame, leaf: int = LEAF) -> Tree | None:
         up = [F.shiftright(c, STEP).alias(c) for c in ("iy", "ix")]
         sums = [F.sum("n").alias("n"), F.min("y0").alias("y0"), F.max("y1").alias("y1"), F.min("x0").alias("x0"), F.max("x1").alias("x1")]
         nodes[upper] = below.groupBy(*up).agg(*sums).withColumn("leaf", F.lit(False))
-    names = ["level", "iy", "ix", "clat", "clon", "cell_id"]
-    return Tree(float(y0), float(x0), float(height), float(width), dict(sorted(nodes.items())), reduce(DataFrame.union, [p.select(*names) for p in placed]))
-
-
-_POINT = ["point_id", "lat", "lon"]
+    families, leaves = [], None
+    for level, found in sorted(nodes.items()):
+        child = F.struct(_number(level, F.col("iy"), F.col("ix")).alias("node"), *_BOX).alias("child")
+        parent = _number(level - STEP, F.shiftright("iy", STEP), F.shiftright("ix", STEP)) if level else F.lit(0).cast("long")
+        children = found.select(parent.alias("node"), child, "leaf")
+        every = children.select("node", "child")
+        families.append(checkpointed((every if leaves is None else every.union(leaves)).groupBy("node").agg(F.collect_list("child").alias("children"))))
+        own = children.where("leaf").select(F.col("child.node").alias("node"), "child")
+        leaves = own if leaves is None else leaves.union(own)
+    # cells that no level parts are more than one array
+    packed = reduce(DataFrame.union, placed).withColumn("pack", F.pmod(F.xxhash64("clat", "clon"), F.ceil(F.col("n") / PACK)))
+    return Tree(families, checkpointed(packed.groupBy("node", "pack").agg(F.collect_list(F.struct("clat", "clon", "cell_id")).alias("cells"))))
+
+
+def _met(front: DataFrame, tree: Tree, step: int) -> DataFrame:
+    """front with the children of each row's node; the first two tables of nodes have at most 65 rows of 64 children."""
+    family = tree.families[step]
+    return front.join(F.broadcast(family) if step < 2 else family.hint("merge"), "node")
+
+
+def _box(child: Column) -> tuple[Column, ...]:
+    return tuple(child[c] for c in _BOX)
+
+
+def _reached(points: DataFrame, tree: Tree, metric: str) -> DataFrame:
+    """lat, lon and cells: the distinct places of points, with each pack of cells that may hold the nearest one."""
+    distance = METRICS[metric]
+    places = points.select(F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon")).where("lat is not null and lon is not null and not isnan(lat) and not isnan(lon)").distinct()
+    front = places.withColumns({"node": F.lit(0).cast("long"), "bound": F.lit(float("inf"))})
+    for step in range(len(tree.families)):
+        nearest_child = F.array_min(F.transform("children", lambda c: F.struct(least(metric, _box(c)).alias("near"), most(metric, _box(c)).alias("far"), c["node"].alias("node"))))
+        front = _met(front, tree, step).select("lat", "lon", nearest_child.alias("to")).select("lat", "lon", "to.node", F.col("to.far").alias("bound"))
+    one = tree.packs.where("pack = 0").select("node", "cells").hint("merge")
+    found = F.array_min(F.transform("cells", lambda c: distance(F.col("lat"), F.col("lon"), c["clat"], c["clon"])))
+    front = front.join(one, "node", "left").select("lat", "lon", F.lit(0).cast("long").alias("node"), F.least("bound", found).alias("bound"))
+    for step in range(len(tree.families)):
+        near = F.filter("children", lambda c: least(metric, _box(c)) <= F.col("bound") * SLACK + 1e-12)
+        front = _met(front, tree, step).select("lat", "lon", "bound", F.explode(F.transform(near, lambda c: c["node"])).alias("node"))
+    return front.join(tree.packs.hint("merge"), "node").select("lat", "lon", "cells")
 
 
 def candidates(points: DataFrame, tree: Tree, metric: str) -> DataFrame:
     """point_id, lat, lon and a cell for each cell of the leaves that may hold the point's nearest one."""
-    points = points.select("point_id", F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon")).where("lat is not null and lon is not null").distinct()
-    whole = Window.partitionBy(*_POINT)
-    front = points.select("*", F.lit(0).cast("long").alias("iy"), F.lit(0).cast("long").alias("ix"), F.lit(float("inf")).alias("bound"))
-    level, found = 0, []
-    for deeper, nodes in tree.nodes.items():
-        side = 2 ** (deeper - level)
-        turn = F.explode(F.sequence(F.lit(0), F.lit(side * side - 1))).alias("k")
-        below = front.select(*_POINT, "bound", "iy", "ix", turn)
-        below = below.select(*_POINT, "bound", (F.col("iy") * side + F.floor(F.col("k") / side)).alias("iy"), (F.col("ix") * side + F.col("k") % side).alias("ix"))
-        below = below.where(least(metric, tree.box(deeper, F.col("iy"), F.col("ix"))) <= F.col("bound") * SLACK + 1e-12)
-        met = below.join(nodes.select("iy", "ix", "leaf", *_BOX), ["iy", "ix"])
-        box = tuple(map(F.col, _BOX))
-        met = met.select(*_POINT, "iy", "ix", "leaf", "bound", least(metric, box).alias("near"), most(metric, box).alias("far"))
-        met = met.withColumn("bound", F.least("bound", F.min("far").over(whole)))
-        kept = checkpointed(met.where(F.col("near") <= F.col("bound") * SLACK + 1e-12).drop("far"))
-        found.append(kept.where("leaf").select(*_POINT, F.lit(deeper).alias("level"), "iy", "ix", "near", "bound"))
-        front, level = kept.where("not leaf").select(*_POINT, "iy", "ix", "bound"), deeper
-    leaves = reduce(DataFrame.union, found).withColumn("bound", F.min("bound").over(whole))
-    leaves = leaves.where(F.col("near") <= F.col("bound") * SLACK + 1e-12)
-    return leaves.join(tree.cells, ["level", "iy", "ix"]).select(*_POINT, "clat", "clon", "cell_id")
+    reached = _reached(points, tree, metric).select("lat", "lon", F.inline("cells"))
+    return _at(points).join(reached.hint("merge"), ["lat", "lon"]).select("point_id", "lat", "lon", "clat", "clon", "cell_id")
+
+
+def _at(points: DataFrame) -> DataFrame:
+    return points.select("point_id", F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon")).where("lat is not null and lon is not null").distinct()
 
 
 def nearest(points: DataFrame, tree: Tree, metric: str) -> DataFrame:
     """point_id, cell_id and distance of the nearest cell; ties go to the smallest cell_id."""
-    distance = METRICS[metric](F.col("lat"), F.col("lon"), F.col("clat"), F.col("clon"))
-    best = candidates(points, tree, metric).groupBy(*_POINT).agg(F.min(F.struct(distance.alias("distance"), "cell_id")).alias("best"))
-    return best.select("point_id", "best.cell_id", "best.distance")
+    own = lambda c: F.struct(METRICS[metric](F.col("lat"), F.col("lon"), c["clat"], c["clon"]).alias("distance"), c["cell_id"].alias("cell_id"))
+    best = _reached(points, tree, metric).select("lat", "lon", F.array_min(F.transform("cells", own)).alias("best"))
+    best = best.groupBy("lat", "lon").agg(F.min("best").alias("best"))
+    return _at(points).join(best.hint("merge"), ["lat", "lon"]).select("point_id", "best.cell_id", "best.distance")

@@ -65,6 +65,20 @@ def test_uneven_cells_ties_and_copies(spark):
         assert got == {p[0]: min((d(p, c), c[0]) for c in cells if c[1] is not None) for p in points}
 
 
+def test_a_long_thin_grid_and_points_of_one_place(spark):
+    """24,000 rows of 50 columns, all points at one end: still a few leaves' cells for each, and points of one place walk once."""
+    thin = spark.range(1_200_000).select(F.col("id").alias("cell_id"), (250 + 6 * F.floor(F.col("id") / 50)).alias("lat"), (-1250 + 5 * (F.col("id") % 50)).alias("lon"))
+    points = spark.range(400).select(F.col("id").alias("point_id"), (250 + (F.col("id") % 100) * 37 % 241).alias("lat"), (-1250 + (F.col("id") % 100) * 53 % 251).alias("lon"))
+    tree = quadtree.build(thin)
+    assert quadtree._reached(points, tree, "l1").select("lat", "lon").distinct().count() == 100
+    met = quadtree.candidates(points, tree, "l1").groupBy("point_id").count().agg(F.count(F.lit(1)).alias("n"), F.max("count").alias("most")).first()
+    assert met.n == 400 and met.most <= 9 * quadtree.LEAF
+    near = lambda v, low, step: min(abs(v - low - step * k) for k in ((v - low) // step, (v - low) // step + 1))
+    columns = lambda v: min(abs(v + 1250 - 5 * k) for k in range(50))
+    got = {r.point_id: r.distance for r in quadtree.nearest(points, tree, "l1").collect()}
+    assert got == {r.point_id: near(r.lat, 250, 6) + columns(r.lon) for r in points.collect()}
+
+
 def test_one_tree_for_several_joins(spark):
     tree = N.build(fine_grid(spark, 20))
     a = N.nearest(random_points(spark, 30, 1), tree, "l2").collect()
