@@ -265,8 +265,9 @@ def terrain(grid):
 
 @query("a11_terrain_summary", _TERRAIN + f", u as (select cast(floor(y / 8) as bigint) as cell, avg(z) as elevation, avg(slope) as slope, avg(curvature) as curvature, {_DIRECTION.format(a='aspect')} as aspect from t group by 1) select cell, round(elevation, 4) as elevation, round(slope, 4) as slope, round(curvature, 4) + 0e0 as curvature, round(aspect, 4) as aspect, round(sin(radians(aspect)), 4) + 0e0 as northness, round(cos(radians(aspect)), 4) + 0e0 as eastness from u", "grid")
 def a11(grid):
+    """Mean curvatures often lie just between two roundings; nine decimals first take off what the order of a sum leaves."""
     cells = terrain(grid).withColumn("cell", F.floor(F.col("y") / 8))
-    out = rounded(R.terrain_summary(cells, ["cell"], "z", "slope", "curvature", "aspect"), 4)
+    out = rounded(rounded(R.terrain_summary(cells, ["cell"], "z", "slope", "curvature", "aspect"), 9), 4)
     return out.withColumns({c: F.col(c) + 0.0 for c in ("curvature", "northness", "eastness")})
 
 

@@ -87,6 +87,15 @@ def test_one_tree_for_several_joins(spark):
     assert N.build(fine_grid(spark, 20).where("false")) is None
 
 
+def test_terrain_means_between_two_roundings(spark):
+    """Means that end in 5 are rounded away from zero, whatever the order of a sum leaves in their last digits."""
+    from nivalis.plans.fixtures import view
+    from nivalis.plans.grid_queries import a11
+
+    got = {r.cell: r.curvature for r in a11(view(spark, "/root/testdata/sf0.1", "grid")).collect()}
+    assert [got[c] for c in (18, 20, 24, 46)] == [0.9688, -0.7688, -1.6313, 3.8938]
+
+
 # ---- chains of joins
 
 
