@@ -8,9 +8,10 @@ score is the sum of log10 of the predictive probabilities, each averaged over sa
 seating.
 
 A seating is the number of tables of each (context, word), and of each word at the parent. A Gibbs
-sweep visits up to VISITS customers of each: it takes one out, who leaves an empty table with the
+sweep visits all customers: it takes one out, who leaves an empty table with the
 probability that a customer of so many at so many tables sits alone (a ratio of generalised
-Stirling numbers), and seats that customer again given all others. The first state comes from
+Stirling numbers), and seats that customer again given all others; after the first SINGLY of a dish
+they go in groups, whose chances are those at the group's beginning. The first state comes from
 seating all customers once, in groups that double. Random numbers are hashes of (word, context,
 sweep, visit), so results don't depend on how the data is dealt.
 
@@ -47,8 +48,8 @@ from nivalis.llm import blocks
 from nivalis.llm.common import documents, id_and_text, materialise, remainder
 from nivalis.llm.words import mix, slice_hashes, word_bounds
 
-#: Sweeps of the first round, and of the last before its samples; samples; customers of a dish that a sweep visits.
-SWEEPS, BURN_IN, SAMPLES, VISITS = 2, 1, 2, 16
+#: Sweeps of the first round, and of the last before its samples; samples; customers of a dish that a sweep visits one by one.
+SWEEPS, BURN_IN, SAMPLES, SINGLY = 2, 1, 2, 16
 STRENGTH = 1.0
 #: Customers up to which the chance to sit alone is exact.
 EXACT = 256
@@ -228,22 +229,48 @@ def seat(customers: np.ndarray, fresh: np.ndarray, discount: float, keys: np.nda
     return tables
 
 
+def _drawn(n: np.ndarray, chance: np.ndarray, keys: np.ndarray, *turn: int) -> np.ndarray:
+    """How many of n succeed: drawn from the Poisson distribution of the mean, beyond a mean of 16 from the normal one."""
+    mean, u = n * chance, _uniform(keys, *turn, 0)
+    wide = np.sqrt(np.maximum(mean * (1 - chance), 0)) * np.sqrt(-2 * np.log(np.maximum(u, 2.0**-53))) * np.cos(2 * np.pi * _uniform(keys, *turn, 1))
+    out = np.where(mean > 16, np.rint(mean + wide), 0)
+    few = np.flatnonzero(mean <= 16)
+    term, k = np.exp(-mean[few]), 0
+    below = term.copy()
+    while len(few):
+        left = (u[few] >= below) & (k < 64)
+        few, term, below, k = few[left], term[left], below[left], k + 1
+        out[few] = k
+        term = term * mean[few] / k
+        below = below + term
+    return np.minimum(out, n).astype(np.int64)
+
+
 def reseat(customers: np.ndarray, tables: np.ndarray, total: np.ndarray | float, base: np.ndarray | float, discount: float, keys: np.ndarray, seed: int) -> np.ndarray:
-    """Tables after a Gibbs sweep: up to VISITS customers of each dish are taken out and seated again.
+    """Tables after a Gibbs sweep: all customers of each dish are taken out and seated again, the first SINGLY one by one, the others in groups of an eighth of those before.
 
-    ``total`` are the tables of each dish's restaurant, ``base`` the dish's probability above.
+    ``total`` are the tables of each dish's restaurant, ``base`` the dish's probability above. Of a
+    group, those that leave an empty table and those that open one are drawn at its beginning.
     """
     out = tables.copy()
     total, base = (np.broadcast_to(np.asarray(x, float), customers.shape) for x in (total, base))
-    for visit in range(VISITS):
-        own = np.flatnonzero(customers > max(1, visit))
-        if not len(own):
-            break
+    visited, visit, own = 0, 0, np.flatnonzero(customers > 1)
+    while len(own):
         n, t = customers[own], out[own]
-        t = t - (_uniform(keys[own], seed, 2 * visit) < alone(n, t, discount))
-        fresh = (STRENGTH + discount * np.maximum(total[own] + t - tables[own], 0)) * base[own]
-        chance = fresh / (fresh + n - 1 - discount * t)
-        out[own] = t + (_uniform(keys[own], seed, 2 * visit + 1) < chance)
+        fresh = lambda t: (STRENGTH + discount * np.maximum(total[own] + t - tables[own], 0)) * base[own]  # noqa: B023, E731
+        group = 1 if visited < SINGLY else visited // 8
+        if group == 1:
+            t = t - (_uniform(keys[own], seed, 2 * visit) < alone(n, t, discount))
+            chance = fresh(t) / (fresh(t) + n - 1 - discount * t)
+            out[own] = t + (_uniform(keys[own], seed, 2 * visit + 1) < chance)
+        else:
+            size = np.minimum(group, n - visited)
+            gone = alone(n, t, discount)
+            # a customer comes to t tables, or to one less
+            chance = fresh(t - gone) / (fresh(t - gone) + n - 1 - discount * (t - gone))
+            out[own] = np.clip(t - _drawn(size, gone, keys[own], seed, 2 * visit) + _drawn(size, chance, keys[own], seed, 2 * visit + 1), 1, n)
+        visited, visit = visited + group, visit + 1
+        own = own[customers[own] > visited]
     return out
 
 

@@ -235,6 +235,20 @@ def test_sweeps_reach_the_posterior():
     assert np.abs(got - want).max() < 0.015
 
 
+def test_a_sweep_visits_all_customers():
+    """One sweep over 1,000 customers of one table opens as many tables as taking them one by one."""
+    n, many, discount, base, total = 1000, 2000, 0.7, 0.02, 5000.0
+    keys = pitman_yor.mix(np.arange(many, dtype=np.uint64))
+    got = pitman_yor.reseat(np.full(many, n), np.ones(many, np.int64), np.full(many, total), base, discount, keys, 1)
+    rng, want = np.random.default_rng(1), np.ones(300)
+    for _ in range(n):
+        want -= rng.random(300) < pitman_yor.alone(np.full(300, n), want.astype(int), discount)
+        fresh = (pitman_yor.STRENGTH + discount * (total + want - 1)) * base
+        want += rng.random(300) < fresh / (fresh + n - 1 - discount * want)
+    assert got.mean() == pytest.approx(want.mean(), rel=0.05) and got.std() == pytest.approx(want.std(), rel=0.25)
+    assert got.min() >= 1 and got.max() <= n
+
+
 def test_seating():
     keys = np.arange(4, dtype=np.uint64)
     tables = pitman_yor.seat(np.array([0, 1, 5, 5000]), np.full(4, 0.5), 0.5, keys, 0)
