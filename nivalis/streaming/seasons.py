@@ -13,10 +13,9 @@ behind the newest day of earlier batches are too late and have no effect.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import UTC, datetime
+from datetime import UTC, date, datetime, timedelta
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import DateType, DoubleType, IntegerType, LongType, StructField, StructType
@@ -44,17 +43,17 @@ class SeasonState(StatefulProcessor):
         self.handle = handle
         self.days = handle.getValueState("days", "days array<int>, vals array<double>, orders array<long>")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        known = self.days.get() if self.days.exists() else None
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        known = self.days.get()
         before = {d: (o, v) for d, v, o in zip(*known, strict=True)} if known else {}
         new: dict[int, tuple[int, float | None]] = {}
-        for part in rows:
+        for row in rows:
             # by place, as names may not come through: key, season, time, day, value, order
-            for day, value, order in zip(*[part.iloc[:, i].tolist() for i in (3, 4, 5)], strict=True):
-                value = None if value != value else value
-                at = new.get(day)
-                if at is None or (order, value is not None, value or 0.0) > (at[0], at[1] is not None, at[1] or 0.0):
-                    new[day] = order, value
+            day, value, order = row[3], row[4], row[5]
+            value = None if value != value else value
+            at = new.get(day)
+            if at is None or (order, value is not None, value or 0.0) > (at[0], at[1] is not None, at[1] or 0.0):
+                new[day] = order, value
         after = before | {d: x for d, x in new.items() if d not in before or x[0] >= before[d][0]}
         if after != before:
             if not known:
@@ -65,13 +64,12 @@ class SeasonState(StatefulProcessor):
         if {d: v for d, (_, v) in after.items()} != {d: v for d, (_, v) in before.items()}:
             yield self._row(key, after)
 
-    def _row(self, key, known: dict[int, tuple[int, float | None]]) -> pd.DataFrame:
+    def _row(self, key, known: dict[int, tuple[int, float | None]]) -> Row:
         days = [d for d in sorted(known) if known[d][1] is not None]
-        last = pd.Timestamp(0) + pd.Timedelta(days=days[-1]) if days else None
         total = float(sum(known[d][1] for d in days))
-        return pd.DataFrame({self.key: [key[0]], "water_year": pd.array([key[1]], "int32"), "n": [len(days)], "total": [total], "last_day": [last.date() if last is not None else None]})
+        return Row(**{self.key: key[0], "water_year": key[1], "n": len(days), "total": total, "last_day": date(1970, 1, 1) + timedelta(days=days[-1]) if days else None})
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.days.clear()
         return iter(())
 
@@ -91,7 +89,7 @@ def changed_totals(stream: DataFrame, day: str, key: str, value: str, order: str
     )
     schema = StructType([rows.schema[key], StructField("water_year", IntegerType()), StructField("n", LongType()), StructField("total", DoubleType()), StructField("last_day", DateType())])
     seasons = rows.withWatermark("__time", late).groupBy(key, "water_year")
-    return seasons.transformWithStateInPandas(SeasonState(key), schema, "Update", "EventTime")
+    return seasons.transformWithState(SeasonState(key), schema, "Update", "EventTime")
 
 
 def run_changes(changes: DataFrame, path: str, checkpoint: str):
