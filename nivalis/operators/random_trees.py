@@ -3,8 +3,10 @@
 Every tree sees all rows. At each node some features are drawn, and for each one a threshold,
 uniformly between the smallest and the largest value that the node's rows have; the split whose two
 sides vary least is taken. Nothing is sorted or binned, so a level is two aggregations: the ranges of
-the features by (tree, node), and the sums on both sides of the drawn thresholds. Rows stay where
-they are; each task finds the node of each of its rows, sums by node, and sends only the sums.
+the features by (tree, node), and the sums on both sides of the drawn thresholds. Rows whose features
+are alike go the same way in every tree, so they are first put together with their sums of weight,
+label and squares; a level then costs what the distinct rows cost. These stay where they are; each
+task finds the node of each of its rows, sums by node, and sends only the sums.
 
 The driver holds the trees and, for a slice of the open nodes at a time, their sums: at most
 SLICE_NODES nodes. A level with more open nodes takes several passes.
@@ -28,6 +30,9 @@ from nivalis.operators.lineage import checkpointed
 #: Open nodes, over all trees, whose sums are held at once.
 SLICE_NODES = 20_000
 
+#: Distinct rows whose predictions a task remembers.
+REMEMBERED = 100_000
+
 
 @dataclass
 class Tree:
@@ -73,6 +78,14 @@ def drawn(seed: int, tree: int, node: int, low: np.ndarray, high: np.ndarray, tr
     return features, np.minimum(np.maximum(thresholds, low[features]), np.nextafter(high[features], -np.inf))
 
 
+def _mean(trees: Sequence[tuple[np.ndarray, ...]], x: np.ndarray) -> np.ndarray:
+    """The mean of the trees' values for each row; NaN where a feature is."""
+    total = np.zeros(len(x))
+    for tree in trees:
+        total += tree[4][node_of(tree, x)]
+    return np.where(np.isnan(x).any(axis=1), np.nan, total / len(trees))
+
+
 @dataclass
 class Forest:
     features: list[str]
@@ -83,12 +96,17 @@ class Forest:
         broadcast = df.sparkSession.sparkContext.broadcast([t.packed() for t in self.trees])
 
         @F.pandas_udf("double")
-        def score(rows: pd.DataFrame) -> pd.Series:
-            x = rows.to_numpy(float)
-            total = np.zeros(len(x))
-            for tree in broadcast.value:
-                total += tree[4][node_of(tree, x)]
-            return pd.Series(np.where(np.isnan(x).any(axis=1), np.nan, total / len(broadcast.value)))
+        def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+            known: dict[bytes, float] = {}
+            for rows in batches:
+                x = np.ascontiguousarray(rows.to_numpy(float))
+                named = x.view(f"V{x.itemsize * x.shape[1]}").ravel().tolist()
+                if len(known) > REMEMBERED:
+                    known = {}
+                new = list(dict.fromkeys(k for k in named if k not in known))
+                if new:
+                    known.update(zip(new, _mean(broadcast.value, np.frombuffer(b"".join(new)).reshape(len(new), -1)).tolist(), strict=True))
+                yield pd.Series([known[k] for k in named], dtype=float)
 
         return df.withColumn(name, F.nanvl(score(F.struct(*[F.col(c).cast("double") for c in self.features])), F.lit(None)))
 
@@ -110,9 +128,10 @@ class Forest:
         return spark.createDataFrame(rows, "tree int, node int, depth int, feature string, threshold double, left int, right int, value double")
 
 
-def _arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns[2:]])
-    return x, batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
+def _arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The features, and the sums of weight, label and squares."""
+    columns = [c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]
+    return np.column_stack(columns[3:]), columns[:3]
 
 
 def _ranges(trees, open_nodes: dict[int, np.ndarray], n_features: int):
@@ -121,7 +140,7 @@ def _ranges(trees, open_nodes: dict[int, np.ndarray], n_features: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = {t: [np.full((len(n), n_features), np.inf), np.full((len(n), n_features), -np.inf), np.zeros((len(n), 3))] for t, n in open_nodes.items()}
         for batch in batches:
-            x, y, w = _arrays(batch)
+            x, own_sums = _arrays(batch)
             for t, (low, high, sums) in held.items():
                 place, own = _placed(trees.value[t], open_nodes[t], x)
                 if not len(own):
@@ -131,7 +150,7 @@ def _ranges(trees, open_nodes: dict[int, np.ndarray], n_features: int):
                 nodes, values = place[order][first], x[own[order]]
                 low[nodes] = np.minimum(low[nodes], np.minimum.reduceat(values, first, axis=0))
                 high[nodes] = np.maximum(high[nodes], np.maximum.reduceat(values, first, axis=0))
-                for k, v in enumerate((w, w * y, w * y * y)):
+                for k, v in enumerate(own_sums):
                     sums[:, k] += np.bincount(place, v[own], len(low))
         for t, (low, high, sums) in held.items():
             met = np.flatnonzero(sums[:, 0] > 0)
@@ -158,13 +177,13 @@ def _sides(trees, splits: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = {t: np.zeros((*f.shape, 3)) for t, (_, f, _) in splits.items()}
         for batch in batches:
-            x, y, w = _arrays(batch)
+            x, own_sums = _arrays(batch)
             for t, (nodes, features, thresholds) in splits.items():
                 place, own = _placed(trees.value[t], nodes, x)
                 for k in range(features.shape[1]):
                     left = x[own, features[place, k]] <= thresholds[place, k]
                     p, rows = place[left], own[left]
-                    for j, v in enumerate((w, w * y, w * y * y)):
+                    for j, v in enumerate(own_sums):
                         held[t][:, k, j] += np.bincount(p, v[rows], len(nodes))
         for t, (nodes, features, _) in splits.items():
             met = np.flatnonzero(held[t][:, :, 0].sum(axis=1) > 0)
@@ -194,7 +213,7 @@ def fit(train: DataFrame, features: Sequence[str], label: str, trees: int = 100,
     number = lambda c: F.col(c).cast("double")
     rows = train.select(number(label).alias("__y"), (number(weight) if weight else F.lit(1.0)).alias("__w"), *[number(c).alias(f"__x{i}") for i, c in enumerate(features)])
     good = [F.col(c).isNotNull() & ~F.isnan(c) for c in rows.columns]
-    rows = checkpointed(rows.where(good[0]).where(good[1]).where(F.col("__w") > 0).where(_all(good[2:])))
+    rows = checkpointed(_alike(rows.where(good[0]).where(good[1]).where(F.col("__w") > 0).where(_all(good[2:])), len(features)))
     forest = [Tree() for _ in range(trees)]
     for tree in forest:
         tree.add(0.0, 0)
@@ -207,6 +226,14 @@ def fit(train: DataFrame, features: Sequence[str], label: str, trees: int = 100,
     return Forest(features, forest)
 
 
+def _alike(rows: DataFrame, n_features: int) -> DataFrame:
+    """One row for all with the same features: the sums of weight, label and squares, and the features (0.0 and -0.0 are alike)."""
+    w, y = F.col("__w"), F.col("__y")
+    sums = [F.sum(v).alias(n) for n, v in (("__sw", w), ("__swy", w * y), ("__swyy", w * y * y))]
+    names = [f"__x{i}" for i in range(n_features)]
+    return rows.groupBy(*names).agg(*sums).select("__sw", "__swy", "__swyy", *names)
+
+
 def _all(conditions: list[Column]) -> Column:
     out = F.lit(True)
     for c in conditions:

@@ -119,3 +119,38 @@ def test_nulls_and_no_rows(spark):
     none = X.fit(df.where("false"), NAMES, "y", 2, 4)
     assert [len(t.feature) for t in none.trees] == [1, 1]
     assert forest.nodes(spark).where("left is null").count() > 0
+
+
+def test_rows_that_are_alike_are_one_row_of_every_pass(spark, monkeypatch):
+    held, cut = [], X.checkpointed
+    monkeypatch.setattr(X, "checkpointed", lambda df: held.append(cut(df)) or held[-1])
+    x, y, w = data(300)
+    x = np.round(x)
+    df = frame(spark, x, y, w)
+    copies = df.crossJoin(spark.range(20).select(F.col("id").alias("copy"))).withColumn("y", F.col("y") + F.col("copy") - 9.5)
+    got = X.fit(copies.repartition(5), NAMES, "y", 3, 5, min_rows=20, weight="w", seed=1)
+    assert held[0].count() == len(np.unique(x, axis=0)) < 300
+    for t, tree in enumerate(got.trees):
+        want = brute(np.repeat(x, 20, axis=0), (y[:, None] + np.arange(20) - 9.5).ravel(), np.repeat(w, 20), 1, t, 5, 1, 20)
+        assert len(want) == len(tree.feature) > 5
+        for n, (f, threshold, mean) in want.items():
+            # a node of rows that are alike varies in its labels and still can't be split
+            assert tree.feature[n] == (-1 if f is None else f) and tree.value[n] == pytest.approx(mean)
+            assert f is None or tree.threshold[n] == pytest.approx(threshold)
+
+
+@pytest.mark.parametrize("remembered", [0, 5, 100_000])
+def test_predictions_of_rows_seen_before(spark, monkeypatch, remembered):
+    monkeypatch.setattr(X, "REMEMBERED", remembered)
+    x, y, w = data(400)
+    x = np.round(x, 1)
+    df = frame(spark, x, y, w)
+    forest = X.fit(df, NAMES, "y", 5, 6)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    try:
+        found = forest.predict(df.coalesce(1)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for r in found:
+        at = np.array([[r.a, r.b, r.c]])
+        assert r.prediction == pytest.approx(np.mean([t.packed()[4][X.node_of(t.packed(), at)[0]] for t in forest.trees]))
