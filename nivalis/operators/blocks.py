@@ -3,7 +3,7 @@
 The cells of a grid, or of a stack of grids with keys such as a date, are gathered once into square
 tiles of arrays. A tile sends only the cells of its edges to the tiles beside it; with these around
 it, it computes whole chains of stencils in numpy, so a chain costs one shuffle of the cells and a
-small one of edges, whatever the stencils' size and number.
+small one of edges, whatever the stencils' size and number. Small tiles are computed many at a time.
 
 A grid may have gaps: cells that are not there have no value, give none to their neighbours, and are
 not in the result. A cell whose value is null stays, and takes its result from its neighbours. All
@@ -25,16 +25,19 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 #: Cells on a side of a tile.
 SIDE = 256
 
+#: Cells, with those around their tiles, that are computed at once; one tile at least.
+AT_ONCE = 1 << 17
+
 
 @dataclass
 class Field:
-    """A tile's values with its surroundings: NaN where there is none."""
+    """The values of tiles (tile, y, x) with their surroundings: NaN where there is none."""
 
     z: np.ndarray
     there: np.ndarray
-    #: The row and column of the grid that the array begins with, and the grid's shape.
-    y0: int
-    x0: int
+    #: The row and column of the grid that each tile's array begins with, and the grid's shape.
+    y0: np.ndarray
+    x0: np.ndarray
     height: int
     width: int
 
@@ -44,9 +47,11 @@ class Field:
 
     def reflected(self) -> np.ndarray:
         """The values, with those beyond the grid's border mirrored at it: d c b a | a b c d | d c b a."""
-        rows, columns = (_mirror(at + np.arange(n), size) - at for at, n, size in ((self.y0, self.z.shape[0], self.height), (self.x0, self.z.shape[1], self.width)))
-        inside = ((rows >= 0) & (rows < len(rows)))[:, None] & ((columns >= 0) & (columns < len(columns)))
-        return np.where(inside, self.z[np.clip(rows, 0, len(rows) - 1)][:, np.clip(columns, 0, len(columns) - 1)], np.nan)
+        tiles, h, w = self.z.shape
+        rows, columns = (_mirror(at[:, None] + np.arange(n), size) - at[:, None] for at, n, size in ((self.y0, h, self.height), (self.x0, w, self.width)))
+        inside = ((rows >= 0) & (rows < h))[:, :, None] & ((columns >= 0) & (columns < w))[:, None, :]
+        found = self.z[np.arange(tiles)[:, None, None], np.clip(rows, 0, h - 1)[:, :, None], np.clip(columns, 0, w - 1)[:, None, :]]
+        return np.where(inside, found, np.nan)
 
 
 def _mirror(i: np.ndarray, n: int) -> np.ndarray:
@@ -55,11 +60,11 @@ def _mirror(i: np.ndarray, n: int) -> np.ndarray:
 
 
 def shifted(z: np.ndarray, dy: int, dx: int) -> np.ndarray:
-    """The value at (y + dy, x + dx) for each cell; NaN beyond the array."""
+    """The value at (y + dy, x + dx) for each cell of (..., y, x); NaN beyond the array."""
     out = np.full(z.shape, np.nan)
-    h, w = z.shape
+    h, w = z.shape[-2:]
     if abs(dy) < h and abs(dx) < w:
-        out[max(0, -dy) : h - max(0, dy), max(0, -dx) : w - max(0, dx)] = z[max(0, dy) : h - max(0, -dy), max(0, dx) : w - max(0, -dx)]
+        out[..., max(0, -dy) : h - max(0, dy), max(0, -dx) : w - max(0, dx)] = z[..., max(0, dy) : h - max(0, -dy), max(0, dx) : w - max(0, -dx)]
     return out
 
 
@@ -107,14 +112,17 @@ def _edges(tiles: DataFrame, keys: Sequence[str], side: int, halo: int) -> DataF
     return out.groupBy(*keys, "ty", "tx").agg(F.flatten(F.collect_list("cells")).alias("edge"))
 
 
-def _filled(cells: pa.Array, out: np.ndarray, there: np.ndarray, place: Callable[[np.ndarray], np.ndarray]) -> None:
-    at = place(cells.field("p").to_numpy(zero_copy_only=False).astype(np.int64))
-    out[at] = cells.field("z").to_numpy(zero_copy_only=False).astype(float)
+def _filled(cells: pa.ListArray, size: int, out: np.ndarray, there: np.ndarray, place: Callable[[np.ndarray], np.ndarray]) -> None:
+    """Puts the cells of each tile (null: none) into its ``size`` places of flat arrays."""
+    values = cells.flatten()
+    tile = np.repeat(np.arange(len(cells)), cells.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    at = tile * size + place(values.field("p").to_numpy(zero_copy_only=False).astype(np.int64))
+    out[at] = values.field("z").to_numpy(zero_copy_only=False).astype(float)
     there[at] = True
 
 
 def by_tile(grid: DataFrame, compute: Callable[[Field], Mapping[str, np.ndarray]], outputs: Sequence[str], halo: int = 0, keys: Sequence[str] = (), value: str = "z", side: int = SIDE) -> DataFrame:
-    """keys, y, x and ``outputs`` of every cell: ``compute`` gets a tile with ``halo`` cells around it and gives an array of its shape for each output.
+    """keys, y, x and ``outputs`` of every cell: ``compute`` gets tiles with ``halo`` cells around each and gives an array of their shape for each output.
 
     ``halo`` is how far away a cell can be that still matters to a result, over all steps of
     ``compute``; NaN becomes null.
@@ -130,21 +138,21 @@ def by_tile(grid: DataFrame, compute: Callable[[Field], Mapping[str, np.ndarray]
     schema = StructType([*[f for f in tiles.schema if f.name in keys], StructField("y", LongType()), StructField("x", LongType()), *[StructField(c, DoubleType()) for c in outputs]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                one = lambda name: batch[name][i].as_py()  # noqa: B023, E731
-                flat, there = np.full(wide * wide, np.nan), np.zeros(wide * wide, bool)
-                _filled(batch["cells"][i].values, flat, there, lambda p: (p // side + halo) * wide + p % side + halo)
-                if halo and batch["edge"][i].is_valid:
-                    _filled(batch["edge"][i].values, flat, there, lambda p: p)
-                y0, x0 = one("ty") * side - halo, one("tx") * side - halo
-                field = Field(flat.reshape(wide, wide), there.reshape(wide, wide), y0, x0, one("height"), one("width"))
-                found = compute(field)
-                own = field.there.copy()
-                own[:halo], own[wide - halo :], own[:, :halo], own[:, wide - halo :] = False, False, False, False
-                y, x = np.nonzero(own)
-                columns = [pa.repeat(batch[k][i], len(y)) for k in keys]
-                columns += [pa.array(y + y0), pa.array(x + x0), *[pa.array(found[c][own], from_pandas=True) for c in outputs]]
-                yield pa.RecordBatch.from_arrays(columns, names=[*keys, "y", "x", *outputs])
+        most = max(1, AT_ONCE // (wide * wide))
+        for batch in (whole.slice(i, most) for whole in batches for i in range(0, whole.num_rows, most)):
+            n, number = batch.num_rows, lambda name: batch[name].to_numpy(zero_copy_only=False)  # noqa: B023, E731
+            flat, there = np.full(n * wide * wide, np.nan), np.zeros(n * wide * wide, bool)
+            _filled(batch["cells"], wide * wide, flat, there, lambda p: (p // side + halo) * wide + p % side + halo)
+            if halo:
+                _filled(batch["edge"], wide * wide, flat, there, lambda p: p)
+            y0, x0 = number("ty") * side - halo, number("tx") * side - halo
+            field = Field(flat.reshape(n, wide, wide), there.reshape(n, wide, wide), y0, x0, batch["height"][0].as_py(), batch["width"][0].as_py())
+            found = compute(field)
+            inner = (slice(None), slice(halo, wide - halo), slice(halo, wide - halo))
+            own = field.there[inner]
+            tile, y, x = np.nonzero(own)
+            columns = [batch[k].take(pa.array(tile)) for k in keys]
+            columns += [pa.array(y + (y0 + halo)[tile]), pa.array(x + (x0 + halo)[tile]), *[pa.array(found[c][inner][own], from_pandas=True) for c in outputs]]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keys, "y", "x", *outputs])
 
     return tiles.mapInArrow(run, schema).withColumns({c: F.col(c).cast(grid.schema[c].dataType) for c in ("y", "x")})

@@ -113,9 +113,16 @@ def _of_neighbours(how: Callable, z: np.ndarray, offsets: Sequence[tuple[int, in
         return how(B.neighbours(z, offsets), axis=0)
 
 
+def _median(z: np.ndarray, axis: int) -> np.ndarray:
+    """The median of the values along an axis that are not NaN: these come first when sorted."""
+    ordered, n = np.sort(z, axis=axis), np.count_nonzero(~np.isnan(z), axis=axis)
+    low, high = (np.take_along_axis(ordered, np.expand_dims(i, axis), axis).squeeze(axis) for i in (np.maximum(n - 1, 0) // 2, np.minimum(n // 2, z.shape[axis] - 1)))
+    return np.where(low == high, low, (low + high) / 2)
+
+
 def median_filter(grid: DataFrame, value: str = "z", keys: Sequence[str] = (), side: int = B.SIDE) -> DataFrame:
     """The median of the 3 x 3 cells around each, mirrored at the border."""
-    return B.by_tile(grid, lambda f: {"z": _of_neighbours(np.nanmedian, f.reflected(), _BOX)}, ["z"], 1, keys, value, side)
+    return B.by_tile(grid, lambda f: {"z": _of_neighbours(_median, f.reflected(), _BOX)}, ["z"], 1, keys, value, side)
 
 
 def closing(grid: DataFrame, value: str = "z", keys: Sequence[str] = (), side: int = B.SIDE) -> DataFrame:

@@ -138,3 +138,29 @@ def test_regrid_carries_nothing_beyond_the_source(spark):
     assert {(r.oy, r.ox): r.z for r in same} == {(y, x): float(4 * y + x) for y in range(4) for x in range(4)}
     wider = {(r.oy, r.ox): r.z for r in R.regrid(grid, 1.0, 41.5, -101.5, 35.5, -95.5).collect()}
     assert wider[0, 0] is None and wider[5, 3] is None and wider[1, 1] == 0.0 and wider[4, 4] == 15.0
+
+
+@pytest.mark.parametrize("at_once", [1, 3 * 8 * 8, 1 << 17])
+def test_small_tiles_are_computed_many_at_a_time(spark, monkeypatch, at_once):
+    """Tiles of 6 x 6 cells with one around each, of three days, with gaps and in parts of different sizes."""
+    monkeypatch.setattr(B, "AT_ONCE", at_once)
+    rows = stack(3, 13, 17)
+    grid = spark.createDataFrame(rows, "day string, y int, x int, z double")
+
+    def compute(f):
+        return {"n": np.full(f.z.shape, float(len(f.z))), "row": (f.y0[:, None, None] + np.arange(8)[:, None] + np.zeros(8)), "z": f.z}
+
+    got = B.by_tile(grid, compute, ["n", "row", "z"], 1, ["day"], side=6).collect()
+    assert {(r.day, r.y, r.x, r.z) for r in got} == set(rows) and len(got) == len(rows)
+    assert all(r.row == r.y for r in got)
+    most = max(r.n for r in got)
+    assert most <= max(1, at_once // 64) and (most > 1) == (at_once > 1)
+
+
+def test_median_skips_what_has_no_value():
+    rng = np.random.default_rng(1)
+    z = np.where(rng.random((9, 500)) < 0.4, np.nan, rng.integers(0, 9, (9, 500)).astype(float))
+    z[:, 0] = np.nan
+    with np.testing.suppress_warnings() as quiet:
+        quiet.filter(RuntimeWarning)
+        np.testing.assert_array_equal(R._median(z, 0), np.nanmedian(z, axis=0))
