@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from nivalis.functions.columns import season
-from nivalis.operators import random_trees
+from nivalis.operators import bagged, random_trees
 from nivalis.operators.clean import blank_to_null, numeric_only, to_number
 from nivalis.operators.lineage import numbered
 from nivalis.sources.published import latest_path, publish
@@ -54,6 +54,9 @@ def forest(label: str, trees: int = 25, depth: int = 15, **more) -> RandomForest
 
 
 def fit(train: DataFrame, features: Sequence[str], regressor, scale: bool = False) -> PipelineModel:
+    """A fitted pipeline; a forest on many rows that are mostly alike grows on their sums."""
+    if not scale and bagged.suits(train, features, regressor):
+        return bagged.fit(train, features, regressor)
     return _pipeline(features, [regressor], scale).fit(train)
 
 
@@ -94,7 +97,9 @@ def metrics(df: DataFrame, label: str = "label", predicted: str = "prediction")
 
 def importances(model: PipelineModel, features: Sequence[str], spark) -> DataFrame:
     """feature, importance and rank."""
-    return shares(features, model.stages[-1].featureImportances.toArray(), spark)
+    found = [s.featureImportances.toArray() for s in model.stages if hasattr(s, "featureImportances")]
+    total = reduce(lambda a, b: a + b, found)
+    return shares(features, total / (total.sum() or 1), spark)
 
 
 def shares(features: Sequence[str], values: Sequence[float], spark) -> DataFrame:

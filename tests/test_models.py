@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from nivalis.operators import bagged
 from nivalis.operators import models as M
 from nivalis.operators import sampling as S
 from nivalis.plans import all_queries
@@ -83,3 +84,55 @@ def test_land_points_are_uniform_and_on_land(spark):
 def test_run_ids(spark):
     for r in all_queries()[0]["f18_run_id"](spark, SF).collect():
         assert len(r.run_id) == 5 and r.run_id.isalnum()
+
+
+@pytest.fixture
+def alike(spark, monkeypatch):
+    """Rows of 60 kinds, 50 of each, as a table that is large enough to be summed first."""
+    monkeypatch.setattr(bagged, "LEAST_ROWS", 1000)
+    rng = np.random.default_rng(3)
+    x = np.column_stack([rng.integers(0, n, 3000) for n in (5, 4, 3)]).astype(float)
+    y = 10 * (x[:, 0] > 2) + 3 * x[:, 1] + rng.normal(size=3000)
+    w = rng.integers(1, 4, 3000).astype(float)
+    return spark.createDataFrame([(*map(float, r), float(v), float(k)) for r, v, k in zip(x, y, w, strict=True)], "a double, b double, c double, y double, w double").repartition(3).cache()
+
+
+@pytest.mark.parametrize("weight", [None, "w"])
+@pytest.mark.parametrize("held", [20_000, 140])
+def test_samples_are_bootstraps_summed_by_kind(alike, monkeypatch, weight, held):
+    monkeypatch.setattr(bagged, "HELD", held)
+    found = bagged.samples(alike.union(alike.limit(1).selectExpr("null", "b", "c", "y", "w")), NAMES, "y", 40, weight).collect()
+    own = {(r[0], r[1], r[2]): r for r in alike.groupBy("a", "b", "c").agg(*[F.sum(F.expr(f"{weight or 1} * {v}")).alias(n) for n, v in (("n", "1"), ("ny", "y"))]).collect()}
+    assert len(found) == len(own) and {tuple(r)[:3] for r in found} == set(own)
+    for *kind, w, wy in map(tuple, found):
+        want = own[tuple(kind)]
+        # the sizes of samples spread around that of the rows themselves
+        assert len(w) == 40 and len(set(w)) > 5
+        assert np.mean(w) == pytest.approx(want.n, rel=0.25) and np.mean(wy) == pytest.approx(want.ny, rel=0.3, abs=25)
+
+
+def test_a_forest_of_rows_that_are_alike(alike, monkeypatch, spark, tmp_path):
+    """As good as the forest on the rows themselves, near the kinds' means, and it can be saved."""
+    make = lambda: M.forest("y", 10, 8, featureSubsetStrategy="all")
+    assert bagged.suits(alike, NAMES, M.forest("y", 10, 8)) and not bagged.suits(alike, ["y"], M.forest("y", 10, 8))
+    model = M.fit(alike, NAMES, make())
+    assert len(model.stages) == 12
+    found = model.transform(alike)
+    assert found.columns == [*alike.columns, "features", "prediction"]
+    monkeypatch.setattr(bagged, "LEAST_ROWS", 10**9)
+    plain = M.fit(alike, NAMES, make())
+    assert len(plain.stages) == 2
+    own, rows = (M.metrics(m.transform(alike), "y").first() for m in (model, plain))
+    assert own.r2 > 0.95 and own.r2 == pytest.approx(rows.r2, abs=0.002)
+    means = found.groupBy(*NAMES).agg(F.avg("y").alias("m"), F.count_distinct("prediction").alias("n"), F.avg("prediction").alias("p")).collect()
+    assert all(r.n == 1 and abs(r.p - r.m) < 0.8 for r in means)
+    shares = [{r.feature: r.importance for r in M.importances(m, NAMES, spark).collect()} for m in (model, plain)]
+    assert all(shares[0][c] == pytest.approx(shares[1][c], abs=0.02) for c in NAMES) and sum(shares[0].values()) == pytest.approx(1)
+    model.save(str(tmp_path / "model"))
+    again = type(model).load(str(tmp_path / "model")).transform(alike)
+    assert again.select(F.sum("prediction")).first()[0] == pytest.approx(found.select(F.sum("prediction")).first()[0])
+
+
+def test_a_second_pass_of_rows_that_are_alike(alike):
+    found = M.fit_twice(alike, NAMES, "y", lambda label, **more: M.forest(label, 5, 8, **more)).transform(alike)
+    assert M.metrics(found, "y").first().r2 > 0.9
