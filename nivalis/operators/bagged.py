@@ -5,7 +5,8 @@ themselves takes the same part of the variance on both sides of any split. So a
 same whether it gets a bootstrap sample of the rows, or the sample's weight and mean label for each
 distinct row of features. One pass draws how often each row is in the sample of each tree (Poisson, as
 Spark ML draws it) and sums by distinct features; the trees then grow on these sums, whose size
-follows the distinct rows. Draws depend on the partitions of the rows, as in Spark ML.
+follows the distinct rows. Draws depend on the partitions of the rows, as in Spark ML. A row may also
+stand for several that are alike in their label too: their draws add up to one with the sum of the means.
 """
 
 from collections.abc import Iterator, Sequence
@@ -59,11 +60,11 @@ def _drawn(n_features: int, trees: int, rate: float, seed: int):
                     yield held()
                     places.clear()
                     sums[:] = 0
-                y, w, *x = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+                y, w, n, *x = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
                 named = np.column_stack(x).view(f"V{8 * n_features}").ravel().tolist()
                 at = np.array([places.setdefault(k, len(places)) for k in named])
                 for t in range(trees):
-                    weight = rng.poisson(rate, len(y)) * w
+                    weight = rng.poisson(rate * n) * w
                     sums[0, t, : len(places)] += np.bincount(at, weight, len(places))
                     sums[1, t, : len(places)] += np.bincount(at, weight * y, len(places))
         if places:
@@ -72,25 +73,26 @@ def _drawn(n_features: int, trees: int, rate: float, seed: int):
     return run
 
 
-def samples(train: DataFrame, features: Sequence[str], label: str, trees: int, weight: str | None = None, rate: float = 1.0, seed: int = 42) -> DataFrame:
-    """__x0.. (the distinct features), and __w and __wy: for each tree the weight of its sample there, and the weighted sum of its labels. Rows with a null or NaN feature take no part."""
+def samples(train: DataFrame, features: Sequence[str], label: str, trees: int, weight: str | None = None, rate: float = 1.0, seed: int = 42, count: str | None = None) -> DataFrame:
+    """__x0.. (the distinct features), and __w and __wy: for each tree the weight of its sample there, and the weighted sum of its labels. Rows with a null or NaN feature take no part. ``count``: how many rows each stands for, of the same weight."""
     number = lambda c: F.col(c).cast("double")
+    number_or_one = lambda c: number(c) if c else F.lit(1.0)
     good = F.lit(True)
     for c in features:
         good = good & F.col(c).isNotNull() & ~F.isnan(number(c))
     names = [f"__x{i}" for i in range(len(features))]
     # 0.0 is added so that -0.0 and 0.0 are alike
-    rows = train.where(good).select(number(label).alias("__y"), (number(weight) if weight else F.lit(1.0)).alias("__w"), *[(number(c) + F.lit(0.0)).alias(n) for c, n in zip(features, names, strict=True)])
+    rows = train.where(good).select(number(label).alias("__y"), number_or_one(weight).alias("__w"), number_or_one(count).alias("__n"), *[(number(c) + F.lit(0.0)).alias(n) for c, n in zip(features, names, strict=True)])
     drawn = rows.mapInArrow(_drawn(len(features), trees, rate, seed), ", ".join([*[f"{n} double" for n in names], "__w array<double>", "__wy array<double>"]))
     total = lambda c: F.array(*[F.sum(F.col(c)[t]) for t in range(trees)]).alias(c)
     return drawn.groupBy(*names).agg(total("__w"), total("__wy"))
 
 
-def fit(train: DataFrame, features: Sequence[str], regressor: RandomForestRegressor) -> PipelineModel:
-    """The regressor's forest, a stage for each tree and one for their mean."""
+def fit(train: DataFrame, features: Sequence[str], regressor: RandomForestRegressor, count: str | None = None) -> PipelineModel:
+    """The regressor's forest, a stage for each tree and one for their mean; ``count`` as in ``samples``."""
     trees, label, prediction = regressor.getNumTrees(), regressor.getLabelCol(), regressor.getPredictionCol()
     weight = regressor.getWeightCol() if regressor.isSet("weightCol") else None
-    cells = checkpointed(samples(train, features, label, trees, weight, regressor.getSubsamplingRate(), regressor.getSeed()))
+    cells = checkpointed(samples(train, features, label, trees, weight, regressor.getSubsamplingRate(), regressor.getSeed(), count))
     assembler = VectorAssembler(inputCols=list(features), outputCol=regressor.getFeaturesCol(), handleInvalid="skip")
     strategy = regressor.getFeatureSubsetStrategy()
     settings = {"numTrees": 1, "bootstrap": False, "subsamplingRate": 1.0, "weightCol": "__weight", "featureSubsetStrategy": "onethird" if strategy == "auto" else strategy}

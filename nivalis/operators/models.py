@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 from nivalis.functions.columns import season
 from nivalis.operators import bagged, random_trees
 from nivalis.operators.clean import blank_to_null, numeric_only, to_number
-from nivalis.operators.lineage import numbered
+from nivalis.operators.lineage import checkpointed, numbered
 from nivalis.sources.published import latest_path, publish
 
 
@@ -79,11 +79,23 @@ def extra_trees(train: DataFrame, features: Sequence[str], label: str, trees: in
 
 
 def fit_twice(train: DataFrame, features: Sequence[str], label: str, make) -> PipelineModel:
-    """A fit, and a second one weighted by how rare each row's error was in the first."""
-    first = fit(train, features, make(label))
+    """A fit, and a second one weighted by how rare each row's error was in the first.
+
+    Rows alike in features and label have the same error. Where rows are mostly alike in their features, the
+    alike are put together before the errors are predicted and counted; an error then has about two labels
+    for each distinct row of features, at most. Weights there lack the factor that all rows share, which
+    changes no tree. Other tables are weighted once, and kept for the passes of the second fit.
+    """
+    once, again = make(label), make(label, weightCol="weight")
     error = F.round(F.abs(F.col(label) - F.col("prediction")), 6)
-    weighted = balanced_weights(first.transform(train), error).drop("features", "raw", "prediction")
-    return fit(weighted, features, make(label, weightCol="weight"))
+    if bagged.suits(train, features, once):
+        alike = train.groupBy(*features, label).agg(F.count(F.lit(1)).alias("__rows"))
+        found = bagged.fit(train, features, once).transform(alike).withColumn("__error", error)
+        weight = 1 / F.sum("__rows").over(Window.partitionBy("__error"))
+        return bagged.fit(found.select(*features, label, "__rows", weight.alias("weight")), features, again, "__rows")
+    found = _pipeline(features, [once]).fit(train).transform(train)
+    weighted = balanced_weights(found, error).select(*features, label, "weight")
+    return _pipeline(features, [again]).fit(checkpointed(weighted))
 
 
 def metrics(df: DataFrame, label: str = "label", predicted: str = "prediction") -> DataFrame:

@@ -136,3 +136,58 @@ def test_a_forest_of_rows_that_are_alike(alike, monkeypatch, spark, tmp_path):
 def test_a_second_pass_of_rows_that_are_alike(alike):
     found = M.fit_twice(alike, NAMES, "y", lambda label, **more: M.forest(label, 5, 8, featureSubsetStrategy="all", **more)).transform(alike)
     assert M.metrics(found, "y").first().r2 > 0.9
+
+
+def test_rows_that_stand_for_several(alike):
+    """Samples of counted rows spread around the same sizes as those of the rows."""
+    counted = alike.groupBy(*NAMES, "w").agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("y"))
+    found = bagged.samples(counted, NAMES, "y", 40, "w", count="n").collect()
+    own = {(r[0], r[1], r[2]): r for r in alike.groupBy(*NAMES).agg(F.sum("w").alias("n"), F.sum(F.expr("w * w")).alias("v")).collect()}
+    assert len(found) == len(own)
+    for *kind, w, _ in map(tuple, found):
+        want = own[tuple(kind)]
+        assert np.mean(w) == pytest.approx(want.n, rel=0.25) and np.var(w) == pytest.approx(want.v, rel=0.8)
+
+
+def test_a_second_pass_reads_the_rows_once_more(alike, monkeypatch, spark):
+    """A look at how alike the rows are, a pass for each fit; and the second fit's weights are those by counts of errors."""
+    read, weighted = spark.sparkContext.accumulator(0), []
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    fit = bagged.fit
+    monkeypatch.setattr(bagged, "fit", lambda train, *more: weighted.append(train) or fit(train, *more))
+    again = alike.select(*NAMES, F.round("y").alias("y")).cache()
+    model = M.fit_twice(again.mapInArrow(counted, again.schema), NAMES, "y", lambda label, **more: M.forest(label, 3, 4, **more))
+    assert read.value == 3 * 3000 and len(model.stages) == 5
+
+    model = fit(again, NAMES, M.forest("y", 3, 4))
+    monkeypatch.setattr(bagged, "fit", lambda train, *more: weighted.append(train) or model)
+    M.fit_twice(again, NAMES, "y", lambda label, **more: M.forest(label, 3, 4, **more))
+    error = F.round(F.abs(F.col("y") - F.col("prediction")), 6)
+    want = M.balanced_weights(model.transform(again), error).groupBy(*NAMES, "y").agg(F.count(F.lit(1)).alias("n"), F.avg("weight").alias("want"))
+    own = weighted[-1].join(want, [*NAMES, "y"]).select("n", "__rows", (F.col("weight") / F.col("want")).alias("r")).collect()
+    assert len(own) == want.count() == weighted[-1].count() and all(r.n == r["__rows"] for r in own)
+    assert max(r.r for r in own) == pytest.approx(min(r.r for r in own))
+
+
+def test_a_second_pass_weighs_other_rows_once(rows, spark):
+    """The second fit of Spark ML goes over its rows several times, but they are weighted once."""
+    read = []
+    for twice in (False, True):
+        seen = spark.sparkContext.accumulator(0)
+
+        def counted(batches, seen=seen):
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+
+        train = rows[0].mapInArrow(counted, rows[0].schema)
+        make = lambda label, **more: M.forest(label, 3, 4, **more)
+        M.fit_twice(train, NAMES, "y", make) if twice else M.fit(train, NAMES, make("y"))
+        read.append(seen.value)
+    # rows are weighted by a join of three readings: themselves, the counts of their errors, and the sizes of these
+    assert read[1] - read[0] <= 3 * rows[0].count()
