@@ -125,3 +125,28 @@ def test_records_that_change_their_shape(spark):
     got = {r.i: (r.k, r.unit) for r in readers.drifting(df, "t", {"k": (["$.k", "$.reading.k"], "int"), "unit": (["$.reading.unit"], "string")}).collect()}
     assert got == {0: (1, None), 1: (2, "m"), 2: (None, None), 3: (None, None), 4: (None, None), 5: (5, None), 6: (None, None)}
     assert "unit: STRING" in readers.shape(df.where("i < 2"), "t").first()[0]
+
+
+def test_cube_in_blocks_is_the_join(spark, monkeypatch):
+    """Points and days of no value, of no cell, twice, and more of them than a block holds."""
+    monkeypatch.setattr(readers, "RUN", 4, raising=False)
+    monkeypatch.setattr(readers, "REPEATED", 3, raising=False)
+    points = spark.sql("select id as point_id, int(id % 3) as y, if(id % 7 = 0, null, 0) as x from range(40) union all select 5, 2, 0 union all select null, 1, 0")
+    cube = spark.sql("select if(id = 9, null, id) as day_idx, y, 0 as x, if(id = 3, null, id / 10) as value from range(11), (select explode(array(0, 1, 2, 4)) as y) union all select 2, 1, 0, 7")
+    want, found = points.join(cube, ["y", "x"]), readers.cube_at(cube, points)
+    assert found.columns == want.columns and found.dtypes == want.dtypes
+    assert want.count() > 400 and found.exceptAll(want).count() == want.exceptAll(found).count() == 0
+
+
+def test_all_days_of_many_points_are_small_in_a_file(spark, tmp_path):
+    """Far below the two bytes that a day's number takes alone."""
+    points = spark.sql("select xxhash64(id) as point_id, 0 as y, 0 as x from range(80)")
+    cube = spark.sql("select id as day_idx, 0 as y, 0 as x, rand(1) as value from range(20000)")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        readers.cube_at(cube, points).write.parquet(str(tmp_path / "rows"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert spark.read.parquet(str(tmp_path / "rows")).count() == 1_600_000
+    assert sum(f.stat().st_size for f in (tmp_path / "rows").glob("*.parquet")) < 0.8 * 1_600_000
