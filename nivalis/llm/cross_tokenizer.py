@@ -365,7 +365,7 @@ def _finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pages(docs: DataFrame, a: str, b: str) -> DataFrame:
-    dealt = materialise(id_and_text(docs).mapInArrow(_dealt(a, b), _ddl(PAGE | RANGE)))
+    dealt = materialise(id_and_text(docs).mapInArrow(_dealt(a, b), _ddl(PAGE | RANGE)), large_rows=True)
     pages, ranges = dealt.where("part IS NULL").select(*PAGE), dealt.where("part IS NOT NULL").select(*RANGE)
     longest = ranges.agg(F.max("n_parts")).first()[0]
     if longest is None:
@@ -374,7 +374,7 @@ def _pages(docs: DataFrame, a: str, b: str) -> DataFrame:
     while longest > 1:
         found = found.groupBy("doc", F.floor(F.col("part") / FAN).alias("next")).applyInArrow(_put_together(FAN), _ddl(FRAGMENT))
         longest = -(-longest // FAN)
-    return pages.unionByName(materialise(found.mapInArrow(_finished, _ddl(PAGE))))
+    return pages.unionByName(materialise(found.mapInArrow(_finished, _ddl(PAGE)), large_rows=True))
 
 
 def _read(row: dict, name: str, kind: str = "<i8") -> np.ndarray:

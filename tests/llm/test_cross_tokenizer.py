@@ -197,3 +197,25 @@ def test_the_query_equals_a_walk_over_both_token_lists(spark):
         for i, (a, b, text, links) in found.items()
     }
     assert {r.doc_id: tuple(r)[1:] for r in ct.op13_token_alignment(spark, sf).collect()} == want
+
+
+def test_pages_go_one_by_one_through_the_shared_folder(spark, monkeypatch):
+    """Writers and readers hold whole row groups, and writers the values of their statistics: with several pages in each a task's memory grew with its input."""
+    import pyarrow.parquet as pq
+
+    written = []
+    keep = ct.materialise
+    monkeypatch.setattr(ct, "materialise", lambda df, **how: written.append(keep(df, **how)) or written[-1])
+    monkeypatch.setattr(ct, "PAGE_BYTES", 100)
+    monkeypatch.setattr(ct, "GROUP", 200)
+    # the last one goes in parts
+    texts = ["a page of its own " * 10] * 8 + ["long " * (ct.LONG // 4)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    assert sorted(r.doc_id for r in ct.align(docs).collect()) == list(range(9))
+    assert len(written) == 2
+    for table in written:
+        parts = [pq.ParquetFile(path.removeprefix("file://")).metadata for path in table.inputFiles()]
+        groups = [part.row_group(i) for part in parts for i in range(part.num_row_groups)]
+        assert len(groups) == table.count() and all(g.num_rows == 1 for g in groups)
+        assert all(g.column(i).statistics is None for g in groups for i in range(g.num_columns))
+    assert written[0].where("part is null").count() >= 8
