@@ -262,7 +262,7 @@ def season_runs(spark, sf_dir, folder):
     for chosen, v in _ARRIVALS:
         season.where(chosen).withColumn("v", F.expr(v)).write.mode("append").parquet(f"{folder}/in")
         stream = T.read_stream(own, f"{folder}/in", season.schema)
-        SS.run_changes(SS.changed_totals(stream, "obs_date", "point_id", "v", late="200 days"), f"{folder}/out", f"{folder}/checkpoint")
+        SS.run_changes(SS.changed_totals(stream, "obs_date", "point_id", "v", late="200 days", blocks=4096), f"{folder}/out", f"{folder}/checkpoint")
 
 
 @with_folder("t03_season_state", "select point_id, water_year, count(*) as n, round(sum(v), 2) as total, max(obs_date) as last_day from season group by 1, 2", "season")

@@ -1,9 +1,13 @@
-"""Season totals kept as the state of a stream, one entry for each point and season.
+"""Season totals kept as the state of a stream, one entry for each point and season, or for a block of points.
 
 The state of a point's season is its days with their values (a season has 366 at most), so a day
 that comes late is added and one that comes again is corrected. A run writes the totals that its
 rows changed, and no others. When the watermark passes the end of a season, a timer drops its state.
 
+Each entry takes some calls between Python and the state store in each run that touches it, and some
+more when it is dropped, whatever it holds. With many points of few days a season, ``blocks`` puts
+points together by the hash of their key; an entry is then read and written as a whole.
+
 Which row stands for a day: the one with the largest ``order`` that has come so far (without such a
 column, that of the latest batch), and of rows alike in that the largest value. A null value takes
 the day out of the total. Rows with a null key or day are left out; rows of days more than ``late``
@@ -18,10 +22,13 @@ from datetime import UTC, date, datetime, timedelta
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import DateType, DoubleType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, DateType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from nivalis.functions.columns import water_year
 
+#: The order and value of each day.
+Days = dict[int, tuple[int, float | None]]
+_NAN = float("nan")
 _STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -33,41 +40,57 @@ def state_session(spark: SparkSession) -> SparkSession:
     return own
 
 
+def _same(point):
+    """NaN is one point."""
+    return _NAN if point != point else point
+
+
 class SeasonState(StatefulProcessor):
-    """Rows of (day as a number, value, order) by point and season."""
+    """Rows of (point, day as a number, value, order) by season and point or block of points."""
 
-    def __init__(self, key: str):
-        self.key = key
+    def __init__(self, key: StructField):
+        self.key, self.out = key, Row(key.name, "water_year", "n", "total", "last_day")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.days = handle.getValueState("days", "days array<int>, vals array<double>, orders array<long>")
+        kinds = {"points": self.key.dataType, "days": IntegerType(), "vals": DoubleType(), "orders": LongType()}
+        self.days = handle.getValueState("days", StructType([StructField(name, ArrayType(kind)) for name, kind in kinds.items()]))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         known = self.days.get()
-        before = {d: (o, v) for d, v, o in zip(*known, strict=True)} if known else {}
-        new: dict[int, tuple[int, float | None]] = {}
+        seasons: dict[object, Days] = {}
+        for point, day, value, order in zip(*known, strict=True) if known else ():
+            seasons.setdefault(_same(point), {})[day] = order, value
+        arrived: dict[object, Days] = {}
         for row in rows:
-            # by place, as names may not come through: key, season, time, day, value, order
-            day, value, order = row[3], row[4], row[5]
+            # by place, as names may not come through: point or block, season, time, point, day, value, order
+            new, day, value, order = arrived.setdefault(_same(row[3]), {}), row[4], row[5], row[6]
             value = None if value != value else value
             at = new.get(day)
             if at is None or (order, value is not None, value or 0.0) > (at[0], at[1] is not None, at[1] or 0.0):
                 new[day] = order, value
-        after = before | {d: x for d, x in new.items() if d not in before or x[0] >= before[d][0]}
-        if after != before:
+        changed, touched = [], False
+        for point, new in arrived.items():
+            before = seasons.get(point, {})
+            after = before | {d: x for d, x in new.items() if d not in before or x[0] >= before[d][0]}
+            if after != before:
+                touched = True
+                seasons[point] = after
+                # values may be alike where only the order is new
+                if {d: v for d, (_, v) in after.items()} != {d: v for d, (_, v) in before.items()}:
+                    changed.append(self._row(point, key[1], after))
+        if touched:
             if not known:
                 self.handle.registerTimer(int(datetime(key[1], 10, 1, tzinfo=UTC).timestamp() * 1000))
-            days = sorted(after)
-            self.days.update((days, [after[d][1] for d in days], [after[d][0] for d in days]))
-        # values may be alike where only the order is new
-        if {d: v for d, (_, v) in after.items()} != {d: v for d, (_, v) in before.items()}:
-            yield self._row(key, after)
+            entries = [(point, day, *own[day]) for point, own in seasons.items() for day in sorted(own)]
+            points, days, orders, values = map(list, zip(*entries, strict=True))
+            self.days.update((points, days, values, orders))
+        return iter(changed)
 
-    def _row(self, key, known: dict[int, tuple[int, float | None]]) -> Row:
+    def _row(self, point, season: int, known: Days) -> Row:
         days = [d for d in sorted(known) if known[d][1] is not None]
         total = float(sum(known[d][1] for d in days))
-        return Row(**{self.key: key[0], "water_year": key[1], "n": len(days), "total": total, "last_day": date(1970, 1, 1) + timedelta(days=days[-1]) if days else None})
+        return self.out(point, season, len(days), total, date(1970, 1, 1) + timedelta(days=days[-1]) if days else None)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.days.clear()
@@ -77,19 +100,24 @@ class SeasonState(StatefulProcessor):
         pass
 
 
-def changed_totals(stream: DataFrame, day: str, key: str, value: str, order: str | None = None, late: str = "60 days") -> DataFrame:
-    """key, water_year, n, total and last_day of each season that a batch changes; ``stream`` is of a ``state_session``."""
+def changed_totals(stream: DataFrame, day: str, key: str, value: str, order: str | None = None, late: str = "60 days", blocks: int | None = None) -> DataFrame:
+    """key, water_year, n, total and last_day of each season that a batch changes; ``stream`` is of a ``state_session``.
+
+    ``blocks``: so many entries for each season instead of one for each point; a checkpoint keeps the number it began with.
+    """
     rows = stream.where(F.col(key).isNotNull() & F.col(day).isNotNull()).select(
-        key,
+        (F.pmod(F.xxhash64(key), F.lit(blocks)).alias("__block") if blocks else F.col(key)),
         water_year(F.col(day)).cast("int").alias("water_year"),
         F.col(day).cast("timestamp").alias("__time"),
+        F.col(key).alias("__point"),
         F.datediff(day, F.lit("1970-01-01").cast("date")).alias("__day"),
         F.col(value).cast("double").alias("__value"),
         (F.col(order).cast("long") if order else F.lit(0).cast("long")).alias("__order"),
     )
-    schema = StructType([rows.schema[key], StructField("water_year", IntegerType()), StructField("n", LongType()), StructField("total", DoubleType()), StructField("last_day", DateType())])
-    seasons = rows.withWatermark("__time", late).groupBy(key, "water_year")
-    return seasons.transformWithState(SeasonState(key), schema, "Update", "EventTime")
+    own = StructField(key, stream.schema[key].dataType, stream.schema[key].nullable)
+    schema = StructType([own, StructField("water_year", IntegerType()), StructField("n", LongType()), StructField("total", DoubleType()), StructField("last_day", DateType())])
+    seasons = rows.withWatermark("__time", late).groupBy("__block" if blocks else key, "water_year")
+    return seasons.transformWithState(SeasonState(own), schema, "Update", "EventTime")
 
 
 def run_changes(changes: DataFrame, path: str, checkpoint: str):
