@@ -222,7 +222,7 @@ def search(docs: DataFrame, items: DataFrame, depth: int = DEPTH) -> DataFrame:
     results = [spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")]
     for part in _slices(items):
         index = Index(part)
-        pages = materialise(texts.mapInArrow(_pack(context.broadcast(index.number)), PAGE))
+        pages = materialise(texts.mapInArrow(_pack(context.broadcast(index.number)), PAGE), large_rows=True)
         n_docs, n_terms, size = (x or 0 for x in pages.agg(F.sum("n_docs"), F.sum("n_terms"), F.sum(F.length("terms") + F.length("times"))).first())
         counted = pages.select("terms").mapInArrow(_frequencies(len(index.number)), "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
         df = np.zeros(len(index.number), np.int64)

@@ -96,3 +96,22 @@ def test_the_query_equals_its_sql_and_brute_force(spark):
     docs = [(r["doc_id"], r["text"]) for r in pq.read_table(f"{sf}/documents.parquet").to_pylist()]
     items = [(r["item_id"], r["text"]) for r in pq.read_table(f"{sf}/benchmark.parquet").to_pylist()]
     assert got == sorted(brute(docs, items))
+
+
+def test_a_page_is_a_row_group(spark, monkeypatch):
+    """Readers hold whole row groups, so with all pages of a task in one its memory grew with its input."""
+    import pyarrow.parquet as pq
+
+    written = []
+    keep = ls.materialise
+    monkeypatch.setattr(ls, "materialise", lambda df, **how: written.append(keep(df, **how)) or written[-1])
+    docs = spark.createDataFrame([(i, f"word{i} alike") for i in range(20)], "doc_id long, text string").coalesce(1)
+    items = spark.createDataFrame([(1, "alike")], "item_id long, text string")
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        assert len(ls.search(docs, items).collect()) == 10
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    parts = [pq.ParquetFile(path.removeprefix("file://")).metadata for path in written[0].inputFiles()]
+    assert [part.row_group(i).num_rows for part in parts for i in range(part.num_row_groups)] == [1] * 4
